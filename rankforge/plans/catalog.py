@@ -95,3 +95,98 @@ def _q6(spark, d):
                      {"rk": "rank", "drk": "dense_rank", "rn": "row_number",
                       "prk": "percent_rank", "tile": ("ntile", 4)}, ties=["c_custkey"])
     return c.withColumn("prk", F.round("prk", 6))
+
+
+# ---- A3-A5 ------------------------------------------------------------------
+
+@register("a3_ratio_by_field", f"""WITH {EF_SQL}
+SELECT field, CAST(SUM(citations) AS DOUBLE) AS citations, CAST(SUM(docs) AS DOUBLE) AS docs,
+       CAST(SUM(citations) AS DOUBLE) / NULLIF(CAST(SUM(docs) AS DOUBLE), 0) AS ratio
+FROM ef WHERE citations IS NOT NULL AND docs IS NOT NULL GROUP BY field""")
+def _a3(spark, d):
+    return A.ratio_metric(entity_field(spark, d), "citations", "docs", ["field"])
+
+
+@register("a4_sort_by_citations", f"""WITH {EF_SQL}
+SELECT entity, field, CAST(citations AS DOUBLE) AS citations FROM ef""")
+def _a4s(spark, d):
+    ef = ef_out(entity_field(spark, d))
+    return A.sort_by(ef, "citations", ["entity", "field"]).select("entity", "field", "citations")
+
+
+@register("a4_top_by_cpp", f"""WITH {EF_SQL}
+SELECT * FROM (SELECT entity, field, cpp,
+  CAST(ROW_NUMBER() OVER (ORDER BY cpp DESC NULLS LAST, entity, field) AS BIGINT) AS rk FROM ef) t
+WHERE rk <= 10""")
+def _a4t(spark, d):
+    ef = entity_field(spark, d).select("entity", "field", "cpp")
+    return A.top_k(ef, "cpp", 10, ["entity", "field"])
+
+
+@register("a5_pair_relation", f"""WITH {EF_SQL}
+SELECT field, COUNT(*) AS n, ROUND(CORR(CAST(citations AS DOUBLE), CAST(docs AS DOUBLE)), 6) AS r,
+       ROUND(REGR_SLOPE(CAST(citations AS DOUBLE), CAST(docs AS DOUBLE)), 6) AS slope,
+       ROUND(REGR_INTERCEPT(CAST(citations AS DOUBLE), CAST(docs AS DOUBLE)), 6) AS intercept
+FROM ef GROUP BY field""")
+def _a5(spark, d):
+    r = A.pair_relation(entity_field(spark, d), "docs", "citations", ["field"])
+    return r.select("field", "n", *[F.round(c, 6).alias(c) for c in ("r", "slope", "intercept")])
+
+
+@register("a5_grid_bins", """WITH b AS (SELECT MIN(l_quantity) AS lx, MAX(l_quantity) AS hx,
+                      MIN(l_extendedprice) AS ly, MAX(l_extendedprice) AS hy FROM lineitem)
+SELECT CASE WHEN hx = lx THEN 0 ELSE LEAST(CAST(FLOOR((l_quantity - lx) / ((hx - lx) / 10.0)) AS BIGINT), 9) END AS ix,
+       CASE WHEN hy = ly THEN 0 ELSE LEAST(CAST(FLOOR((l_extendedprice - ly) / ((hy - ly) / 10.0)) AS BIGINT), 9) END AS iy,
+       COUNT(*) AS n
+FROM lineitem, b GROUP BY 1, 2""")
+def _a5g(spark, d):
+    return A.grid_bins(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", 10, 10)
+
+
+# ---- Q3-Q5 ------------------------------------------------------------------
+
+@register("q3_global_overview", f"""WITH {EF_SQL}
+SELECT COUNT(DISTINCT entity) AS n_entities, COUNT(DISTINCT country) AS n_countries,
+       COUNT(DISTINCT field) AS n_fields, CAST(SUM(docs) AS BIGINT) AS docs,
+       CAST(SUM(citations) AS DOUBLE) AS citations,
+       CAST(SUM(citations) AS DOUBLE) / NULLIF(SUM(docs), 0) AS cpp FROM ef""")
+def _q3(spark, d):
+    return Q.global_overview(entity_field(spark, d))
+
+
+_Q4_SELECT = """SELECT region, country, field,
+       CAST(GROUPING(region, country, field) AS BIGINT) AS gid, COUNT(*) AS n_rows,
+       CAST(SUM(docs) AS BIGINT) AS docs, CAST(SUM(citations) AS DOUBLE) AS citations FROM ef"""
+
+
+@register("q4_rollup", f"WITH {EF_SQL}\n{_Q4_SELECT} GROUP BY ROLLUP (region, country, field)")
+def _q4r(spark, d):
+    return Q.multi_dim(entity_field(spark, d), ["region", "country", "field"], "rollup")
+
+
+@register("q4_cube", f"WITH {EF_SQL}\n{_Q4_SELECT} GROUP BY CUBE (region, country, field)")
+def _q4c(spark, d):
+    return Q.multi_dim(entity_field(spark, d), ["region", "country", "field"], "cube")
+
+
+@register("q4_grouping_sets",
+          f"WITH {EF_SQL}\n{_Q4_SELECT} GROUP BY GROUPING SETS ((region, field), (country), ())")
+def _q4g(spark, d):
+    return Q.multi_dim(entity_field(spark, d), ["region", "country", "field"],
+                       [["region", "field"], ["country"], []])
+
+
+@register("q5_top_regions_by_field", f"""WITH {EF_SQL}
+SELECT * FROM (SELECT field, region, CAST(SUM(citations) AS DOUBLE) AS citations,
+  CAST(ROW_NUMBER() OVER (PARTITION BY field ORDER BY SUM(citations) DESC, region) AS BIGINT) AS rk
+  FROM ef GROUP BY field, region) t WHERE rk <= 3""")
+def _q5f(spark, d):
+    return Q.top_regions(entity_field(spark, d), 3, by=["field"])
+
+
+@register("q5_top_regions", f"""WITH {EF_SQL}
+SELECT * FROM (SELECT region, CAST(SUM(citations) AS DOUBLE) AS citations,
+  CAST(ROW_NUMBER() OVER (ORDER BY SUM(citations) DESC, region) AS BIGINT) AS rk
+  FROM ef GROUP BY region) t WHERE rk <= 3""")
+def _q5(spark, d):
+    return Q.top_regions(entity_field(spark, d), 3)
