@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankforge.operators import citations as A
+from rankforge.operators import cleaning as C
 from rankforge.operators import reports as Q
 from rankforge.operators.ranking import global_rank, rank_columns, rank_within
 from rankforge.plans.registry import register
-from rankforge.plans.standins import entity_field, table
+from rankforge.plans.standins import documents_labels, entity_field, table
 
 # EF in SQL: suppliers x part types, ranked by citations inside each type.
 EF_SQL = """ef AS (
@@ -190,3 +191,130 @@ SELECT * FROM (SELECT region, CAST(SUM(citations) AS DOUBLE) AS citations,
   FROM ef GROUP BY region) t WHERE rk <= 3""")
 def _q5(spark, d):
     return Q.top_regions(entity_field(spark, d), 3)
+
+
+# ---- C: cleaning and single-table analysis ----------------------------------
+
+DL_SQL = """d AS (SELECT documents.doc_id, lang, source, n_chars, quality, toxic
+       FROM documents LEFT JOIN labels ON documents.doc_id = labels.doc_id)"""
+DL_COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+
+
+def _c1_sql():
+    counts = ", ".join(f"COUNT(*) - COUNT({c}) AS m_{c}" for c in DL_COLS)
+    parts = [f"""SELECT '{c}' AS "column", n_rows, CAST(m_{c} AS BIGINT) AS n_missing,
+       CAST(m_{c} AS DOUBLE) * 100.0 / CAST(n_rows AS DOUBLE) AS pct_missing FROM c""" for c in DL_COLS]
+    return f"WITH {DL_SQL}, c AS (SELECT COUNT(*) AS n_rows, {counts} FROM d)\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("c1_missing_profile", _c1_sql())
+def _c1(spark, d):
+    return C.missing_profile(documents_labels(spark, d), DL_COLS)
+
+
+@register("c2_impute", f"""WITH {DL_SQL},
+g AS (SELECT source, MEDIAN(quality) AS gq, AVG(CAST(toxic AS DOUBLE)) AS gt FROM d GROUP BY source),
+a AS (SELECT MEDIAN(quality) AS aq, AVG(CAST(toxic AS DOUBLE)) AS at FROM d)
+SELECT d.doc_id, d.source, COALESCE(CAST(d.quality AS DOUBLE), g.gq, a.aq) AS quality,
+       d.quality IS NULL AS quality_was_missing,
+       ROUND(COALESCE(CAST(d.toxic AS DOUBLE), g.gt, a.at), 6) AS toxic,
+       d.toxic IS NULL AS toxic_was_missing
+FROM d LEFT JOIN g ON d.source IS NOT DISTINCT FROM g.source, a""")
+def _c2(spark, d):
+    r = C.impute(documents_labels(spark, d), {"quality": "median", "toxic": "mean"}, by=["source"])
+    return r.select("doc_id", "source", "quality", "quality_was_missing",
+                    F.round("toxic", 6).alias("toxic"), "toxic_was_missing")
+
+
+LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _c3_sql():
+    parts = [f"""SELECT '{c}' AS "column", COUNT({c}) AS n, ROUND(AVG({c}), 6) AS mean,
+       ROUND(STDDEV_SAMP({c}), 6) AS sd, MIN({c}) AS "min", ROUND(QUANTILE_CONT({c}, 0.25), 6) AS q1,
+       ROUND(QUANTILE_CONT({c}, 0.5), 6) AS median, ROUND(QUANTILE_CONT({c}, 0.75), 6) AS q3,
+       MAX({c}) AS "max" FROM lineitem""" for c in LI_NUM]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("c3_numeric_summary", _c3_sql())
+def _c3(spark, d):
+    r = C.numeric_summary(table(spark, d, "lineitem"), LI_NUM)
+    return r.select("column", "n", *[F.round(c, 6).alias(c) for c in ("mean", "sd")], "min",
+                    *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")], "max")
+
+
+@register("c4_histogram", """WITH b AS (SELECT MIN(value) AS vlo, MAX(value) AS vhi FROM events
+                      WHERE value IS NOT NULL AND NOT isnan(value)),
+x AS (SELECT CASE WHEN vhi = vlo THEN 0
+                  ELSE LEAST(CAST(FLOOR((value - vlo) / ((vhi - vlo) / 20.0)) AS BIGINT), 19) END AS bin,
+             vlo, vhi
+      FROM events, b WHERE value IS NOT NULL AND NOT isnan(value))
+SELECT bin, vlo + CAST(bin AS DOUBLE) * ((vhi - vlo) / 20.0) AS lo,
+       vlo + CAST(bin + 1 AS DOUBLE) * ((vhi - vlo) / 20.0) AS hi, COUNT(*) AS n
+FROM x GROUP BY bin, vlo, vhi""")
+def _c4(spark, d):
+    return C.histogram(table(spark, d, "events"), "value", 20)
+
+
+@register("c5_boxplot", """WITH q AS (SELECT event_type, QUANTILE_CONT(value, 0.25) AS q1,
+              QUANTILE_CONT(value, 0.5) AS median, QUANTILE_CONT(value, 0.75) AS q3
+              FROM events WHERE value IS NOT NULL GROUP BY event_type),
+j AS (SELECT e.event_type, e.value, q.q1, q.median, q.q3,
+             q.q1 - 1.5 * (q.q3 - q.q1) AS lf, q.q3 + 1.5 * (q.q3 - q.q1) AS hf
+      FROM events e JOIN q ON e.event_type = q.event_type WHERE e.value IS NOT NULL)
+SELECT event_type, ROUND(ANY_VALUE(q1), 6) AS q1, ROUND(ANY_VALUE(median), 6) AS median,
+       ROUND(ANY_VALUE(q3), 6) AS q3,
+       MIN(CASE WHEN value >= lf AND value <= hf THEN value END) AS lo_whisker,
+       MAX(CASE WHEN value >= lf AND value <= hf THEN value END) AS hi_whisker,
+       CAST(SUM(CASE WHEN value >= lf AND value <= hf THEN 0 ELSE 1 END) AS BIGINT) AS n_outliers
+FROM j GROUP BY event_type""")
+def _c5(spark, d):
+    r = C.boxplot_stats(table(spark, d, "events"), "value", ["event_type"])
+    return r.select("event_type", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")],
+                    "lo_whisker", "hi_whisker", "n_outliers")
+
+
+def _c6_sql():
+    parts = []
+    for i, a in enumerate(LI_NUM):
+        for b in LI_NUM[i:]:
+            r = (f"CASE WHEN STDDEV_SAMP({a}) > 0 THEN CAST(1.0 AS DOUBLE) END" if a == b
+                 else f"CORR({a}, {b})")
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, ROUND({r}, 6) AS r FROM lineitem")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("c6_correlation", _c6_sql())
+def _c6(spark, d):
+    r = C.correlation_matrix(table(spark, d, "lineitem"), LI_NUM)
+    return r.withColumn("r", F.round("r", 6))
+
+
+# ---- F1: clean records --------------------------------------------------------
+
+LI_ORDER = ("l_extendedprice DESC, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, "
+            "l_tax, l_returnflag, l_linestatus, l_shipdate")
+
+
+def _f1(spark, d):
+    li = table(spark, d, "lineitem")
+    return C.clean_records(li, ["l_orderkey", "l_linenumber"], order=[("l_extendedprice", False)])
+
+
+@register("f1_clean_ok", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LI_ORDER}) AS rn
+      FROM lineitem) t WHERE rn = 1""")
+def _f1_ok(spark, d):
+    clean, _ = _f1(spark, d)
+    return clean.withColumn("l_shipdate", F.col("l_shipdate").cast("date").cast("string"))
+
+
+@register("f1_clean_dropped", f"""SELECT l_orderkey, l_linenumber, l_extendedprice, 'repeat' AS reason
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LI_ORDER}) AS rn
+      FROM lineitem) t WHERE rn > 1""")
+def _f1_dropped(spark, d):
+    _, dropped = _f1(spark, d)
+    return dropped.select("l_orderkey", "l_linenumber", "l_extendedprice", "reason")
