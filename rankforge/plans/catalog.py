@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from rankforge.operators import citations as A
 from rankforge.operators import cleaning as C
+from rankforge.operators import features as Fe
+from rankforge.operators import prediction as P
+from rankforge.operators import records as R
+from rankforge.operators import warehouse as W
 from rankforge.operators import reports as Q
 from rankforge.operators.ranking import global_rank, rank_columns, rank_within
 from rankforge.plans.registry import register
@@ -318,3 +322,409 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER B
 def _f1_dropped(spark, d):
     _, dropped = _f1(spark, d)
     return dropped.select("l_orderkey", "l_linenumber", "l_extendedprice", "reason")
+
+
+# ---- F2-F10: features and profiles -------------------------------------------
+
+@register("f2_entity_summary", f"""WITH {EF_SQL}
+SELECT entity, COUNT(DISTINCT field) AS n_fields, CAST(SUM(docs) AS BIGINT) AS docs,
+       CAST(SUM(citations) AS DOUBLE) AS citations,
+       CAST(SUM(citations) AS DOUBLE) / NULLIF(SUM(docs), 0) AS cpp,
+       MIN(rank) AS best_rank, ROUND(AVG(rank), 6) AS mean_rank, ROUND(STDDEV_SAMP(rank), 6) AS sd_rank
+FROM ef GROUP BY entity""")
+def _f2(spark, d):
+    r = Fe.entity_summary(entity_field(spark, d))
+    return r.withColumn("mean_rank", F.round("mean_rank", 6)).withColumn("sd_rank", F.round("sd_rank", 6))
+
+
+@register("f3_field_profile", f"""WITH {EF_SQL},
+e AS (SELECT entity, SUM(citations) AS et FROM ef GROUP BY entity),
+f AS (SELECT field, SUM(citations) AS fs, COUNT(*) AS fn FROM ef GROUP BY field)
+SELECT ef.entity, ef.field,
+       ROUND(CAST(citations AS DOUBLE) / NULLIF(CAST(et AS DOUBLE), 0), 6) AS share_of_entity,
+       ROUND(PERCENT_RANK() OVER (PARTITION BY ef.field ORDER BY citations DESC), 6) AS pct_rank,
+       ROUND(CAST(citations AS DOUBLE) - CAST(fs AS DOUBLE) / CAST(fn AS DOUBLE), 6) AS gap_to_mean
+FROM ef JOIN e ON ef.entity = e.entity JOIN f ON ef.field = f.field""")
+def _f3(spark, d):
+    r = Fe.field_profile(entity_field(spark, d, buckets=None).drop("rank"))
+    return r.select("entity", "field", *[F.round(c, 6).alias(c)
+                                         for c in ("share_of_entity", "pct_rank", "gap_to_mean")])
+
+
+@register("f4_entity_strengths", f"""WITH {EF_SQL},
+e AS (SELECT field, rank, CAST(citations AS DOUBLE) / NULLIF(CAST(SUM(citations) OVER () AS DOUBLE), 0) AS share
+      FROM ef WHERE entity = {ENTITY}),
+b AS (SELECT 'best' AS kind, field, rank, share,
+             ROW_NUMBER() OVER (ORDER BY rank, share DESC, field) AS i FROM e),
+w AS (SELECT 'worst' AS kind, field, rank, share,
+             ROW_NUMBER() OVER (ORDER BY rank DESC, share, field) AS i FROM e)
+SELECT kind, field, rank, ROUND(share, 6) AS share FROM b WHERE i <= 2
+UNION ALL SELECT kind, field, rank, ROUND(share, 6) AS share FROM w WHERE i <= 2""")
+def _f4(spark, d):
+    r = Fe.entity_strengths(entity_field(spark, d), ENTITY, 2)
+    return r.withColumn("share", F.round("share", 6))
+
+
+@register("f5_log_features", """SELECT p_partkey, ROUND(LN(1 + p_retailprice), 6) AS log1p_p_retailprice
+FROM part""")
+def _f5(spark, d):
+    r = Fe.log_features(table(spark, d, "part").select("p_partkey", "p_retailprice"), ["p_retailprice"])
+    return r.select("p_partkey", F.round("log1p_p_retailprice", 6).alias("log1p_p_retailprice"))
+
+
+@register("f6_ratio_features", """SELECT l_orderkey, l_linenumber, l_extendedprice / NULLIF(l_quantity, 0) AS unit_price,
+       l_tax / NULLIF(l_discount, 0) AS tax_per_discount FROM lineitem""")
+def _f6(spark, d):
+    li = table(spark, d, "lineitem")
+    r = Fe.ratio_features(li, [("l_extendedprice", "l_quantity", "unit_price"),
+                               ("l_tax", "l_discount", "tax_per_discount")])
+    return r.select("l_orderkey", "l_linenumber", "unit_price", "tax_per_discount")
+
+
+@register("f7_category_counts", """WITH l AS (SELECT 'p_brand' AS "column", CAST(p_brand AS VARCHAR) AS value FROM part
+                UNION ALL SELECT 'p_type', CAST(p_type AS VARCHAR) FROM part),
+c AS (SELECT "column", value, COUNT(*) AS n FROM l GROUP BY 1, 2),
+t AS (SELECT "column", COUNT(value) AS nn FROM l GROUP BY 1)
+SELECT c."column", value, n,
+       CASE WHEN value IS NOT NULL THEN CAST(n AS DOUBLE) / NULLIF(CAST(nn AS DOUBLE), 0) END AS share
+FROM c JOIN t ON c."column" = t."column\"""")
+def _f7(spark, d):
+    return Fe.category_counts(table(spark, d, "part"), ["p_brand", "p_type"])
+
+
+F8_COLS = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _f8_sql():
+    long = "\nUNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS v FROM lineitem" for c in F8_COLS)
+    return f"""WITH l AS ({long}),
+b AS (SELECT "column", MIN(v) AS vlo, MAX(v) AS vhi FROM l WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY 1),
+x AS (SELECT l."column", CASE WHEN vhi = vlo THEN 0
+                  ELSE LEAST(CAST(FLOOR((v - vlo) / ((vhi - vlo) / 10.0)) AS BIGINT), 9) END AS bin, vlo, vhi
+      FROM l JOIN b ON l."column" = b."column" WHERE v IS NOT NULL AND NOT isnan(v))
+SELECT "column", bin, vlo + CAST(bin AS DOUBLE) * ((vhi - vlo) / 10.0) AS lo,
+       vlo + CAST(bin + 1 AS DOUBLE) * ((vhi - vlo) / 10.0) AS hi, COUNT(*) AS n
+FROM x GROUP BY "column", bin, vlo, vhi"""
+
+
+@register("f8_numeric_distributions", _f8_sql())
+def _f8(spark, d):
+    return Fe.numeric_distributions(table(spark, d, "lineitem"), F8_COLS, 10)
+
+
+N_FOLDS, TEST_FOLD = 5, 0
+
+
+@register("f9_target_mean", f"""WITH {EF_SQL},
+tr AS (SELECT * FROM ef WHERE entity % {N_FOLDS} <> {TEST_FOLD}),
+mu AS (SELECT AVG(CAST(rank AS DOUBLE)) AS mu FROM tr),
+st AS (SELECT field, SUM(CAST(rank AS DOUBLE)) AS sy, COUNT(*) AS n FROM tr GROUP BY field)
+SELECT ef.entity, ef.field,
+       ROUND(COALESCE((st.sy + 10.0 * mu.mu) / (CAST(st.n AS DOUBLE) + 10.0), mu.mu), 6) AS field_te
+FROM ef LEFT JOIN st ON ef.field = st.field, mu""")
+def _f9(spark, d):
+    ef = entity_field(spark, d)
+    train, _ = P.split_by_key(ef, "entity", N_FOLDS, TEST_FOLD)
+    r = Fe.encode_categories(train, ef, ["field"], "target", target="rank", smoothing=10.0)
+    return r.select("entity", "field", F.round("field_te", 6).alias("field_te"))
+
+
+EF_FIELDS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@register("f10_profile_matrix", f"""WITH {EF_SQL}
+SELECT entity, {", ".join(f"CAST(SUM(CASE WHEN field = '{v}' THEN citations ELSE 0 END) AS DOUBLE) AS f_{v.lower()}"
+                          for v in EF_FIELDS)}
+FROM ef GROUP BY entity""")
+def _f10(spark, d):
+    return Fe.profile_matrix(entity_field(spark, d))
+
+
+# ---- P: rank prediction --------------------------------------------------------
+
+TRAIN_SQL = f"tr AS (SELECT * FROM ef WHERE entity % {N_FOLDS} <> {TEST_FOLD})"
+COEF_SQL = """co AS (SELECT field, REGR_SLOPE(CAST(rank AS DOUBLE), LN(1 + CAST(docs AS DOUBLE))) AS slope,
+              REGR_INTERCEPT(CAST(rank AS DOUBLE), LN(1 + CAST(docs AS DOUBLE))) AS intercept, COUNT(*) AS n
+       FROM tr GROUP BY field HAVING COUNT(DISTINCT LN(1 + CAST(docs AS DOUBLE))) >= 2)"""
+PRED_SQL = """pr AS (SELECT ef.entity, ef.field, ef.rank,
+         GREATEST(COALESCE(co.slope * LN(1 + CAST(ef.docs AS DOUBLE)) + co.intercept,
+                           (SELECT AVG(CAST(rank AS DOUBLE)) FROM tr)), 1.0) AS raw
+       FROM ef LEFT JOIN co ON ef.field = co.field)"""
+
+
+def _p_parts(spark, d):
+    ef = entity_field(spark, d)
+    train, test = P.split_by_key(ef, "entity", N_FOLDS, TEST_FOLD)
+    coefs = P.fit_rank_linear(train)
+    return ef, train, test, coefs
+
+
+@register("p7_split", f"""WITH {EF_SQL}
+SELECT entity, field, entity % {N_FOLDS} = {TEST_FOLD} AS is_test FROM ef""")
+def _p7(spark, d):
+    ef = entity_field(spark, d)
+    _, test = P.split_by_key(ef, "entity", N_FOLDS, TEST_FOLD)
+    return ef.select("entity", "field").join(test.select("entity", "field", F.lit(True).alias("is_test")),
+                                             ["entity", "field"], "left") \
+        .withColumn("is_test", F.coalesce("is_test", F.lit(False)))
+
+
+@register("p1_fit_rank_linear", f"""WITH {EF_SQL}, {TRAIN_SQL}, {COEF_SQL}
+SELECT field, ROUND(slope, 6) AS slope, ROUND(intercept, 6) AS intercept, n FROM co""")
+def _p1(spark, d):
+    _, _, _, coefs = _p_parts(spark, d)
+    return coefs.select("field", F.round("slope", 6).alias("slope"),
+                        F.round("intercept", 6).alias("intercept"), "n")
+
+
+@register("p3_predict_ranks", f"""WITH {EF_SQL}, {TRAIN_SQL}, {COEF_SQL}, {PRED_SQL}
+SELECT entity, field, rank, ROUND(raw, 6) AS raw,
+       CAST(RANK() OVER (PARTITION BY field ORDER BY raw) AS BIGINT) AS predicted_rank FROM pr""")
+def _p3(spark, d):
+    ef, train, _, coefs = _p_parts(spark, d)
+    r = P.predict_ranks(coefs, train, ef)
+    return r.withColumn("raw", F.round("raw", 6))
+
+
+@register("p4_regression_metrics", f"""WITH {EF_SQL}, {TRAIN_SQL}, {COEF_SQL}, {PRED_SQL},
+te AS (SELECT * FROM pr WHERE entity % {N_FOLDS} = {TEST_FOLD})
+SELECT field, COUNT(*) AS n, CAST(0 AS BIGINT) AS n_missing,
+       ROUND(AVG(ABS(rank - raw)), 6) AS mae, ROUND(SQRT(AVG((rank - raw) * (rank - raw))), 6) AS rmse,
+       ROUND(CASE WHEN VAR_POP(CAST(rank AS DOUBLE)) * COUNT(*) > 0 THEN
+             1 - SUM((rank - raw) * (rank - raw)) / (VAR_POP(CAST(rank AS DOUBLE)) * COUNT(*)) END, 6) AS r2
+FROM te GROUP BY field""")
+def _p4(spark, d):
+    ef, train, test, coefs = _p_parts(spark, d)
+    pred = P.predict_ranks(coefs, train, test)
+    m = P.regression_metrics(pred, "rank", "raw", ["field"])
+    return m.select("field", "n", "n_missing", *[F.round(c, 6).alias(c) for c in ("mae", "rmse", "r2")])
+
+
+@register("p5_residual_report", f"""WITH {EF_SQL}, {TRAIN_SQL}, {COEF_SQL}, {PRED_SQL},
+te AS (SELECT field, CASE WHEN rank BETWEEN 1 AND 10 THEN '1-10' WHEN rank BETWEEN 11 AND 50 THEN '11-50'
+                          WHEN rank BETWEEN 51 AND 100 THEN '51-100' WHEN rank >= 101 THEN '>100' END AS band,
+              CAST(rank AS DOUBLE) - raw AS e
+       FROM pr WHERE entity % {N_FOLDS} = {TEST_FOLD})
+SELECT field, band, COUNT(*) AS n, ROUND(AVG(e), 6) AS mean_error,
+       ROUND(QUANTILE_CONT(e, 0.5), 6) AS median_error, ROUND(AVG(ABS(e)), 6) AS mean_abs_error
+FROM te GROUP BY field, band""")
+def _p5(spark, d):
+    ef, train, test, coefs = _p_parts(spark, d)
+    pred = P.predict_ranks(coefs, train, test)
+    r = P.residual_report(pred, "rank", "raw", ["field"])
+    return r.select("field", "band", "n", *[F.round(c, 6).alias(c)
+                                            for c in ("mean_error", "median_error", "mean_abs_error")])
+
+
+@register("p2_train_rank_model")
+def _p2(spark, d):
+    ef, train, test, _ = _p_parts(spark, d)
+    model = P.train_rank_model(train, ["field", "region"], [], algo="gbt", log_nums=["docs", "cpp"])
+    return model.transform(test.withColumn("rank", F.col("rank").cast("double"))) \
+        .select("entity", "field", "rank", "prediction")
+
+
+@register("p6_compare_models")
+def _p6(spark, d):
+    ef, train, test, _ = _p_parts(spark, d)
+    specs = {"linear": {"cats": ["field"], "nums": [], "log_nums": ["docs", "cpp"], "algo": "linear"},
+             "forest": {"cats": ["field"], "nums": [], "log_nums": ["docs", "cpp"], "algo": "forest"}}
+    return P.compare_models(train, test, specs)
+
+
+# ---- K: keyed record maintenance ---------------------------------------------
+
+CUST = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+URGENT_SQL = "SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'"
+
+
+def _urgent_keys(spark, d):
+    o = table(spark, d, "orders")
+    return o.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("c_custkey"))
+
+
+@register("k1_lookup", f"SELECT * FROM customer WHERE c_custkey IN ({URGENT_SQL})")
+def _k1(spark, d):
+    return R.lookup(table(spark, d, "customer"), _urgent_keys(spark, d), ["c_custkey"])
+
+
+@register("k3_delete_keys", f"""SELECT * FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM ({URGENT_SQL}) k WHERE k.o_custkey = c.c_custkey)""")
+def _k3(spark, d):
+    return R.delete_keys(table(spark, d, "customer"), _urgent_keys(spark, d), ["c_custkey"])
+
+
+K2_SQL = """base AS (SELECT * FROM customer WHERE c_nationkey < 13),
+b AS (SELECT * FROM customer WHERE c_nationkey >= 10
+      UNION ALL SELECT * FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey >= 13),
+x AS (SELECT b.*, c_custkey IN (SELECT c_custkey FROM base) AS ex,
+             ROW_NUMBER() OVER (PARTITION BY c_custkey
+                                ORDER BY c_acctbal, c_custkey, c_name, c_nationkey, c_mktsegment) AS i
+      FROM b)"""
+
+
+def _k2(spark, d):
+    c = table(spark, d, "customer")
+    base = c.filter(F.col("c_nationkey") < 13)
+    batch = c.filter(F.col("c_nationkey") >= 10).unionByName(
+        c.filter((F.col("c_mktsegment") == "BUILDING") & (F.col("c_nationkey") >= 13)))
+    return R.insert_new(base, batch, ["c_custkey"], order=["c_acctbal", "c_custkey", "c_name",
+                                                           "c_nationkey", "c_mktsegment"])
+
+
+@register("k2_insert_ok", f"""WITH {K2_SQL}
+SELECT * FROM base UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM x
+WHERE c_custkey IS NOT NULL AND NOT ex AND i = 1""")
+def _k2_ok(spark, d):
+    return _k2(spark, d)[0]
+
+
+@register("k2_insert_refused", f"""WITH {K2_SQL}
+SELECT c_custkey, reason FROM (SELECT c_custkey, CASE WHEN c_custkey IS NULL THEN 'null_key' WHEN ex THEN 'exists'
+                                   WHEN i > 1 THEN 'repeat' END AS reason FROM x) t
+WHERE reason IS NOT NULL""")
+def _k2_refused(spark, d):
+    return _k2(spark, d)[1].select("c_custkey", "reason")
+
+
+def _k4_changes(spark, d):
+    o = table(spark, d, "orders")
+    null_s, null_i = F.lit(None).cast("string"), F.lit(None).cast("int")
+    upd = o.filter(F.col("o_orderpriority") == "1-URGENT").select(
+        F.col("o_custkey").alias("c_custkey"), null_s.alias("c_name"), null_i.alias("c_nationkey"),
+        F.col("o_totalprice").alias("c_acctbal"), null_s.alias("c_mktsegment"),
+        F.col("o_orderkey").alias("seq"), F.lit("U").alias("op"))
+    dele = o.filter((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F")).select(
+        F.col("o_custkey").alias("c_custkey"), null_s.alias("c_name"), null_i.alias("c_nationkey"),
+        F.lit(None).cast("double").alias("c_acctbal"), null_s.alias("c_mktsegment"),
+        F.col("o_orderkey").alias("seq"), F.lit("D").alias("op"))
+    ins = o.filter((F.col("o_orderpriority") == "2-HIGH") & (F.col("o_orderstatus") == "P")).select(
+        (F.col("o_orderkey") + F.lit(1000000000)).alias("c_custkey"),
+        F.concat(F.lit("new-"), F.col("o_orderkey").cast("string")).alias("c_name"),
+        F.lit(0).alias("c_nationkey"), F.col("o_totalprice").alias("c_acctbal"),
+        F.lit("NEW").alias("c_mktsegment"), F.col("o_orderkey").alias("seq"), F.lit("I").alias("op"))
+    return upd.unionByName(dele).unionByName(ins)
+
+
+@register("k4_apply_changes", """WITH ch AS (
+  SELECT o_custkey AS c_custkey, CAST(NULL AS VARCHAR) AS c_name, CAST(NULL AS INTEGER) AS c_nationkey,
+         o_totalprice AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment, o_orderkey AS seq, 'U' AS op
+  FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL
+  SELECT o_custkey, NULL, NULL, NULL, NULL, o_orderkey, 'D'
+  FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F'
+  UNION ALL
+  SELECT o_orderkey + 1000000000, 'new-' || CAST(o_orderkey AS VARCHAR), 0, o_totalprice, 'NEW', o_orderkey, 'I'
+  FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'P'),
+l AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY seq DESC) AS i FROM ch) t
+      WHERE i = 1)
+SELECT COALESCE(b.c_custkey, l.c_custkey) AS c_custkey,
+       CASE WHEN l.op IS NOT NULL THEN COALESCE(l.c_name, b.c_name) ELSE b.c_name END AS c_name,
+       CASE WHEN l.op IS NOT NULL THEN COALESCE(l.c_nationkey, b.c_nationkey) ELSE b.c_nationkey END AS c_nationkey,
+       CASE WHEN l.op IS NOT NULL THEN COALESCE(l.c_acctbal, b.c_acctbal) ELSE b.c_acctbal END AS c_acctbal,
+       CASE WHEN l.op IS NOT NULL THEN COALESCE(l.c_mktsegment, b.c_mktsegment) ELSE b.c_mktsegment END
+         AS c_mktsegment
+FROM customer b FULL OUTER JOIN l ON b.c_custkey = l.c_custkey
+WHERE l.op IS NULL OR l.op <> 'D'""")
+def _k4(spark, d):
+    return R.apply_changes(table(spark, d, "customer"), _k4_changes(spark, d), ["c_custkey"],
+                           "seq", "op", partial=True)
+
+
+# ---- M: dimensions, facts, verification ---------------------------------------
+
+@register("m2_seed_dimension", """SELECT DISTINCT md5(TRIM(p_type)) AS key, TRIM(p_type) AS value FROM part
+WHERE p_type IS NOT NULL AND TRIM(p_type) <> ''""")
+def _m2(spark, d):
+    return W.seed_dimension(table(spark, d, "part"), "p_type")
+
+
+@register("m3_migrate_dimension", """WITH v AS (SELECT p_brand, COUNT(*) AS n_variants
+           FROM (SELECT DISTINCT p_brand, p_type, p_size FROM part) t GROUP BY p_brand),
+f AS (SELECT * FROM (SELECT p_brand, p_type, p_size,
+                     ROW_NUMBER() OVER (PARTITION BY p_brand ORDER BY p_partkey, p_type, p_size) AS i
+                     FROM part) t WHERE i = 1)
+SELECT md5(TRIM(CAST(f.p_brand AS VARCHAR))) AS key, f.p_brand, p_type, p_size, n_variants
+FROM f JOIN v ON f.p_brand = v.p_brand""")
+def _m3(spark, d):
+    return W.migrate_dimension(table(spark, d, "part"), ["p_brand"], ["p_type", "p_size"], ["p_partkey"])
+
+
+M4_DIMS_SQL = """fd AS (SELECT DISTINCT md5(TRIM(p_type)) AS key, TRIM(p_type) AS value FROM part
+       WHERE p_type IS NOT NULL AND TRIM(p_type) <> ''),
+ed AS (SELECT md5(TRIM(CAST(s_suppkey AS VARCHAR))) AS key, s_suppkey FROM supplier WHERE s_acctbal > 0),
+st AS (SELECT ef.entity, ef.country, ef.field, ef.docs, ef.citations, ed.key AS entity_key, fd.key AS field_key
+       FROM ef LEFT JOIN ed ON ef.entity = ed.s_suppkey LEFT JOIN fd ON ef.field = fd.value)"""
+
+
+def _m4(spark, d):
+    ef = entity_field(spark, d).select("entity", "country", "field", "docs",
+                                       F.col("citations").cast("double").alias("citations"))
+    fdim = W.seed_dimension(table(spark, d, "part"), "p_type")
+    sup = table(spark, d, "supplier").filter(F.col("s_acctbal") > 0)
+    edim = W.migrate_dimension(sup, ["s_suppkey"], ["s_name", "s_nationkey"], ["s_suppkey"])
+    dims = [("entity", edim, "entity", "s_suppkey", "key"), ("field", fdim, "field", "value", "key")]
+    return ef, W.migrate_facts(ef, dims, ["docs", "citations"])
+
+
+@register("m4_facts", f"""WITH {EF_SQL}, {M4_DIMS_SQL}
+SELECT entity_key, field_key, docs, CAST(citations AS DOUBLE) AS citations FROM st
+WHERE entity_key IS NOT NULL AND field_key IS NOT NULL""")
+def _m4_facts(spark, d):
+    return _m4(spark, d)[1][0]
+
+
+@register("m4_orphans", f"""WITH {EF_SQL}, {M4_DIMS_SQL}
+SELECT entity, country, field, docs, CAST(citations AS DOUBLE) AS citations,
+       CASE WHEN entity_key IS NULL THEN 'entity' ELSE 'field' END AS missing_dim FROM st
+WHERE entity_key IS NULL OR field_key IS NULL""")
+def _m4_orphans(spark, d):
+    return _m4(spark, d)[1][1]
+
+
+LI_SPEC = W.TableSpec(
+    "lineitem",
+    {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+     "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double"},
+    primary_key=("l_orderkey", "l_linenumber"),
+    required=("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"),
+    foreign_keys=(W.ForeignKey(("l_orderkey",), "orders", ("o_orderkey",)),
+                  W.ForeignKey(("l_partkey",), "part", ("p_partkey",)),
+                  W.ForeignKey(("l_suppkey",), "supplier", ("s_suppkey",))),
+    ranges={"l_quantity": (1, 50), "l_discount": (0.0, 0.1), "l_tax": (0.0, 0.08)})
+ORDERS_SPEC = W.TableSpec(
+    "orders", {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"},
+    primary_key=("o_orderkey",), required=("o_orderkey", "o_custkey"),
+    foreign_keys=(W.ForeignKey(("o_custkey",), "customer", ("c_custkey",)),),
+    ranges={"o_totalprice": (0.0, None)})
+
+
+@register("m5_verify", f"""WITH {EF_SQL}, {M4_DIMS_SQL}
+SELECT 'pk_dup' AS "check", 'lineitem' AS "table", CAST(COUNT(*) AS BIGINT) AS n_violations
+  FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1) t
+UNION ALL SELECT 'required_null', 'lineitem', CAST(COUNT(*) AS BIGINT) FROM lineitem
+  WHERE l_orderkey IS NULL OR l_partkey IS NULL OR l_suppkey IS NULL OR l_quantity IS NULL OR l_extendedprice IS NULL
+UNION ALL SELECT 'out_of_range', 'lineitem', CAST(COUNT(*) AS BIGINT) FROM lineitem
+  WHERE l_quantity < 1 OR l_quantity > 50 OR l_discount < 0.0 OR l_discount > 0.1 OR l_tax < 0.0 OR l_tax > 0.08
+UNION ALL SELECT 'fk_orphan', 'lineitem->orders', CAST(COUNT(*) AS BIGINT) FROM lineitem
+  WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'fk_orphan', 'lineitem->part', CAST(COUNT(*) AS BIGINT) FROM lineitem
+  WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT 'fk_orphan', 'lineitem->supplier', CAST(COUNT(*) AS BIGINT) FROM lineitem
+  WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'pk_dup', 'orders', CAST(COUNT(*) AS BIGINT)
+  FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING COUNT(*) > 1) t
+UNION ALL SELECT 'required_null', 'orders', CAST(COUNT(*) AS BIGINT) FROM orders
+  WHERE o_orderkey IS NULL OR o_custkey IS NULL
+UNION ALL SELECT 'out_of_range', 'orders', CAST(COUNT(*) AS BIGINT) FROM orders WHERE o_totalprice < 0.0
+UNION ALL SELECT 'fk_orphan', 'orders->customer', CAST(COUNT(*) AS BIGINT) FROM orders
+  WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'rows', 'ef_facts', CAST(ABS((SELECT COUNT(*) FROM ef)
+  - (SELECT COUNT(*) FROM st WHERE entity_key IS NOT NULL AND field_key IS NOT NULL)
+  - (SELECT COUNT(*) FROM st WHERE entity_key IS NULL OR field_key IS NULL)) AS BIGINT)""")
+def _m5(spark, d):
+    ef, (facts, orphans) = _m4(spark, d)
+    tables = {n: table(spark, d, n) for n in ("lineitem", "orders", "part", "supplier", "customer")}
+    tables.update({"ef": ef, "facts": facts, "orphans": orphans})
+    return W.verify(tables, [LI_SPEC, ORDERS_SPEC], [("ef_facts", "ef", ["facts", "orphans"])])
