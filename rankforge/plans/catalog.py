@@ -6,9 +6,13 @@ GROUP BY, joins), not from the Spark code, and runs unchanged in DuckDB."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rankforge import sources as S
 
 from rankforge.operators import citations as A
 from rankforge.operators import cleaning as C
+from rankforge.operators import clustering as U
 from rankforge.operators import features as Fe
 from rankforge.operators import prediction as P
 from rankforge.operators import records as R
@@ -17,6 +21,7 @@ from rankforge.operators import reports as Q
 from rankforge.operators.ranking import global_rank, rank_columns, rank_within
 from rankforge.plans.registry import register
 from rankforge.plans.standins import documents_labels, entity_field, table
+from rankforge.session import scratch_path
 
 # EF in SQL: suppliers x part types, ranked by citations inside each type.
 EF_SQL = """ef AS (
@@ -728,3 +733,211 @@ def _m5(spark, d):
     tables = {n: table(spark, d, n) for n in ("lineitem", "orders", "part", "supplier", "customer")}
     tables.update({"ef": ef, "facts": facts, "orphans": orphans})
     return W.verify(tables, [LI_SPEC, ORDERS_SPEC], [("ef_facts", "ef", ["facts", "orphans"])])
+
+
+# ---- S: sources and sinks (round trips through the shared scratch folder) ------
+
+def _customer_schema():
+    return T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+                         T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType())])
+
+
+@register("s1_read_csv_glob", """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       CAST(NULL AS VARCHAR) AS _corrupt FROM customer""")
+def _s1(spark, d):
+    path = scratch_path(spark, "by-segment")
+    S.write_csv(table(spark, d, "customer"), path, partition_by=["c_mktsegment"])
+    return S.read_csv_glob(spark, f"{path}/c_mktsegment=*/*.csv", _customer_schema(),
+                           r"c_mktsegment=([^/]+)/", "c_mktsegment")
+
+
+@register("s2_read_csv_table", "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt FROM part")
+def _s2(spark, d):
+    part = table(spark, d, "part")
+    path = scratch_path(spark, "part-csv")
+    S.write_csv(part, path)
+    return S.read_csv_table(spark, path, part.schema)
+
+
+@register("s3_read_json_records", """SELECT vec_id, label, CAST(len(embedding) AS BIGINT) AS dims,
+       CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[len(embedding)] AS DOUBLE) AS last,
+       ROUND(SQRT(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm
+FROM embeddings""")
+def _s3(spark, d):
+    emb = table(spark, d, "embeddings")
+    path = scratch_path(spark, "embeddings-json")
+    emb.write.json(path)
+    back = S.read_json_records(spark, path, emb.schema)
+    e = F.col("embedding")
+    sq = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    return back.select("vec_id", "label", F.size(e).cast("bigint").alias("dims"),
+                       e[0].cast("double").alias("first"), F.element_at(e, -1).cast("double").alias("last"),
+                       F.round(F.sqrt(sq), 6).alias("norm"))
+
+
+@register("s4_write_csv", f"""WITH {EF_SQL}
+SELECT entity, country, region, field, docs, CAST(citations AS DOUBLE) AS citations, cpp, rank FROM ef""")
+def _s4(spark, d):
+    ef = ef_out(entity_field(spark, d))
+    path = scratch_path(spark, "ef-sorted")
+    S.write_csv(ef, path, sort_by=["citations"], descending=True)
+    return S.read_csv_table(spark, path, ef.schema, corrupt=None)
+
+
+ORDERS_TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+
+
+@register("s5_export_meta", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", '{t}' AS "type", COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_missing,
+       CAST(MIN({c}) AS VARCHAR) AS "min", CAST(MAX({c}) AS VARCHAR) AS "max" FROM orders"""
+    for c, t in ORDERS_TYPES))
+def _s5(spark, d):
+    orders = table(spark, d, "orders")
+    path = scratch_path(spark, "orders-json")
+    S.export_json(orders, path)
+    back = S.read_json_records(spark, f"{path}/data", orders.schema)
+    return S.export_meta(back)
+
+
+def _s6(spark, d):
+    o = table(spark, d, "orders")
+    raw = S.string_stage(o)
+    k = F.col("o_orderkey").cast("bigint") % 7
+    raw = raw.withColumn("o_totalprice", F.when(k == 0, F.concat("o_totalprice", F.lit("x")))
+                         .otherwise(F.col("o_totalprice")))
+    raw = raw.withColumn("o_custkey", F.when(k == 3, F.concat(F.lit("c"), "o_custkey"))
+                         .otherwise(F.col("o_custkey")))
+    return S.stage_and_cast(raw, o.schema, required=("o_orderkey",))
+
+
+@register("s6_stage_ok", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority
+FROM orders WHERE o_orderkey % 7 NOT IN (0, 3)""")
+def _s6_ok(spark, d):
+    ok, _ = _s6(spark, d)
+    return ok.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+@register("s6_stage_rejected", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       CASE WHEN o_orderkey % 7 = 3 THEN 'bad_value:o_custkey' ELSE 'bad_value:o_totalprice' END AS reason
+FROM orders WHERE o_orderkey % 7 IN (0, 3)""")
+def _s6_rejected(spark, d):
+    _, rejected = _s6(spark, d)
+    return rejected.select("o_orderkey", "reason")
+
+
+# ---- U: clustering -------------------------------------------------------------
+
+U2_K, U2_STEPS = 4, 3
+
+
+def _u2_points(spark, d):
+    ef = entity_field(spark, d, buckets=None)
+    return ef.groupBy("entity").agg(F.sum("docs").cast("double").alias("x"),
+                                    (F.sum("citations").cast("double") / F.lit(1000.0)).alias("y"))
+
+
+def _u2(spark, d):
+    pts = _u2_points(spark, d)
+    init = [[r["x"], r["y"]] for r in pts.orderBy("entity").limit(U2_K).collect()]
+    assigned, centres = U.kmeans_fixed_start(pts, "entity", ["x", "y"], init, U2_STEPS)
+    return pts, assigned, centres
+
+
+def _u2_sql():
+    ctes = [f"""p AS (SELECT entity, CAST(SUM(docs) AS DOUBLE) AS x,
+       CAST(SUM(citations) AS DOUBLE) / 1000.0 AS y FROM ef GROUP BY entity)""",
+            f"""c0 AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY entity) - 1 AS INTEGER) AS j, x, y
+       FROM (SELECT * FROM p ORDER BY entity LIMIT {U2_K}) t)"""]
+    for s in range(1, U2_STEPS + 2):
+        ctes.append(f"""a{s} AS (SELECT entity, x, y, j FROM (SELECT p.entity, p.x, p.y, c.j,
+         ROW_NUMBER() OVER (PARTITION BY p.entity
+                            ORDER BY (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y), c.j) AS i
+       FROM p, c{s - 1} c) t WHERE i = 1)""")
+        if s <= U2_STEPS:
+            ctes.append(f"""c{s} AS (SELECT c.j, COALESCE(m.x, c.x) AS x, COALESCE(m.y, c.y) AS y
+       FROM c{s - 1} c LEFT JOIN (SELECT j, AVG(x) AS x, AVG(y) AS y FROM a{s} GROUP BY j) m ON c.j = m.j)""")
+    return f"WITH {EF_SQL},\n" + ",\n".join(ctes), f"a{U2_STEPS + 1}"
+
+
+@register("u2_kmeans_fixed", "{0}\nSELECT entity, j AS cluster FROM {1}".format(*_u2_sql()))
+def _u2q(spark, d):
+    return _u2(spark, d)[1]
+
+
+@register("u4_cluster_summary", """{0}
+SELECT j AS cluster, CAST(COUNT(*) AS BIGINT) AS size,
+       ROUND(CAST(COUNT(*) AS DOUBLE) / CAST((SELECT COUNT(*) FROM p) AS DOUBLE), 6) AS share,
+       ROUND(AVG(x), 6) AS mean_x, ROUND(STDDEV_SAMP(x), 6) AS sd_x,
+       ROUND(AVG(y), 6) AS mean_y, ROUND(STDDEV_SAMP(y), 6) AS sd_y,
+       ROUND(VAR_POP(x) * COUNT(*) + VAR_POP(y) * COUNT(*), 3) AS cost
+FROM {1} GROUP BY j""".format(*_u2_sql()))
+def _u4(spark, d):
+    pts, assigned, _ = _u2(spark, d)
+    s = U.cluster_summary(assigned.join(pts, "entity"), ["x", "y"])
+    return s.select("cluster", "size", *[F.round(c, 6).alias(c) for c in
+                                         ("share", "mean_x", "sd_x", "mean_y", "sd_y")],
+                    F.round("cost", 3).alias("cost"))
+
+
+@register("u3_assign_clusters", """WITH c AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster,
+                  arg_min(embedding, vec_id) AS ce FROM embeddings GROUP BY label),
+d AS (SELECT e.vec_id, c.cluster,
+             array_distance(CAST(e.embedding AS DOUBLE[64]), CAST(c.ce AS DOUBLE[64]))
+               AS distance
+      FROM embeddings e, c)
+SELECT vec_id, cluster, ROUND(distance, 6) AS distance
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY vec_id ORDER BY distance, cluster) AS i FROM d) t WHERE i = 1""")
+def _u3(spark, d):
+    emb = table(spark, d, "embeddings")
+    firsts = emb.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("ce"))
+    rows = firsts.orderBy("label").limit(U.MAX_CENTRES + 1).collect()
+    if len(rows) > U.MAX_CENTRES:
+        raise ValueError("too many centres")
+    centres = [[float(x) for x in r["ce"]] for r in rows]
+    r = U.assign_clusters(emb, "vec_id", "embedding", centres)
+    return r.withColumn("distance", F.round("distance", 6))
+
+
+def _profile(spark, d):
+    return Fe.profile_matrix(entity_field(spark, d, buckets=None), fields=EF_FIELDS)
+
+
+F_COLS = [f"f_{v.lower()}" for v in EF_FIELDS]
+
+
+@register("u5_similar_entities", f"""WITH {EF_SQL},
+pm AS (SELECT entity, {", ".join(f"CAST(SUM(CASE WHEN field = '{v}' THEN citations ELSE 0 END) AS DOUBLE) AS f_{v.lower()}"
+                                  for v in EF_FIELDS)} FROM ef GROUP BY entity),
+a AS (SELECT * FROM pm WHERE entity = {ENTITY}),
+dd AS (SELECT pm.entity, SQRT({" + ".join(f"(pm.{c} - a.{c}) * (pm.{c} - a.{c})" for c in F_COLS)}) AS distance
+       FROM pm, a WHERE pm.entity <> {ENTITY})
+SELECT entity, ROUND(distance, 6) AS distance, rk FROM (SELECT entity, distance,
+       CAST(ROW_NUMBER() OVER (ORDER BY distance, entity) AS BIGINT) AS rk FROM dd) t WHERE rk <= 5""")
+def _u5(spark, d):
+    r = U.similar_entities(_profile(spark, d), "entity", F_COLS, ENTITY, 5)
+    return r.withColumn("distance", F.round("distance", 6))
+
+
+@register("u1_kmeans")
+def _u1(spark, d):
+    _, assigned = U.kmeans_cluster(_profile(spark, d), "entity", F_COLS, 4, seed=42)
+    return assigned
+
+
+@register("u4_choose_k")
+def _u4k(spark, d):
+    return U.choose_k(_profile(spark, d), "entity", F_COLS, [2, 3, 4, 5])
+
+
+@register("u6_project_2d")
+def _u6(spark, d):
+    return U.project_2d(_profile(spark, d), "entity", F_COLS)
+
+
+@register("p5_feature_weights")
+def _p5w(spark, d):
+    ef, train, _, _ = _p_parts(spark, d)
+    model = P.train_rank_model(train, ["field"], [], algo="linear", log_nums=["docs", "cpp"])
+    return spark.createDataFrame(P.feature_weights(model), "feature string, weight double")
