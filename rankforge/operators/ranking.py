@@ -1,31 +1,45 @@
 """Ranks inside groups and over whole tables (Q6, Q7) and exact quantiles.
 
-Plain ranking windows put every row of a group into one task, and a
-window without ``partitionBy`` puts the whole table into one task. The
-bucketed form below keeps ranks exact but spreads each group over
-``buckets`` value ranges:
-
-1. approximate quantile bounds of the metric per group (partial
-   aggregate, so a hot group is combined map-side);
-2. bucket = number of bounds on the "better" side of the value, so equal
-   values always share a bucket and buckets follow the rank order;
-3. rows per (group, bucket) -> offset = rows in better buckets (a table of
-   groups x buckets rows, never data rows);
-4. rank = offset + rank() over (group, bucket).
+A plain ranking window sorts each group in one task, and a window without
+``partitionBy`` sorts the whole table in one task. Ranks here stay exact
+but no task sorts more than a bounded number of rows:
+
+* group sizes come from one partial aggregate; groups up to
+  ``max_group_rows`` rows are ranked with a plain window (one task each);
+* larger ("hot") groups, and the whole table when there is no group, are
+  split into value buckets:
+
+  1. approximate quantile bounds of the metric per hot group (partial
+     aggregate, combined map-side);
+  2. bucket = number of bounds on the "better" side of the value, so equal
+     values always share a bucket and buckets follow the rank order;
+  3. rows per (group, bucket) -> offset = rows in better buckets (a table
+     of hot groups x buckets rows, never data rows);
+  4. rank = offset + rank() over (group, bucket).
 
 The bounds only balance work; any bounds give the same, exact ranks.
+Small tables (group sizes, bounds, bucket counts) are broadcast only after
+their row count is checked; otherwise they are shuffle-joined.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.columns import null_safe_join
 
-DEFAULT_BUCKETS = 32
+AUTO = "auto"
+DEFAULT_BUCKETS = AUTO
+MIN_BUCKETS = 32             # buckets of a whole-table rank, at least
+MAX_BUCKETS = 4096
+MAX_GROUP_ROWS = 2_000_000   # rows one window task may sort
+BUCKET_ROWS = 500_000        # target rows per bucket of a split group
+MAX_BROADCAST_ROWS = 200_000  # small-side rows that may be broadcast
 QUANTILE_ACCURACY = 10000
 METHODS = ("rank", "dense_rank", "row_number", "percent_rank", "ntile")
 
@@ -53,34 +67,41 @@ def _spec(method) -> tuple[str, int | None]:
 
 def rank_within(df: DataFrame, by: Sequence[str], metric: str, method: str = "rank",
                 ascending: bool = False, ties: Sequence[str] = (), out: str = "rank",
-                buckets: int | None = DEFAULT_BUCKETS, n_tiles: int | None = None,
-                total_col: str | None = None) -> DataFrame:
+                buckets=DEFAULT_BUCKETS, n_tiles: int | None = None,
+                total_col: str | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Add ``out`` = the row's rank inside its group (Q6), or over the whole
     table when ``by`` is empty (Q7). NULL metrics come last and tie.
 
-    ``buckets=None`` uses one plain window per group (fine for many small
-    groups); otherwise each group is split into value buckets (skew-safe).
+    ``buckets``: ``'auto'`` splits only groups above ``max_group_rows``;
+    ``None`` uses plain windows (many small groups known in advance); an
+    integer splits every group into that many value buckets.
     ``total_col`` also emits the group's row count.
     """
     m = (method, n_tiles) if method == "ntile" else method
-    return rank_columns(df, by, metric, {out: m}, ascending, ties, buckets, total_col)
+    return rank_columns(df, by, metric, {out: m}, ascending, ties, buckets, total_col, max_group_rows)
 
 
 def rank_columns(df: DataFrame, by: Sequence[str], metric: str, outputs: dict,
-                 ascending: bool = False, ties: Sequence[str] = (),
-                 buckets: int | None = DEFAULT_BUCKETS, total_col: str | None = None) -> DataFrame:
+                 ascending: bool = False, ties: Sequence[str] = (), buckets=DEFAULT_BUCKETS,
+                 total_col: str | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Several rank columns in one pass: ``outputs`` maps a column name to
     a method (``'rank'``, ``'dense_rank'``, ``'row_number'``,
-    ``'percent_rank'``) or ``('ntile', n)``. Bounds, buckets and counts are
-    shared by all of them."""
+    ``'percent_rank'``) or ``('ntile', n)``. Sizes, bounds, buckets and
+    counts are shared by all of them."""
     by, ties = list(by), list(ties)
     specs = [(out, *_spec(m)) for out, m in outputs.items()]
     for _, method, n in specs:
         _check(method, ties, n)
+    if buckets == AUTO:
+        return _auto(df, by, metric, specs, ascending, ties, total_col, max_group_rows)
     if not by and not buckets:
-        buckets = DEFAULT_BUCKETS  # never rank a whole table in one partition
+        buckets = MIN_BUCKETS  # never rank a whole table in one partition
     if buckets and buckets > 1:
-        return _bucketed(df, by, metric, specs, ascending, ties, buckets, total_col)
+        return _split(df, by, metric, specs, ascending, ties, int(buckets), total_col, hot=None)
+    return _plain(df, by, metric, specs, ascending, ties, total_col)
+
+
+def _plain(df, by, metric, specs, ascending, ties, total_col):
     w = Window.partitionBy(*by).orderBy(*_order(metric, ascending, []))
     wt = Window.partitionBy(*by).orderBy(*_order(metric, ascending, ties))
     res = df
@@ -92,30 +113,68 @@ def rank_columns(df: DataFrame, by: Sequence[str], metric: str, outputs: dict,
         }[method]()
         res = res.withColumn(out, fn.cast("double" if method == "percent_rank" else "bigint"))
     if total_col:
-        res = res.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy(*by)))
+        res = res.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy(*by)).cast("bigint"))
     return res
 
 
-def _bucketed(df, by, metric, specs, ascending, ties, buckets, total_col):
+def _auto(df, by, metric, specs, ascending, ties, total_col, max_group_rows):
+    """Plain windows for groups that fit one task, value buckets for the rest."""
+    if not by:
+        n = df.agg(F.count(F.lit(1))).first()[0]
+        b = min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n / BUCKET_ROWS)))
+        return _split(df, by, metric, specs, ascending, ties, b, total_col, hot=None)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__gn"))
+    hot = sizes.filter(F.col("__gn") > max_group_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    top = hot.agg(F.max("__gn"), F.count(F.lit(1))).first()
+    if not top[1]:
+        hot.unpersist()
+        return _plain(df, by, metric, specs, ascending, ties, total_col)
+    b = min(MAX_BUCKETS, max(2, math.ceil(top[0] / BUCKET_ROWS)))
+    return _split(df, by, metric, specs, ascending, ties, b, total_col, hot=hot.select(*by))
+
+
+def _bucket_of(m: Column, bounds: Column, buckets: int, ascending: bool) -> Column:
+    """Bucket of a value: how many bounds lie on its better side. Written as
+    a sum of element comparisons so it stays in generated code (a lambda
+    over the array would be interpreted per row)."""
+    hits = [F.when(bounds[i] < m if ascending else bounds[i] >= m, 1).otherwise(0)
+            for i in range(buckets - 1)]
+    total = hits[0]
+    for h in hits[1:]:
+        total = total + h
+    return F.when(m.isNull(), F.lit(buckets)).otherwise(total)
+
+
+def _small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> bool:
+    return df.limit(rows + 1).count() <= rows
+
+
+def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
+    """Rank with value buckets. ``hot`` = the groups to split (None: all);
+    the other groups keep a single bucket 0 and offset 0."""
     m = F.col(metric)
     methods = {s[1] for s in specs}
     probs = [i / buckets for i in range(1, buckets)]
     bounds_expr = F.percentile_approx(m, probs, QUANTILE_ACCURACY).alias("__bounds")
     if by:
-        bounds = df.groupBy(*by).agg(bounds_expr)
-        x = null_safe_join(df, bounds, by, "left")
+        src = df
+        if hot is not None:
+            hk = F.broadcast(hot) if _small(hot) else hot
+            src = src.join(hk, [src[k].eqNullSafe(hk[k]) for k in by], "left_semi")
+        bounds = src.groupBy(*by).agg(bounds_expr).persist(StorageLevel.MEMORY_AND_DISK)
+        small = _small(bounds, MAX_BROADCAST_ROWS // (buckets + 1))
+        x = null_safe_join(df, F.broadcast(bounds) if small else bounds, by, "left")
     else:
+        small = True
         x = df.withColumn("__bounds", df.agg(bounds_expr).scalar())
-    if ascending:
-        bucket = F.size(F.filter("__bounds", lambda b: b < m))
-    else:
-        bucket = F.size(F.filter("__bounds", lambda b: b >= m))
-    x = x.withColumn("__b", F.when(m.isNull(), F.lit(buckets)).otherwise(bucket)).drop("__bounds")
+    split = F.col("__bounds").isNotNull()
+    x = x.withColumn("__b", F.when(split, _bucket_of(m, F.col("__bounds"), buckets, ascending))
+                     .otherwise(F.lit(0))).withColumn("__s", split).drop("__bounds")
 
     aggs = [F.count(F.lit(1)).alias("__n")]
     if "dense_rank" in methods:
         aggs.append(F.count_distinct(m).alias("__dn"))
-    counts = x.groupBy(*by, "__b").agg(*aggs)
+    counts = x.filter("__s").groupBy(*by, "__b").agg(*aggs)
     before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     counts = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
@@ -124,16 +183,24 @@ def _bucketed(df, by, metric, specs, ascending, ties, buckets, total_col):
         dn = F.when(F.col("__b") == buckets, F.lit(1)).otherwise(F.col("__dn"))
         counts = counts.withColumn("__dn", dn)
         counts = counts.withColumn("__doff", F.coalesce(F.sum("__dn").over(before), F.lit(0)))
-    x = null_safe_join(x, counts, by + ["__b"], "inner")
+    counts = counts.drop("__n", "__dn")
+    # split groups x (buckets + 1) rows: broadcast under the same size check
+    x = null_safe_join(x, F.broadcast(counts) if small else counts, by + ["__b"], "left")
 
-    w = Window.partitionBy(*by, "__b").orderBy(*_order(metric, ascending, []))
-    wt = Window.partitionBy(*by, "__b").orderBy(*_order(metric, ascending, ties))
-    off, tot = F.col("__off"), F.col("__tot")
+    part = by + ["__b"]
+    w = Window.partitionBy(*part).orderBy(*_order(metric, ascending, []))
+    wt = Window.partitionBy(*part).orderBy(*_order(metric, ascending, ties))
+    off = F.coalesce(F.col("__off"), F.lit(0))
+    need_tot = total_col or methods & {"percent_rank", "ntile"}
+    if need_tot:
+        # a group that was not split is exactly its one (group, 0) partition
+        x = x.withColumn("__tot", F.coalesce(F.col("__tot"), F.count(F.lit(1)).over(Window.partitionBy(*part))))
+    tot = F.col("__tot")
     for out, method, n_tiles in specs:
         if method == "rank":
             val = (off + F.rank().over(w)).cast("bigint")
         elif method == "dense_rank":
-            val = (F.col("__doff") + F.dense_rank().over(w)).cast("bigint")
+            val = (F.coalesce(F.col("__doff"), F.lit(0)) + F.dense_rank().over(w)).cast("bigint")
         elif method == "row_number":
             val = (off + F.row_number().over(wt)).cast("bigint")
         elif method == "percent_rank":
@@ -149,12 +216,12 @@ def _bucketed(df, by, metric, specs, ascending, ties, buckets, total_col):
         x = x.withColumn(out, val)
     if total_col:
         x = x.withColumn(total_col, tot.cast("bigint"))
-    return x.drop("__b", "__n", "__dn", "__off", "__doff", "__tot")
+    return x.drop("__b", "__s", "__off", "__doff", "__tot")
 
 
 def global_rank(df: DataFrame, metric: str, method: str = "rank", ascending: bool = False,
                 ties: Sequence[str] = (), out: str = "rank",
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                buckets=DEFAULT_BUCKETS) -> DataFrame:
     """Q7: rank over the whole table without a one-partition window."""
     return rank_within(df, [], metric, method, ascending, ties, out, buckets)
 
@@ -179,7 +246,7 @@ def top_k(df: DataFrame, metric: str, k: int, ties: Sequence[str], out: str = "r
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     by: Sequence[str] = (), names: Sequence[str] | None = None,
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets=DEFAULT_BUCKETS) -> DataFrame:
     """Exact quantiles (linear interpolation, as ``percentile`` /
     ``quantile_cont``) per group, computed from distributed ranks instead
     of one value map per group. Returns ``by..., n, <names>...`` as doubles."""

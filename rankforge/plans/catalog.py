@@ -73,7 +73,7 @@ def _a2(spark, d):
 @register("q1_entity_rankings", f"""WITH {EF_SQL}
 SELECT field, rank, docs, CAST(citations AS DOUBLE) AS citations, cpp FROM ef WHERE entity = {ENTITY}""")
 def _q1(spark, d):
-    return Q.entity_rankings(entity_field(spark, d, buckets=None).drop("rank"), ENTITY)
+    return Q.entity_rankings(entity_field(spark, d, with_rank=False), ENTITY)
 
 
 @register("q2_country_performance", f"""WITH {EF_SQL}
@@ -82,7 +82,7 @@ SELECT field, COUNT(DISTINCT entity) AS n_entities, MIN(rank) AS best_rank, AVG(
        CAST(SUM(citations) AS DOUBLE) AS citations
 FROM ef WHERE country = {COUNTRY} GROUP BY field""")
 def _q2(spark, d):
-    return Q.country_performance(entity_field(spark, d, buckets=None).drop("rank"), COUNTRY, [10])
+    return Q.country_performance(entity_field(spark, d, with_rank=False), COUNTRY, [10])
 
 
 @register("q7_global_rank", """SELECT l_orderkey, l_linenumber, l_extendedprice,
@@ -351,7 +351,7 @@ SELECT ef.entity, ef.field,
        ROUND(CAST(citations AS DOUBLE) - CAST(fs AS DOUBLE) / CAST(fn AS DOUBLE), 6) AS gap_to_mean
 FROM ef JOIN e ON ef.entity = e.entity JOIN f ON ef.field = f.field""")
 def _f3(spark, d):
-    r = Fe.field_profile(entity_field(spark, d, buckets=None).drop("rank"))
+    r = Fe.field_profile(entity_field(spark, d, with_rank=False))
     return r.select("entity", "field", *[F.round(c, 6).alias(c)
                                          for c in ("share_of_entity", "pct_rank", "gap_to_mean")])
 
@@ -833,7 +833,7 @@ U2_K, U2_STEPS = 4, 3
 
 
 def _u2_points(spark, d):
-    ef = entity_field(spark, d, buckets=None)
+    ef = entity_field(spark, d, with_rank=False)
     return ef.groupBy("entity").agg(F.sum("docs").cast("double").alias("x"),
                                     (F.sum("citations").cast("double") / F.lit(1000.0)).alias("y"))
 
@@ -901,7 +901,7 @@ def _u3(spark, d):
 
 
 def _profile(spark, d):
-    return Fe.profile_matrix(entity_field(spark, d, buckets=None), fields=EF_FIELDS)
+    return Fe.profile_matrix(entity_field(spark, d, with_rank=False), fields=EF_FIELDS)
 
 
 F_COLS = [f"f_{v.lower()}" for v in EF_FIELDS]
