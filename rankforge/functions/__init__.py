@@ -10,6 +10,7 @@ from rankforge.functions.columns import (  # noqa: F401
     nullif_zero,
     ratio,
     round6,
+    safe_corr,
     sanitize_name,
     unpivot_long,
 )

@@ -24,6 +24,13 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return as_col(num).cast("double") / nullif_zero(as_col(den)).cast("double")
 
 
+def safe_corr(x: str | Column, y: str | Column) -> Column:
+    """Pearson r as an aggregate; NULL (not an ANSI error) when a side is
+    constant or there are fewer than two pairs."""
+    x, y = as_col(x).cast("double"), as_col(y).cast("double")
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def round6(c: str | Column, digits: int = 6) -> Column:
     return F.round(as_col(c), digits)
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.functions.columns import equal_width_bin, ratio
+from rankforge.functions.columns import equal_width_bin, ratio, safe_corr
 from rankforge.operators.ranking import top_k as _top_k
 
 
@@ -62,7 +62,7 @@ def pair_relation(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> Data
     least-squares line ``y = slope * x + intercept``."""
     xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
     both = df.filter(xs.isNotNull() & ys.isNotNull())
-    aggs = [F.count(F.lit(1)).cast("bigint").alias("n"), F.corr(xs, ys).alias("r"),
+    aggs = [F.count(F.lit(1)).cast("bigint").alias("n"), safe_corr(xs, ys).alias("r"),
             F.regr_slope(ys, xs).alias("slope"), F.regr_intercept(ys, xs).alias("intercept")]
     return both.groupBy(*by).agg(*aggs) if by else both.agg(*aggs)
 

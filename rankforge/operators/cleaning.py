@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankforge.functions.columns import equal_width_bin, is_integer_text, null_safe_join
+from rankforge.functions.columns import equal_width_bin, is_integer_text, null_safe_join, safe_corr
 from rankforge.operators.ranking import exact_quantiles
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -149,7 +149,7 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] | None = Non
     if fill:
         # every (group, bin) pair: bins are generated per group, no join
         keys = counts.select(*by, "__lo", "__hi").distinct()
-        full = keys.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint"))
+        full = keys.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))))
         counts = null_safe_join(full, counts.drop("__lo", "__hi"), by + ["bin"], "left") \
             .withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
     w = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
@@ -188,7 +188,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             if a == b:
                 aggs.append(F.when(F.stddev_samp(x) > 0, F.lit(1.0)).alias(name))
             else:
-                aggs.append(F.corr(x, y).alias(name))
+                aggs.append(safe_corr(x, y).alias(name))
             names.append(name)
     long = df.agg(*aggs).unpivot([], names, "__pair", "r")
     parts = F.split(F.col("__pair"), "\u0001")
