@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.columns import equal_width_bin, is_integer_text, null_safe_join, safe_corr
+from rankforge.operators.dedup import first_per_key
 from rankforge.operators.ranking import exact_quantiles
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -233,25 +234,7 @@ def clean_records(df: DataFrame, key: Sequence[str], casts: dict | None = None,
     rejected = x.filter(F.col("__reason").isNotNull()).withColumnRenamed("__reason", "reason")
     good = x.filter(F.col("__reason").isNull()).drop("__reason")
 
-    rank_fields = []
-    for c, asc in order:
-        rank_fields.append((F.col(c) if asc else -F.col(c)).alias(f"__o_{c}"))
-    rest = [c for c in cols if c not in key]
-    rank_fields += [F.col(c).alias(f"__r_{c}") for c in rest]
-    kept = good.groupBy(*key).agg(F.min(F.struct(*rank_fields)).alias("__s"),
-                                  F.count(F.lit(1)).alias("__n"))
-    clean = kept.select(*key, *[F.col(f"__s.__r_{c}").alias(c) for c in rest]).select(*cols)
-    # rows other than the kept one: join back on the key (AQE splits a hot key)
-    dup_keys = kept.filter(F.col("__n") > 1)
-    cand = null_safe_join(good, dup_keys, key, "inner")
-    same = F.lit(True)
-    for c in rest:
-        same = same & F.col(c).eqNullSafe(F.col(f"__s.__r_{c}"))
-    differ = cand.filter(~same).select(*cols)
-    eq = cand.filter(same).groupBy(*key).agg(F.count(F.lit(1)).alias("__k"), F.first("__s").alias("__s"))
-    copies = eq.filter(F.col("__k") > 1).select(
-        *key, "__s", F.explode(F.sequence(F.lit(2), F.col("__k").cast("int"))).alias("__i"))
-    copies = copies.select(*key, *[F.col(f"__s.__r_{c}").alias(c) for c in rest]).select(*cols)
-    repeats = differ.unionByName(copies).withColumn("reason", F.lit("repeat"))
+    clean, rest = first_per_key(good, key, order)
+    repeats = rest.withColumn("reason", F.lit("repeat"))
     dropped = rejected.select(*cols, "reason").unionByName(repeats)
     return clean, dropped

@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankforge.operators.dedup import first_per_key
+
 
 def lookup(base: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """K1: rows of ``base`` whose key is in ``keys`` (left semi join):
@@ -27,25 +29,26 @@ def delete_keys(base: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFram
 
 def insert_new(base: DataFrame, rows: DataFrame, on: Sequence[str],
                order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """K2: append rows with a new key; the first by ``order`` wins inside the
-    batch. Returns ``(result, refused)``; refused rows carry ``reason`` =
-    ``null_key``, ``exists`` or ``repeat``."""
+    """K2: append rows with a new key; the first by ``order`` (then by the
+    other columns) wins inside the batch. Returns ``(result, refused)``;
+    refused rows carry ``reason`` = ``null_key``, ``exists`` or ``repeat``.
+    Existing keys are removed with an anti join; the first row per new key
+    is an aggregate, so a hot key in the batch is combined map-side."""
     on, order = list(on), list(order)
     nk = F.lit(False)
     for c in on:
         nk = nk | F.col(c).isNull()
-    rows = rows.withColumn("__nk", nk)
-    existing = base.select(*on).dropna().distinct().withColumn("__ex", F.lit(True))
-    x = rows.join(existing, on, "left")
-    w = Window.partitionBy(*on).orderBy(*[F.col(c).asc_nulls_last() for c in (order or rows.columns)])
-    x = x.withColumn("__i", F.row_number().over(w))
-    reason = (F.when(F.col("__nk"), "null_key").when(F.col("__ex").isNotNull(), "exists")
-              .when(F.col("__i") > 1, "repeat"))
-    x = x.withColumn("reason", reason)
-    cols = [c for c in rows.columns if c != "__nk"]
-    new = x.filter(F.col("reason").isNull()).select(*cols)
-    refused = x.filter(F.col("reason").isNotNull()).select(*cols, "reason")
-    return base.unionByName(new.select(*base.columns)), refused
+    null_rows = rows.filter(nk)
+    keyed = rows.filter(~nk)
+    existing = base.select(*on).dropna()
+    exists = keyed.join(existing, on, "left_semi")
+    fresh = keyed.join(existing, on, "left_anti")
+    first, rest = first_per_key(fresh, on, [(c, True) for c in order])
+    cols = rows.columns
+    refused = (null_rows.withColumn("reason", F.lit("null_key"))
+               .unionByName(exists.withColumn("reason", F.lit("exists")))
+               .unionByName(rest.withColumn("reason", F.lit("repeat"))))
+    return base.unionByName(first.select(*base.columns)), refused.select(*cols, "reason")
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, on: Sequence[str], seq_col: str = "seq",

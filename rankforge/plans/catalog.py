@@ -941,3 +941,27 @@ def _p5w(spark, d):
     ef, train, _, _ = _p_parts(spark, d)
     model = P.train_rank_model(train, ["field"], [], algo="linear", log_nums=["docs", "cpp"])
     return spark.createDataFrame(P.feature_weights(model), "feature string, weight double")
+
+
+# ---- streaming import of arriving CSV files ------------------------------------
+
+@register("s6_stream_import_ok", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority
+FROM orders WHERE o_orderkey % 7 NOT IN (0, 3)""")
+def _s6_stream(spark, d):
+    from rankforge.streaming import import_stream
+    o = table(spark, d, "orders")
+    raw = S.string_stage(o)
+    k = F.col("o_orderkey").cast("bigint") % 7
+    raw = raw.withColumn("o_totalprice", F.when(k == 0, F.concat("o_totalprice", F.lit("x")))
+                         .otherwise(F.col("o_totalprice")))
+    raw = raw.withColumn("o_custkey", F.when(k == 3, F.concat(F.lit("c"), "o_custkey"))
+                         .otherwise(F.col("o_custkey")))
+    root = scratch_path(spark, "stream-import")
+    # downloads arrive as one CSV file set per order priority
+    S.write_csv(raw.withColumn("prio", F.col("o_orderpriority")), f"{root}/in", partition_by=["prio"])
+    q = import_stream(spark, f"{root}/in/*", o.schema, f"{root}/ok", f"{root}/bad", f"{root}/ckpt",
+                      required=("o_orderkey",))
+    q.awaitTermination()
+    ok = spark.read.schema(o.schema).parquet(f"{root}/ok")
+    return ok.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
