@@ -21,7 +21,7 @@ from rankforge.operators import reports as Q
 from rankforge.operators.ranking import global_rank, rank_columns, rank_within
 from rankforge.plans.registry import register
 from rankforge.plans.standins import documents_labels, entity_field, table
-from rankforge.session import scratch_path
+from rankforge.session import materialize, scratch_path
 
 # EF in SQL: suppliers x part types, ranked by citations inside each type.
 EF_SQL = """ef AS (
@@ -458,7 +458,8 @@ PRED_SQL = """pr AS (SELECT ef.entity, ef.field, ef.rank,
 
 
 def _p_parts(spark, d):
-    ef = entity_field(spark, d)
+    # EF feeds the split, the fit, the prediction and its re-rank: write it once
+    ef = materialize(entity_field(spark, d), "ef")
     train, test = P.split_by_key(ef, "entity", N_FOLDS, TEST_FOLD)
     coefs = P.fit_rank_linear(train)
     return ef, train, test, coefs
@@ -664,7 +665,7 @@ st AS (SELECT ef.entity, ef.country, ef.field, ef.docs, ef.citations, ed.key AS
 
 
 def _m4(spark, d):
-    ef = entity_field(spark, d).select("entity", "country", "field", "docs",
+    ef = entity_field(spark, d, with_rank=False).select("entity", "country", "field", "docs",
                                        F.col("citations").cast("double").alias("citations"))
     fdim = W.seed_dimension(table(spark, d, "part"), "p_type")
     sup = table(spark, d, "supplier").filter(F.col("s_acctbal") > 0)
@@ -834,8 +835,9 @@ U2_K, U2_STEPS = 4, 3
 
 def _u2_points(spark, d):
     ef = entity_field(spark, d, with_rank=False)
-    return ef.groupBy("entity").agg(F.sum("docs").cast("double").alias("x"),
-                                    (F.sum("citations").cast("double") / F.lit(1000.0)).alias("y"))
+    # the points feed every KMeans step: write them once
+    return materialize(ef.groupBy("entity").agg(F.sum("docs").cast("double").alias("x"),
+                                    (F.sum("citations").cast("double") / F.lit(1000.0)).alias("y")), "points")
 
 
 def _u2(spark, d):
@@ -901,7 +903,7 @@ def _u3(spark, d):
 
 
 def _profile(spark, d):
-    return Fe.profile_matrix(entity_field(spark, d, with_rank=False), fields=EF_FIELDS)
+    return materialize(Fe.profile_matrix(entity_field(spark, d, with_rank=False), fields=EF_FIELDS), "profile")
 
 
 F_COLS = [f"f_{v.lower()}" for v in EF_FIELDS]

@@ -49,3 +49,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/rankforge-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as a parquet table under the shared checkpoint folder
+    and read it back: cuts the lineage (a rerun after an executor loss
+    starts from the table) and lets several jobs share one computation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
