@@ -78,3 +78,12 @@ def test_profile_matrix(spark, ef):
     assert pm[3]["f_bio"] == 0.0 and pm[2]["f_bio"] == 80.0
     with pytest.raises(ValueError):
         Fe.profile_matrix(ef, max_fields=2)
+
+
+def test_index_and_onehot_fit_on_train(spark, ef):
+    train = ef.filter("entity != 3")
+    idx = Fe.encode_categories(train, ef, ["field"], "index")
+    got = {r["field"]: r["field_idx"] for r in idx.select("field", "field_idx").distinct().collect()}
+    assert got["chem"] == 2.0  # unseen in train: the extra 'keep' index
+    oh = Fe.encode_categories(train, ef, ["field"], "onehot")
+    assert oh.select("field_vec").first()[0].size == 3
