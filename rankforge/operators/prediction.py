@@ -27,13 +27,18 @@ def fold_of(key: str | Column, n_folds: int, key_type: T.DataType | None = None)
     return F.pmod(h, F.lit(n_folds))
 
 
+def is_test(df: DataFrame, key: str, n_folds: int = 5, test_fold: int = 0) -> Column:
+    """P7 flag: the row's key falls in the test fold (NULL key: train)."""
+    f = fold_of(key, n_folds, df.schema[key].dataType)
+    return F.coalesce(f == F.lit(test_fold), F.lit(False))
+
+
 def split_by_key(df: DataFrame, key: str, n_folds: int = 5, test_fold: int = 0
                  ) -> tuple[DataFrame, DataFrame]:
     """``(train, test)``; all rows of one key land on one side; a NULL
-    key goes to train."""
-    f = fold_of(key, n_folds, df.schema[key].dataType)
-    is_test = F.coalesce(f == F.lit(test_fold), F.lit(False))
-    return df.filter(~is_test), df.filter(is_test)
+    key goes to train. Narrow filters, no shuffle."""
+    flag = is_test(df, key, n_folds, test_fold)
+    return df.filter(~flag), df.filter(flag)
 
 
 def fit_rank_linear(train: DataFrame, x: str = "docs", y: str = "rank", by: Sequence[str] = ("field",),

@@ -56,7 +56,7 @@ SELECT field, COUNT(DISTINCT entity) AS n_entities, CAST(SUM(docs) AS BIGINT) AS
        CAST(SUM(citations) AS DOUBLE) / NULLIF(SUM(docs), 0) AS cpp
 FROM ef GROUP BY field""")
 def _a1(spark, d):
-    return A.stats_by(entity_field(spark, d), ["field"])
+    return A.stats_by(entity_field(spark, d, with_rank=False), ["field"])
 
 
 @register("a2_stats_by_entity", f"""WITH {EF_SQL}
@@ -65,7 +65,7 @@ SELECT entity, COUNT(DISTINCT entity) AS n_entities, CAST(SUM(docs) AS BIGINT) A
        CAST(SUM(citations) AS DOUBLE) / NULLIF(SUM(docs), 0) AS cpp
 FROM ef GROUP BY entity""")
 def _a2(spark, d):
-    return A.stats_by(entity_field(spark, d), ["entity"])
+    return A.stats_by(entity_field(spark, d, with_rank=False), ["entity"])
 
 
 # ---- Q: ranking reports -----------------------------------------------------
@@ -114,13 +114,13 @@ SELECT field, CAST(SUM(citations) AS DOUBLE) AS citations, CAST(SUM(docs) AS DOU
        CAST(SUM(citations) AS DOUBLE) / NULLIF(CAST(SUM(docs) AS DOUBLE), 0) AS ratio
 FROM ef WHERE citations IS NOT NULL AND docs IS NOT NULL GROUP BY field""")
 def _a3(spark, d):
-    return A.ratio_metric(entity_field(spark, d), "citations", "docs", ["field"])
+    return A.ratio_metric(entity_field(spark, d, with_rank=False), "citations", "docs", ["field"])
 
 
 @register("a4_sort_by_citations", f"""WITH {EF_SQL}
 SELECT entity, field, CAST(citations AS DOUBLE) AS citations FROM ef""")
 def _a4s(spark, d):
-    ef = ef_out(entity_field(spark, d))
+    ef = ef_out(entity_field(spark, d, with_rank=False))
     return A.sort_by(ef, "citations", ["entity", "field"]).select("entity", "field", "citations")
 
 
@@ -129,7 +129,7 @@ SELECT * FROM (SELECT entity, field, cpp,
   CAST(ROW_NUMBER() OVER (ORDER BY cpp DESC NULLS LAST, entity, field) AS BIGINT) AS rk FROM ef) t
 WHERE rk <= 10""")
 def _a4t(spark, d):
-    ef = entity_field(spark, d).select("entity", "field", "cpp")
+    ef = entity_field(spark, d, with_rank=False).select("entity", "field", "cpp")
     return A.top_k(ef, "cpp", 10, ["entity", "field"])
 
 
@@ -139,7 +139,7 @@ SELECT field, COUNT(*) AS n, ROUND(CORR(CAST(citations AS DOUBLE), CAST(docs AS
        ROUND(REGR_INTERCEPT(CAST(citations AS DOUBLE), CAST(docs AS DOUBLE)), 6) AS intercept
 FROM ef GROUP BY field""")
 def _a5(spark, d):
-    r = A.pair_relation(entity_field(spark, d), "docs", "citations", ["field"])
+    r = A.pair_relation(entity_field(spark, d, with_rank=False), "docs", "citations", ["field"])
     return r.select("field", "n", *[F.round(c, 6).alias(c) for c in ("r", "slope", "intercept")])
 
 
@@ -161,7 +161,7 @@ SELECT COUNT(DISTINCT entity) AS n_entities, COUNT(DISTINCT country) AS n_countr
        CAST(SUM(citations) AS DOUBLE) AS citations,
        CAST(SUM(citations) AS DOUBLE) / NULLIF(SUM(docs), 0) AS cpp FROM ef""")
 def _q3(spark, d):
-    return Q.global_overview(entity_field(spark, d))
+    return Q.global_overview(entity_field(spark, d, with_rank=False))
 
 
 _Q4_SELECT = """SELECT region, country, field,
@@ -171,18 +171,18 @@ _Q4_SELECT = """SELECT region, country, field,
 
 @register("q4_rollup", f"WITH {EF_SQL}\n{_Q4_SELECT} GROUP BY ROLLUP (region, country, field)")
 def _q4r(spark, d):
-    return Q.multi_dim(entity_field(spark, d), ["region", "country", "field"], "rollup")
+    return Q.multi_dim(entity_field(spark, d, with_rank=False), ["region", "country", "field"], "rollup")
 
 
 @register("q4_cube", f"WITH {EF_SQL}\n{_Q4_SELECT} GROUP BY CUBE (region, country, field)")
 def _q4c(spark, d):
-    return Q.multi_dim(entity_field(spark, d), ["region", "country", "field"], "cube")
+    return Q.multi_dim(entity_field(spark, d, with_rank=False), ["region", "country", "field"], "cube")
 
 
 @register("q4_grouping_sets",
           f"WITH {EF_SQL}\n{_Q4_SELECT} GROUP BY GROUPING SETS ((region, field), (country), ())")
 def _q4g(spark, d):
-    return Q.multi_dim(entity_field(spark, d), ["region", "country", "field"],
+    return Q.multi_dim(entity_field(spark, d, with_rank=False), ["region", "country", "field"],
                        [["region", "field"], ["country"], []])
 
 
@@ -191,7 +191,7 @@ SELECT * FROM (SELECT field, region, CAST(SUM(citations) AS DOUBLE) AS citations
   CAST(ROW_NUMBER() OVER (PARTITION BY field ORDER BY SUM(citations) DESC, region) AS BIGINT) AS rk
   FROM ef GROUP BY field, region) t WHERE rk <= 3""")
 def _q5f(spark, d):
-    return Q.top_regions(entity_field(spark, d), 3, by=["field"])
+    return Q.top_regions(entity_field(spark, d, with_rank=False), 3, by=["field"])
 
 
 @register("q5_top_regions", f"""WITH {EF_SQL}
@@ -199,7 +199,7 @@ SELECT * FROM (SELECT region, CAST(SUM(citations) AS DOUBLE) AS citations,
   CAST(ROW_NUMBER() OVER (ORDER BY SUM(citations) DESC, region) AS BIGINT) AS rk
   FROM ef GROUP BY region) t WHERE rk <= 3""")
 def _q5(spark, d):
-    return Q.top_regions(entity_field(spark, d), 3)
+    return Q.top_regions(entity_field(spark, d, with_rank=False), 3)
 
 
 # ---- C: cleaning and single-table analysis ----------------------------------
@@ -442,7 +442,7 @@ SELECT entity, {", ".join(f"CAST(SUM(CASE WHEN field = '{v}' THEN citations ELSE
                           for v in EF_FIELDS)}
 FROM ef GROUP BY entity""")
 def _f10(spark, d):
-    return Fe.profile_matrix(entity_field(spark, d))
+    return Fe.profile_matrix(entity_field(spark, d, with_rank=False))
 
 
 # ---- P: rank prediction --------------------------------------------------------
@@ -468,11 +468,8 @@ def _p_parts(spark, d):
 @register("p7_split", f"""WITH {EF_SQL}
 SELECT entity, field, entity % {N_FOLDS} = {TEST_FOLD} AS is_test FROM ef""")
 def _p7(spark, d):
-    ef = entity_field(spark, d)
-    _, test = P.split_by_key(ef, "entity", N_FOLDS, TEST_FOLD)
-    return ef.select("entity", "field").join(test.select("entity", "field", F.lit(True).alias("is_test")),
-                                             ["entity", "field"], "left") \
-        .withColumn("is_test", F.coalesce("is_test", F.lit(False)))
+    ef = entity_field(spark, d, with_rank=False)
+    return ef.select("entity", "field", P.is_test(ef, "entity", N_FOLDS, TEST_FOLD).alias("is_test"))
 
 
 @register("p1_fit_rank_linear", f"""WITH {EF_SQL}, {TRAIN_SQL}, {COEF_SQL}
