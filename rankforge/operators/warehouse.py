@@ -75,12 +75,12 @@ def conforms(df: DataFrame, spec: TableSpec, tables: dict | None = None) -> Data
     if spec.primary_key:
         dup = df.groupBy(*spec.primary_key).agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
         out.append(_count_row("pk_dup", spec.name, dup.agg(F.count(F.lit(1)).alias("n"))))
+    row_checks = {}
     if spec.required:
         anynull = F.lit(False)
         for c in spec.required:
             anynull = anynull | F.col(c).isNull()
-        n = df.agg(F.sum(F.when(anynull, 1).otherwise(0)).alias("n"))
-        out.append(_count_row("required_null", spec.name, n))
+        row_checks["required_null"] = anynull
     if spec.ranges:
         bad = F.lit(False)
         for c, (lo, hi) in spec.ranges.items():
@@ -89,8 +89,14 @@ def conforms(df: DataFrame, spec: TableSpec, tables: dict | None = None) -> Data
                 bad = bad | (v < F.lit(lo))
             if hi is not None:
                 bad = bad | (v > F.lit(hi))
-        n = df.agg(F.sum(F.when(bad, 1).otherwise(0)).alias("n"))
-        out.append(_count_row("out_of_range", spec.name, n))
+        row_checks["out_of_range"] = bad
+    if row_checks:
+        # all row-level checks of the table in one scan, then one row per check
+        one = df.agg(*[F.sum(F.when(cond, 1).otherwise(0)).cast("bigint").alias(name)
+                       for name, cond in row_checks.items()])
+        long = one.unpivot([], list(row_checks), "check", "n")
+        out.append(long.select("check", F.lit(spec.name).alias("table"),
+                               F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n_violations")))
     for fk in spec.foreign_keys:
         if not tables or fk.ref_table not in tables:
             continue

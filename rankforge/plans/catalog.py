@@ -948,7 +948,7 @@ def _p5w(spark, d):
        CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority
 FROM orders WHERE o_orderkey % 7 NOT IN (0, 3)""")
 def _s6_stream(spark, d):
-    from rankforge.streaming import import_stream
+    from rankforge.streaming import import_stream, read_imported
     o = table(spark, d, "orders")
     raw = S.string_stage(o)
     k = F.col("o_orderkey").cast("bigint") % 7
@@ -962,5 +962,5 @@ def _s6_stream(spark, d):
     q = import_stream(spark, f"{root}/in/*", o.schema, f"{root}/ok", f"{root}/bad", f"{root}/ckpt",
                       required=("o_orderkey",))
     q.awaitTermination()
-    ok = spark.read.schema(o.schema).parquet(f"{root}/ok")
+    ok = read_imported(spark, f"{root}/ok", o.schema)
     return ok.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))

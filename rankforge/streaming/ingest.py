@@ -20,6 +20,11 @@ def string_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
 
 
+def read_imported(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All micro-batch folders of an accepted (or rejected) table."""
+    return spark.read.schema(schema).parquet(f"{path}/batch_*")
+
+
 def import_stream(spark: SparkSession, source_dir: str, schema: T.StructType, accepted_path: str,
                   rejected_path: str, checkpoint: str, required: tuple = (),
                   available_now: bool = True, max_files_per_trigger: int | None = None):
@@ -32,9 +37,11 @@ def import_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ac
     raw = reader.csv(source_dir)
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        # one folder per micro-batch, overwritten if the batch is replayed after
+        # a failure: the sink stays exactly-once without a transactional table
         ok, bad = stage_and_cast(batch, schema, required)
-        ok.write.mode("append").parquet(accepted_path)
-        bad.write.mode("append").parquet(rejected_path)
+        ok.write.mode("overwrite").parquet(f"{accepted_path}/batch_{batch_id:09d}")
+        bad.write.mode("overwrite").parquet(f"{rejected_path}/batch_{batch_id:09d}")
 
     w = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
