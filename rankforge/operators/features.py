@@ -47,21 +47,25 @@ def field_profile(df: DataFrame, entity_id=None, entity: str = "entity", field:
                     .alias("gap_to_mean"))
 
 
-def entity_strengths(df: DataFrame, entity_id, k: int = 3, entity: str = "entity",
+def entity_strengths(df: DataFrame, entity_id=None, k: int = 3, entity: str = "entity",
                      field: str = "field", metric: str = "citations", rank: str = "rank") -> DataFrame:
-    """the k best and k worst fields of one entity by rank (ties: larger
-    share first for best, smaller for worst, then field). Works on the
-    entity's own rows only, at most one per field."""
-    e = df.filter(F.col(entity) == F.lit(entity_id)).select(field, rank, metric)
-    tot = e.agg(F.sum(metric)).scalar()
-    e = e.withColumn("share", ratio(F.col(metric).cast("double"), tot.cast("double")))
-    wb = Window.orderBy(F.col(rank).asc(), F.col("share").desc(), F.col(field).asc())
-    ww = Window.orderBy(F.col(rank).desc(), F.col("share").asc(), F.col(field).asc())
+    """the k best and k worst fields of an entity (or of every entity
+    when ``entity_id`` is None) by rank; ties: larger share first for best,
+    smaller for worst, then field. Windows are partitioned by entity, whose
+    rows are one per field, so no task holds more than one entity's fields."""
+    e = df
+    if entity_id is not None:
+        e = e.filter(F.col(entity) == F.lit(entity_id))
+    e = e.select(entity, field, rank, metric)
+    per = Window.partitionBy(entity)
+    e = e.withColumn("share", ratio(F.col(metric).cast("double"), F.sum(metric).over(per).cast("double")))
+    wb = per.orderBy(F.col(rank).asc(), F.col("share").desc(), F.col(field).asc())
+    ww = per.orderBy(F.col(rank).desc(), F.col("share").asc(), F.col(field).asc())
     best = e.withColumn("__i", F.row_number().over(wb)).filter(F.col("__i") <= k) \
         .withColumn("kind", F.lit("best"))
     worst = e.withColumn("__i", F.row_number().over(ww)).filter(F.col("__i") <= k) \
         .withColumn("kind", F.lit("worst"))
-    cols = ["kind", field, F.col(rank).cast("bigint").alias(rank), "share"]
+    cols = ([entity] if entity_id is None else []) + ["kind", field, F.col(rank).cast("bigint").alias(rank), "share"]
     return best.select(*cols).unionByName(worst.select(*cols))
 
 

@@ -351,7 +351,8 @@ SELECT ef.entity, ef.field,
        ROUND(CAST(citations AS DOUBLE) - CAST(fs AS DOUBLE) / CAST(fn AS DOUBLE), 6) AS gap_to_mean
 FROM ef JOIN e ON ef.entity = e.entity JOIN f ON ef.field = f.field""")
 def _f3(spark, d):
-    r = Fe.field_profile(entity_field(spark, d, with_rank=False))
+    # the profile joins entity totals and field means back onto EF: write EF once
+    r = Fe.field_profile(materialize(entity_field(spark, d, with_rank=False), "ef"))
     return r.select("entity", "field", *[F.round(c, 6).alias(c)
                                          for c in ("share_of_entity", "pct_rank", "gap_to_mean")])
 
@@ -428,7 +429,7 @@ SELECT ef.entity, ef.field,
        ROUND(COALESCE((st.sy + 10.0 * mu.mu) / (CAST(st.n AS DOUBLE) + 10.0), mu.mu), 6) AS field_te
 FROM ef LEFT JOIN st ON ef.field = st.field, mu""")
 def _f9(spark, d):
-    ef = entity_field(spark, d)
+    ef = materialize(entity_field(spark, d), "ef")
     train, _ = P.split_by_key(ef, "entity", N_FOLDS, TEST_FOLD)
     r = Fe.encode_categories(train, ef, ["field"], "target", target="rank", smoothing=10.0)
     return r.select("entity", "field", F.round("field_te", 6).alias("field_te"))
@@ -662,8 +663,8 @@ st AS (SELECT ef.entity, ef.country, ef.field, ef.docs, ef.citations, ed.key AS
 
 
 def _m4(spark, d):
-    ef = entity_field(spark, d, with_rank=False).select("entity", "country", "field", "docs",
-                                       F.col("citations").cast("double").alias("citations"))
+    ef = materialize(entity_field(spark, d, with_rank=False).select(
+        "entity", "country", "field", "docs", F.col("citations").cast("double").alias("citations")), "stage")
     fdim = W.seed_dimension(table(spark, d, "part"), "p_type")
     sup = table(spark, d, "supplier").filter(F.col("s_acctbal") > 0)
     edim = W.migrate_dimension(sup, ["s_suppkey"], ["s_name", "s_nationkey"], ["s_suppkey"])
