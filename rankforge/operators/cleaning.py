@@ -177,10 +177,22 @@ def boxplot_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     return g
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson r for each pair ``a <= b`` (in the given order), long form,
-    from one aggregate. ``a = b`` gives 1 unless the column is constant."""
+MAX_PAIRWISE_COLUMNS = 60
+
+
+def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+    """Pearson r for each pair ``a <= b`` (in the given order), long form.
+
+    ``'pairwise'`` (default up to 60 columns): one aggregate with a
+    ``corr`` per pair over rows where both values are present; ``a = b``
+    gives 1 unless the column is constant (NULL). ``'matrix'`` (default
+    above 60 columns): ``ml.stat.Correlation`` over rows without any NULL,
+    one pass that builds the d x d matrix (returned to the driver, small)."""
     cols = list(cols)
+    if method == "auto":
+        method = "pairwise" if len(cols) <= MAX_PAIRWISE_COLUMNS else "matrix"
+    if method == "matrix":
+        return _correlation_ml(df, cols)
     aggs, names = [], []
     for i, a in enumerate(cols):
         for b in cols[i:]:
@@ -196,6 +208,22 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), "r")
 
 
+def _correlation_ml(df: DataFrame, cols: list[str]) -> DataFrame:
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="skip").transform(
+        df.select([F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "__v").first()[0].toArray()
+    out = []
+    for i, a in enumerate(cols):
+        for j in range(i, len(cols)):
+            v = float(m[i][j])
+            out.append((a, cols[j], None if math.isnan(v) else v))
+    return df.sparkSession.createDataFrame(out, "col_a string, col_b string, r double")
+
+
 def clean_records(df: DataFrame, key: Sequence[str], casts: dict | None = None,
                   order: Sequence[tuple[str, bool]] = (), null_tokens: Sequence[str] = ("", "NULL", "N/A", "-"),
                   ) -> tuple[DataFrame, DataFrame]:

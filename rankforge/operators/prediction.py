@@ -156,9 +156,11 @@ def train_rank_model(train: DataFrame, cats: Sequence[str], nums: Sequence[str],
     return Pipeline(stages=stages).fit(train.withColumn(label, lab))
 
 
-def feature_weights(model) -> list[tuple[str, float]]:
+def feature_weights(model, df: DataFrame | None = None) -> list[tuple[str, float]]:
     """P5: (attribute name, weight) of a fitted pipeline's regressor:
-    coefficients for linear models, importances for trees (small, driver side)."""
+    coefficients for linear models, importances for trees. Names come from
+    the assembled vector's ML attributes when a frame is given (a
+    zero-row transform, no data read)."""
     reg = model.stages[-1]
     if hasattr(reg, "coefficients"):
         w = reg.coefficients.toArray()
@@ -167,6 +169,12 @@ def feature_weights(model) -> list[tuple[str, float]]:
     else:
         w = reg.linear.toArray()
     names = [f"f{i}" for i in range(len(w))]
+    if df is not None:
+        meta = model.transform(df.limit(0)).schema[reg.getFeaturesCol()].metadata.get("ml_attr", {})
+        for group in meta.get("attrs", {}).values():
+            for attr in group:
+                if attr["idx"] < len(names):
+                    names[attr["idx"]] = attr["name"]
     return list(zip(names, [float(v) for v in w]))
 
 

@@ -940,7 +940,7 @@ def _u6(spark, d):
 def _p5w(spark, d):
     ef, train, _, _ = _p_parts(spark, d)
     model = P.train_rank_model(train, ["field"], [], algo="linear", log_nums=["docs", "cpp"])
-    return spark.createDataFrame(P.feature_weights(model), "feature string, weight double")
+    return spark.createDataFrame(P.feature_weights(model, train), "feature string, weight double")
 
 
 # ---- streaming import of arriving CSV files ------------------------------------

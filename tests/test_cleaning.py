@@ -98,3 +98,12 @@ def test_clean_records_reasons_and_totals(spark):
     reasons = sorted(r["reason"] for r in dropped.collect())
     assert reasons == ["bad_value", "null_key", "null_key", "repeat", "repeat"]
     assert clean.count() + dropped.count() == raw.count()
+
+
+def test_correlation_matrix_ml_path_agrees(spark):
+    df = spark.createDataFrame([(float(i), float(i * i % 7), float(3 * i + 1)) for i in range(30)],
+                               "a double, b double, c double")
+    pw = {(r["col_a"], r["col_b"]): r["r"] for r in C.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    ml = {(r["col_a"], r["col_b"]): r["r"] for r in C.correlation_matrix(df, ["a", "b", "c"], "matrix").collect()}
+    assert pw.keys() == ml.keys()
+    assert all(pw[k] == pytest.approx(ml[k], abs=1e-9) for k in pw)

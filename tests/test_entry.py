@@ -56,3 +56,17 @@ def test_oracle_agreement(spark, con, key):
     exp = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
     assert len(got) == len(exp)
     assert _sorted(got) == _sorted(exp)
+
+
+PLAN_KEYS = ["q2_country_performance", "q7_global_rank", "c3_numeric_summary", "f1_clean_dropped",
+             "k4_apply_changes", "m5_verify", "u3_assign_clusters", "c2_impute", "p3_predict_ranks"]
+
+
+@pytest.mark.parametrize("key", PLAN_KEYS)
+def test_plans_scale(spark, key):
+    """No single-partition exchange over data rows, no nested-loop join,
+    no Python evaluation in the built-in operators."""
+    from rankforge.plans.audit import audit
+    df = entry.queries()[key](spark, "/root/testdata/sf0.001")
+    df.write.format("noop").mode("overwrite").save()
+    assert audit(df)["flags"] == []
