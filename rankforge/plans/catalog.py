@@ -965,3 +965,81 @@ def _s6_stream(spark, d):
     q.awaitTermination()
     ok = read_imported(spark, f"{root}/ok", o.schema)
     return ok.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+# ---- further forms of the same operators ----------------------------------------
+
+@register("c4_histogram_by_type_filled", """WITH b AS (SELECT event_type, MIN(value) AS vlo, MAX(value) AS vhi FROM events
+                      WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY event_type),
+x AS (SELECT e.event_type, CASE WHEN vhi = vlo THEN 0
+                  ELSE LEAST(CAST(FLOOR((value - vlo) / ((vhi - vlo) / 40.0)) AS BIGINT), 39) END AS bin
+      FROM events e JOIN b ON e.event_type = b.event_type WHERE value IS NOT NULL AND NOT isnan(value)),
+c AS (SELECT event_type, bin, COUNT(*) AS n FROM x GROUP BY 1, 2),
+g AS (SELECT b.event_type, vlo, vhi, CAST(s.bin AS BIGINT) AS bin FROM b, range(0, 40) s(bin))
+SELECT g.event_type, g.bin, vlo + CAST(g.bin AS DOUBLE) * ((vhi - vlo) / 40.0) AS lo,
+       vlo + CAST(g.bin + 1 AS DOUBLE) * ((vhi - vlo) / 40.0) AS hi, CAST(COALESCE(c.n, 0) AS BIGINT) AS n
+FROM g LEFT JOIN c ON g.event_type = c.event_type AND g.bin = c.bin""")
+def _c4f(spark, d):
+    return C.histogram(table(spark, d, "events"), "value", 40, by=["event_type"], fill=True)
+
+
+@register("c2_impute_mode_constant", f"""WITH {DL_SQL},
+m AS (SELECT lang, quality FROM (SELECT lang, quality,
+        ROW_NUMBER() OVER (PARTITION BY lang ORDER BY COUNT(*) DESC, quality) AS i
+        FROM d WHERE quality IS NOT NULL GROUP BY lang, quality) t WHERE i = 1),
+a AS (SELECT quality AS aq FROM (SELECT quality, COUNT(*) AS k FROM d WHERE quality IS NOT NULL
+        GROUP BY quality ORDER BY k DESC, quality LIMIT 1) t)
+SELECT d.doc_id, d.lang, COALESCE(d.quality, m.quality, a.aq) AS quality, d.quality IS NULL AS quality_was_missing,
+       COALESCE(d.toxic, -1) AS toxic, d.toxic IS NULL AS toxic_was_missing
+FROM d LEFT JOIN m ON d.lang IS NOT DISTINCT FROM m.lang, a""")
+def _c2m(spark, d):
+    r = C.impute(documents_labels(spark, d), {"quality": "mode", "toxic": ("constant", -1)}, by=["lang"])
+    return r.select("doc_id", "lang", "quality", "quality_was_missing", "toxic", "toxic_was_missing")
+
+
+@register("f4_strengths_all_entities", f"""WITH {EF_SQL},
+e AS (SELECT entity, field, rank,
+             CAST(citations AS DOUBLE) / NULLIF(CAST(SUM(citations) OVER (PARTITION BY entity) AS DOUBLE), 0) AS share
+      FROM ef),
+b AS (SELECT entity, 'best' AS kind, field, rank, share,
+             ROW_NUMBER() OVER (PARTITION BY entity ORDER BY rank, share DESC, field) AS i FROM e),
+w AS (SELECT entity, 'worst' AS kind, field, rank, share,
+             ROW_NUMBER() OVER (PARTITION BY entity ORDER BY rank DESC, share, field) AS i FROM e)
+SELECT entity, kind, field, rank, ROUND(share, 6) AS share FROM b WHERE i <= 2
+UNION ALL SELECT entity, kind, field, rank, ROUND(share, 6) AS share FROM w WHERE i <= 2""")
+def _f4all(spark, d):
+    r = Fe.entity_strengths(entity_field(spark, d), None, 2)
+    return r.withColumn("share", F.round("share", 6))
+
+
+@register("k4_apply_changes_full", """WITH ch AS (
+  SELECT o_custkey AS c_custkey, CAST(NULL AS VARCHAR) AS c_name, CAST(NULL AS INTEGER) AS c_nationkey,
+         o_totalprice AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment, o_orderkey AS seq, 'U' AS op
+  FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL
+  SELECT o_custkey, NULL, NULL, NULL, NULL, o_orderkey, 'D'
+  FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F'
+  UNION ALL
+  SELECT o_orderkey + 1000000000, 'new-' || CAST(o_orderkey AS VARCHAR), 0, o_totalprice, 'NEW', o_orderkey, 'I'
+  FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'P'),
+l AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY seq DESC) AS i FROM ch) t
+      WHERE i = 1)
+SELECT COALESCE(b.c_custkey, l.c_custkey) AS c_custkey,
+       CASE WHEN l.op IS NOT NULL THEN l.c_name ELSE b.c_name END AS c_name,
+       CASE WHEN l.op IS NOT NULL THEN l.c_nationkey ELSE b.c_nationkey END AS c_nationkey,
+       CASE WHEN l.op IS NOT NULL THEN l.c_acctbal ELSE b.c_acctbal END AS c_acctbal,
+       CASE WHEN l.op IS NOT NULL THEN l.c_mktsegment ELSE b.c_mktsegment END AS c_mktsegment
+FROM customer b FULL OUTER JOIN l ON b.c_custkey = l.c_custkey
+WHERE l.op IS NULL OR l.op <> 'D'""")
+def _k4full(spark, d):
+    return R.apply_changes(table(spark, d, "customer"), _k4_changes(spark, d), ["c_custkey"], "seq", "op")
+
+
+@register("q3_global_overview_approx")
+def _q3a(spark, d):
+    return Q.global_overview(entity_field(spark, d, with_rank=False), approx=True)
+
+
+@register("c3_numeric_summary_approx")
+def _c3a(spark, d):
+    return C.numeric_summary(table(spark, d, "lineitem"), LI_NUM, exact=False)
