@@ -1043,3 +1043,14 @@ def _q3a(spark, d):
 @register("c3_numeric_summary_approx")
 def _c3a(spark, d):
     return C.numeric_summary(table(spark, d, "lineitem"), LI_NUM, exact=False)
+
+
+@register("q6_rank_by_return_flag", """SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice,
+       CAST(RANK() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC) AS BIGINT) AS rk,
+       CAST(DENSE_RANK() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC) AS BIGINT) AS drk
+FROM lineitem""")
+def _q6flag(spark, d):
+    """Three groups, one holding about half of all rows: the skewed case the
+    rank engine splits once a group outgrows one task."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    return rank_columns(li, ["l_returnflag"], "l_extendedprice", {"rk": "rank", "drk": "dense_rank"})
