@@ -30,6 +30,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankforge.functions.columns import null_safe_join
 
@@ -171,7 +172,7 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
     x = x.withColumn("__b", F.when(split, _bucket_of(m, F.col("__bounds"), buckets, ascending))
                      .otherwise(F.lit(0))).withColumn("__s", split).drop("__bounds")
 
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs = [F.count(F.lit(1)).alias("__n"), F.min(m).alias("__mn"), F.max(m).alias("__mx")]
     if "dense_rank" in methods:
         aggs.append(F.count_distinct(m).alias("__dn"))
     counts = x.filter("__s").groupBy(*by, "__b").agg(*aggs)
@@ -183,11 +184,21 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
         dn = F.when(F.col("__b") == buckets, F.lit(1)).otherwise(F.col("__dn"))
         counts = counts.withColumn("__dn", dn)
         counts = counts.withColumn("__doff", F.coalesce(F.sum("__dn").over(before), F.lit(0)))
-    counts = counts.drop("__n", "__dn")
+    # a bucket holding one value (or the NULLs) ties throughout: rank = offset + 1
+    counts = counts.withColumn("__one", (F.col("__b") == buckets) | (F.col("__mn") == F.col("__mx")))
+    counts = counts.drop("__n", "__dn", "__mn", "__mx")
     # split groups x (buckets + 1) rows: broadcast under the same size check
     x = null_safe_join(x, F.broadcast(counts) if small else counts, by + ["__b"], "left")
 
+    one = F.coalesce(F.col("__one"), F.lit(False))
     part = by + ["__b"]
+    if not methods & {"row_number", "ntile"}:
+        # such a bucket needs no order, so it is spread by a row hash: one hot
+        # value (say a third of the rows NULL) never lands in one task
+        hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        sub = F.pmod(F.xxhash64(*hashable), F.lit(buckets)) if hashable else F.lit(0)
+        x = x.withColumn("__sub", F.when(one, sub).otherwise(F.lit(0)))
+        part = part + ["__sub"]
     w = Window.partitionBy(*part).orderBy(*_order(metric, ascending, []))
     wt = Window.partitionBy(*part).orderBy(*_order(metric, ascending, ties))
     off = F.coalesce(F.col("__off"), F.lit(0))
@@ -198,13 +209,14 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
     tot = F.col("__tot")
     for out, method, n_tiles in specs:
         if method == "rank":
-            val = (off + F.rank().over(w)).cast("bigint")
+            val = (off + F.when(one, F.lit(1)).otherwise(F.rank().over(w))).cast("bigint")
         elif method == "dense_rank":
-            val = (F.coalesce(F.col("__doff"), F.lit(0)) + F.dense_rank().over(w)).cast("bigint")
+            val = (F.coalesce(F.col("__doff"), F.lit(0))
+                   + F.when(one, F.lit(1)).otherwise(F.dense_rank().over(w))).cast("bigint")
         elif method == "row_number":
             val = (off + F.row_number().over(wt)).cast("bigint")
         elif method == "percent_rank":
-            r = off + F.rank().over(w)
+            r = off + F.when(one, F.lit(1)).otherwise(F.rank().over(w))
             val = F.when(tot > 1, (r - 1).cast("double") / (tot - 1).cast("double")).otherwise(F.lit(0.0))
         else:  # ntile, same split as SQL NTILE: the first N % n tiles get one extra row
             rn = off + F.row_number().over(wt)
@@ -216,7 +228,7 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
         x = x.withColumn(out, val)
     if total_col:
         x = x.withColumn(total_col, tot.cast("bigint"))
-    return x.drop("__b", "__s", "__off", "__doff", "__tot")
+    return x.drop("__b", "__s", "__off", "__doff", "__tot", "__one", "__sub")
 
 
 def global_rank(df: DataFrame, metric: str, method: str = "rank", ascending: bool = False,

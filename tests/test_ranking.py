@@ -110,3 +110,15 @@ def test_hot_group_split_matches_duckdb(spark):
         FROM read_parquet('{path}')""").fetchall()
     cols = ["l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice", "rk", "drk"]
     assert rows(got, cols) == sorted(exp, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_hot_value_and_null_buckets_are_spread(spark):
+    """A third of the rows NULL and a third on one value: ranks stay exact."""
+    data = [(None if i % 3 == 0 else (5.0 if i % 3 == 1 else float(i)), i) for i in range(300)]
+    df = spark.createDataFrame([("g", v, i) for v, i in data], "g string, v double, id bigint")
+    outs = {"rk": "rank", "drk": "dense_rank", "prk": "percent_rank"}
+    got = rank_columns(df, ["g"], "v", outs, buckets=4)
+    exp = rank_columns(df, ["g"], "v", outs, buckets=None)
+    assert rows(got, ["id", "rk", "drk", "prk"]) == rows(exp, ["id", "rk", "drk", "prk"])
+    glob = rank_columns(df, [], "v", outs)
+    assert rows(glob, ["id", "rk", "drk", "prk"]) == rows(exp, ["id", "rk", "drk", "prk"])
