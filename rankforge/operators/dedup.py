@@ -4,14 +4,14 @@
 key; partial aggregation combines a hot key map-side, so no task sorts a
 whole key. The other rows of repeated keys are found by joining the
 repeated keys back (AQE splits a hot key on that join); exact copies of
-the kept row are re-emitted by count, so first + rest = input as a
-multiset."""
+the kept row are re-emitted from counts per (key, task partition), so
+first + rest = input as a multiset and no task re-emits a whole hot key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,8 +43,15 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[tuple[str,
     for c in rest_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"__s.__r_{c}"))
     differ = cand.filter(~same).select(*cols)
-    eq = cand.filter(same).groupBy(*key).agg(F.count(F.lit(1)).alias("__k"), F.first("__s").alias("__s"))
-    copies = eq.filter(F.col("__k") > 1).select(
-        *key, "__s", F.explode(F.sequence(F.lit(2), F.col("__k").cast("int"))).alias("__i"))
+    # exact copies of the kept row: all but one are "rest". They are counted
+    # per (key, task partition), so a key with millions of identical rows is
+    # re-emitted by many tasks, each at most its own partition's share.
+    eq = cand.filter(same).select(*key, "__s").withColumn("__p", F.spark_partition_id())
+    per = eq.groupBy(*key, "__p").agg(F.count(F.lit(1)).alias("__k"), F.first("__s").alias("__s"))
+    first_part = Window.partitionBy(*key).orderBy("__p")  # at most one row per partition and key
+    per = per.withColumn("__k", F.when(F.row_number().over(first_part) == 1, F.col("__k") - 1)
+                         .otherwise(F.col("__k")))
+    copies = per.filter(F.col("__k") > 0).select(
+        *key, "__s", F.explode(F.sequence(F.lit(1), F.col("__k").cast("int"))).alias("__i"))
     copies = copies.select(*key, *[F.col(f"__s.__r_{c}").alias(c) for c in rest_cols]).select(*cols)
     return first, differ.unionByName(copies)
