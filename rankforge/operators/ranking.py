@@ -156,7 +156,9 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
     m = F.col(metric)
     methods = {s[1] for s in specs}
     probs = [i / buckets for i in range(1, buckets)]
-    bounds_expr = F.percentile_approx(m, probs, QUANTILE_ACCURACY).alias("__bounds")
+    # rank error of the bounds ~ rows / accuracy: keep it well under a bucket
+    accuracy = max(QUANTILE_ACCURACY, 20 * buckets)
+    bounds_expr = F.percentile_approx(m, probs, accuracy).alias("__bounds")
     if by:
         src = df
         if hot is not None:
