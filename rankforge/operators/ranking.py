@@ -134,16 +134,30 @@ def _auto(df, by, metric, specs, ascending, ties, total_col, max_group_rows):
     return _split(df, by, metric, specs, ascending, ties, b, total_col, hot=hot.select(*by))
 
 
+def _count_better(m: Column, bounds: Column, lo: int, hi: int, ascending: bool) -> Column:
+    """How many of the sorted ``bounds[lo:hi]`` lie on the better side of
+    ``m`` (below it when ascending, at or above it when descending), as a
+    binary-search tree of CASE expressions: log2(buckets) comparisons per
+    row, all in generated code."""
+    if lo >= hi:
+        return F.lit(0)
+    if hi - lo == 1:
+        hit = bounds[lo] < m if ascending else bounds[lo] >= m
+        return F.when(hit, F.lit(1)).otherwise(F.lit(0))
+    mid = (lo + hi) // 2
+    if ascending:
+        return F.when(bounds[mid] < m, F.lit(mid - lo + 1) + _count_better(m, bounds, mid + 1, hi, True)) \
+            .otherwise(_count_better(m, bounds, lo, mid, True))
+    return F.when(bounds[mid] >= m, F.lit(hi - mid) + _count_better(m, bounds, lo, mid, False)) \
+        .otherwise(_count_better(m, bounds, mid + 1, hi, False))
+
+
 def _bucket_of(m: Column, bounds: Column, buckets: int, ascending: bool) -> Column:
-    """Bucket of a value: how many bounds lie on its better side. Written as
-    a sum of element comparisons so it stays in generated code (a lambda
-    over the array would be interpreted per row)."""
-    hits = [F.when(bounds[i] < m if ascending else bounds[i] >= m, 1).otherwise(0)
-            for i in range(buckets - 1)]
-    total = hits[0]
-    for h in hits[1:]:
-        total = total + h
-    return F.when(m.isNull(), F.lit(buckets)).otherwise(total)
+    """Bucket of a value: how many bounds lie on its better side (NULLs go
+    to the last bucket). A lambda over the array would be interpreted per
+    row and a flat sum of comparisons grows past the code-size limit; the
+    search tree does neither."""
+    return F.when(m.isNull(), F.lit(buckets)).otherwise(_count_better(m, bounds, 0, buckets - 1, ascending))
 
 
 def _small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> bool:
