@@ -1,8 +1,10 @@
-"""First row per key as an aggregate (shared by F1 and K2).
+"""First row per key (shared by F1 and K2).
 
-``min`` of a struct led by the order columns picks the first row of each
-key; partial aggregation combines a hot key map-side, so no task sorts a
-whole key. The other rows of repeated keys are found by joining the
+Key sizes come from one partial aggregate. Keys up to ``max_key_rows``
+rows take one window (``row_number`` per key: a single shuffle and sort).
+Hot keys take the aggregate path: ``min`` of a struct led by the order
+columns picks the first row, and partial aggregation combines the key
+map-side, so no task sorts a whole hot key. The other rows of repeated keys are found by joining the
 repeated keys back (AQE splits a hot key on that join); exact copies of
 the kept row are re-emitted from counts per (key, task partition), so
 first + rest = input as a multiset and no task re-emits a whole hot key."""
@@ -11,11 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.columns import null_safe_join
+from rankforge.operators.ranking import MAX_BROADCAST_ROWS, MAX_GROUP_ROWS
 
 
 def _order_field(df: DataFrame, c: str, asc: bool):
@@ -26,11 +30,36 @@ def _order_field(df: DataFrame, c: str, asc: bool):
     return -F.col(c)
 
 
-def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[tuple[str, bool]] = ()
-                  ) -> tuple[DataFrame, DataFrame]:
+def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[tuple[str, bool]] = (),
+                  max_key_rows: int = MAX_GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
     """``(first, rest)``: one row per key (first by ``order`` then by all
     other columns), and every other row of that key."""
     key = list(key)
+    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.filter(F.col("__n") > max_key_rows).select(*key).persist(StorageLevel.MEMORY_AND_DISK)
+    if hot.limit(1).count() == 0:
+        hot.unpersist()
+        return _by_window(df, key, order)
+    cond = [df[k].eqNullSafe(hot[k]) for k in key]
+    hk = F.broadcast(hot) if hot.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else hot
+    cold_first, cold_rest = _by_window(df.join(hk, cond, "left_anti"), key, order)
+    hot_first, hot_rest = _by_aggregate(df.join(hk, cond, "left_semi"), key, order)
+    return cold_first.unionByName(hot_first), cold_rest.unionByName(hot_rest)
+
+
+def _sort_fields(df: DataFrame, key: list[str], order) -> list:
+    rest_cols = [c for c in df.columns if c not in key]
+    return [_order_field(df, c, asc) for c, asc in order] + [F.col(c) for c in rest_cols]
+
+
+def _by_window(df: DataFrame, key: list[str], order) -> tuple[DataFrame, DataFrame]:
+    """Same total order as the struct minimum: every field ascending, NULLs first."""
+    w = Window.partitionBy(*key).orderBy(*[f.asc_nulls_first() for f in _sort_fields(df, key, order)])
+    x = df.withColumn("__i", F.row_number().over(w))
+    return x.filter(F.col("__i") == 1).drop("__i"), x.filter(F.col("__i") > 1).drop("__i")
+
+
+def _by_aggregate(df: DataFrame, key: list[str], order) -> tuple[DataFrame, DataFrame]:
     cols = df.columns
     rest_cols = [c for c in cols if c not in key]
     fields = [_order_field(df, c, asc).alias(f"__o_{i}") for i, (c, asc) in enumerate(order)]

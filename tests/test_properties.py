@@ -48,6 +48,9 @@ def test_first_per_key_partitions_the_input(spark, data):
     first, rest = first_per_key(df, ["g"], [("w", True)])
     assert first.count() == len({g for g, _ in data})
     assert rows(first.unionByName(rest)) == rows(df)
+    # every key above 2 rows takes the aggregate (hot-key) path: same answer
+    hf, hr = first_per_key(df, ["g"], [("w", True)], max_key_rows=2)
+    assert rows(hf) == rows(first) and rows(hr) == rows(rest)
 
 
 def test_apply_changes_is_idempotent(spark):
