@@ -23,11 +23,17 @@ from rankforge.operators.ranking import MAX_BROADCAST_ROWS, MAX_GROUP_ROWS
 
 
 def _order_field(df: DataFrame, c: str, asc: bool):
+    """An ascending sort field for ``c`` (descending = negated)."""
     if asc:
         return F.col(c)
-    if not isinstance(df.schema[c].dataType, (T.NumericType,)):
-        raise ValueError(f"descending order needs a numeric column, {c} is not")
-    return -F.col(c)
+    dt = df.schema[c].dataType
+    if isinstance(dt, T.NumericType):
+        return -F.col(c)
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return -F.unix_micros(F.col(c).cast("timestamp"))
+    if isinstance(dt, T.DateType):
+        return -F.unix_date(F.col(c))
+    raise ValueError(f"descending order needs a numeric, date or timestamp column, {c} is not")
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[tuple[str, bool]] = (),

@@ -58,19 +58,19 @@ def apply_changes(base: DataFrame, changes: DataFrame, on: Sequence[str], seq_co
     missing key inserts; a D on a missing key does nothing). With
     ``partial=True`` a NULL in a change column keeps the old value.
 
-    The latest change per key is an aggregate (``max`` of a struct led by
-    the sequence), combined map-side, so a key with many changes never
-    lands in one task; then one full outer join on the key."""
+    The latest change per key comes from ``first_per_key`` (a window for
+    keys with few changes, an aggregate for hot keys, so a key with
+    millions of changes never lands in one task); then one full outer
+    join on the key."""
     on = list(on)
     vals = [c for c in base.columns if c not in on]
     if check_ties:
         tie = changes.groupBy(*on, seq_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
         if tie.count():
             raise ValueError(f"two changes share one {seq_col} for a key")
-    last = changes.groupBy(*on).agg(
-        F.max(F.struct(F.col(seq_col).alias("__seq"), F.col(op_col).alias("__op"),
-                       *[F.col(c).alias(c) for c in vals])).alias("__ch"))
-    last = last.select(*on, F.col("__ch.__op").alias("__op"), *[F.col(f"__ch.{c}").alias(f"__n_{c}") for c in vals])
+    ch = changes.select(*on, seq_col, op_col, *vals)
+    last, _ = first_per_key(ch, on, [(seq_col, False)])
+    last = last.select(*on, F.col(op_col).alias("__op"), *[F.col(c).alias(f"__n_{c}") for c in vals])
     j = base.withColumn("__in_base", F.lit(True)).join(last, on, "full")
     j = j.filter(F.col("__op").isNull() | (F.upper(F.col("__op")) != "D"))
     changed = F.col("__op").isNotNull()
