@@ -47,3 +47,13 @@ def test_apply_changes_equal_seq_raises(spark, base):
                                "id bigint, name string, room string, seq bigint, op string")
     with pytest.raises(ValueError):
         R.apply_changes(base, ch, ["id"])
+
+
+def test_apply_changes_timestamp_sequence(spark, base):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    ch = spark.createDataFrame([(1, "late", "r1", t0 + dt.timedelta(hours=2), "U"),
+                                (1, "early", "r1", t0, "U")],
+                               "id bigint, name string, room string, seq timestamp, op string")
+    got = {r["id"]: r["name"] for r in R.apply_changes(base.filter("id is not null"), ch, ["id"]).collect()}
+    assert got[1] == "late"
