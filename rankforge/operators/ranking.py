@@ -276,14 +276,32 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     by: Sequence[str] = (), names: Sequence[str] | None = None,
                     buckets=DEFAULT_BUCKETS) -> DataFrame:
     """Exact quantiles (linear interpolation, as ``percentile`` /
-    ``quantile_cont``) per group, computed from distributed ranks instead
-    of one value map per group. Returns ``by..., n, <names>...`` as doubles."""
+    ``quantile_cont``) per group: ``by..., n, <names>...`` as doubles.
+
+    No value map per group and no full sort: values are put in buckets by
+    approximate bounds, bucket counts give each bucket's first position, and
+    only the buckets that hold a wanted position are sorted (a bucket with a
+    single value needs no sort at all). With ``'auto'`` this path is taken
+    once a group outgrows one task; smaller groups, and ``buckets=None``,
+    rank their rows with one window per group."""
     by = list(by)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     base = df.select(*by, F.col(value).cast("double").alias("__v")).filter(
         F.col("__v").isNotNull() & ~F.isnan("__v"))
-    ranked = rank_within(base, by, "__v", "rank", ascending=True, out="__r",
-                         buckets=buckets, total_col="__t")
+    if buckets is None:
+        return _quantiles_from_ranks(base, by, probs, names)
+    if buckets == AUTO:
+        sizes = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n")) if by else base.agg(F.count(F.lit(1)).alias("n"))
+        top = sizes.agg(F.max("n")).first()[0]
+        if not top or top <= MAX_GROUP_ROWS:
+            # every group fits one task: one sort per group is cheapest
+            return _quantiles_from_ranks(base, by, probs, names)
+        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(top / BUCKET_ROWS)))
+    return _quantiles_targeted(base, by, probs, names, int(buckets))
+
+
+def _quantiles_from_ranks(base, by, probs, names):
+    ranked = rank_within(base, by, "__v", "rank", ascending=True, out="__r", buckets=None, total_col="__t")
     aggs = [F.max("__t").alias("n")]
     pos0 = F.col("__r") - 1  # 0-based first position of the row's value
     for p, name in zip(probs, names):
@@ -298,3 +316,64 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         lo_v, hi_v, frac = F.col(f"__lo_{name}"), F.col(f"__hi_{name}"), F.col(f"__f_{name}")
         cols.append((lo_v + (hi_v - lo_v) * frac).alias(name))
     return g.select(*cols)
+
+
+def _quantiles_targeted(base, by, probs, names, buckets):
+    v = F.col("__v")
+    probs_b = [i / buckets for i in range(1, buckets)]
+    bexpr = F.percentile_approx(v, probs_b, max(QUANTILE_ACCURACY, 20 * buckets)).alias("__bounds")
+    if by:
+        bounds = base.groupBy(*by).agg(bexpr).persist(StorageLevel.MEMORY_AND_DISK)
+        small = _small(bounds, MAX_BROADCAST_ROWS // (buckets + 1))
+        x = null_safe_join(base, F.broadcast(bounds) if small else bounds, by, "inner")
+    else:
+        x = base.withColumn("__bounds", base.agg(bexpr).scalar())
+    x = x.withColumn("__b", _count_better(v, F.col("__bounds"), 0, buckets - 1, True)).drop("__bounds")
+
+    # per bucket: rows, value range, first position (groups x buckets rows, kept once)
+    counts = x.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__c"), F.min(v).alias("__mn"),
+                                       F.max(v).alias("__mx"))
+    before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (counts.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0)))
+              .withColumn("__n", F.sum("__c").over(Window.partitionBy(*by)))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+
+    # wanted positions: floor and ceil of (n - 1) * p, kept by the bucket that holds them
+    items = []
+    for i, p in enumerate(probs):
+        h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
+        for which, pos in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            items.append(F.struct(F.lit(i).alias("q"), F.lit(which).alias("w"),
+                                  pos.cast("bigint").alias("pos"), (h - F.floor(h)).alias("frac")))
+    t = counts.select(*by, "__b", "__off", "__c", "__mn", "__mx", "__n",
+                      F.explode(F.array(*items)).alias("__t")).select(
+        *by, "__b", "__off", "__c", "__mn", "__mx", "__n", "__t.*")
+    t = t.filter((F.col("pos") >= F.col("__off")) & (F.col("pos") < F.col("__off") + F.col("__c")))
+    direct = t.filter(F.col("__mn") == F.col("__mx")).select(
+        *by, "q", "w", "frac", "__n", F.col("__mn").alias("val"))
+    need = t.filter(F.col("__mn") != F.col("__mx")).select(
+        *by, "__b", "q", "w", "frac", "__n", (F.col("pos") - F.col("__off")).alias("__lpos"))
+
+    # sort only the buckets that hold a wanted position (at most 2 per quantile and group)
+    nb = need.select(*by, "__b").distinct()
+    small_nb = _small(nb)
+    nbj = F.broadcast(nb) if small_nb else nb
+    sel = x.join(nbj, [x[k].eqNullSafe(nbj[k]) for k in by + ["__b"]], "left_semi")
+    ranked = sel.withColumn("__p0", F.rank().over(Window.partitionBy(*by, "__b").orderBy(v.asc())) - 1)
+    j = null_safe_join(ranked, F.broadcast(need) if small_nb else need, by + ["__b"], "inner")
+    vals = j.filter(F.col("__p0") <= F.col("__lpos")).groupBy(*by, "q", "w").agg(
+        F.max(v).alias("val"), F.first("frac").alias("frac"), F.first("__n").alias("__n"))
+
+    allv = direct.unionByName(vals)
+    aggs = [F.max("__n").cast("bigint").alias("n")]
+    for i, name in enumerate(names):
+        q = F.col("q") == i
+        aggs += [F.max(F.when(q & (F.col("w") == "lo"), F.col("val"))).alias(f"__lo_{name}"),
+                 F.max(F.when(q & (F.col("w") == "hi"), F.col("val"))).alias(f"__hi_{name}"),
+                 F.max(F.when(q, F.col("frac"))).alias(f"__f_{name}")]
+    g = allv.groupBy(*by).agg(*aggs) if by else allv.agg(*aggs)
+    cols = [F.col(c) for c in by] + ["n"]
+    for name in names:
+        lo_v, hi_v, frac = F.col(f"__lo_{name}"), F.col(f"__hi_{name}"), F.col(f"__f_{name}")
+        cols.append((lo_v + (hi_v - lo_v) * frac).alias(name))
+    return g.select(*cols)

@@ -122,3 +122,17 @@ def test_hot_value_and_null_buckets_are_spread(spark):
     assert rows(got, ["id", "rk", "drk", "prk"]) == rows(exp, ["id", "rk", "drk", "prk"])
     glob = rank_columns(df, [], "v", outs)
     assert rows(glob, ["id", "rk", "drk", "prk"]) == rows(exp, ["id", "rk", "drk", "prk"])
+
+
+@pytest.mark.parametrize("buckets", [2, 4, "auto"])
+def test_exact_quantiles_with_hot_value(spark, buckets):
+    vals = [7.0] * 120 + [float(i) for i in range(60)] + [None] * 10
+    df = spark.createDataFrame([("g" if i % 4 else "h", v) for i, v in enumerate(vals)], "k string, v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    exp = df.filter("v is not null").groupBy("k").agg(F.percentile("v", probs).alias("p")).collect()
+    got = {r["k"]: r for r in exact_quantiles(df, "v", probs, ["k"], names=list("abcdefg"), buckets=buckets).collect()}
+    for r in exp:
+        for i, c in enumerate("abcdefg"):
+            assert got[r["k"]][c] == pytest.approx(r["p"][i], rel=1e-12)
+    glob = exact_quantiles(df, "v", [0.5], names=["m"], buckets=buckets).first()
+    assert glob["m"] == pytest.approx(df.filter("v is not null").agg(F.percentile("v", 0.5)).first()[0])
