@@ -18,7 +18,7 @@ from rankforge.operators import prediction as P
 from rankforge.operators import records as R
 from rankforge.operators import warehouse as W
 from rankforge.operators import reports as Q
-from rankforge.operators.ranking import global_rank, rank_columns, rank_within
+from rankforge.operators.ranking import global_rank, rank_columns
 from rankforge.plans.registry import register
 from rankforge.plans.standins import documents_labels, entity_field, table
 from rankforge.session import materialize, scratch_path

@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from rankforge.operators import features as Fe
