@@ -144,10 +144,17 @@ def field_values(df: DataFrame, field: str, max_fields: int = DEFAULT_MAX_FIELDS
 
 def profile_matrix(df: DataFrame, entity: str = "entity", field: str = "field",
                    value: str = "citations", fields: Sequence | None = None,
-                   max_fields: int = DEFAULT_MAX_FIELDS) -> DataFrame:
+                   max_fields: int = DEFAULT_MAX_FIELDS, strict: bool = True) -> DataFrame:
     """one row per entity, one column ``f_<field>`` per field with the
     summed value (0 when absent). The pivot always gets an explicit value
-    list, so Spark plans one aggregate and the width is bounded."""
+    list, so Spark plans one aggregate and the width is bounded. With an
+    explicit list and ``strict``, a field value outside it raises (one
+    bounded check job) instead of being dropped silently."""
+    if fields is not None and strict:
+        extra = df.select(field).filter(F.col(field).isNotNull() & ~F.col(field).isin(*list(fields))).limit(1)
+        found = extra.collect()
+        if found:
+            raise ValueError(f"field value {found[0][0]!r} is not in the given field list")
     fields = list(fields) if fields is not None else field_values(df, field, max_fields)
     if len(fields) > max_fields:
         raise ValueError(f"{len(fields)} fields exceed max_fields={max_fields}")

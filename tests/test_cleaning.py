@@ -1,6 +1,5 @@
 """C1-C6, F1 on hand-made frames: gaps, flat, ties."""
 
-
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -87,3 +87,9 @@ def test_index_and_onehot_fit_on_train(spark, ef):
     oh = Fe.encode_categories(train, ef, ["field"], "onehot")
     slots = {r["field"]: int(r["field_vec"].indices[0]) for r in oh.select("field", "field_vec").collect()}
     assert slots["chem"] not in (slots["math"], slots["bio"]) and slots["math"] != slots["bio"]
+
+
+def test_profile_matrix_unknown_field_raises(spark, ef):
+    with pytest.raises(ValueError):
+        Fe.profile_matrix(ef, fields=["math", "bio"])
+    assert Fe.profile_matrix(ef, fields=["math", "bio"], strict=False).count() == 3
