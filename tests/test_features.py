@@ -93,3 +93,15 @@ def test_profile_matrix_unknown_field_raises(spark, ef):
     with pytest.raises(ValueError):
         Fe.profile_matrix(ef, fields=["math", "bio"])
     assert Fe.profile_matrix(ef, fields=["math", "bio"], strict=False).count() == 3
+
+
+def test_entity_rankings_count_equals_rank_then_filter(spark):
+    from rankforge.operators.reports import entity_rankings, ranked
+    data = [(e, f, d, c) for e, f, d, c in [
+        (1, "a", 1, 10.0), (2, "a", 1, 10.0), (3, "a", 1, 20.0), (4, "a", 1, None),
+        (1, "b", 2, None), (2, "b", 2, 5.0), (3, "b", 2, None), (1, "c", 3, 1.0)]]
+    df = spark.createDataFrame(data, "entity bigint, field string, docs bigint, citations double")
+    for e in (1, 2, 4, 99):
+        got = rows(entity_rankings(df, e), ["field", "rank"])
+        exp = rows(ranked(df, buckets=None).filter(f"entity = {e}"), ["field", "rank"])
+        assert got == exp, e
