@@ -157,19 +157,27 @@ def choose_k(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int],
 def similar_entities(df: DataFrame, id_col: str, cols: Sequence[str], anchor, k: int = 10,
                      within: str | None = None) -> DataFrame:
     """Entities nearest to ``anchor`` (Euclidean over ``cols``), the
-    anchor left out, ties by id: ``id, distance, rk``. The anchor's values
-    enter as scalar subqueries; ``within`` restricts to the anchor's value
-    of that column (e.g. its cluster)."""
-    a = df.filter(F.col(id_col) == F.lit(anchor))
+    anchor left out, ties by id: ``id, distance, rk``. The anchor's row is
+    fetched once (one row) and enters the distance as literals; ``within``
+    restricts to the anchor's value of that column (e.g. its cluster). An
+    absent anchor gives an empty result."""
+    from rankforge.operators.ranking import top_k
+    need = list(cols) + ([within] if within else [])
+    found = df.filter(F.col(id_col) == F.lit(anchor)).select(*need).limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"anchor {anchor!r} is not unique in {id_col}")
     x = df.filter(F.col(id_col) != F.lit(anchor))
+    if not found:
+        return top_k(x.select(id_col, F.lit(None).cast("double").alias("distance")).limit(0),
+                     "distance", k, [id_col], out="rk", ascending=True)
+    a = found[0]
     if within:
-        x = x.filter(F.col(within) == a.select(within).scalar())
+        x = x.filter(F.col(within) == F.lit(a[within]))
     sq = None
     for c in cols:
-        d = F.col(c).cast("double") - a.select(F.col(c).cast("double")).scalar()
+        d = F.col(c).cast("double") - F.lit(None if a[c] is None else float(a[c])).cast("double")
         sq = d * d if sq is None else sq + d * d
     x = x.select(id_col, F.sqrt(sq).alias("distance")).filter(F.col("distance").isNotNull())
-    from rankforge.operators.ranking import top_k
     return top_k(x, "distance", k, [id_col], out="rk", ascending=True)
 
 

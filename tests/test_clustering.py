@@ -62,3 +62,10 @@ def test_similar_and_projection(spark, points):
 def test_choose_k(spark, points):
     t = {r["k"]: r for r in U.choose_k(points, "id", ["x", "y"], [2, 4]).collect()}
     assert t[4]["cost"] < t[2]["cost"] and t[4]["silhouette"] > 0.5
+
+
+def test_similar_absent_anchor_and_within(spark, points):
+    assert U.similar_entities(points, "id", ["x", "y"], 12345, k=3).count() == 0
+    withc = points.withColumn("c", (F.col("x") > 5).cast("int"))
+    got = U.similar_entities(withc, "id", ["x", "y"], 0, k=10, within="c").collect()
+    assert all(r["id"] < 5 or r["id"] in (10, 11, 12, 13, 14, 20) for r in got)
