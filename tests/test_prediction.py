@@ -59,3 +59,13 @@ def test_compare_models_beats_baseline(spark, fit):
     out = {r["model"]: r for r in P.compare_models(
         train, test, {"lin": {"cats": [], "nums": [], "log_nums": ["docs"], "algo": "linear"}}).collect()}
     assert out["lin"]["mae"] < out["baseline_mean"]["mae"]
+
+
+@pytest.mark.parametrize("algo", ["linear", "forest", "gbt", "fm"])
+def test_train_rank_model_algos(spark, fit, algo):
+    train, test = P.split_by_key(fit, "entity", 5, 0)
+    model = P.train_rank_model(train, ["field"], [], algo=algo, log_nums=["docs"])
+    pred = model.transform(test.withColumn("rank", F.col("rank").cast("double")))
+    assert pred.filter(F.col("prediction").isNull()).count() == 0 and pred.count() == test.count()
+    names = [n for n, _ in P.feature_weights(model, train)]
+    assert names[0] == "log1p_docs"
