@@ -37,10 +37,11 @@ from rankforge.functions.columns import null_safe_join
 AUTO = "auto"
 DEFAULT_BUCKETS = AUTO
 MIN_BUCKETS = 32             # buckets of a whole-table rank, at least
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 16384
 MAX_GROUP_ROWS = 2_000_000   # rows one window task may sort
 BUCKET_ROWS = 500_000        # target rows per bucket of a split group
 MAX_BROADCAST_ROWS = 200_000  # small-side rows that may be broadcast
+BOUNDS_BUDGET = 4_000_000     # bound values (doubles, ~32 MB) that may be broadcast in all
 QUANTILE_ACCURACY = 10000
 METHODS = ("rank", "dense_rank", "row_number", "percent_rank", "ntile")
 
@@ -130,40 +131,46 @@ def _auto(df, by, metric, specs, ascending, ties, total_col, max_group_rows):
     if not top[1]:
         hot.unpersist()
         return _plain(df, by, metric, specs, ascending, ties, total_col)
-    b = min(MAX_BUCKETS, max(2, math.ceil(top[0] / BUCKET_ROWS)))
+    # buckets follow the largest group, capped so that the bounds of all hot
+    # groups stay broadcastable (no bounds array is ever copied into data rows)
+    b = min(MAX_BUCKETS, max(2, math.ceil(top[0] / BUCKET_ROWS)), max(2, BOUNDS_BUDGET // top[1]))
     return _split(df, by, metric, specs, ascending, ties, b, total_col, hot=hot.select(*by))
 
 
-def _count_better(m: Column, bounds: Column, lo: int, hi: int, ascending: bool) -> Column:
-    """How many of the sorted ``bounds[lo:hi]`` lie on the better side of
-    ``m`` (below it when ascending, at or above it when descending), as a
-    binary-search tree of CASE expressions: log2(buckets) comparisons per
-    row, all in generated code."""
-    if lo >= hi:
-        return F.lit(0)
-    if hi - lo == 1:
-        hit = bounds[lo] < m if ascending else bounds[lo] >= m
-        return F.when(hit, F.lit(1)).otherwise(F.lit(0))
-    mid = (lo + hi) // 2
-    if ascending:
-        return F.when(bounds[mid] < m, F.lit(mid - lo + 1) + _count_better(m, bounds, mid + 1, hi, True)) \
-            .otherwise(_count_better(m, bounds, lo, mid, True))
-    return F.when(bounds[mid] >= m, F.lit(hi - mid) + _count_better(m, bounds, lo, mid, False)) \
-        .otherwise(_count_better(m, bounds, mid + 1, hi, False))
-
-
-def _bucket_of(m: Column, bounds: Column, buckets: int, ascending: bool) -> Column:
-    """Bucket of a value: how many bounds lie on its better side (NULLs go
-    to the last bucket). A lambda over the array would be interpreted per
-    row and a flat sum of comparisons grows past the code-size limit; the
-    search tree does neither."""
-    return F.when(m.isNull(), F.lit(buckets)).otherwise(_count_better(m, bounds, 0, buckets - 1, ascending))
+def _with_bucket(x: DataFrame, metric: str, bounds: str, buckets: int, ascending: bool,
+                 out: str = "__b") -> DataFrame:
+    """Add ``out`` = the row's bucket: how many of the sorted ``bounds`` lie
+    on the better side of the metric (NULL metrics: the last bucket).
+
+    A binary search for the first bound >= the value, one small projection
+    per halving step: log2(buckets) comparisons per row and code that does
+    not grow with the bucket count, all inside whole-stage codegen (a lambda
+    over the array would be interpreted, a flat sum of comparisons would
+    outgrow the generated-method limit)."""
+    n = buckets - 1
+    m, b = F.col(metric), F.col(bounds)
+    x = x.withColumns({"__lo": F.lit(0), "__hi": F.lit(n)})
+    for _ in range(max(1, math.ceil(math.log2(n + 1)))):
+        lo, hi = F.col("__lo"), F.col("__hi")
+        mid = F.floor((lo + hi) / 2).cast("int")
+        go = lo < hi
+        below = F.try_element_at(b, mid + 1) < m
+        x = x.withColumns({"__lo": F.when(go & below, mid + 1).otherwise(lo),
+                           "__hi": F.when(go & ~below, mid).otherwise(hi)})
+    first_ge = F.col("__lo")
+    val = first_ge if ascending else F.lit(n) - first_ge
+    return x.withColumn(out, F.when(m.isNull(), F.lit(buckets)).otherwise(val)).drop("__lo", "__hi")
 
 
 def _small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def _broadcast_if(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast hint only when the row count is checked to be at most ``rows``."""
+    return F.broadcast(df) if _small(df, rows) else df
+
+
 def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
     """Rank with value buckets. ``hot`` = the groups to split (None: all);
     the other groups keep a single bucket 0 and offset 0."""
@@ -171,7 +178,7 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
     methods = {s[1] for s in specs}
     probs = [i / buckets for i in range(1, buckets)]
     # rank error of the bounds ~ rows / accuracy: keep it well under a bucket
-    accuracy = max(QUANTILE_ACCURACY, 20 * buckets)
+    accuracy = max(QUANTILE_ACCURACY, 4 * buckets)
     bounds_expr = F.percentile_approx(m, probs, accuracy).alias("__bounds")
     if by:
         src = df
@@ -179,14 +186,15 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
             hk = F.broadcast(hot) if _small(hot) else hot
             src = src.join(hk, [src[k].eqNullSafe(hk[k]) for k in by], "left_semi")
         bounds = src.groupBy(*by).agg(bounds_expr).persist(StorageLevel.MEMORY_AND_DISK)
-        small = _small(bounds, MAX_BROADCAST_ROWS // (buckets + 1))
-        x = null_safe_join(df, F.broadcast(bounds) if small else bounds, by, "left")
+        x = null_safe_join(df, _broadcast_if(bounds, max(1, BOUNDS_BUDGET // buckets)), by, "left")
+        small = _small(bounds, max(1, MAX_BROADCAST_ROWS // (buckets + 1)))
     else:
         small = True
         x = df.withColumn("__bounds", df.agg(bounds_expr).scalar())
     split = F.col("__bounds").isNotNull()
-    x = x.withColumn("__b", F.when(split, _bucket_of(m, F.col("__bounds"), buckets, ascending))
-                     .otherwise(F.lit(0))).withColumn("__s", split).drop("__bounds")
+    x = _with_bucket(x, metric, "__bounds", buckets, ascending)
+    x = x.withColumn("__b", F.when(split, F.col("__b")).otherwise(F.lit(0))).withColumn("__s", split)
+    x = x.drop("__bounds")
 
     aggs = [F.count(F.lit(1)).alias("__n"), F.min(m).alias("__mn"), F.max(m).alias("__mx")]
     if "dense_rank" in methods:
@@ -292,11 +300,12 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         return _quantiles_from_ranks(base, by, probs, names)
     if buckets == AUTO:
         sizes = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n")) if by else base.agg(F.count(F.lit(1)).alias("n"))
-        top = sizes.agg(F.max("n")).first()[0]
+        top, n_groups = sizes.agg(F.max("n"), F.count(F.lit(1))).first()
         if not top or top <= MAX_GROUP_ROWS:
             # every group fits one task: one sort per group is cheapest
             return _quantiles_from_ranks(base, by, probs, names)
-        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(top / BUCKET_ROWS)))
+        buckets = max(2, min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(top / BUCKET_ROWS)),
+                             BOUNDS_BUDGET // n_groups))
     return _quantiles_targeted(base, by, probs, names, int(buckets))
 
 
@@ -321,14 +330,13 @@ def _quantiles_from_ranks(base, by, probs, names):
 def _quantiles_targeted(base, by, probs, names, buckets):
     v = F.col("__v")
     probs_b = [i / buckets for i in range(1, buckets)]
-    bexpr = F.percentile_approx(v, probs_b, max(QUANTILE_ACCURACY, 20 * buckets)).alias("__bounds")
+    bexpr = F.percentile_approx(v, probs_b, max(QUANTILE_ACCURACY, 4 * buckets)).alias("__bounds")
     if by:
         bounds = base.groupBy(*by).agg(bexpr).persist(StorageLevel.MEMORY_AND_DISK)
-        small = _small(bounds, MAX_BROADCAST_ROWS // (buckets + 1))
-        x = null_safe_join(base, F.broadcast(bounds) if small else bounds, by, "inner")
+        x = null_safe_join(base, _broadcast_if(bounds, max(1, BOUNDS_BUDGET // buckets)), by, "inner")
     else:
         x = base.withColumn("__bounds", base.agg(bexpr).scalar())
-    x = x.withColumn("__b", _count_better(v, F.col("__bounds"), 0, buckets - 1, True)).drop("__bounds")
+    x = _with_bucket(x, "__v", "__bounds", buckets, True).drop("__bounds")
 
     # per bucket: rows, value range, first position (groups x buckets rows, kept once)
     counts = x.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__c"), F.min(v).alias("__mn"),
