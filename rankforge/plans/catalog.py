@@ -962,10 +962,10 @@ def _s6_stream(spark, d):
     root = scratch_path(spark, "stream-import")
     # downloads arrive as one CSV file set per order priority
     S.write_csv(raw.withColumn("prio", F.col("o_orderpriority")), f"{root}/in", partition_by=["prio"])
-    q = import_stream(spark, f"{root}/in/*", o.schema, f"{root}/ok", f"{root}/bad", f"{root}/ckpt",
+    q = import_stream(spark, f"{root}/in/*", o.schema, f"{root}/staged", f"{root}/ckpt",
                       required=("o_orderkey",))
     q.awaitTermination()
-    ok = read_imported(spark, f"{root}/ok", o.schema)
+    ok = read_imported(spark, f"{root}/staged", o.schema)
     return ok.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 

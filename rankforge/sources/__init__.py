@@ -9,4 +9,10 @@ from rankforge.sources.files import (  # noqa: F401
     read_json_records,
     write_csv,
 )
-from rankforge.sources.staging import stage_and_cast, string_stage  # noqa: F401
+from rankforge.sources.staging import (  # noqa: F401
+    read_staged,
+    stage_and_cast,
+    staged,
+    string_stage,
+    write_staged,
+)

@@ -79,3 +79,13 @@ def test_stage_and_cast(spark):
     ok, bad = S.stage_and_cast(raw, schema, required=("a",))
     assert rows(ok) == [(1, 1234, 2.5)]
     assert sorted(r["reason"] for r in bad.collect()) == ["bad_value:a", "bad_value:b", "required:a"]
+
+
+def test_write_staged_one_pass(spark):
+    raw = spark.createDataFrame([("1", "2.5"), ("x", "1"), ("", "3")], "a string, c string")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("c", T.DoubleType())])
+    path = scratch_path(spark, "staged")
+    S.write_staged(raw, schema, path, required=("a",))
+    assert rows(S.read_staged(spark, path, schema)) == [(1, 2.5)]
+    assert sorted(r["reason"] for r in S.read_staged(spark, path, schema, "rejected").collect()) == [
+        "bad_value:a", "required:a"]

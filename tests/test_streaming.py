@@ -21,14 +21,12 @@ def test_import_stream_once_per_file(spark):
     root = scratch_path(spark, "stream-test")
     src = f"{root}/in"
     _write(src, "a.csv", "id,name,score\n1,ann,2.5\n2,bob,x\n")
-    args = (spark, src, SCHEMA, f"{root}/ok", f"{root}/bad", f"{root}/ckpt")
+    args = (spark, src, SCHEMA, f"{root}/staged", f"{root}/ckpt")
     import_stream(*args, required=("id",)).awaitTermination()
-    assert read_imported(spark, f"{root}/ok", SCHEMA).count() == 1
+    assert read_imported(spark, f"{root}/staged", SCHEMA).count() == 1
     _write(src, "b.csv", "id,name,score\n3,cy,1\n,dan,4\n")
     import_stream(*args, required=("id",)).awaitTermination()  # restart: only b.csv is new
-    ok = sorted(r["id"] for r in read_imported(spark, f"{root}/ok", SCHEMA).collect())
+    ok = sorted(r["id"] for r in read_imported(spark, f"{root}/staged", SCHEMA).collect())
     assert ok == [1, 3]
-    bad_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in SCHEMA.fields]
-                              + [T.StructField("reason", T.StringType())])
-    reasons = sorted(r["reason"] for r in read_imported(spark, f"{root}/bad", bad_schema).collect())
+    reasons = sorted(r["reason"] for r in read_imported(spark, f"{root}/staged", SCHEMA, "rejected").collect())
     assert reasons == ["bad_value:score", "required:id"]
