@@ -19,7 +19,8 @@ def ranked(df: DataFrame, field: str = "field", metric: str = "citations", out:
 
 def entity_rankings(df: DataFrame, entity_id, entity: str = "entity", field: str = "field",
                     metric: str = "citations", docs: str = "docs",
-                    buckets=DEFAULT_BUCKETS, max_rows: int = 100_000) -> DataFrame:
+                    buckets=DEFAULT_BUCKETS, max_rows: int = 100_000,
+                    with_entity: bool = False) -> DataFrame:
     """Q1: one entity's rank in every field (``rank`` semantics: 1 + rows of
     the field with a larger metric; NULL metrics last).
 
@@ -28,11 +29,14 @@ def entity_rankings(df: DataFrame, entity_id, entity: str = "entity", field: str
     better rows in its field: one scan and a partial aggregate, no sort of
     the table. Above ``max_rows`` own rows it falls back to ranking all
     rows first and filtering after."""
+    ent = [F.col("__e").alias(entity)] if with_entity else []
     own = df.filter(F.col(entity) == F.lit(entity_id)).select(
-        F.col(field).alias("__f"), F.col(metric).alias("__m"), F.col(docs).alias("__d"))
+        F.col(entity).alias("__e"), F.col(field).alias("__f"), F.col(metric).alias("__m"),
+        F.col(docs).alias("__d"))
     if own.limit(max_rows + 1).count() > max_rows:
         r = ranked(df, field, metric, "rank", buckets).filter(F.col(entity) == F.lit(entity_id))
-        return r.select(field, "rank", F.col(docs).cast("bigint").alias(docs),
+        return r.select(*([entity] if with_entity else []), field, "rank",
+                        F.col(docs).cast("bigint").alias(docs),
                         F.col(metric).cast("double").alias(metric), ratio(metric, docs).alias("cpp"))
     # tell the entity's rows apart (ids only group the join output of this job)
     own = own.withColumn("__id", F.monotonically_increasing_id())
@@ -40,9 +44,9 @@ def entity_rankings(df: DataFrame, entity_id, entity: str = "entity", field: str
     m = F.col(metric)
     better = F.when(F.col("__m").isNull(), m.isNotNull()).otherwise(m > F.col("__m"))
     counts = (df.select(field, metric).join(o, df[field].eqNullSafe(o["__f"]))
-              .groupBy("__id", "__f", "__m", "__d")
+              .groupBy("__id", "__e", "__f", "__m", "__d")
               .agg(F.sum(F.when(better, 1).otherwise(0)).alias("__better")))
-    return counts.select(F.col("__f").alias(field), (F.col("__better") + 1).cast("bigint").alias("rank"),
+    return counts.select(*ent, F.col("__f").alias(field), (F.col("__better") + 1).cast("bigint").alias("rank"),
                          F.col("__d").cast("bigint").alias(docs), F.col("__m").cast("double").alias(metric),
                          ratio("__m", "__d").alias("cpp"))
 

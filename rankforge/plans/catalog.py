@@ -368,7 +368,7 @@ SELECT kind, field, rank, ROUND(share, 6) AS share FROM b WHERE i <= 2
 UNION ALL SELECT kind, field, rank, ROUND(share, 6) AS share FROM w WHERE i <= 2""")
 def _f4(spark, d):
     # one entity: its ranks come from counts of better rows (Q1), no table sort
-    own = Q.entity_rankings(entity_field(spark, d, with_rank=False), ENTITY).withColumn("entity", F.lit(ENTITY))
+    own = Q.entity_rankings(entity_field(spark, d, with_rank=False), ENTITY, with_entity=True)
     r = Fe.entity_strengths(own, ENTITY, 2)
     return r.withColumn("share", F.round("share", 6))
 
