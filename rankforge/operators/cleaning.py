@@ -60,9 +60,12 @@ def _fills(df: DataFrame, spec: dict, by: list[str]) -> dict:
     out = {}
     means = [c for c, how in spec.items() if how == "mean"]
     if means:
-        aggs = [F.avg(F.col(c).cast("double")).alias(c) for c in means]
+        aggs = []
+        for c in means:
+            x = F.col(c).cast("double")
+            aggs += [F.avg(x).alias(c), F.sum(x).alias(f"__sum_{c}"), F.count(x).alias(f"__cnt_{c}")]
         g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-        out.update({c: g.select(*by, c) for c in means})
+        out.update({c: g.select(*by, c, f"__sum_{c}", f"__cnt_{c}") for c in means})
     for c, how in spec.items():
         if how == "median":
             out[c] = exact_quantiles(df, c, [0.5], by, names=[c]).drop("n")
@@ -84,10 +87,14 @@ def impute(df: DataFrame, spec: dict, by: Sequence[str] | None = None,
     out = df
     if flag:
         out = out.select("*", *[F.col(c).isNull().alias(f"{c}_was_missing") for c in spec])
-    glob = _fills(df, spec, [])
     grp = _fills(df, spec, by) if by else {}
+    # global means come from the per-group sums (no second scan of the data)
+    derived = {c for c, how in spec.items() if how == "mean" and c in grp}
+    glob = _fills(df, {c: h for c, h in spec.items() if c not in derived}, [])
+    for c in derived:
+        glob[c] = grp[c].agg((F.sum(f"__sum_{c}") / F.sum(f"__cnt_{c}")).alias(c))
     if grp:
-        frames = [f.withColumnRenamed(c, f"__g_{c}") for c, f in grp.items()]
+        frames = [f.select(*by, F.col(c).alias(f"__g_{c}")) for c, f in grp.items()]
         g = frames[0]
         for f in frames[1:]:
             g = null_safe_join(g, f, by, "full")
