@@ -136,3 +136,18 @@ def test_exact_quantiles_with_hot_value(spark, buckets):
             assert got[r["k"]][c] == pytest.approx(r["p"][i], rel=1e-12)
     glob = exact_quantiles(df, "v", [0.5], names=["m"], buckets=buckets).first()
     assert glob["m"] == pytest.approx(df.filter("v is not null").agg(F.percentile("v", 0.5)).first()[0])
+
+
+def test_split_without_broadcast_small_tables(spark, ties, monkeypatch):
+    """Budgets forced to tiny values: bounds and bucket counts take the
+    shuffle-join path and the ranks stay exact."""
+    import rankforge.operators.ranking as R
+    monkeypatch.setattr(R, "BOUNDS_BUDGET", 3)
+    monkeypatch.setattr(R, "MAX_BROADCAST_ROWS", 2)
+    outs = {"rk": "rank", "drk": "dense_rank", "rn": "row_number"}
+    got = R.rank_columns(ties, ["g"], "v", outs, ties=["id"], max_group_rows=10)
+    exp = R.rank_columns(ties, ["g"], "v", outs, ties=["id"], buckets=None)
+    assert rows(got, ["id", "rk", "drk", "rn"]) == rows(exp, ["id", "rk", "drk", "rn"])
+    q = R.exact_quantiles(ties, "v", [0.5], ["g"], names=["m"], buckets=4)
+    e = R.exact_quantiles(ties, "v", [0.5], ["g"], names=["m"], buckets=None)
+    assert rows(q) == rows(e)
