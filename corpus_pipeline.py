@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rankforge.llm import lines, mixing, packing, quality, simhash
 from rankforge.llm.common import materialize
-from rankforge.llm.queries import tokenizer_path
+from rankforge.llm.queries import table, tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -55,7 +55,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return docs

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import lines, mixing, packing, quality, simhash, token_store
+from rankforge.llm import licenses, lines, mixing, packing, quality, simhash, token_store, toxicity
 from rankforge.llm.common import new_folder
 
 QUERIES: dict = {}
@@ -21,7 +23,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def import_path(spark: SparkSession) -> None:
+    """Let Python workers started from now on import this package from where the driver has it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), root]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    import_path(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -108,3 +119,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-store")
     shards = token_store.write_store(table(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
     return token_store.read_store(spark, folder, shards)
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
