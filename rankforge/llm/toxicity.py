@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
 1. Lexicon: words that labelled toxic rows hold far more often than labelled
-   clean ones (document frequencies over the labelled training rows).
+   clean ones, by document frequencies over at most ``LABELLED_ROWS`` labelled
+   training rows.
 2. Voters: ``LEXICON_VOTERS`` lexicon voters (the lexicon dealt out by rank, so
    that each holds strong and weak words) and pattern voters. Each votes or abstains.
 3. Label model: a generative model of the votes given the hidden class, with
@@ -20,6 +21,7 @@ Votes and features come from one pass over the whole texts.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 from rankforge.llm.common import materialize, small_side
 
 LEXICON_VOTERS = 6
-#: Bounds of what is fitted on the driver: lexicon words, and rows of the classifier's sample.
-LEXICON_WORDS, TRAIN_ROWS = 96, 20_000
+#: Bounds of what is fitted: labelled rows read for the lexicon, candidate words, lexicon words, rows of the classifier's sample.
+LABELLED_ROWS, CANDIDATES, LEXICON_WORDS, TRAIN_ROWS = 40_000, 20_000, 256, 20_000
 #: A word enters the lexicon if this many toxic training rows hold it, with this ratio of its rates in toxic and clean rows.
 MIN_ROWS, MIN_RATIO = 4, 20.0
 THRESHOLD = 0.3
@@ -53,32 +55,42 @@ def is_training(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2
 
 
-def lexicon(train: DataFrame, text: str = "text", toxic: str = "toxic") -> list[str]:
-    """At most ``LEXICON_WORDS`` words of the labelled rows, strongest first."""
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _word_counts(rows: DataFrame, among: list[str] | None) -> DataFrame:
+    """(word, n): rows whose text ``t`` holds a word; counted per batch before the shuffle."""
+    wanted = None if among is None else set(among)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found: dict[str, list[int]] = {}
-            for t, y in zip(b["t"], b["y"]):
-                for w in set(_WORD.findall((t or "").lower())):
-                    found.setdefault(w, [0, 0])[y] += 1
-            yield pd.DataFrame([(w, n, p) for w, (n, p) in found.items()], columns=["word", "clean", "toxic"])
+            n: Counter = Counter()
+            for t in b["t"]:
+                own = set(_WORD.findall((t or "").lower()))
+                n.update(own if wanted is None else own.intersection(wanted))
+            yield pd.DataFrame({"word": list(n.keys()), "n": list(n.values())})
+
+    return rows.select("t").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def lexicon(train: DataFrame, text: str = "text", toxic: str = "toxic") -> list[str]:
+    """At most ``LEXICON_WORDS`` words of the labelled rows, strongest first.
 
+    The words of the toxic rows are counted first; the clean rows are read for those only."""
     rows = train.select(F.col(text).alias("t"), F.col(toxic).cast("int").alias("y"))
     total = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     pos, neg = total.get(1, 0), total.get(0, 0)
     if not pos:
         return []
-    counts = (rows.mapInPandas(words, "word string, clean long, toxic long").groupBy("word")
-              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= MIN_ROWS))
-    ratio = (F.col("toxic") / pos) / ((F.col("clean") + 0.5) / (neg + 1))
-    best = counts.withColumn("r", ratio).where(F.col("r") >= MIN_RATIO).orderBy((F.col("r") * F.col("toxic")).desc(), "word").limit(LEXICON_WORDS)
-    return [r["word"] for r in best.collect()]
+    often = _word_counts(rows.where("y = 1"), None).where(F.col("n") >= MIN_ROWS).orderBy(F.desc("n"), "word").limit(CANDIDATES)
+    bad = {r["word"]: r["n"] for r in often.collect()}
+    good = {r["word"]: r["n"] for r in _word_counts(rows.where("y = 0"), list(bad)).collect()}
+    ratio = {t: (n / pos) / ((good.get(t, 0) + 0.5) / (neg + 1)) for t, n in bad.items()}
+    best = sorted((t for t in bad if ratio[t] >= MIN_RATIO), key=lambda t: (-ratio[t] * bad[t], t))
+    return best[:LEXICON_WORDS]
 
 
 def features(docs: DataFrame, words: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, votes: bits of the voters that fire, words: indices of the lexicon words held, n_words)."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    place = {w: i for i, w in enumerate(words)}
+    place = {t: i for i, t in enumerate(words)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -86,7 +98,7 @@ def features(docs: DataFrame, words: list[str], doc_id: str = "doc_id", text: st
             for t in b["text"]:
                 t = t or ""
                 ws = _WORD.findall(t.lower())
-                own = sorted({place[w] for w in set(ws).intersection(place)})
+                own = sorted(place[x] for x in set(ws).intersection(place))
                 v = 0
                 for i in own:
                     v |= 1 << i % LEXICON_VOTERS
@@ -209,7 +221,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
              .groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(F.col(toxic).cast("int")).alias("y")))
     known = small_side(materialize(known, "labels"), row_bytes=16)
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    words = lexicon(own.join(known, "doc_id").select("text", F.col("y").alias("toxic")))
+    share = min(1.0, LABELLED_ROWS / max(1, known.count()))
+    some = known.where(F.crc32(F.concat(F.lit("l"), F.col("doc_id").cast("string")).cast("binary")) <= int(share * (1 << 32)))
+    words = lexicon(own.join(small_side(materialize(some, "labels"), row_bytes=16), "doc_id").select("text", F.col("y").alias("toxic")))
     rows = materialize(features(own, words).join(known, "doc_id", "left"), "features")
     held_out = F.coalesce(~is_training(F.col("doc_id")), F.lit(False))
     if not words:
