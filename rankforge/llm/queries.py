@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import licenses, lines, mixing, packing, quality, simhash, token_store, toxicity
+from rankforge.llm import forest, licenses, lines, mixing, packing, quality, simhash, token_store, toxicity
 from rankforge.llm.common import new_folder
 
 QUERIES: dict = {}
@@ -129,3 +129,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op4_embedding_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
