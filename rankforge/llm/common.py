@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rankforge.session import materialize, scratch_path
 
-__all__ = ["materialize", "new_folder", "number_rows", "scratch_path", "small_side", "temp_name", "word_count"]
+__all__ = ["materialize", "new_folder", "number_rows", "release", "scratch_path", "small_side", "temp_name", "word_count"]
 
 #: Java / RE2 class of a word: anything but blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -65,3 +66,13 @@ def new_folder(spark, name: str) -> str:
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path)
     return files.makeQualified(path).toString()
+
+
+def release(spark, *tables: DataFrame) -> None:
+    """Delete materialised tables that are no longer needed, and let Spark drop the shuffle files of finished steps."""
+    for t in tables:
+        for f in {x.rpartition("/")[0] for x in t.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()  # the context cleaner follows the driver's garbage collection

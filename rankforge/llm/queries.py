@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import forest, licenses, lines, mixing, packing, quality, simhash, token_store, toxicity
+from rankforge.llm import forest, licenses, lines, mixing, packing, quality, simhash, suffixes, token_store, toxicity
 from rankforge.llm.common import new_folder
 
 QUERIES: dict = {}
@@ -134,3 +134,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_embedding_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.drop_repeats(table(spark, sf_dir, "documents"))
