@@ -15,8 +15,9 @@ A text's fingerprint has 64 bits. Two fingerprints are linked if at most
 So no link is lost. A bucket is (choice of blocks, their bits, segment,
 codeword index). Buckets are joined and verified in two steps, neither of
 which emits all pairs of a group: first every member is compared with the
-bucket's smallest fingerprint and the links are united; then only members of
-different components are compared with each other. Equal fingerprints are one
+bucket's smallest fingerprint (buckets of two or three, the random ones, are
+compared whole, from aggregates alone) and the links are united; then only
+members of different components are compared with each other. Equal fingerprints are one
 row throughout. ``z`` grows with the number of distinct fingerprints, which
 keeps the random share of a bucket small; results are the same for any ``z``.
 """
@@ -146,7 +147,7 @@ def bucket_keys(fp: np.ndarray, z: int) -> tuple[np.ndarray, np.ndarray]:
 
 def exact_blocks(n: int) -> int:
     """``z`` for ``n`` distinct fingerprints: about 2^(25, 33, 40) buckets per choice."""
-    return 1 if n < 1 << 23 else 2 if n < 1 << 31 else 3
+    return 1 if n < 1 << 22 else 2 if n < 1 << 30 else 3
 
 
 def links(fps: DataFrame, z: int | None = None) -> DataFrame:
@@ -162,11 +163,18 @@ def links(fps: DataFrame, z: int | None = None) -> DataFrame:
                 yield pd.DataFrame({"key": key, "fp": fp[row]})
 
     members = fps.mapInPandas(keys, "key long, fp long")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= MAX_BITS
-    shared = members.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("pivot")).where("n > 1").select("key", "pivot")
-    members = materialize(members.join(shared, "key"), "buckets")  # of buckets with two members or more
-    first = members.where(near & (F.col("fp") != F.col("pivot"))).select(F.col("fp").alias("u"), F.col("pivot").alias("v")).distinct()
-    first = materialize(first, "links")
+    shared = materialize(members.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("pivot"), F.max("fp").alias("top"),
+                                                    F.bit_xor("fp").alias("x")).where("n > 1"), "shared")
+    # two or three members are known from the bucket's smallest, largest and sum modulo 2
+    mid = F.col("pivot").bitwiseXOR(F.col("top")).bitwiseXOR(F.col("x"))
+    few = shared.where("n <= 3").select("n", "pivot", "top", mid.alias("mid"))
+    pairs = few.select(F.col("top").alias("u"), F.col("pivot").alias("v")).unionByName(
+        few.where("n = 3").select(F.col("mid").alias("u"), F.col("pivot").alias("v"))).unionByName(
+        few.where("n = 3").select(F.col("top").alias("u"), F.col("mid").alias("v")))
+    # members of larger buckets are compared with the smallest
+    members = materialize(members.join(shared.where("n > 3").select("key", "pivot"), "key"), "buckets")
+    pairs = pairs.unionByName(members.where("fp != pivot").select(F.col("fp").alias("u"), F.col("pivot").alias("v")))
+    first = materialize(pairs.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS).distinct(), "links")
     comp = components(first)
     named = (members.select("key", "fp").join(comp, F.col("fp") == F.col("node"), "left")
              .select("key", "fp", F.coalesce("root", "fp").alias("root")))
