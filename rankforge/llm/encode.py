@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,10 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Distinct pieces remembered before the memory is emptied, and texts' characters handled at a time.
-MEMORY, SLICE_CHARS = 1_200_000, 8 << 20
+#: Distinct pieces remembered (past it, those met once are forgotten), and texts' characters handled at a time.
+MEMORY, SLICE_CHARS = 800_000, 8 << 20
+#: Words encoded by one call: few enough to stay in the processor's cache.
+CALL = 128
 
 _SPACES = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
@@ -36,6 +39,11 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        # the same without its normalizer, for words that are normal already (the one of a public file: NFC and lower case)
+        self.bare = Tokenizer.from_file(path)
+        self.normal = self.bare.normalizer is not None
+        if self.normal:
+            self.bare.normalizer = None
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.mark = self.special[-1] if self.special else None
         self.mark_id = self.tok.token_to_id(self.mark) if self.mark else None
@@ -49,27 +57,43 @@ class Encoder:
 
     def _forget(self):
         self.code: dict[str, int] = {}
-        self.starts, self.lens, self.flat, self.used, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32), 0, 0
+        self.starts, self.lens, self.met = (np.zeros(1 << 16, np.int64) for _ in range(3))
+        self.flat, self.used, self.n = np.zeros(1 << 18, np.uint32), 0, 0
+
+    def _forget_rare(self):
+        """Keep the pieces met more than once; if they fill half the memory, none."""
+        keep = np.flatnonzero(self.met[: self.n] > 1)
+        if len(keep) > MEMORY // 2:
+            return self._forget()
+        words = list(self.code)  # in the order of their codes
+        starts, lens, flat = self.starts[keep], self.lens[keep], self.flat
+        self._forget()
+        total = int(lens.sum())
+        at = np.cumsum(lens) - lens
+        self._store([words[i] for i in keep.tolist()], flat[np.repeat(starts - at, lens) + np.arange(total)], lens)
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode and remember pieces; those of letters only are joined by blanks, since each is one word of the pattern."""
-        plain = [w for w in pieces if w.isalpha()]
-        for i in range(0, len(plain), 20_000):
-            part = plain[i: i + 20_000]
-            ids = np.array(self.tok.encode((" " if self.keeps_blank else "") + " ".join(part), add_special_tokens=False).ids, dtype=np.uint32)
+        plain, other = [], []
+        for w in pieces:
+            (plain if w.isalpha() and (not self.normal or w.isascii() or w.lower() == w and is_normalized("NFC", w)) else other).append(w)
+        parts = [plain[i: i + CALL] for i in range(0, len(plain), CALL)]
+        first = " " if self.keeps_blank else ""
+        for part, got in zip(parts, self.bare.encode_batch_fast([first + " ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(got.ids, dtype=np.uint32)
             edge = np.flatnonzero(self.edge[ids])
             if len(edge) != len(part):  # letters that the normalizer takes apart
-                self._learn_marked(part)
+                other += part
             elif self.keeps_blank:
                 self._store(part, ids, np.diff(np.append(edge, len(ids))))
             else:
                 self._store(part, ids, np.diff(np.concatenate([[-1], edge])))
-        self._learn_marked([w for w in pieces if not w.isalpha()])
+        self._learn_marked(other)
 
     def _learn_marked(self, pieces: list[str]) -> None:
         """The same for any pieces, joined by a special token."""
-        for i in range(0, len(pieces), 20_000):
-            part = pieces[i: i + 20_000]
+        for i in range(0, len(pieces), CALL):
+            part = pieces[i: i + CALL]
             texts = [w[1:] if w[:1] == "\0" else " " + w for w in part] if self.keeps_blank else part
             ids = np.array(self.tok.encode(self.mark.join(texts), add_special_tokens=False).ids, dtype=np.uint32)
             cut = np.flatnonzero(ids == self.mark_id)
@@ -79,7 +103,7 @@ class Encoder:
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.n + len(part) > len(self.starts):
-            self.starts, self.lens = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens))
+            self.starts, self.lens, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens, self.met))
         self.flat[self.used: self.used + len(ids)] = ids
         self.lens[self.n: self.n + len(part)] = lens
         self.starts[self.n: self.n + len(part)] = self.used + np.cumsum(lens) - lens
@@ -96,12 +120,17 @@ class Encoder:
         split = pc.split_pattern(texts, " ")
         enc = split.flatten().dictionary_encode()
         words = enc.dictionary.to_pylist()
-        if len(self.code) + len(words) > MEMORY:
-            self._forget()
-        new = [w for w in words if w not in self.code]
+        index = enc.indices.to_numpy()
+        get = self.code.get
+        new = [w for w in words if get(w) is None]
+        if self.n + len(new) > MEMORY and self.n:
+            self._forget_rare()
+            new = [w for w in words if w not in self.code]
         if new:
             self._learn(new)
-        code = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))[enc.indices.to_numpy()]
+        code = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        self.met[code] += np.bincount(index, minlength=len(words))
+        code = code[index]
         lens = self.lens[code]
         total = np.concatenate([[0], np.cumsum(lens)])
         ids = self.flat[np.repeat(self.starts[code] - total[:-1], lens) + np.arange(total[-1])]
