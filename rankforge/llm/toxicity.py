@@ -65,7 +65,7 @@ def _word_counts(rows: DataFrame, among: list[str] | None) -> DataFrame:
             for t in b["t"]:
                 own = set(_WORD.findall((t or "").lower()))
                 n.update(own if wanted is None else own.intersection(wanted))
-            yield pd.DataFrame({"word": list(n.keys()), "n": list(n.values())})
+            yield pd.DataFrame({"word": pd.Series(list(n.keys()), dtype=object), "n": pd.Series(list(n.values()), dtype="int64")})
 
     return rows.select("t").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
