@@ -25,9 +25,12 @@ def ratio(num: str | Column, den: str | Column) -> Column:
 
 
 def safe_corr(x: str | Column, y: str | Column) -> Column:
-    """Pearson r as an aggregate; NULL (not an ANSI error) when a side is
-    constant or there are fewer than two pairs."""
+    """Pearson r over the rows where both sides are present, as an aggregate;
+    NULL (not an ANSI error) when a side is constant over those rows or there
+    are fewer than two of them."""
     x, y = as_col(x).cast("double"), as_col(y).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
 
 

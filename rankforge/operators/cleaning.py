@@ -63,6 +63,7 @@ def _fills(df: DataFrame, spec: dict, by: list[str]) -> dict:
         aggs = []
         for c in means:
             x = F.col(c).cast("double")
+            x = F.when(~F.isnan(x), x)  # NaN is no value of a mean, as it is none of a median
             aggs += [F.avg(x).alias(c), F.sum(x).alias(f"__sum_{c}"), F.count(x).alias(f"__cnt_{c}")]
         g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
         out.update({c: g.select(*by, c, f"__sum_{c}", f"__cnt_{c}") for c in means})
@@ -117,9 +118,10 @@ def impute(df: DataFrame, spec: dict, by: Sequence[str] | None = None,
 def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """``column, n, mean, sd, min, q1, median, q3, max`` per column
     (sample sd; quartiles by linear interpolation). ``exact=False`` uses
-    ``percentile_approx``."""
+    ``percentile_approx``. A column without any value has n = 0 and NULLs."""
     long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], list(cols), "column", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")  # one row per column
     base = long.groupBy("column").agg(
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"),
         F.min("value").alias("min"), F.max("value").alias("max"))
@@ -130,8 +132,8 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = True) -> D
         q = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"), pa.alias("__q")).select(
             "column", "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
             F.col("__q")[2].alias("q3"))
-    res = base.join(q, "column")
-    return res.select("column", F.col("n").cast("bigint").alias("n"), "mean", "sd", "min",
+    res = names.join(base.join(q, "column"), "column", "left")
+    return res.select("column", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"), "mean", "sd", "min",
                       "q1", "median", "q3", "max")
 
 
@@ -184,51 +186,31 @@ def boxplot_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     return g
 
 
-MAX_PAIRWISE_COLUMNS = 60
+#: Pairs aggregated by one job; wider tables take several scans, with the same definition.
+PAIRS_PER_JOB = 400
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for each pair ``a <= b`` (in the given order), long form.
 
-    ``'pairwise'`` (default up to 60 columns): one aggregate with a
-    ``corr`` per pair over rows where both values are present; ``a = b``
-    gives 1 unless the column is constant (NULL). ``'matrix'`` (default
-    above 60 columns): ``ml.stat.Correlation`` over rows without any NULL,
-    one pass that builds the d x d matrix (returned to the driver, small)."""
+    Every pair is taken over the rows where both values are present, however
+    many columns there are; ``a = b`` gives 1 unless the column is constant
+    (NULL). One aggregate per ``PAIRS_PER_JOB`` pairs."""
     cols = list(cols)
-    if method == "auto":
-        method = "pairwise" if len(cols) <= MAX_PAIRWISE_COLUMNS else "matrix"
-    if method == "matrix":
-        return _correlation_ml(df, cols)
-    aggs, names = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    out = None
+    for at in range(0, len(pairs), PAIRS_PER_JOB):
+        aggs, names = [], []
+        for a, b in pairs[at: at + PAIRS_PER_JOB]:
             name = f"{a}\u0001{b}"
-            x, y = F.col(a).cast("double"), F.col(b).cast("double")
-            if a == b:
-                aggs.append(F.when(F.stddev_samp(x) > 0, F.lit(1.0)).alias(name))
-            else:
-                aggs.append(safe_corr(x, y).alias(name))
+            x = F.col(a).cast("double")
+            aggs.append((F.when(F.stddev_samp(x) > 0, F.lit(1.0)) if a == b else safe_corr(a, b)).alias(name))
             names.append(name)
-    long = df.agg(*aggs).unpivot([], names, "__pair", "r")
-    parts = F.split(F.col("__pair"), "\u0001")
-    return long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), "r")
-
-
-def _correlation_ml(df: DataFrame, cols: list[str]) -> DataFrame:
-    import math
-
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="skip").transform(
-        df.select([F.col(c).cast("double").alias(c) for c in cols]))
-    m = Correlation.corr(vec, "__v").first()[0].toArray()
-    out = []
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            v = float(m[i][j])
-            out.append((a, cols[j], None if math.isnan(v) else v))
-    return df.sparkSession.createDataFrame(out, "col_a string, col_b string, r double")
+        long = df.agg(*aggs).unpivot([], names, "__pair", "r")
+        parts = F.split(F.col("__pair"), "\u0001")
+        long = long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), "r")
+        out = long if out is None else out.unionByName(long)
+    return out
 
 
 def clean_records(df: DataFrame, key: Sequence[str], casts: dict | None = None,
@@ -240,12 +222,14 @@ def clean_records(df: DataFrame, key: Sequence[str], casts: dict | None = None,
     (``(column, ascending)`` pairs), then by all remaining columns.
 
     Returns ``(clean, dropped)``; ``dropped`` has a ``reason`` of
-    ``null_key``, ``bad_value`` or ``repeat``; clean + dropped = input.
+    ``null_key``, ``bad_value`` or ``repeat`` and the values as they came in,
+    text and type; clean + dropped = input. A row that a rule of ``order``
+    can't place (NULL there) comes after those it can.
     Keeping the first row is an aggregate (``min`` of a struct), so a hot
     key is combined map-side instead of being sorted in one task."""
     key, casts = list(key), dict(casts or {})
     cols = df.columns
-    x = df
+    x = df.withColumn("__raw", F.struct(*[F.col(c) for c in cols]))
     for f in df.schema.fields:
         if isinstance(f.dataType, T.StringType):
             t = F.trim(F.col(f.name))
@@ -271,5 +255,5 @@ def clean_records(df: DataFrame, key: Sequence[str], casts: dict | None = None,
 
     clean, rest = first_per_key(good, key, order)
     repeats = rest.withColumn("reason", F.lit("repeat"))
-    dropped = rejected.select(*cols, "reason").unionByName(repeats)
-    return clean, dropped
+    dropped = rejected.select("__raw.*", "reason").unionByName(repeats.select("__raw.*", "reason"))
+    return clean.select(*cols), dropped

@@ -47,13 +47,20 @@ def kmeans_fixed_start(df: DataFrame, id_col: str, cols: Sequence[str],
     then a final assignment: ``(id, cluster)`` and the final centres.
 
     Each step is one aggregate job; only k centre rows come back. An empty
-    cluster keeps its centre. The input is persisted for the loop (it is
-    recomputed from lineage if an executor is lost)."""
+    cluster keeps its centre. NULL coordinates are refused: impute first. The
+    input is persisted for the loop (it is recomputed from lineage if an
+    executor is lost)."""
     cols = list(cols)
     centres = [list(map(float, c)) for c in init]
     k = len(centres)
-    data = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    data = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
     data.persist(StorageLevel.MEMORY_AND_DISK)
+    gap = F.lit(False)
+    for c in cols:
+        gap = gap | F.col(c).isNull()
+    if data.filter(gap).limit(1).count():
+        data.unpersist()
+        raise ValueError("a coordinate is NULL: impute it or drop its row first")
     for _ in range(steps):
         a = assign_to_centres(data, cols, centres)
         means = a.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in cols]).limit(k + 1).collect()

@@ -23,16 +23,24 @@ from rankforge.operators.ranking import MAX_BROADCAST_ROWS, MAX_GROUP_ROWS
 
 
 def _order_field(df: DataFrame, c: str, asc: bool):
-    """An ascending sort field for ``c`` (descending = negated)."""
+    """Ascending sort fields for ``c``: whether it is missing, then its value
+    (descending: mirrored). A NULL comes last in either direction; whole
+    numbers are mirrored by their complement, which cannot overflow."""
     if asc:
-        return F.col(c)
+        return [F.col(c).isNull(), F.col(c)]
     dt = df.schema[c].dataType
-    if isinstance(dt, T.NumericType):
-        return -F.col(c)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(F.col(c).cast("timestamp"))
-    if isinstance(dt, T.DateType):
-        return -F.unix_date(F.col(c))
+    if isinstance(dt, T.IntegralType):
+        v = F.bitwise_not(F.col(c))
+    elif isinstance(dt, T.NumericType):
+        v = -F.col(c)
+    elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        v = F.bitwise_not(F.unix_micros(F.col(c).cast("timestamp")))
+    elif isinstance(dt, T.DateType):
+        v = F.bitwise_not(F.unix_date(F.col(c)))
+    else:
+        v = None
+    if v is not None:
+        return [F.col(c).isNull(), v]
     raise ValueError(f"descending order needs a numeric, date or timestamp column, {c} is not")
 
 
@@ -55,7 +63,7 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[tuple[str,
 
 def _sort_fields(df: DataFrame, key: list[str], order) -> list:
     rest_cols = [c for c in df.columns if c not in key]
-    return [_order_field(df, c, asc) for c, asc in order] + [F.col(c) for c in rest_cols]
+    return [f for c, asc in order for f in _order_field(df, c, asc)] + [F.col(c) for c in rest_cols]
 
 
 def _by_window(df: DataFrame, key: list[str], order) -> tuple[DataFrame, DataFrame]:
@@ -68,7 +76,7 @@ def _by_window(df: DataFrame, key: list[str], order) -> tuple[DataFrame, DataFra
 def _by_aggregate(df: DataFrame, key: list[str], order) -> tuple[DataFrame, DataFrame]:
     cols = df.columns
     rest_cols = [c for c in cols if c not in key]
-    fields = [_order_field(df, c, asc).alias(f"__o_{i}") for i, (c, asc) in enumerate(order)]
+    fields = [f.alias(f"__o_{i}") for i, f in enumerate(f for c, asc in order for f in _order_field(df, c, asc))]
     fields += [F.col(c).alias(f"__r_{c}") for c in rest_cols]
     kept = df.groupBy(*key).agg(F.min(F.struct(*fields)).alias("__s"), F.count(F.lit(1)).alias("__n"))
     first = kept.select(*key, *[F.col(f"__s.__r_{c}").alias(c) for c in rest_cols]).select(*cols)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.functions.columns import ratio, sanitize_name, unpivot_long
+from rankforge.functions.columns import null_safe_join, ratio, sanitize_name, unpivot_long
 from rankforge.operators.cleaning import histogram
 from rankforge.operators.ranking import DEFAULT_BUCKETS, rank_within
 
@@ -32,14 +32,15 @@ def field_profile(df: DataFrame, entity_id=None, entity: str = "entity", field:
                   metric: str = "citations", buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """per (entity, field): share of the entity's total, percent rank in
     the field (0 = best) and the gap to the field mean. Totals and means are
-    aggregates joined back (one row per entity / per field), not windows."""
+    aggregates joined back (one row per entity / per field), not windows. NULL
+    is an entity and a field like any other; no row is lost."""
     ent = df.groupBy(entity).agg(F.sum(metric).alias("__et"))
     fld = df.groupBy(field).agg(F.sum(metric).alias("__fs"), F.count(F.lit(1)).alias("__fn"))
     r = rank_within(df.select(entity, field, metric), [field], metric, "percent_rank",
                     out="pct_rank", buckets=buckets)
     if entity_id is not None:
         r = r.filter(F.col(entity) == F.lit(entity_id))
-    j = r.join(ent, entity).join(fld, field)
+    j = null_safe_join(null_safe_join(r, ent, [entity]), fld, [field])
     return j.select(entity, field,
                     ratio(F.col(metric).cast("double"), F.col("__et").cast("double")).alias("share_of_entity"),
                     "pct_rank",
@@ -144,12 +145,16 @@ def field_values(df: DataFrame, field: str, max_fields: int = DEFAULT_MAX_FIELDS
 
 def profile_matrix(df: DataFrame, entity: str = "entity", field: str = "field",
                    value: str = "citations", fields: Sequence | None = None,
-                   max_fields: int = DEFAULT_MAX_FIELDS, strict: bool = True) -> DataFrame:
+                   max_fields: int = DEFAULT_MAX_FIELDS, strict: bool = True, null_field: str | None = None) -> DataFrame:
     """one row per entity, one column ``f_<field>`` per field with the
     summed value (0 when absent). The pivot always gets an explicit value
     list, so Spark plans one aggregate and the width is bounded. With an
     explicit list and ``strict``, a field value outside it raises (one
-    bounded check job) instead of being dropped silently."""
+    bounded check job) instead of being dropped silently. Values without a
+    field go to the column ``null_field`` if one is named; else they raise
+    when ``strict``."""
+    if null_field is None and strict and df.filter(F.col(field).isNull() & F.col(value).isNotNull()).limit(1).count():
+        raise ValueError(f"{value} without a {field}: name a null_field for it")
     if fields is not None and strict:
         extra = df.select(field).filter(F.col(field).isNotNull() & ~F.col(field).isin(*list(fields))).limit(1)
         found = extra.collect()
@@ -159,8 +164,12 @@ def profile_matrix(df: DataFrame, entity: str = "entity", field: str = "field",
     if len(fields) > max_fields:
         raise ValueError(f"{len(fields)} fields exceed max_fields={max_fields}")
     names = [f"f_{sanitize_name(v)}" for v in fields]
-    if len(set(names)) != len(names):
+    if len({*names, null_field}) != len(names) + 1:
         raise ValueError("field values collide after sanitising")
     p = df.groupBy(entity).pivot(field, fields).agg(F.sum(value))
-    return p.select(entity, *[F.coalesce(F.col(f"`{v}`").cast("double"), F.lit(0.0)).alias(n)
+    out = p.select(entity, *[F.coalesce(F.col(f"`{v}`").cast("double"), F.lit(0.0)).alias(n)
                              for v, n in zip(fields, names)])
+    if null_field is None:
+        return out
+    rest = df.groupBy(entity).agg(F.coalesce(F.sum(F.when(F.col(field).isNull(), F.col(value))).cast("double"), F.lit(0.0)).alias(null_field))
+    return null_safe_join(out, rest, [entity])

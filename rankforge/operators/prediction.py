@@ -60,15 +60,17 @@ def predict_ranks(coefs: DataFrame, train: DataFrame, df: DataFrame, x: str = "d
                   by: Sequence[str] = ("field",), entity: str = "entity", entity_id=None,
                   log_x: bool = True, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """``raw = slope * f(x) + intercept`` clamped to >= 1; groups without
-    coefficients fall back to the training mean of ``y``. ``predicted_rank``
-    re-ranks raw ascending inside the group (ties share a rank)."""
+    coefficients fall back to the training mean of ``y``. A row without ``x``
+    has no prediction (NULL raw and rank). ``predicted_rank`` re-ranks raw
+    ascending inside the group (ties share a rank)."""
     by = list(by)
     mu = train.agg(F.avg(F.col(y).cast("double"))).scalar()
     xs = F.log1p(F.col(x).cast("double")) if log_x else F.col(x).cast("double")
     j = null_safe_join(df, coefs.select(*by, "slope", "intercept"), by, "left")
     raw = F.coalesce(F.col("slope") * xs + F.col("intercept"), mu)
-    j = j.withColumn("raw", F.greatest(raw, F.lit(1.0)))
+    j = j.withColumn("raw", F.when(xs.isNotNull(), F.greatest(raw, F.lit(1.0))))
     r = rank_within(j, by, "raw", "rank", ascending=True, out="predicted_rank", buckets=buckets)
+    r = r.withColumn("predicted_rank", F.when(F.col("raw").isNotNull(), F.col("predicted_rank")))
     if entity_id is not None:
         r = r.filter(F.col(entity) == F.lit(entity_id))
     return r.select(entity, *by, F.col(y).cast("bigint").alias(y), "raw", "predicted_rank")

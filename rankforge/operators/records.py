@@ -56,7 +56,9 @@ def apply_changes(base: DataFrame, changes: DataFrame, on: Sequence[str], seq_co
     """K4: apply a change batch, the latest change per key (by ``seq_col``)
     wins. ``D`` removes the row, ``U`` / ``I`` set the given columns (a U on a
     missing key inserts; a D on a missing key does nothing). With
-    ``partial=True`` a NULL in a change column keeps the old value.
+    ``partial=True`` a NULL in a change column keeps the old value. A change
+    without a ``seq_col`` has no place in the order and is refused. Base rows
+    with a NULL key part match no change and pass through as they are.
 
     The latest change per key comes from ``first_per_key`` (a window for
     keys with few changes, an aggregate for hot keys, so a key with
@@ -64,6 +66,8 @@ def apply_changes(base: DataFrame, changes: DataFrame, on: Sequence[str], seq_co
     join on the key."""
     on = list(on)
     vals = [c for c in base.columns if c not in on]
+    if changes.filter(F.col(seq_col).isNull()).limit(1).count():
+        raise ValueError(f"a change has no {seq_col}")
     if check_ties:
         tie = changes.groupBy(*on, seq_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
         if tie.count():
@@ -71,7 +75,11 @@ def apply_changes(base: DataFrame, changes: DataFrame, on: Sequence[str], seq_co
     ch = changes.select(*on, seq_col, op_col, *vals)
     last, _ = first_per_key(ch, on, [(seq_col, False)])
     last = last.select(*on, F.col(op_col).alias("__op"), *[F.col(c).alias(f"__n_{c}") for c in vals])
-    j = base.withColumn("__in_base", F.lit(True)).join(last, on, "full")
+    unkeyed = F.lit(False)
+    for c in on:
+        unkeyed = unkeyed | F.col(c).isNull()
+    # rows without a key would all meet in one task of the join
+    j = base.filter(~unkeyed).join(last, on, "full")
     j = j.filter(F.col("__op").isNull() | (F.upper(F.col("__op")) != "D"))
     changed = F.col("__op").isNotNull()
     out = []
@@ -80,4 +88,4 @@ def apply_changes(base: DataFrame, changes: DataFrame, on: Sequence[str], seq_co
         if partial:
             new = F.coalesce(new, F.col(c))
         out.append(F.when(changed, new).otherwise(F.col(c)).cast(base.schema[c].dataType).alias(c))
-    return j.select(*on, *out).select(*base.columns)
+    return j.select(*on, *out).select(*base.columns).unionByName(base.filter(unkeyed))

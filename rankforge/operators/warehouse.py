@@ -153,12 +153,19 @@ def migrate_dimension(stage: DataFrame, natural_key: Sequence[str], attrs: Seque
                       order: Sequence[str], key: str = "key") -> DataFrame:
     """M3: one row per natural key; attributes from the row with the smallest
     ``order`` (then smallest attributes); ``n_variants`` = distinct attribute
-    combinations, so conflicts are reported, not hidden. One aggregate: a hot
-    natural key is combined map-side."""
+    combinations, so conflicts are reported, not hidden. Text keys are trimmed
+    before they are grouped; a row with a NULL or blank key part has no key
+    and is left out. One aggregate: a hot natural key is combined map-side."""
     natural_key, attrs, order = list(natural_key), list(attrs), list(order)
+    whole = F.lit(True)
+    for c in natural_key:
+        if isinstance(stage.schema[c].dataType, T.StringType):
+            stage = stage.withColumn(c, F.trim(F.col(c)))
+            whole = whole & (F.col(c) != "")
+        whole = whole & F.col(c).isNotNull()
     pick = F.min(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
                           *[F.col(a).alias(a) for a in attrs]))
-    g = stage.filter(F.coalesce(*[F.col(c).isNotNull() for c in natural_key])) \
+    g = stage.filter(whole) \
         .groupBy(*natural_key).agg(pick.alias("__p"),
                                    F.count_distinct(F.struct(*attrs)).cast("bigint").alias("n_variants"))
     return g.select(_nk_key(natural_key).alias(key), *natural_key,
@@ -172,13 +179,13 @@ def migrate_facts(stage: DataFrame, dims: Sequence[tuple[str, DataFrame, str, st
     ``dims`` = ``(name, dimension, stage_col, dim_value_col, dim_key_col)``.
     Returns ``(facts, orphans)``: facts carry ``<name>_key`` for each
     dimension plus ``keep``; orphans carry the staging columns and
-    ``missing_dim``, the first dimension without a match. Dimensions are
-    small and get broadcast by AQE; the staging side is never shuffled
-    for them."""
+    ``missing_dim``, the first dimension without a match. Text is trimmed for
+    the match, as the dimensions' values are."""
     x = stage
     for name, dim, scol, vcol, kcol in dims:
         d = dim.select(F.col(vcol).alias(f"__v_{name}"), F.col(kcol).alias(f"{name}_key"))
-        x = x.join(d, x[scol] == d[f"__v_{name}"], "left").drop(f"__v_{name}")
+        own = F.trim(x[scol]) if isinstance(stage.schema[scol].dataType, T.StringType) else x[scol]
+        x = x.join(d, own == d[f"__v_{name}"], "left").drop(f"__v_{name}")
     missing = F.lit(None).cast("string")
     for name, *_ in reversed(dims):
         missing = F.when(F.col(f"{name}_key").isNull(), F.lit(name)).otherwise(missing)

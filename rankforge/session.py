@@ -3,7 +3,10 @@ shared scratch folder (taken from ``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -35,13 +38,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set, as in a local test,
-    a folder is made and registered as the checkpoint dir."""
+    checkpoint dir). Only a local session (one machine, as in tests) may
+    leave both unset: it gets a temporary folder, removed at exit. On a
+    cluster an unset folder is an error, since its machines share no disk."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="rankforge-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

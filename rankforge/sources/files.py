@@ -41,7 +41,8 @@ def read_csv_glob(spark: SparkSession, pattern: str, schema: T.StructType, tag_r
     path does not match. Partition inference from folder names is off so
     that only the declared schema appears."""
     df = read_csv_table(spark, pattern, schema, corrupt, recursiveFileLookup=True, **options)
-    path = F.url_decode(F.col("_metadata.file_path"))
+    # percent escapes only: a plus sign in a path is a plus sign
+    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     tag = F.regexp_extract(path, tag_regex, 1)
     out = df.withColumn(tag_col, F.when(tag != "", tag))
     cols = [f.name for f in schema.fields] + [tag_col] + ([corrupt] if corrupt else [])

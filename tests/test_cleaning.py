@@ -98,10 +98,30 @@ def test_clean_records_reasons_and_totals(spark):
     assert clean.count() + dropped.count() == raw.count()
 
 
-def test_correlation_matrix_ml_path_agrees(spark):
-    df = spark.createDataFrame([(float(i), float(i * i % 7), float(3 * i + 1)) for i in range(30)],
+def test_correlation_is_over_pairs_whatever_the_width(spark):
+    df = spark.createDataFrame([(float(i), None if i % 3 == 0 else 2.0 * i + 1, float(i * i % 7)) for i in range(30)],
                                "a double, b double, c double")
-    pw = {(r["col_a"], r["col_b"]): r["r"] for r in C.correlation_matrix(df, ["a", "b", "c"]).collect()}
-    ml = {(r["col_a"], r["col_b"]): r["r"] for r in C.correlation_matrix(df, ["a", "b", "c"], "matrix").collect()}
-    assert pw.keys() == ml.keys()
-    assert all(pw[k] == pytest.approx(ml[k], abs=1e-9) for k in pw)
+    r = {(x["col_a"], x["col_b"]): x["r"] for x in C.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    assert r["a", "b"] == pytest.approx(1.0)  # a line, half of it missing
+    wide = df.select("a", "b", *[F.col("c").alias(f"c{i}") for i in range(29)])
+    w = {(x["col_a"], x["col_b"]): x["r"] for x in C.correlation_matrix(wide, wide.columns).collect()}
+    assert len(w) == 31 * 32 // 2 and w["a", "b"] == pytest.approx(1.0) and w["b", "c7"] == pytest.approx(r["b", "c"])
+
+
+def test_dropped_records_keep_their_text(spark):
+    df = spark.createDataFrame([("1", " 5 "), ("1", "x9"), (" ", "4"), ("2", None)], "k string, v string")
+    clean, dropped = C.clean_records(df, ["k"], casts={"v": "int"})
+    assert sorted((r.k, r.v) for r in clean.collect() if r.v is not None) == [("1", 5)]
+    assert sorted(tuple(r) for r in dropped.collect()) == [(" ", "4", "null_key"), ("1", "x9", "bad_value")]
+
+
+def test_summary_of_a_column_without_values(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    got = {r["column"]: r for r in C.numeric_summary(df, ["a", "b"]).collect()}
+    assert got["b"]["n"] == 0 and got["b"]["median"] is None and got["a"]["n"] == 2
+
+
+def test_mean_fill_leaves_out_nan(spark):
+    df = spark.createDataFrame([("g", 1.0), ("g", float("nan")), ("g", None)], "g string, x double")
+    got = [r["x"] for r in C.impute(df, {"x": "mean"}, by=["g"]).collect() if r["x_was_missing"]]
+    assert got == [1.0]
