@@ -17,7 +17,10 @@ but no task sorts more than a bounded number of rows:
      of hot groups x buckets rows, never data rows);
   4. rank = offset + rank() over (group, bucket).
 
-The bounds only balance work; any bounds give the same, exact ranks.
+The bounds only balance work; any bounds give the same, exact ranks. Where
+buckets can't split a group (``row_number`` and ``ntile`` inside one hot value,
+or more bounds than may be broadcast), its rows are sorted over the cluster
+with their position as last tie, and ranks are differences of positions.
 Small tables (group sizes, bounds, bucket counts) are broadcast only after
 their row count is checked; otherwise they are shuffle-joined.
 """
@@ -30,18 +33,17 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rankforge.functions.columns import null_safe_join
+from rankforge.session import materialize
 
 AUTO = "auto"
 DEFAULT_BUCKETS = AUTO
 MIN_BUCKETS = 32             # buckets of a whole-table rank, at least
-MAX_BUCKETS = 16384
 MAX_GROUP_ROWS = 2_000_000   # rows one window task may sort
 BUCKET_ROWS = 500_000        # target rows per bucket of a split group
 MAX_BROADCAST_ROWS = 200_000  # small-side rows that may be broadcast
-BOUNDS_BUDGET = 4_000_000     # bound values (doubles, ~32 MB) that may be broadcast in all
+BOUNDS_BUDGET = 4_000_000     # bound values (doubles, ~32 MB) that may be broadcast in all; past it: positions
 QUANTILE_ACCURACY = 10000
 METHODS = ("rank", "dense_rank", "row_number", "percent_rank", "ntile")
 
@@ -123,7 +125,9 @@ def _auto(df, by, metric, specs, ascending, ties, total_col, max_group_rows):
     """Plain windows for groups that fit one task, value buckets for the rest."""
     if not by:
         n = df.agg(F.count(F.lit(1))).first()[0]
-        b = min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n / BUCKET_ROWS)))
+        b = max(MIN_BUCKETS, math.ceil(n / BUCKET_ROWS))
+        if b > BOUNDS_BUDGET or (n > max_group_rows and _needs_order(specs)):
+            return _by_position(df, by, metric, specs, ascending, ties, total_col)
         return _split(df, by, metric, specs, ascending, ties, b, total_col, hot=None)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__gn"))
     hot = sizes.filter(F.col("__gn") > max_group_rows).persist(StorageLevel.MEMORY_AND_DISK)
@@ -131,12 +135,79 @@ def _auto(df, by, metric, specs, ascending, ties, total_col, max_group_rows):
     if not top[1]:
         hot.unpersist()
         return _plain(df, by, metric, specs, ascending, ties, total_col)
-    # buckets follow the largest group, capped so that the bounds of all hot
-    # groups stay broadcastable (no bounds array is ever copied into data rows)
-    b = min(MAX_BUCKETS, max(2, math.ceil(top[0] / BUCKET_ROWS)), max(2, BOUNDS_BUDGET // top[1]))
+    # buckets follow the largest group; no bounds array is ever copied into data rows
+    b = max(2, math.ceil(top[0] / BUCKET_ROWS))
+    if b * top[1] > BOUNDS_BUDGET or _needs_order(specs):
+        hk = _broadcast_if(hot.select(*by), MAX_BROADCAST_ROWS)
+        cond = [df[k].eqNullSafe(hk[k]) for k in by]
+        cold = _plain(df.join(hk, cond, "left_anti"), by, metric, specs, ascending, ties, total_col)
+        return cold.unionByName(_by_position(df.join(hk, cond, "left_semi"), by, metric, specs, ascending, ties, total_col))
     return _split(df, by, metric, specs, ascending, ties, b, total_col, hot=hot.select(*by))
 
 
+def _needs_order(specs) -> bool:
+    """Whether a method orders equal values too, so that one hot value can't be spread."""
+    return any(method in ("row_number", "ntile") for _, method, _ in specs)
+
+
+def _positions(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """``df`` plus its 0-based place in the order: a cluster-wide sort, written
+    once, and the row counts of the partitions before (one row each)."""
+    tie = "__at"
+    s = df.withColumn(tie, F.monotonically_increasing_id()).orderBy(*order, tie)
+    s = materialize(s.withColumn(tie, F.monotonically_increasing_id()), "positions")
+    part = F.shiftright(F.col(tie), 33)
+    n = s.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__k"))
+    n = n.select("__p", (F.sum("__k").over(Window.orderBy("__p")) - F.col("__k")).alias("__o"))
+    s = s.withColumn("__p", part).join(F.broadcast(n), "__p")
+    return s.withColumn(name, F.col("__o") + F.col(tie) - F.shiftleft(F.col("__p"), 33)).drop(tie, "__p", "__o")
+
+
+def _ntile(rn: Column, tot: Column, n_tiles: int) -> Column:
+    """Same split as SQL NTILE: the first N % n tiles get one extra row."""
+    q = F.floor(tot / F.lit(n_tiles)).cast("bigint")
+    r = (tot % F.lit(n_tiles)).cast("bigint")
+    big = r * (q + 1)
+    return F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1) \
+        .otherwise(r + F.floor((rn - 1 - big) / F.greatest(q, F.lit(1))) + 1).cast("bigint")
+
+
+def _by_position(df, by, metric, specs, ascending, ties, total_col):
+    """Every rank from row positions: no group, value or run of equal rows meets in one task."""
+    methods = {s[1] for s in specs}
+    keys = [F.col(k).asc_nulls_first() for k in by]
+    x = _positions(df, [*keys, *_order(metric, ascending, ties)], "__pos")
+
+    if by:
+        group = x.groupBy(*by).agg(F.min("__pos").alias("__start"), F.count(F.lit(1)).alias("__tot"))
+        x = null_safe_join(x, group, by, "inner")
+    else:
+        x = x.withColumns({"__start": F.lit(0), "__tot": x.agg(F.count(F.lit(1))).scalar()})
+    if methods & {"rank", "dense_rank", "percent_rank"}:
+        v = x.groupBy(*by, metric).agg(F.min("__pos").alias("__first"))
+        if "dense_rank" in methods:
+            v = _positions(v, [*keys, *_order(metric, ascending, [])], "__vpos")
+            v = null_safe_join(v, v.groupBy(*by).agg(F.min("__vpos").alias("__vlow")), by, "inner") if by else v.withColumn("__vlow", F.lit(0))
+            v = v.withColumn("__dense", F.col("__vpos") - F.col("__vlow") + 1).drop("__vpos", "__vlow")
+        x = null_safe_join(x, v, [*by, metric], "inner")
+    rn, tot = F.col("__pos") - F.col("__start") + 1, F.col("__tot")
+    for out, method, n_tiles in specs:
+        if method == "row_number":
+            val = rn.cast("bigint")
+        elif method == "ntile":
+            val = _ntile(rn, tot, n_tiles)
+        elif method == "dense_rank":
+            val = F.col("__dense").cast("bigint")
+        else:
+            val = (F.col("__first") - F.col("__start") + 1).cast("bigint")
+            if method == "percent_rank":
+                val = F.when(tot > 1, (val - 1).cast("double") / (tot - 1).cast("double")).otherwise(F.lit(0.0))
+        x = x.withColumn(out, val)
+    if total_col:
+        x = x.withColumn(total_col, tot.cast("bigint"))
+    return x.drop("__pos", "__start", "__tot", "__first", "__dense")
+
+
 def _with_bucket(x: DataFrame, metric: str, bounds: str, buckets: int, ascending: bool,
                  out: str = "__b") -> DataFrame:
     """Add ``out`` = the row's bucket: how many of the sorted ``bounds`` lie
@@ -185,15 +256,16 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
         if hot is not None:
             hk = F.broadcast(hot) if _small(hot) else hot
             src = src.join(hk, [src[k].eqNullSafe(hk[k]) for k in by], "left_semi")
-        bounds = src.groupBy(*by).agg(bounds_expr).persist(StorageLevel.MEMORY_AND_DISK)
+        bounds = src.groupBy(*by).agg(bounds_expr, F.lit(True).alias("__s")).persist(StorageLevel.MEMORY_AND_DISK)
         x = null_safe_join(df, _broadcast_if(bounds, max(1, BOUNDS_BUDGET // buckets)), by, "left")
         small = _small(bounds, max(1, MAX_BROADCAST_ROWS // (buckets + 1)))
     else:
         small = True
-        x = df.withColumn("__bounds", df.agg(bounds_expr).scalar())
-    split = F.col("__bounds").isNotNull()
+        x = df.withColumn("__bounds", df.agg(bounds_expr).scalar()).withColumn("__s", F.lit(True))
+    # a group whose metric is NULL throughout has no bounds, but is split all the same: its rows are the last bucket
+    x = x.withColumn("__s", F.coalesce(F.col("__s"), F.lit(False)))
     x = _with_bucket(x, metric, "__bounds", buckets, ascending)
-    x = x.withColumn("__b", F.when(split, F.col("__b")).otherwise(F.lit(0))).withColumn("__s", split)
+    x = x.withColumn("__b", F.when(F.col("__s"), F.col("__b")).otherwise(F.lit(0)))
     x = x.drop("__bounds")
 
     aggs = [F.count(F.lit(1)).alias("__n"), F.min(m).alias("__mn"), F.max(m).alias("__mx")]
@@ -217,11 +289,10 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
     one = F.coalesce(F.col("__one"), F.lit(False))
     part = by + ["__b"]
     if not methods & {"row_number", "ntile"}:
-        # such a bucket needs no order, so it is spread by a row hash: one hot
-        # value (say a third of the rows NULL) never lands in one task
-        hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-        sub = F.pmod(F.xxhash64(*hashable), F.lit(buckets)) if hashable else F.lit(0)
-        x = x.withColumn("__sub", F.when(one, sub).otherwise(F.lit(0)))
+        # such a bucket needs no order, so it is spread by row position: one hot
+        # value (say a third of the rows NULL, or equal rows) never lands in one task
+        x = x.withColumn("__sub", F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
+        x = x.withColumn("__sub", F.when(one, F.col("__sub")).otherwise(F.lit(0)))
         part = part + ["__sub"]
     w = Window.partitionBy(*part).orderBy(*_order(metric, ascending, []))
     wt = Window.partitionBy(*part).orderBy(*_order(metric, ascending, ties))
@@ -242,13 +313,8 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
         elif method == "percent_rank":
             r = off + F.when(one, F.lit(1)).otherwise(F.rank().over(w))
             val = F.when(tot > 1, (r - 1).cast("double") / (tot - 1).cast("double")).otherwise(F.lit(0.0))
-        else:  # ntile, same split as SQL NTILE: the first N % n tiles get one extra row
-            rn = off + F.row_number().over(wt)
-            q = F.floor(tot / F.lit(n_tiles)).cast("bigint")
-            r = (tot % F.lit(n_tiles)).cast("bigint")
-            big = r * (q + 1)
-            val = F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1) \
-                .otherwise(r + F.floor((rn - 1 - big) / F.greatest(q, F.lit(1))) + 1).cast("bigint")
+        else:
+            val = _ntile(off + F.row_number().over(wt), tot, n_tiles)
         x = x.withColumn(out, val)
     if total_col:
         x = x.withColumn(total_col, tot.cast("bigint"))
@@ -304,13 +370,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         if not top or top <= MAX_GROUP_ROWS:
             # every group fits one task: one sort per group is cheapest
             return _quantiles_from_ranks(base, by, probs, names)
-        buckets = max(2, min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(top / BUCKET_ROWS)),
-                             BOUNDS_BUDGET // n_groups))
+        buckets = max(MIN_BUCKETS, math.ceil(top / BUCKET_ROWS))
+        if buckets * n_groups > BOUNDS_BUDGET:
+            return _quantiles_from_ranks(base, by, probs, names,
+                                         _by_position(base, by, "__v", [("__r", "rank", None)], True, [], "__t"))
     return _quantiles_targeted(base, by, probs, names, int(buckets))
 
 
-def _quantiles_from_ranks(base, by, probs, names):
-    ranked = rank_within(base, by, "__v", "rank", ascending=True, out="__r", buckets=None, total_col="__t")
+def _quantiles_from_ranks(base, by, probs, names, ranked=None):
+    if ranked is None:
+        ranked = rank_within(base, by, "__v", "rank", ascending=True, out="__r", buckets=None, total_col="__t")
     aggs = [F.max("__t").alias("n")]
     pos0 = F.col("__r") - 1  # 0-based first position of the row's value
     for p, name in zip(probs, names):

@@ -8,9 +8,11 @@ from rankforge import session
 from rankforge.operators import clustering as U
 from rankforge.operators import features as Fe
 from rankforge.operators import prediction as P
+from rankforge.operators import ranking
 from rankforge.operators import records as R
 from rankforge.operators import warehouse as W
 from rankforge.operators.dedup import first_per_key
+from rankforge.operators.ranking import rank_columns
 from rankforge.sources import read_csv_glob
 
 
@@ -87,3 +89,54 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
         session.checkpoint_root(Session())
     Session.conf = {"spark.checkpoint.dir": "hdfs://x/y/"}
     assert session.checkpoint_root(Session()) == "hdfs://x/y"
+
+
+RANKS = {"r": "rank", "d": "dense_rank", "n": "row_number", "p": "percent_rank", "t": ("ntile", 3)}
+
+
+@pytest.mark.parametrize("by", [["g"], []])
+def test_ranks_from_positions_equal_plain_windows(spark, by):
+    df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(
+        [("a", 5.0)] * 30 + [("a", None)] * 7 + [(None, float(k % 4)) for k in range(20)] + [("c", 1.0), ("b", None)])],
+        "g string, v double, i int").repartition(5)
+    want = rank_columns(df, by, "v", RANKS, ties=["i"], total_col="tot", buckets=None) if by else \
+        rank_columns(df.withColumn("one", F.lit(1)), ["one"], "v", RANKS, ties=["i"], total_col="tot", buckets=None).drop("one")
+    got = rank_columns(df, by, "v", RANKS, ties=["i"], total_col="tot", max_group_rows=10)
+    assert sorted(got.columns) == sorted(want.columns) and rows(got, want.columns) == rows(want)
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Small inputs stay in many partitions, so that rows per task can be told."""
+    own = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0",
+           "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("values", [[7.0] * 4000, [None] * 4000, [7.0] * 2000 + [None] * 2000])
+@pytest.mark.parametrize("methods", [{"r": "rank"}, {"n": "row_number"}])
+def test_no_task_ranks_a_whole_hot_group(spark, small_splits, values, methods):
+    df = spark.createDataFrame([("g", v, i % 3) for i, v in enumerate(values)], "g string, v double, t int").repartition(8)
+    got = rank_columns(df, ["g"], "v", methods, ties=["t"], max_group_rows=500)
+    per_task = [r[0] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*")).select("count(1)").collect()]
+    assert sum(per_task) == 4000 and max(per_task) < 2000
+
+
+def test_equal_rows_of_one_column_are_spread(spark, small_splits):
+    df = spark.createDataFrame([(1.0,)] * 4000, "v double").repartition(8)
+    got = rank_columns(df, [], "v", {"r": "rank"})
+    per_task = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    assert per_task < 2000 and got.where("r != 1").count() == 0
+
+
+def test_quantiles_past_the_bounds_budget(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 3, float(i * 7 % 101)) for i in range(300)], "g int, v double")
+    want = rows(ranking.exact_quantiles(df, "v", [0.25, 0.5], ["g"], buckets=None))
+    monkeypatch.setattr(ranking, "MAX_GROUP_ROWS", 10)
+    monkeypatch.setattr(ranking, "BOUNDS_BUDGET", 5)
+    assert rows(ranking.exact_quantiles(df, "v", [0.25, 0.5], ["g"])) == want
