@@ -34,8 +34,8 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            for i in range(0, len(b), 1024):
-                part = b.slice(i, 1024)
+            for i in range(0, len(b), 4096):  # the encoder bounds the characters it holds
+                part = b.slice(i, 4096)
                 ids, counts = enc.encode([x or "" for x in part.column(1).to_pylist()])
                 rows: list = [[] for _ in names]
                 at = 0

@@ -155,8 +155,8 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc
                                               names=["part", "shard", "file", "n_docs", "n_ids"])
 
         for b in batches:
-            for i in range(0, len(b), 512):
-                s = b.slice(i, 512)
+            for i in range(0, len(b), 4096):  # the encoder bounds the characters it holds
+                s = b.slice(i, 4096)
                 ids, counts = enc.encode(s.column(1).to_pylist())
                 at = 0
                 for key, n in zip(s.column(0).to_pylist(), counts.tolist()):
