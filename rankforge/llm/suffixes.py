@@ -20,8 +20,10 @@ removed. The order is built over chunks, not bytes:
 4. Merge of the rest: windows that begin at or before unsampled positions or
    end inside a chunk. They are settled cell by cell under their anchor
    gram: cells with equal bytes are one class, a class with two members is
-   repeated as a whole, and the open windows of single cells are compared,
-   byte for byte by hash, with those of the other classes of their gram.
+   repeated as a whole, and the open windows of single cells are compared
+   with those of the other classes of their gram: first by the bytes that
+   ``BAND`` windows in a row have in common, then, where those are shared,
+   window by window.
 
 Steps 2 and 3 only ever settle windows that are repeated; step 4 settles
 all that they leave, so the result is exact (64-bit hashes apart) whatever
@@ -43,9 +45,11 @@ from pyspark.sql import functions as F
 
 from rankforge.llm.common import materialize, release, small_side
 
-WINDOW, GRAM = 200, 64
+WINDOW, GRAM = 200, 80
 #: Rounds of naming; r rounds order suffixes by 3 ** r chunks (more rounds settle more in step 3, results are the same).
 ROUNDS = 3
+#: Windows compared at once, by what they have in common, before they are compared one by one.
+BAND = 16
 #: Bytes parsed at a time.
 SEGMENT = 4 << 20
 
@@ -175,10 +179,13 @@ def _named(strings: DataFrame, step: int) -> DataFrame:
             if out:
                 yield pd.concat(out)
 
-    rows = materialize(strings.mapInPandas(triples, "tid long, i int, a long, b long, c long"), "triples")
-    names = materialize(rows.select("a", "b", "c").distinct().orderBy("a", "b", "c")
-                        .select("a", "b", "c", (F.monotonically_increasing_id() + 1).alias("name")), "names")
-    return rows.join(names, ["a", "b", "c"]).groupBy("tid").agg(F.collect_list(F.struct("i", "name")).alias("at"))
+    rows = _step(strings.mapInPandas(triples, "tid long, i int, a long, b long, c long"), "triples")
+    names = _step(rows.select("a", "b", "c").distinct().orderBy("a", "b", "c")
+                  .select("a", "b", "c", (F.monotonically_increasing_id() + 1).alias("name")), "names")
+    placed = rows.join(names, ["a", "b", "c"]).groupBy("tid").agg(F.collect_list(F.struct("i", "name")).alias("at"))
+    placed = _step(_place(placed), "strings")
+    release(strings.sparkSession, rows, names)
+    return placed
 
 
 def _place(strings: DataFrame) -> DataFrame:
@@ -200,8 +207,9 @@ def sampled_order(parsed: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(tid, name array): rank of each sampled chunk suffix by its first 3 ** rounds chunks."""
     names = _named(parsed.select("tid", F.col("chunk").alias("name")), 1)
     for r in range(1, rounds):
-        names = _named(materialize(_place(names), "strings"), 3 ** r)
-    return materialize(_place(names), "strings")
+        before, names = names, _named(names, 3 ** r)
+        release(parsed.sparkSession, before)
+    return names
 
 
 def _common(a: tuple, b: tuple) -> int:
@@ -221,7 +229,8 @@ def adjacent_repeats(parsed: DataFrame, order: DataFrame, window: int) -> DataFr
             rows = []
             for tid, start, size, chunk, name in zip(b["tid"].tolist(), b["start"], b["size"], b["chunk"], b["name"]):
                 for i in np.flatnonzero(name).tolist():
-                    want, j = size[i] + window - 1, i  # all windows that begin in chunk i
+                    # all windows that begin in chunk i, and in the unsampled one after it
+                    want, j = size[i] + (size[i + 1] if i % 3 == 2 and i + 1 < len(size) else 0) + window - 1, i
                     while j < len(chunk) and chunk[j] and want > 0:
                         want -= size[j]
                         j += 1
@@ -297,17 +306,35 @@ def _merge(cells: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     key = ["gram", "span", "head"]
     cells = cells.withColumn("head", F.col("anchor") - F.col("lo"))
     grams = cells.where("open_lo IS NOT NULL").select("gram").distinct()
-    cells = materialize(cells.join(grams, "gram", "left_semi"), "open-cells")
+    cells = _step(cells.join(grams, "gram", "left_semi"), "open-cells")
     # cells of equal bytes are one class; its representative is its smallest member
     classes = cells.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("tid", "anchor", "lo", "hi", "open_lo", "open_hi")).alias("r"))
-    classes = materialize(classes, "classes")
+    classes = _step(classes, "classes")
     whole = cells.where("open_lo IS NOT NULL").join(classes.where("n > 1").select(*key), key, "left_semi").select("tid", "lo", "hi")
     single = (classes.where("n = 1 AND r.open_lo IS NOT NULL").groupBy("gram")
               .agg(F.min(F.expr("r.open_lo - r.anchor")).alias("from"), F.max(F.expr("r.open_hi - r.anchor")).alias("to")))
     asked = (classes.join(single, "gram")
-             .select("gram", "r.tid", F.greatest("r.lo", F.expr("r.anchor + `from`")).alias("a"), F.least("r.hi", F.expr("r.anchor + `to`")).alias("e"),
-                     (F.expr("n = 1 AND r.open_lo IS NOT NULL")).alias("open")).where("a <= e"))
-    asked = asked.groupBy("tid").agg(F.collect_list(F.struct("gram", "a", "e", "open")).alias("asked"))
+             .select("gram", "r.tid", "r.anchor", F.greatest("r.lo", F.expr("r.anchor + `from`")).alias("a"),
+                     F.least("r.hi", F.expr("r.anchor + `to`")).alias("e"), F.expr("n = 1 AND r.open_lo IS NOT NULL").alias("open")).where("a <= e"))
+    asked = asked.groupBy("tid").agg(F.collect_list(F.struct("gram", "anchor", "a", "e", "open")).alias("asked"))
+
+    def bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        h = xxhash.xxh3_64_intdigest
+        for b in batches:
+            rows = []
+            for tid, data, wanted in zip(b["tid"].tolist(), b["data"], b["asked"]):
+                for r in wanted:
+                    x = r["anchor"]
+                    for j in range((x - r["e"]) // BAND, (x - r["a"]) // BAND + 1):
+                        top = x - j * BAND  # the band's windows begin at top - BAND + 1 .. top
+                        rows.append((r["gram"], j, _signed(h(data[top: top - BAND + 1 + window])), tid,
+                                     max(r["a"], top - BAND + 1), min(r["e"], top), r["open"]))
+            yield pd.DataFrame(rows, columns=["gram", "band", "hash", "tid", "a", "e", "open"])
+
+    key = ["gram", "band", "hash"]
+    found = _step(texts.join(asked, "tid").mapInPandas(bands, "gram long, band int, hash long, tid long, a int, e int, open boolean"), "bands")
+    shared = found.groupBy(*key).agg(F.count("*").alias("n"), F.max("open").alias("any")).where("n > 1 AND any").select(*key)
+    wanted = found.join(shared, key, "left_semi").groupBy("tid").agg(F.collect_list(F.struct("gram", "a", "e", "open")).alias("asked"))
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h = xxhash.xxh3_64_intdigest
@@ -316,29 +343,44 @@ def _merge(cells: DataFrame, texts: DataFrame, window: int) -> DataFrame:
                 rows = [(r["gram"], _signed(h(data[p: p + window])), tid, p, r["open"]) for r in wanted for p in range(r["a"], r["e"] + 1)]
                 yield pd.DataFrame(rows, columns=["gram", "hash", "tid", "p", "open"])
 
-    seen = materialize(texts.join(asked, "tid").mapInPandas(windows, "gram long, hash long, tid long, p int, open boolean"), "windows")
+    seen = _step(texts.join(wanted, "tid").mapInPandas(windows, "gram long, hash long, tid long, p int, open boolean"), "windows")
+    release(texts.sparkSession, found)
     twice = seen.groupBy("gram", "hash").agg(F.count("*").alias("n")).where("n > 1").select("gram", "hash")
-    found = seen.where("open").join(twice, ["gram", "hash"], "left_semi").select("tid", F.col("p").alias("lo"), F.col("p").alias("hi"))
-    return whole.unionByName(found)
+    same = seen.where("open").join(twice, ["gram", "hash"], "left_semi").select("tid", F.col("p").alias("lo"), F.col("p").alias("hi"))
+    merged = _step(whole.unionByName(same), "merged")
+    release(texts.sparkSession, cells, classes, seen)
+    return merged
+
+
+def _step(df: DataFrame, name: str) -> DataFrame:
+    """Materialise, and let go of the shuffle files that led here."""
+    df = materialize(df, name)
+    release(df.sparkSession)
+    return df
 
 
 def repeated_windows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Rows (tid, data: bytes; equal texts have equal tids) -> ((tid, lo, hi): starts of repeated windows, texts with a repeated gram)."""
     spark = texts.sparkSession
-    grams = materialize(_gram_rows(texts, window, gram), "grams")
+    grams = _step(_gram_rows(texts, window, gram), "grams")
     often = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     found = grams.join(often, "gram").groupBy("tid").agg(F.collect_set("gram").alias("grams"))  # at most a text's anchors
-    found = materialize(found, "repeated-grams")
+    found = _step(found, "repeated-grams")
+    release(spark, grams)
     some = small_side(found.select("tid"), row_bytes=8)
     own = texts.join(some, "tid", "left_semi").dropDuplicates(["tid"]).join(found, "tid")
-    own = materialize(own, "texts")
-    release(spark, grams)
-    parsed = materialize(_parse(own, window, gram), "parsed")
+    own = _step(own, "texts")
+    parsed = _step(_parse(own, window, gram), "parsed")
+    release(spark, found)
     data = own.select("tid", "data")
-    settled = materialize(adjacent_repeats(parsed, sampled_order(parsed, rounds), window), "settled")
-    release(spark)
-    cells = materialize(_open_cells(parsed, settled), "cells")
-    return materialize(settled.unionByName(_merge(cells, data, window)), "repeats"), data
+    order = sampled_order(parsed, rounds)
+    settled = _step(adjacent_repeats(parsed, order, window), "settled")
+    release(spark, order)
+    cells = _step(_open_cells(parsed, settled), "cells")
+    release(spark, parsed)
+    merged = _merge(cells, data, window)
+    release(spark, cells)
+    return settled.unionByName(merged), data
 
 
 def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM,
