@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import materialize
+from rankforge.llm.common import materialize, release
+
+#: Edges a task of a round writes, about: a small graph isn't dealt out over many files.
+EDGES = 100_000
 
 
 def _mark(e: DataFrame) -> tuple:
@@ -20,8 +23,9 @@ def components(edges: DataFrame) -> DataFrame:
     larger neighbours on its smallest one, so the rounds grow with the
     logarithm of the graph. The minimum per node combines before the shuffle
     and the joins on a hot node can be split; no neighbour list is built.
-    Each round is written to the shared folder. Loops and repeated edges are
-    harmless; nodes without an edge are not returned."""
+    Each round is written to the shared folder and replaces the one before.
+    Loops and repeated edges are harmless; nodes without an edge are not
+    returned."""
     e = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .where("u != v").distinct(), "edges")
     mark = _mark(e)
@@ -32,7 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        small = materialize(small, "edges")
+        small = materialize(small.coalesce(mark[0] // EDGES + 1), "edges")
+        release(edges.sparkSession, e)
         now = _mark(small)
         e, mark, same = small, now, now == mark
         if same:

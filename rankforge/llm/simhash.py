@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import materialize, small_side, temp_name
+from rankforge.llm.common import materialize, release, small_side, temp_name
 from rankforge.llm.components import components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -175,12 +175,14 @@ def links(fps: DataFrame, z: int | None = None) -> DataFrame:
     members = materialize(members.join(shared.where("n > 3").select("key", "pivot"), "key"), "buckets")
     pairs = pairs.unionByName(members.where("fp != pivot").select(F.col("fp").alias("u"), F.col("pivot").alias("v")))
     first = materialize(pairs.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS).distinct(), "links")
+    release(fps.sparkSession, shared)
     comp = components(first)
     named = (members.select("key", "fp").join(comp, F.col("fp") == F.col("node"), "left")
              .select("key", "fp", F.coalesce("root", "fp").alias("root")))
-    named = materialize(named, "named")
-    split = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-    named = materialize(named.join(split, "key"), "split")  # buckets whose members aren't all united yet
+    whole = materialize(named, "named")
+    split = whole.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
+    named = materialize(whole.join(split, "key"), "split")  # buckets whose members aren't all united yet
+    release(fps.sparkSession, members, whole)
     a, b = named.alias("a"), named.alias("b")
     more = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & (F.col("a.root") != F.col("b.root"))
                    & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= MAX_BITS))
@@ -190,7 +192,9 @@ def links(fps: DataFrame, z: int | None = None) -> DataFrame:
     top = comp.join(over.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left") \
         .select("node", F.coalesce("top", "root").alias("root"))
     alone = over.join(comp.select("node"), "node", "left_anti")
-    return materialize(top.unionByName(alone), "components")
+    out = materialize(top.unionByName(alone), "components")
+    release(fps.sparkSession, fps, named, first, more, comp, over)
+    return out
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS,
