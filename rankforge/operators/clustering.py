@@ -146,11 +146,17 @@ def choose_k(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int],
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
     vec = VectorAssembler(inputCols=list(cols), outputCol="__raw").transform(df)
     vec = StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True).fit(vec).transform(vec)
     vec = vec.select(id_col, "features").persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
     for k in ks:
+        if k == 1:  # one cluster: the squared distances to the mean, which is 0 after scaling
+            z = vector_to_array(F.col("features"))
+            cost, n = vec.agg(F.sum(F.aggregate(z, F.lit(0.0), lambda a, x: a + x * x)), F.count(F.lit(1))).first()
+            rows.append((1, float(cost or 0.0), None, [n]))
+            continue
         m = KMeans(k=k, seed=seed).fit(vec)
         pred = m.transform(vec)
         sil = ClusteringEvaluator().evaluate(pred) if k > 1 else None

@@ -56,6 +56,38 @@ def fit_rank_linear(train: DataFrame, x: str = "docs", y: str = "rank", by: Sequ
     return g.filter(F.col("__dx") >= 2).drop("__dx")
 
 
+def raw_prediction(coefs: DataFrame, train: DataFrame, df: DataFrame, x: str = "docs", y: str = "rank",
+                   by: Sequence[str] = ("field",), log_x: bool = True) -> DataFrame:
+    """``df`` plus ``raw``, the P1 prediction before any re-rank (see ``predict_ranks``)."""
+    by = list(by)
+    mu = train.agg(F.avg(F.col(y).cast("double"))).scalar()
+    xs = F.log1p(F.col(x).cast("double")) if log_x else F.col(x).cast("double")
+    j = null_safe_join(df, coefs.select(*by, "slope", "intercept"), by, "left")
+    raw = F.coalesce(F.col("slope") * xs + F.col("intercept"), mu)
+    return j.withColumn("raw", F.when(xs.isNotNull(), F.greatest(raw, F.lit(1.0)))).drop("slope", "intercept")
+
+
+def save_model(model, path: str) -> None:
+    """Write a fitted pipeline under ``path``, in place of an earlier one."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str):
+    from pyspark.ml import PipelineModel
+    return PipelineModel.load(path)
+
+
+def predict_with_model(model, df: DataFrame, y: str = "rank", by: Sequence[str] = ("field",), entity: str = "entity",
+                       buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+    """P3 with a fitted (or loaded) pipeline: its prediction clamped to >= 1 as
+    ``raw``, re-ranked ascending inside the group as ``predicted_rank``."""
+    by = list(by)
+    p = model.transform(df).withColumn("raw", F.when(F.col("prediction").isNotNull(), F.greatest("prediction", F.lit(1.0))))
+    r = rank_within(p.select(entity, *by, y, "raw"), by, "raw", "rank", ascending=True, out="predicted_rank", buckets=buckets)
+    return r.select(entity, *by, F.col(y).cast("bigint").alias(y), "raw",
+                    F.when(F.col("raw").isNotNull(), F.col("predicted_rank")).alias("predicted_rank"))
+
+
 def predict_ranks(coefs: DataFrame, train: DataFrame, df: DataFrame, x: str = "docs", y: str = "rank",
                   by: Sequence[str] = ("field",), entity: str = "entity", entity_id=None,
                   log_x: bool = True, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
@@ -64,11 +96,7 @@ def predict_ranks(coefs: DataFrame, train: DataFrame, df: DataFrame, x: str = "d
     has no prediction (NULL raw and rank). ``predicted_rank`` re-ranks raw
     ascending inside the group (ties share a rank)."""
     by = list(by)
-    mu = train.agg(F.avg(F.col(y).cast("double"))).scalar()
-    xs = F.log1p(F.col(x).cast("double")) if log_x else F.col(x).cast("double")
-    j = null_safe_join(df, coefs.select(*by, "slope", "intercept"), by, "left")
-    raw = F.coalesce(F.col("slope") * xs + F.col("intercept"), mu)
-    j = j.withColumn("raw", F.when(xs.isNotNull(), F.greatest(raw, F.lit(1.0))))
+    j = raw_prediction(coefs, train, df, x, y, by, log_x)
     r = rank_within(j, by, "raw", "rank", ascending=True, out="predicted_rank", buckets=buckets)
     r = r.withColumn("predicted_rank", F.when(F.col("raw").isNotNull(), F.col("predicted_rank")))
     if entity_id is not None:
@@ -181,16 +209,19 @@ def feature_weights(model, df: DataFrame | None = None) -> list[tuple[str, float
 
 
 def compare_models(train: DataFrame, test: DataFrame, specs: dict, label: str = "rank",
-                   by: str = "field") -> DataFrame:
+                   by: str = "field", p1_x: str | None = "docs") -> DataFrame:
     """Each spec (``name -> kwargs of train_rank_model``) is trained on
     the same train rows and scored on the same test rows, next to the
-    constant baseline "train mean per field"; ``model, n, mae, rmse, r2``.
-    A failing spec raises."""
+    constant baseline "train mean per field" and the closed-form model of P1
+    on ``p1_x``; ``model, n, mae, rmse, r2``. A failing spec raises."""
     frames = []
     mu = train.agg(F.avg(F.col(label).cast("double"))).scalar()
     base_means = train.groupBy(by).agg(F.avg(F.col(label).cast("double")).alias("prediction"))
     base = test.join(base_means, by, "left").withColumn("prediction", F.coalesce("prediction", mu))
     frames.append(regression_metrics(base, label, "prediction").withColumn("model", F.lit("baseline_mean")))
+    if p1_x:
+        p1 = raw_prediction(fit_rank_linear(train, p1_x, label, [by]), train, test, p1_x, label, [by])
+        frames.append(regression_metrics(p1, label, "raw").withColumn("model", F.lit("p1_linear")))
     for name, kw in specs.items():
         model = train_rank_model(train, label=label, **kw)
         pred = model.transform(test.withColumn(label, F.col(label).cast("double")))

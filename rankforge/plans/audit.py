@@ -24,8 +24,10 @@ def plan_text(df: DataFrame) -> str:
 
 
 def audit(df: DataFrame) -> dict:
-    """``{'shuffles', 'broadcasts', 'flags'}`` for the current physical plan
-    (the final adaptive plan once the frame has been executed)."""
+    """``{'shuffles', 'broadcasts', 'flags'}`` of the plan that ran: the frame
+    itself is executed (nothing reaches the driver) and its final adaptive
+    plan is read. Writing the frame would plan anew and show the initial one."""
+    df._jdf.queryExecution().toRdd().count()
     plan = plan_text(df)
     flags = []
     if _NESTED.search(plan):

@@ -89,10 +89,11 @@ def export_meta(df: DataFrame) -> DataFrame:
 
 def export_json(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     """Write records as line-delimited JSON and the metadata sidecar next
-    to it (``<path>/_meta``, one JSON row per column); returns the sidecar
-    frame read back from storage."""
+    to it (``<path>/_meta``, one JSON row per column), taken from the written
+    data, so the input is computed once; returns the sidecar frame read back
+    from storage."""
     df.write.mode(mode).json(f"{path}/data")
-    export_meta(df).coalesce(1).write.mode(mode).json(f"{path}/_meta")
+    export_meta(df.sparkSession.read.schema(df.schema).json(f"{path}/data")).coalesce(1).write.mode(mode).json(f"{path}/_meta")
     spark = df.sparkSession
     meta_schema = T.StructType([T.StructField("column", T.StringType()), T.StructField("type", T.StringType()),
                                 T.StructField("n_rows", T.LongType()), T.StructField("n_missing", T.LongType()),
