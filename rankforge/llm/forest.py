@@ -1,9 +1,11 @@
 """Embedding near-dedup with a forest of random-projection trees.
 
 Every tree splits the unit vectors again and again by a random direction (the
-difference of two of the node's sample vectors, the widest of a few) at the
-median; vectors within a margin of the cut go to both sides (spill). The trees
-are fitted on a bounded sample and then route every vector. Vectors that share
+difference of two of the node's sample vectors, of a few the one that spills
+least) at the median; vectors within a margin of the cut go to both sides
+(spill). A node whose sides would overlap by more than ``OVERLAP`` stays a leaf:
+its vectors are too close to be told apart by a cut. The trees are fitted on a
+bounded sample and then route every vector. Vectors that share
 a leaf of any tree are compared in double precision; pairs at or above the
 threshold are links, none below is. Links of all trees are united.
 
@@ -26,7 +28,9 @@ from rankforge.llm.common import materialize, small_side
 from rankforge.llm.components import components
 
 THRESHOLD = 0.95
-TREES, LEAF, TILE = 10, 256, 1024
+TREES, LEAF, TILE = 8, 256, 1024
+#: Most a split may add to the vectors of a node, as a share of them.
+OVERLAP = 0.25
 #: The trees are fitted on at most so many vectors; every vector is routed.
 SAMPLE = 20_000
 SEED = 11
@@ -40,7 +44,7 @@ class Tree:
         todo = [(np.arange(len(sample)), None, 0)]
         while todo:
             rows, parent, side = todo.pop()
-            split = self._split(sample[rows], rng) if len(rows) * scale > leaf and len(rows) >= 8 else None
+            split = self._split(sample[rows], rng, margin) if len(rows) * scale > leaf and len(rows) >= 8 else None
             if split is None:
                 me = -(self.leaves + 1)
                 self.leaves += 1
@@ -56,19 +60,19 @@ class Tree:
         self.axis = np.array(axes).reshape(len(axes), sample.shape[1])
 
     @staticmethod
-    def _split(x: np.ndarray, rng: np.random.Generator):
-        best = None
-        for _ in range(4):
+    def _split(x: np.ndarray, rng: np.random.Generator, margin: float):
+        best, least = None, OVERLAP * len(x)
+        for _ in range(6):
             a, b = rng.choice(len(x), 2, replace=False)
             axis = x[a] - x[b]
             size = np.linalg.norm(axis)
             if size < 1e-9:
                 continue
             p = x @ (axis / size)
-            if best is None or p.std() > best[2].std():
-                best = axis / size, float(np.median(p)), p
-        if best is None or best[2].min() >= best[1] or best[2].max() <= best[1]:
-            return None  # the vectors don't spread: they stay one leaf
+            cut = float(np.median(p))
+            spill = int((np.abs(p - cut) <= margin).sum())
+            if spill <= least and p.min() < cut - margin and p.max() > cut + margin:
+                best, least = (axis / size, cut, p), spill
         return best
 
     def route(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
