@@ -45,7 +45,7 @@ def _u1(spark, d):
 
 
 @register("u4_cost_of_one_cluster", f"""WITH {PM_SQL}
-SELECT 1 AS k, ROUND((COUNT(*) - 1) * ({" + ".join(f"CASE WHEN STDDEV_SAMP({c}) > 0 THEN 1 ELSE 0 END" for c in F_COLS)}), 3) AS cost FROM pm""")
+SELECT 1 AS k, ROUND((COUNT(*) - 1) * ({" + ".join(f"CASE WHEN STDDEV_SAMP({c}) > 0 THEN 1.0 ELSE 0.0 END" for c in F_COLS)}), 3)::DOUBLE AS cost FROM pm""")
 def _u4(spark, d):
     return U.choose_k(_profile(spark, d), "entity", F_COLS, [1]).select("k", F.round("cost", 3).alias("cost"))
 
