@@ -67,7 +67,7 @@ def repeated_words(words: list[bytes]) -> int:
 
 
 def judge(text: str | None) -> tuple:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, lost_chars, clean_text) of a text."""
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, lost_chars, failing lines from 0) of a text."""
     t = text or ""
     words = t.encode("utf-8", "surrogatepass").split()  # bytes split at ASCII white space only
     lines = t.split("\n")
@@ -84,24 +84,18 @@ def judge(text: str | None) -> tuple:
     lost = sum(len(x) for x, b in zip(lines, fails) if b)
     held = sum(len(x) for x, f in zip(lines, full) if f)
     kept = not failed and 100 * lost <= MAX_LOST_PERCENT * held
-    clean = None if text is None else "\n".join(x for x, b in zip(lines, fails) if not b)
     return (len(words), len(t) - sum(t.count(c) for c in _BLANKS), sum(t.count(c) for c in SYMBOLS), dup, repeat,
-            failed, kept, lost, clean)
+            failed, kept, lost, [i for i, b in enumerate(fails) if b])
 
 
 _STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars"]
 _TYPE = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-         "base_failed boolean, kept boolean, lost_chars long, clean_text string")
+         "base_failed boolean, kept boolean, lost_chars long, failing array<int>")
 
 
 def _judge_all(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for s in texts:
-        yield pd.DataFrame([judge(x) for x in s], columns=[*_STATS, "clean_text"])
-
-
-def _judge_stats(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for s in texts:
-        yield pd.DataFrame([judge(x)[:-1] for x in s], columns=_STATS)
+        yield pd.DataFrame([judge(x) for x in s], columns=[*_STATS, "failing"])
 
 
 def quality_stats(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -112,11 +106,16 @@ def quality_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     gives an empty result."""
     q = temp_name("q")
     rest = [c for c in docs.columns if c not in _STATS and c != text]
-    return docs.select(*rest, F.pandas_udf(_judge_stats, _TYPE.rsplit(",", 1)[0])(F.col(text)).alias(q)).select(*rest, f"{q}.*")
+    return docs.select(*rest, F.pandas_udf(_judge_all, _TYPE)(F.col(text)).alias(q)).select(*rest, *[f"{q}.{c}" for c in _STATS])
 
 
 def clean_documents(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Rows of ``docs`` that the rules keep, without their failing lines; columns unchanged."""
+    """Rows of ``docs`` that the rules keep, without their failing lines; columns unchanged.
+
+    Only the numbers of the failing lines come back from Python, not the texts."""
     q = temp_name("q")
     found = docs.withColumn(q, F.pandas_udf(_judge_all, _TYPE)(F.col(text))).where(F.col(f"{q}.kept"))
-    return found.select(*[F.col(f"{q}.clean_text").alias(c) if c == text else F.col(c) for c in docs.columns])
+    failing = F.col(f"{q}.failing")
+    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(failing, i)), "\n")
+    clean = F.when(F.size(failing) == 0, F.col(text)).otherwise(left)
+    return found.select(*[clean.alias(c) if c == text else F.col(c) for c in docs.columns])
