@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rankforge.session import materialize, scratch_path
 
-__all__ = ["materialize", "new_folder", "number_rows", "release", "scratch_path", "small_side", "temp_name", "word_count"]
+__all__ = ["free_memory", "materialize", "new_folder", "number_rows", "release", "scratch_path", "small_side", "temp_name", "word_count"]
 
 #: Java / RE2 class of a word: anything but blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -76,3 +76,14 @@ def release(spark, *tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
     spark._jvm.System.gc()  # the context cleaner follows the driver's garbage collection
+
+
+def free_memory() -> None:
+    """Give freed memory of a Python worker back to the system: workers live on from job to job."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)

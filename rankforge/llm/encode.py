@@ -23,10 +23,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from rankforge.llm.common import free_memory
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Distinct pieces remembered (past it, those met once are forgotten), and texts' characters handled at a time.
-MEMORY, SLICE_CHARS = 800_000, 8 << 20
+MEMORY, SLICE_CHARS = 800_000, 4 << 20
 #: Words encoded by one call: few enough to stay in the processor's cache.
 CALL = 128
 
@@ -36,8 +38,9 @@ _SPACES = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2
 class Encoder:
     """``encode(texts) -> (ids, counts)``: all ids in order, and how many each text has."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = 0):
         from tokenizers import Tokenizer
+        self.memory = memory or MEMORY
         self.tok = Tokenizer.from_file(path)
         # the same without its normalizer, for words that are normal already (the one of a public file: NFC and lower case)
         self.bare = Tokenizer.from_file(path)
@@ -63,7 +66,7 @@ class Encoder:
     def _forget_rare(self):
         """Keep the pieces met more than once; if they fill half the memory, none."""
         keep = np.flatnonzero(self.met[: self.n] > 1)
-        if len(keep) > MEMORY // 2:
+        if len(keep) > self.memory // 2:
             return self._forget()
         words = list(self.code)  # in the order of their codes
         starts, lens, flat = self.starts[keep], self.lens[keep], self.flat
@@ -123,7 +126,7 @@ class Encoder:
         index = enc.indices.to_numpy()
         get = self.code.get
         new = [w for w in words if get(w) is None]
-        if self.n + len(new) > MEMORY and self.n:
+        if self.n + len(new) > self.memory and self.n:
             self._forget_rare()
             new = [w for w in words if w not in self.code]
         if new:
@@ -159,6 +162,7 @@ class Encoder:
             ids.append(a)
             counts.append(n)
             start = stop
+        free_memory()
         return (np.concatenate(ids), np.concatenate(counts)) if ids else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,6 +181,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and tokenizer file."""
-    return Encoder(path)
+def encoder(path: str, memory: int = 0) -> Encoder:
+    """One encoder per Python worker, tokenizer file and number of pieces remembered."""
+    return Encoder(path, memory)

@@ -23,6 +23,8 @@ from rankforge.llm.common import materialize, number_rows, small_side
 from rankforge.llm.encode import encoder
 
 SEQUENCE, END_ID = 4096, 2
+#: Pieces of text the encoder of a Python worker remembers: the pipeline leaves it less room than a job of its own.
+MEMORY = 400_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", sequence: int = SEQUENCE,
@@ -32,7 +34,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, MEMORY)
         for b in batches:
             for i in range(0, len(b), 4096):  # the encoder bounds the characters it holds
                 part = b.slice(i, 4096)

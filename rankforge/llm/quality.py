@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import temp_name
+from rankforge.llm.common import free_memory, temp_name
 
 # Fixed values of the rules.
 MIN_WORDS = 50
@@ -96,6 +96,7 @@ _TYPE = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 def _judge_all(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for s in texts:
         yield pd.DataFrame([judge(x) for x in s], columns=[*_STATS, "failing"])
+        free_memory()
 
 
 def quality_stats(docs: DataFrame, text: str = "text") -> DataFrame:
