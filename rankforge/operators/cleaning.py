@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.columns import equal_width_bin, is_integer_text, null_safe_join, safe_corr
+from rankforge.functions.joins import join_back
 from rankforge.operators.dedup import first_per_key
 from rankforge.operators.ranking import exact_quantiles
 
@@ -99,7 +100,7 @@ def impute(df: DataFrame, spec: dict, by: Sequence[str] | None = None,
         g = frames[0]
         for f in frames[1:]:
             g = null_safe_join(g, f, by, "full")
-        out = null_safe_join(out, g, by, "left")
+        out = join_back(out, g, by, "left")
     for c, how in spec.items():
         target = df.schema[c].dataType
         if isinstance(how, tuple):
@@ -147,7 +148,7 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] | None = Non
     vals = df.select(*by, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
     if by:
         bounds = vals.groupBy(*by).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-        vals = null_safe_join(vals, bounds, by, "inner")
+        vals = join_back(vals, bounds, by)
         lo, hi = F.col("__lo"), F.col("__hi")
     else:
         lo, hi = vals.agg(F.min("__v")).scalar(), vals.agg(F.max("__v")).scalar()
@@ -174,7 +175,7 @@ def boxplot_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"]).drop("n")
     vals = df.select(*by, F.col(col).cast("double").alias("__v")).filter(
         F.col("__v").isNotNull() & ~F.isnan("__v"))
-    j = null_safe_join(vals, q, by, "inner")
+    j = join_back(vals, q, by)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - F.lit(1.5) * iqr, F.col("q3") + F.lit(1.5) * iqr
     inside = (F.col("__v") >= lo_f) & (F.col("__v") <= hi_f)

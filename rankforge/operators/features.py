@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.columns import null_safe_join, ratio, sanitize_name, unpivot_long
+from rankforge.functions.joins import join_back
 from rankforge.operators.cleaning import histogram
 from rankforge.operators.ranking import DEFAULT_BUCKETS, rank_within
 
@@ -40,7 +41,7 @@ def field_profile(df: DataFrame, entity_id=None, entity: str = "entity", field:
                     out="pct_rank", buckets=buckets)
     if entity_id is not None:
         r = r.filter(F.col(entity) == F.lit(entity_id))
-    j = null_safe_join(null_safe_join(r, ent, [entity]), fld, [field])
+    j = join_back(join_back(r, ent, [entity]), fld, [field])
     return j.select(entity, field,
                     ratio(F.col(metric).cast("double"), F.col("__et").cast("double")).alias("share_of_entity"),
                     "pct_rank",
@@ -118,7 +119,7 @@ def encode_categories(train: DataFrame, df: DataFrame, cols: Sequence[str], meth
                 F.sum(F.col(target).cast("double")).alias("__sy"), F.count(F.lit(1)).alias("__n"))
             enc = st.select(c, ((F.col("__sy") + F.lit(smoothing) * mu) /
                                 (F.col("__n").cast("double") + F.lit(smoothing))).alias(f"{c}_te"))
-            out = out.join(enc, c, "left").withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), mu))
+            out = join_back(out, enc, [c], "left").withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), mu))
         return out
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
     idx = StringIndexer(inputCols=cols, outputCols=[f"{c}_idx" for c in cols],

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.columns import null_safe_join
+from rankforge.functions.joins import join_back
 from rankforge.operators.ranking import DEFAULT_BUCKETS, exact_quantiles, rank_within
 
 
@@ -62,7 +63,7 @@ def raw_prediction(coefs: DataFrame, train: DataFrame, df: DataFrame, x: str = "
     by = list(by)
     mu = train.agg(F.avg(F.col(y).cast("double"))).scalar()
     xs = F.log1p(F.col(x).cast("double")) if log_x else F.col(x).cast("double")
-    j = null_safe_join(df, coefs.select(*by, "slope", "intercept"), by, "left")
+    j = join_back(df, coefs.select(*by, "slope", "intercept"), by, "left")
     raw = F.coalesce(F.col("slope") * xs + F.col("intercept"), mu)
     return j.withColumn("raw", F.when(xs.isNotNull(), F.greatest(raw, F.lit(1.0)))).drop("slope", "intercept")
 
@@ -145,7 +146,7 @@ def residual_report(pred: DataFrame, label: str = "rank", prediction: str = "raw
     g = x.groupBy(*by, "band").agg(F.avg("__e").alias("mean_error"),
                                    F.avg(F.abs("__e")).alias("mean_abs_error"))
     med = exact_quantiles(x, "__e", [0.5], by + ["band"], names=["median_error"])
-    j = null_safe_join(g, med, by + ["band"], "inner")
+    j = null_safe_join(g, med, by + ["band"], "inner")  # two aggregates
     return j.select(*by, "band", "n", "mean_error", "median_error", "mean_abs_error")
 
 

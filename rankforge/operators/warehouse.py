@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.columns import md5_key
+from rankforge.functions.joins import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -180,10 +181,12 @@ def migrate_facts(stage: DataFrame, dims: Sequence[tuple[str, DataFrame, str, st
     Returns ``(facts, orphans)``: facts carry ``<name>_key`` for each
     dimension plus ``keep``; orphans carry the staging columns and
     ``missing_dim``, the first dimension without a match. Text is trimmed for
-    the match, as the dimensions' values are."""
+    the match, as the dimensions' values are. A dimension within the
+    broadcast bounds is broadcast; the staging side is shuffled only for one
+    that is larger."""
     x = stage
     for name, dim, scol, vcol, kcol in dims:
-        d = dim.select(F.col(vcol).alias(f"__v_{name}"), F.col(kcol).alias(f"{name}_key"))
+        d = broadcast_if_small(dim.select(F.col(vcol).alias(f"__v_{name}"), F.col(kcol).alias(f"{name}_key")), "dimension")
         own = F.trim(x[scol]) if isinstance(stage.schema[scol].dataType, T.StringType) else x[scol]
         x = x.join(d, own == d[f"__v_{name}"], "left").drop(f"__v_{name}")
     missing = F.lit(None).cast("string")

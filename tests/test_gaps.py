@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from rankforge import session
+from rankforge.functions import joins
+from rankforge.operators import cleaning as C
 from rankforge.operators import clustering as U
 from rankforge.operators import features as Fe
 from rankforge.operators import prediction as P
@@ -13,6 +15,7 @@ from rankforge.operators import records as R
 from rankforge.operators import warehouse as W
 from rankforge.operators.dedup import first_per_key
 from rankforge.operators.ranking import rank_columns
+from rankforge.plans import audit
 from rankforge.sources import read_csv_glob
 
 
@@ -140,3 +143,36 @@ def test_quantiles_past_the_bounds_budget(spark, monkeypatch):
     monkeypatch.setattr(ranking, "MAX_GROUP_ROWS", 10)
     monkeypatch.setattr(ranking, "BOUNDS_BUDGET", 5)
     assert rows(ranking.exact_quantiles(df, "v", [0.25, 0.5], ["g"])) == want
+
+
+@pytest.fixture
+def no_guess(spark):
+    """Spark broadcasts only what it is told to."""
+    own = {"spark.sql.autoBroadcastJoinThreshold": "100", "spark.sql.adaptive.autoBroadcastJoinThreshold": "100"}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    yield
+    for k in own:
+        spark.conf.unset(k)
+
+
+def test_small_aggregates_come_back_without_a_shuffle_of_the_data(spark, no_guess):
+    df = spark.createDataFrame([("g" if i % 3 else None, float(i), i) for i in range(90)], "g string, v double, i long")
+    part = spark.createDataFrame([("g",)], "g string")
+    frames = [
+        C.impute(df, {"v": "mean"}, by=["g"]), Fe.encode_categories(df, df, ["g"], "target", "v"),
+        P.raw_prediction(P.fit_rank_linear(df, "i", "v", ["g"]), df, df, "i", "v", ["g"]),
+        W.migrate_facts(df, [("g", W.seed_dimension(part, "g"), "g", "value", "key")], ["i"])[0]]
+    for f in frames:
+        plan = audit.plan_text(f)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, plan
+    for f in (C.histogram(df, "v", 5, by=["g"]), C.boxplot_stats(df, "v", ["g"])):
+        assert "SortMergeJoin" not in audit.plan_text(f)
+    assert C.histogram(df, "v", 5, by=["g"]).agg(F.sum("n")).first()[0] == 90
+
+
+def test_a_large_aggregate_is_not_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "x" * 50) for i in range(50)], "k long, s string")
+    assert "broadcast" in joins.broadcast_if_small(df)._jdf.queryExecution().analyzed().toString().lower()
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
+    assert "hint" not in joins.broadcast_if_small(df)._jdf.queryExecution().analyzed().toString().lower()
