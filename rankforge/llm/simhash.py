@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import materialize, release, small_side, temp_name
+from rankforge.llm.common import free_memory, materialize, release, small_side, temp_name
 from rankforge.llm.components import components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -76,6 +76,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
             yield pd.Series(np.array([fingerprint(x, k) for x in s], dtype=np.uint64).view(np.int64))
+            free_memory()
 
     return docs.select(F.col(doc_id).alias("doc_id"), fp(F.col(text)).alias("fp"))
 
@@ -161,6 +162,7 @@ def links(fps: DataFrame, z: int | None = None) -> DataFrame:
                 fp = b["fp"].to_numpy()[i: i + 4096]
                 row, key = bucket_keys(fp.view(np.uint64), z)
                 yield pd.DataFrame({"key": key, "fp": fp[row]})
+            free_memory()
 
     members = fps.mapInPandas(keys, "key long, fp long")
     shared = materialize(members.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("pivot"), F.max("fp").alias("top"),
