@@ -1,41 +1,51 @@
 """Clustering of entities.
 
-Centres are few (k x d numbers), so they travel as literals inside the
-distance expressions; data rows never leave the executors."""
+Centres are few (k x d numbers) and travel to the tasks with the function
+that finds the nearest one; data rows never leave the executors."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CENTRES = 1000
+#: Differences a task holds at a time (rows x centres x coordinates).
+BLOCK = 1 << 21
 
 
-def _sq_dist(cols: Sequence[str], centre: Sequence[float]) -> Column:
-    terms = [(F.col(c).cast("double") - F.lit(float(v))) * (F.col(c).cast("double") - F.lit(float(v)))
-             for c, v in zip(cols, centre)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+def _nearest(vector: Column, centres: Sequence[Sequence[float]]) -> Column:
+    """struct(j, d): the nearest centre of an array and its squared distance,
+    for any number of centres, in Arrow batches; ties go to the smaller j. A
+    vector that is NULL, holds a NULL or has another length has no centre."""
+    c = np.array([[float(x) for x in row] for row in centres], dtype=np.float64)
+    if not c.size:
+        raise ValueError("need at least one centre")
+    step = max(1, BLOCK // c.size)
 
+    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in batches:
+            rows = [np.asarray(v, dtype=np.float64) if v is not None and len(v) == c.shape[1] else np.full(c.shape[1], np.nan) for v in s]
+            j, d = np.zeros(len(rows), dtype=np.int64), np.full(len(rows), np.nan)
+            for i in range(0, len(rows), step):
+                diff = np.stack(rows[i: i + step])[:, None, :] - c[None, :, :]
+                sq = (diff * diff).sum(axis=2)
+                j[i: i + step] = sq.argmin(axis=1)
+                d[i: i + step] = sq.min(axis=1)
+            gone = np.isnan(d)
+            yield pd.DataFrame({"j": pd.Series(j, dtype="Int32").mask(gone), "d": pd.Series(d, dtype="Float64").mask(gone)})
 
-def _nearest(dists: Sequence[Column]) -> Column:
-    """struct(d, j) of the smallest distance; ties go to the smaller j."""
-    cands = [F.struct(d.alias("d"), F.lit(j).alias("j")) for j, d in enumerate(dists)]
-    return cands[0] if len(cands) == 1 else F.least(*cands)
+    return F.pandas_udf(nearest, "j int, d double")(vector.cast("array<double>"))
 
 
 def assign_to_centres(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequence[float]],
                       out: str = "cluster", dist: str | None = None) -> DataFrame:
     """Nearest centre by squared Euclidean distance over numeric columns."""
-    if not 0 < len(centres) <= MAX_CENTRES:
-        raise ValueError(f"need 1..{MAX_CENTRES} centres")
-    best = _nearest([_sq_dist(cols, c) for c in centres])
-    x = df.withColumn("__best", best).withColumn(out, F.col("__best.j"))
+    vector = F.array(*[F.col(c).cast("double") for c in cols])
+    x = df.withColumn("__best", _nearest(vector, centres)).withColumn(out, F.col("__best.j"))
     if dist:
         x = x.withColumn(dist, F.sqrt(F.col("__best.d")))
     return x.drop("__best")
@@ -74,17 +84,8 @@ def assign_clusters(df: DataFrame, id_col: str, vec_col: str, centres: Sequence[
                     out: str = "cluster") -> DataFrame:
     """Nearest of the given centres for an array column: ``id, cluster,
     distance`` (Euclidean, elements cast to double, ties to the smaller
-    cluster number)."""
-    if not 0 < len(centres) <= MAX_CENTRES:
-        raise ValueError(f"need 1..{MAX_CENTRES} centres")
-    dists = []
-    v = F.col(vec_col)
-    for c in centres:
-        lit = F.array(*[F.lit(float(x)) for x in c])
-        sq = F.zip_with(v, lit, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
-        dists.append(F.aggregate(sq, F.lit(0.0), lambda acc, x: acc + x))
-    best = _nearest(dists)
-    return df.select(id_col, best.alias("__b")).select(
+    cluster number; NULL for a vector without a distance)."""
+    return df.select(id_col, _nearest(F.col(vec_col), centres).alias("__b")).select(
         id_col, F.col("__b.j").alias(out), F.sqrt(F.col("__b.d")).alias("distance"))
 
 

@@ -53,14 +53,16 @@ def entity_strengths(df: DataFrame, entity_id=None, k: int = 3, entity: str = "e
                      field: str = "field", metric: str = "citations", rank: str = "rank") -> DataFrame:
     """the k best and k worst fields of an entity (or of every entity
     when ``entity_id`` is None) by rank; ties: larger share first for best,
-    smaller for worst, then field. Windows are partitioned by entity, whose
-    rows are one per field, so no task holds more than one entity's fields."""
+    smaller for worst, then field. The shares come from totals joined back, and
+    the windows keep k rows of an entity per task before the shuffle, so an
+    entity with very many rows isn't gathered."""
     e = df
     if entity_id is not None:
         e = e.filter(F.col(entity) == F.lit(entity_id))
     e = e.select(entity, field, rank, metric)
     per = Window.partitionBy(entity)
-    e = e.withColumn("share", ratio(F.col(metric).cast("double"), F.sum(metric).over(per).cast("double")))
+    e = join_back(e, e.groupBy(entity).agg(F.sum(metric).alias("__total")), [entity])
+    e = e.withColumn("share", ratio(F.col(metric).cast("double"), F.col("__total").cast("double")))
     wb = per.orderBy(F.col(rank).asc(), F.col("share").desc(), F.col(field).asc())
     ww = per.orderBy(F.col(rank).desc(), F.col("share").asc(), F.col(field).asc())
     best = e.withColumn("__i", F.row_number().over(wb)).filter(F.col("__i") <= k) \

@@ -27,13 +27,15 @@ def entity_rankings(df: DataFrame, entity_id, entity: str = "entity", field: str
     The entity's own rows (one per field) are few, so they are broadcast
     (after a row-count check) and every other row only adds to a count of
     better rows in its field: one scan and a partial aggregate, no sort of
-    the table. Above ``max_rows`` own rows it falls back to ranking all
-    rows first and filtering after."""
+    the table. If the entity has several rows in one field (each would meet
+    every row of the field), or above ``max_rows`` own rows, all rows are
+    ranked first and filtered after."""
     ent = [F.col("__e").alias(entity)] if with_entity else []
     own = df.filter(F.col(entity) == F.lit(entity_id)).select(
         F.col(entity).alias("__e"), F.col(field).alias("__f"), F.col(metric).alias("__m"),
         F.col(docs).alias("__d"))
-    if own.limit(max_rows + 1).count() > max_rows:
+    size = own.groupBy("__f").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+    if (size[0] or 0) > max_rows or (size[1] or 0) > 1:
         r = ranked(df, field, metric, "rank", buckets).filter(F.col(entity) == F.lit(entity_id))
         return r.select(*([entity] if with_entity else []), field, "rank",
                         F.col(docs).cast("bigint").alias(docs),

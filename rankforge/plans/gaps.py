@@ -11,6 +11,7 @@ from rankforge.operators import cleaning as C
 from rankforge.operators import features as Fe
 from rankforge.operators import prediction as P
 from rankforge.operators import records as R
+from rankforge.operators import reports as Q
 from rankforge.operators import warehouse as W
 from rankforge.plans.catalog import COEF_SQL, DL_SQL, EF_FIELDS, EF_SQL, N_FOLDS, TEST_FOLD, _k4_changes
 from rankforge.plans.registry import REGISTRY, register
@@ -125,6 +126,14 @@ def _m4(spark, d):
     return W.migrate_facts(x, [("type", W.seed_dimension(part, "p_type"), "t", "value", "key")], ["p_partkey"])[0]
 
 
+@register("q1_repeated_rows", f"""WITH {EF_SQL}, t AS (SELECT entity % 9 AS entity, field, docs, citations FROM ef)
+SELECT field, rank, docs, CAST(citations AS DOUBLE) AS citations FROM (SELECT *,
+  CAST(RANK() OVER (PARTITION BY field ORDER BY citations DESC) AS BIGINT) AS rank FROM t) x WHERE entity = 2""")
+def _q1(spark, d):
+    ef = materialize(entity_field(spark, d, with_rank=False), "ef").withColumn("entity", F.col("entity") % 9)
+    return Q.entity_rankings(ef, 2).select("field", "rank", "docs", "citations")
+
+
 EF_GAPS_SQL = f"""{EF_SQL}, eg AS (SELECT CASE WHEN entity % 11 <> 0 THEN entity END AS entity,
   CASE WHEN entity % 7 <> 0 THEN field END AS field, citations FROM ef)"""
 

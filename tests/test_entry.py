@@ -58,7 +58,7 @@ def test_oracle_agreement(spark, con, key):
 
 
 PLAN_KEYS = ["q2_country_performance", "q7_global_rank", "c3_numeric_summary", "f1_clean_dropped",
-             "k4_apply_changes", "m5_verify", "u3_assign_clusters", "c2_impute", "p3_predict_ranks"]
+             "k4_apply_changes", "m5_verify", "c2_impute", "p3_predict_ranks"]
 
 
 @pytest.mark.parametrize("key", PLAN_KEYS)

@@ -1,5 +1,6 @@
 """Rows with gaps: what is refused, what passes through, what is matched."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,3 +177,13 @@ def test_a_large_aggregate_is_not_broadcast(spark, monkeypatch):
     assert "broadcast" in joins.broadcast_if_small(df)._jdf.queryExecution().analyzed().toString().lower()
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
     assert "hint" not in joins.broadcast_if_small(df)._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_many_centres(spark):
+    rng = np.random.default_rng(1)
+    centres, v = rng.normal(size=(1500, 8)), rng.normal(size=(60, 8))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(90, None), (91, [1.0])], "id long, v array<double>")
+    got = {r.id: r for r in U.assign_clusters(df, "id", "v", centres.tolist()).collect()}
+    want = ((v[:, None] - centres[None]) ** 2).sum(2)
+    assert [got[i].cluster for i in range(60)] == want.argmin(1).tolist()
+    assert got[7].distance == pytest.approx(want[7].min() ** 0.5) and got[90].cluster is None and got[91].distance is None
