@@ -805,7 +805,9 @@ def _s6(spark, d):
                          .otherwise(F.col("o_totalprice")))
     raw = raw.withColumn("o_custkey", F.when(k == 3, F.concat(F.lit("c"), "o_custkey"))
                          .otherwise(F.col("o_custkey")))
-    return S.stage_and_cast(raw, o.schema, required=("o_orderkey",))
+    path = scratch_path(spark, "staged")
+    S.write_staged(raw, o.schema, path, required=("o_orderkey",))  # every cast once, both outcomes in one pass
+    return [S.read_staged(spark, path, o.schema, status) for status in ("accepted", "rejected")]
 
 
 @register("s6_stage_ok", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
