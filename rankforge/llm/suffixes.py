@@ -21,9 +21,9 @@ removed. The order is built over chunks, not bytes:
    end inside a chunk. They are settled cell by cell under their anchor
    gram: cells with equal bytes are one class, a class with two members is
    repeated as a whole, and the open windows of single cells are compared
-   with those of the other classes of their gram: first by the bytes that
-   ``BAND`` windows in a row have in common, then, where those are shared,
-   window by window.
+   with those of the other classes of their gram, ``BAND`` in a row at a time:
+   a band whose bytes stand twice is repeated, one whose windows have nothing
+   shared in common is not, and only the others are compared window by window.
 
 Steps 2 and 3 only ever settle windows that are repeated; step 4 settles
 all that they leave, so the result is exact (64-bit hashes apart) whatever
@@ -47,7 +47,7 @@ from rankforge.llm.common import materialize, release, small_side
 
 WINDOW, GRAM = 200, 80
 #: Rounds of naming; r rounds order suffixes by 3 ** r chunks (more rounds settle more in step 3, results are the same).
-ROUNDS = 3
+ROUNDS = 2
 #: Windows compared at once, by what they have in common, before they are compared one by one.
 BAND = 16
 #: Bytes parsed at a time.
@@ -170,33 +170,34 @@ def _named(strings: DataFrame, step: int) -> DataFrame:
     """(tid, name array) -> (tid, name array): triples ``step`` apart at the sampled positions, named in their order."""
     def triples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for tid, s in zip(b["tid"].tolist(), b["name"]):
-                s = np.asarray(s, dtype=np.int64)
-                i = np.flatnonzero((np.arange(len(s)) % 3 != 0) & (s != 0))
-                long = np.concatenate([s, np.zeros(2 * step, dtype=np.int64)])
-                out.append(pd.DataFrame({"tid": tid, "i": i, "a": long[i], "b": long[i + step], "c": long[i + 2 * step]}))
-            if out:
-                yield pd.concat(out)
+            # the texts of a batch one after the other, each followed by zeros
+            own = [np.asarray(s, dtype=np.int64) for s in b["name"]]
+            sizes = np.array([len(s) + 2 * step for s in own])
+            first = np.cumsum(sizes) - sizes
+            long, place = np.zeros(sizes.sum(), dtype=np.int64), np.zeros(sizes.sum(), dtype=np.int64)
+            for a, s in zip(first.tolist(), own):
+                long[a: a + len(s)] = s
+                place[a: a + len(s)] = np.arange(len(s))
+            k = np.flatnonzero((place % 3 != 0) & (long != 0))
+            yield pd.DataFrame({"tid": np.repeat(b["tid"].to_numpy(), sizes)[k], "i": place[k], "a": long[k], "b": long[k + step], "c": long[k + 2 * step]})
 
     rows = _step(strings.mapInPandas(triples, "tid long, i int, a long, b long, c long"), "triples")
     names = _step(rows.select("a", "b", "c").distinct().orderBy("a", "b", "c")
                   .select("a", "b", "c", (F.monotonically_increasing_id() + 1).alias("name")), "names")
-    placed = rows.join(names, ["a", "b", "c"]).groupBy("tid").agg(F.collect_list(F.struct("i", "name")).alias("at"))
+    placed = rows.join(names, ["a", "b", "c"]).groupBy("tid").agg(F.collect_list("i").alias("i"), F.collect_list("name").alias("name"))
     placed = _step(_place(placed), "strings")
     release(strings.sparkSession, rows, names)
     return placed
 
 
 def _place(strings: DataFrame) -> DataFrame:
-    """(tid, at) -> (tid, name): names at their positions, 0 elsewhere."""
+    """(tid, i, name) -> (tid, name): names at their positions, 0 elsewhere."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             names = []
-            for at in b["at"]:
-                out = np.zeros(max(r["i"] for r in at) + 1, dtype=np.int64)
-                for r in at:
-                    out[r["i"]] = r["name"]
+            for i, name in zip(b["i"], b["name"]):
+                out = np.zeros(i.max() + 1, dtype=np.int64)
+                out[i] = name
                 names.append(out)
             yield pd.DataFrame({"tid": b["tid"], "name": names})
 
@@ -227,8 +228,8 @@ def adjacent_repeats(parsed: DataFrame, order: DataFrame, window: int) -> DataFr
     def suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for tid, start, size, chunk, name in zip(b["tid"].tolist(), b["start"], b["size"], b["chunk"], b["name"]):
-                for i in np.flatnonzero(name).tolist():
+            for tid, start, size, chunk, name in zip(b["tid"].tolist(), *(map(np.ndarray.tolist, b[c]) for c in ("start", "size", "chunk", "name"))):
+                for i in [i for i, x in enumerate(name) if x]:
                     # all windows that begin in chunk i, and in the unsampled one after it
                     want, j = size[i] + (size[i + 1] if i % 3 == 2 and i + 1 < len(size) else 0) + window - 1, i
                     while j < len(chunk) and chunk[j] and want > 0:
@@ -239,8 +240,9 @@ def adjacent_repeats(parsed: DataFrame, order: DataFrame, window: int) -> DataFr
 
     rows = parsed.select("tid", "start", "size", "chunk").join(order, "tid").mapInPandas(
         suffixes, "name long, tid long, start int, chunk array<long>, size array<int>")
+    rows = _step(rows, "suffixes")  # the range partitioning reads them twice
     parts = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, "name", "tid", "start").sortWithinPartitions("name", "tid", "start")
+    placed = rows.repartitionByRange(parts, "name", "tid", "start").sortWithinPartitions("name", "tid", "start")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, before = None, 0  # a neighbour in another partition is left to the merge
@@ -257,7 +259,9 @@ def adjacent_repeats(parsed: DataFrame, order: DataFrame, window: int) -> DataFr
         if last is not None and before >= window:
             yield pd.DataFrame([(last[0], last[1], last[1] + before - window)], columns=["tid", "lo", "hi"])
 
-    return rows.mapInPandas(compare, "tid long, lo int, hi int")
+    settled = _step(placed.mapInPandas(compare, "tid long, lo int, hi int"), "settled")
+    release(parsed.sparkSession, rows)
+    return settled
 
 
 def _union(lo, hi) -> list[list[int]]:
@@ -275,8 +279,9 @@ def _open_cells(parsed: DataFrame, settled: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for tid, grams, anchor, first, last, span, done in zip(*(b[c] for c in ("tid", "gram", "anchor", "first", "last", "span", "done"))):
-                done = _union([r["lo"] for r in done], [r["hi"] for r in done]) if done is not None else []
+            for tid, grams, anchor, first, last, span, los, his in zip(
+                    b["tid"].tolist(), *(map(np.ndarray.tolist, b[c]) for c in ("gram", "anchor", "first", "last", "span")), b["los"], b["his"]):
+                done = _union(los.tolist(), his.tolist()) if los is not None else []
                 k = 0
                 for g, x, lo, hi, s in zip(grams, anchor, first, last, span):
                     while k < len(done) and done[k][1] < lo:
@@ -296,7 +301,7 @@ def _open_cells(parsed: DataFrame, settled: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["tid", "gram", "anchor", "lo", "hi", "span", "open_lo", "open_hi"]).astype(
                 {"open_lo": "Int32", "open_hi": "Int32"})
 
-    done = settled.groupBy("tid").agg(F.collect_list(F.struct("lo", "hi")).alias("done"))
+    done = settled.groupBy("tid").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his"))
     return parsed.join(done, "tid", "left").mapInPandas(
         run, "tid long, gram long, anchor int, lo int, hi int, span long, open_lo int, open_hi int")
 
@@ -316,39 +321,57 @@ def _merge(cells: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     asked = (classes.join(single, "gram")
              .select("gram", "r.tid", "r.anchor", F.greatest("r.lo", F.expr("r.anchor + `from`")).alias("a"),
                      F.least("r.hi", F.expr("r.anchor + `to`")).alias("e"), F.expr("n = 1 AND r.open_lo IS NOT NULL").alias("open")).where("a <= e"))
-    asked = asked.groupBy("tid").agg(F.collect_list(F.struct("gram", "anchor", "a", "e", "open")).alias("asked"))
+    asked = asked.groupBy("tid").agg(*[F.collect_list(c).alias(f"{c}s") for c in ("gram", "anchor", "a", "e", "open")])
 
     def bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h = xxhash.xxh3_64_intdigest
         for b in batches:
             rows = []
-            for tid, data, wanted in zip(b["tid"].tolist(), b["data"], b["asked"]):
-                for r in wanted:
-                    x = r["anchor"]
-                    for j in range((x - r["e"]) // BAND, (x - r["a"]) // BAND + 1):
+            lists = [b[c].map(list) for c in ("grams", "anchors", "as", "es", "opens")]
+            for tid, data, *wanted in zip(b["tid"].tolist(), b["data"], *lists):
+                for gram, x, a, e, is_open in zip(*wanted):
+                    x, a, e = int(x), int(a), int(e)
+                    for j in range((x - e) // BAND, (x - a) // BAND + 1):
                         top = x - j * BAND  # the band's windows begin at top - BAND + 1 .. top
-                        rows.append((r["gram"], j, _signed(h(data[top: top - BAND + 1 + window])), tid,
-                                     max(r["a"], top - BAND + 1), min(r["e"], top), r["open"]))
-            yield pd.DataFrame(rows, columns=["gram", "band", "hash", "tid", "a", "e", "open"])
-
-    key = ["gram", "band", "hash"]
-    found = _step(texts.join(asked, "tid").mapInPandas(bands, "gram long, band int, hash long, tid long, a int, e int, open boolean"), "bands")
-    shared = found.groupBy(*key).agg(F.count("*").alias("n"), F.max("open").alias("any")).where("n > 1 AND any").select(*key)
-    wanted = found.join(shared, key, "left_semi").groupBy("tid").agg(F.collect_list(F.struct("gram", "a", "e", "open")).alias("asked"))
+                        lo, hi = max(a, top - BAND + 1), min(e, top)
+                        # what all windows of the band have in common, and all bytes of its windows from lo to hi
+                        rows.append((gram, j, _signed(h(data[top: top - BAND + 1 + window])), tid, lo, hi, is_open,
+                                     lo - x, hi - x, _signed(h(data[lo: hi + window]))))
+            yield pd.DataFrame(rows, columns=["gram", "band", "hash", "tid", "a", "e", "open", "from", "to", "all"])
+
+    key, full = ["gram", "band", "hash"], ["gram", "from", "to", "all"]
+    found = _step(texts.join(asked, "tid").mapInPandas(
+        bands, "gram long, band int, hash long, tid long, a int, e int, open boolean, from int, to int, all long"), "bands")
+    copies = found.groupBy(*full).agg(F.count("*").alias("n")).where("n > 1").select(*full)
+    done = found.where("open").join(copies, full, "left_semi").select("tid", F.col("a").alias("lo"), F.col("e").alias("hi"))
+    # a band whose bytes stand twice stays as a partner of others, by one of its copies
+    rest = found.groupBy(*key, *full[1:]).agg(F.count("*").alias("n"), F.min(F.struct("tid", "a", "e")).alias("r"), F.max("open").alias("open"))
+    rest = rest.select(*key, "r.*", (F.col("open") & (F.col("n") == 1)).alias("open"))
+    shared = rest.groupBy(*key).agg(F.count("*").alias("n"), F.max("open").alias("any")).where("n > 1 AND any").select(*key)
+    wanted = rest.join(shared, key, "left_semi").groupBy("tid").agg(*[F.collect_list(c).alias(f"{c}s") for c in ("gram", "a", "e", "open")])
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h = xxhash.xxh3_64_intdigest
         for b in batches:
-            for tid, data, wanted in zip(b["tid"].tolist(), b["data"], b["asked"]):
-                rows = [(r["gram"], _signed(h(data[p: p + window])), tid, p, r["open"]) for r in wanted for p in range(r["a"], r["e"] + 1)]
-                yield pd.DataFrame(rows, columns=["gram", "hash", "tid", "p", "open"])
+            ids, sizes, grams, opens, places, hashes = [], [], [], [], [], []
+            for tid, data, gram, first, last, is_open in zip(b["tid"].tolist(), b["data"], *(b[c] for c in ("grams", "as", "es", "opens"))):
+                n = last - first + 1
+                p = [p for a, e in zip(first.tolist(), last.tolist()) for p in range(a, e + 1)]
+                ids.append(tid)
+                sizes.append(len(p))
+                grams.append(np.repeat(gram, n))
+                opens.append(np.repeat(is_open.astype(bool), n))
+                places.append(np.array(p))
+                hashes.append(np.array([h(data[x: x + window]) for x in p], dtype=np.uint64).view(np.int64))
+            if ids:
+                yield pd.DataFrame({"gram": np.concatenate(grams), "hash": np.concatenate(hashes), "tid": np.repeat(ids, sizes),
+                                    "p": np.concatenate(places), "open": np.concatenate(opens)})
 
     seen = _step(texts.join(wanted, "tid").mapInPandas(windows, "gram long, hash long, tid long, p int, open boolean"), "windows")
-    release(texts.sparkSession, found)
     twice = seen.groupBy("gram", "hash").agg(F.count("*").alias("n")).where("n > 1").select("gram", "hash")
     same = seen.where("open").join(twice, ["gram", "hash"], "left_semi").select("tid", F.col("p").alias("lo"), F.col("p").alias("hi"))
-    merged = _step(whole.unionByName(same), "merged")
-    release(texts.sparkSession, cells, classes, seen)
+    merged = _step(whole.unionByName(done).unionByName(same), "merged")
+    release(texts.sparkSession, cells, classes, found, seen)
     return merged
 
 
@@ -374,7 +397,7 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, r
     release(spark, found)
     data = own.select("tid", "data")
     order = sampled_order(parsed, rounds)
-    settled = _step(adjacent_repeats(parsed, order, window), "settled")
+    settled = adjacent_repeats(parsed, order, window)
     release(spark, order)
     cells = _step(_open_cells(parsed, settled), "cells")
     release(spark, parsed)
@@ -397,13 +420,13 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(raw).alias("tid"), raw.alias("data"))
     texts = rows.select("tid", "data").where(F.octet_length("data") >= window)
     repeats, own = repeated_windows(texts, window, gram, rounds)
-    ranges = repeats.groupBy("tid").agg(F.collect_list(F.struct("lo", "hi")).alias("at"))  # at most a text's windows
+    ranges = repeats.groupBy("tid").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his"))  # at most a text's windows
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for tid, data, at in zip(b["tid"].tolist(), b["data"], b["at"]):
-                gone = _union([r["lo"] for r in at], [r["hi"] + window - 1 for r in at])
+            for tid, data, los, his in zip(b["tid"].tolist(), b["data"], b["los"], b["his"]):
+                gone = _union(los.tolist(), (his + window - 1).tolist())
                 kept, upto = [], 0
                 for a, e in gone:
                     kept.append(data[upto:a])
