@@ -23,12 +23,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from rankforge.llm.common import free_memory
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Distinct pieces remembered (past it, those met once are forgotten), and texts' characters handled at a time.
-MEMORY, SLICE_CHARS = 800_000, 4 << 20
+MEMORY, SLICE_CHARS = 500_000, 6 << 20
 #: Words encoded by one call: few enough to stay in the processor's cache.
 CALL = 128
 
@@ -42,11 +40,8 @@ class Encoder:
         from tokenizers import Tokenizer
         self.memory = memory or MEMORY
         self.tok = Tokenizer.from_file(path)
-        # the same without its normalizer, for words that are normal already (the one of a public file: NFC and lower case)
-        self.bare = Tokenizer.from_file(path)
-        self.normal = self.bare.normalizer is not None
-        if self.normal:
-            self.bare.normalizer = None
+        # left out for words that are normal already (the one of a public file: NFC and lower case)
+        self.normal = self.tok.normalizer
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.mark = self.special[-1] if self.special else None
         self.mark_id = self.tok.token_to_id(self.mark) if self.mark else None
@@ -82,8 +77,14 @@ class Encoder:
             (plain if w.isalpha() and (not self.normal or w.isascii() or w.lower() == w and is_normalized("NFC", w)) else other).append(w)
         parts = [plain[i: i + CALL] for i in range(0, len(plain), CALL)]
         first = " " if self.keeps_blank else ""
-        for part, got in zip(parts, self.bare.encode_batch_fast([first + " ".join(p) for p in parts], add_special_tokens=False)):
-            ids = np.array(got.ids, dtype=np.uint32)
+        if self.normal:
+            self.tok.normalizer = None
+        try:
+            got = [self._bare(parts[i: i + 256], first) for i in range(0, len(parts), 256)]
+        finally:
+            if self.normal:
+                self.tok.normalizer = self.normal
+        for part, ids in zip(parts, (x for y in got for x in y)):
             edge = np.flatnonzero(self.edge[ids])
             if len(edge) != len(part):  # letters that the normalizer takes apart
                 other += part
@@ -93,6 +94,10 @@ class Encoder:
                 self._store(part, ids, np.diff(np.concatenate([[-1], edge])))
         self._learn_marked(other)
 
+    def _bare(self, parts: list[list[str]], first: str) -> list[np.ndarray]:
+        found = self.tok.encode_batch_fast([first + " ".join(p) for p in parts], add_special_tokens=False)
+        return [np.array(x.ids, dtype=np.uint32) for x in found]
+
     def _learn_marked(self, pieces: list[str]) -> None:
         """The same for any pieces, joined by a special token."""
         for i in range(0, len(pieces), CALL):
@@ -162,7 +167,6 @@ class Encoder:
             ids.append(a)
             counts.append(n)
             start = stop
-        free_memory()
         return (np.concatenate(ids), np.concatenate(counts)) if ids else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import materialize, number_rows, small_side
+from rankforge.llm.common import free_memory, materialize, number_rows, small_side
 from rankforge.llm.encode import encoder
 
 SEQUENCE, END_ID = 4096, 2
 #: Pieces of text the encoder of a Python worker remembers (about 200 bytes each); fewer cost time, not results.
-MEMORY = 600_000
+MEMORY = 500_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", sequence: int = SEQUENCE,
@@ -50,6 +50,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                             col.append(v)
                 types = [b.schema.field(0).type] + [pa.int64()] * 4 + [pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=names)
+            free_memory()
 
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)

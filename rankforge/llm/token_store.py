@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import materialize
+from rankforge.llm.common import free_memory, materialize
 from rankforge.llm.encode import encoder
 
 MAGIC = b"EFTOKID1"
@@ -167,6 +167,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc
                     keys.append(key)
                     sizes.append(n + 1)
                     total += n + 1
+            free_memory()
         if keys:
             yield close()
 
