@@ -440,6 +440,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     done = own.join(ranges, "tid").mapInPandas(cut, "tid long, n_removed long, n_spans long, sha string, "
                                                     "spans array<struct<start: long, end: long>>, kept binary")
     done = materialize(done, "removed")
+    release(docs.sparkSession, repeats, own)
     twice = materialize(rows.groupBy("tid").agg(F.count("*").alias("n")).where("n > 1").select(F.col("tid").alias("t")), "copies")
     full = rows.select("doc_id", "tid", F.octet_length("data").cast("long").alias("n_bytes"), F.sha2("data", 256).alias("own_sha"),
                        *[F.col("data")] * with_text)
