@@ -2,17 +2,20 @@
 
 Documents become pieces of at most ``SEQUENCE`` ids. The histogram of piece
 lengths (one count per length, at most 4096) goes to the driver, which places
-lengths longest first, each on the pack with the most room left, and counts
-packs by pattern instead of one by one. The slots of the patterns are then
-joined back to the pieces by length and rank. A length that a third of all
-pieces share is ranked over many tasks.
+lengths longest first, each piece on the pack with the most room left, and
+counts packs by pattern instead of one by one. The slots of the patterns, one
+row per run of equal lengths, are then joined back to the pieces by length and
+rank. A length that a third of all pieces share fills its packs like any other
+and is ranked over many tasks.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -57,33 +60,54 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
 
 
 def plan_packs(histogram: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[int, list[int]]]:
-    """Shortest-pack-first: [(packs, lengths of each in order)] for {length: pieces}."""
-    room: dict[int, list[tuple[int, list[int]]]] = defaultdict(list)  # free ids -> [(packs, pattern)]
+    """Shortest-pack-first: [(packs, lengths of each in order)] for {length: pieces}.
+
+    Each piece goes to the pack with the most room, also one that its own
+    length has just gone into; only where no room is left are new packs opened,
+    as many as the pieces left of the length fill."""
+    room: dict[int, list[tuple[int, list[tuple[int, int]]]]] = {}  # free ids -> [(packs, [(length, times)])]
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
-        for free in sorted((f for f in room if f >= length), reverse=True) + [sequence]:
-            while left and (room[free] if free < sequence else True):
-                packs, pattern = room[free].pop() if free < sequence else (left, [])
+        frees = [-f for f in room if f >= length]  # a heap of the rooms, largest first
+        heapq.heapify(frees)
+        while left:
+            if frees:
+                free, times = -frees[0], 1
+                packs, pattern = room[free].pop()
                 used = min(packs, left)
                 if used < packs:
                     room[free].append((packs - used, pattern))
-                room[free - length].append((used, [*pattern, length]))
-                left -= used
-            if not left:
-                break
-    return [(n, p) for f in sorted(room) for n, p in room[f]]
-
-
-def slot_rows(packs: list[tuple[int, list[int]]]) -> list[tuple[int, int, int, int, int]]:
-    """(length, first rank, end rank, first sequence, offset) of each place in each pattern."""
+                if not room[free]:
+                    del room[free]
+                    heapq.heappop(frees)
+            else:
+                free, times, pattern = sequence, min(sequence // length, left), []
+                used = left // times
+            left -= used * times
+            rest = free - times * length
+            if rest not in room:
+                room[rest] = []
+                if rest >= length:
+                    heapq.heappush(frees, -rest)
+            if pattern and pattern[-1][0] == length:
+                pattern, times = pattern[:-1], pattern[-1][1] + times
+            room[rest].append((used, [*pattern, (length, times)]))
+    return [(n, [x for x, times in p for _ in range(times)]) for f in sorted(room) for n, p in room[f]]
+
+
+def slot_rows(packs: list[tuple[int, list[int]]]) -> list[tuple[int, int, int, int, int, int]]:
+    """(length, first rank, end rank, first sequence, offset, packs) of each run of equal lengths in each pattern.
+
+    A run's ranks go through the packs first, then to the next place of the run."""
     rank: dict[int, int] = defaultdict(int)
     rows, sequence = [], 0
     for n, pattern in packs:
         at = 0
-        for length in pattern:
-            rows.append((length, rank[length], rank[length] + n, sequence, at))
-            rank[length] += n
-            at += length
+        for length, run in groupby(pattern):
+            times = len(list(run))
+            rows.append((length, rank[length], rank[length] + n * times, sequence, at, n))
+            rank[length] += n * times
+            at += length * times
         sequence += n
     return rows
 
@@ -95,8 +119,8 @@ def pack(found: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     spark = found.sparkSession
     found = materialize(found, "pieces")
     histogram = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}  # <= sequence rows
-    slots = spark.createDataFrame(slot_rows(plan_packs(histogram, sequence)) or [(0, 0, 0, 0, 0)],
-                                  "slot_length long, lo long, hi long, first long, offset long")
+    slots = spark.createDataFrame(slot_rows(plan_packs(histogram, sequence)) or [(0, 0, 0, 0, 0, 1)],
+                                  "slot_length long, lo long, hi long, first long, at long, packs long")
     before, total = {}, 0
     for length in sorted(histogram):
         before[length], total = total, total + histogram[length]
@@ -104,8 +128,11 @@ def pack(found: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     slots = small_side(materialize(slots.join(F.broadcast(starts), "slot_length"), "slots"), row_bytes=64)
     placed = number_rows(found, ["length", "doc_id", "start"], "_place")
     rank = F.col("_place") - F.col("before")
+    nth = rank - F.col("lo")
     return (placed.join(slots, (F.col("length") == F.col("slot_length")) & (rank >= F.col("lo")) & (rank < F.col("hi")))
-            .withColumn("sequence_id", F.col("first") + rank - F.col("lo")).select(*found.columns, "sequence_id", "offset"))
+            .withColumn("sequence_id", F.col("first") + nth % F.col("packs"))
+            .withColumn("offset", F.col("at") + F.call_function("div", nth, F.col("packs")) * F.col("length"))
+            .select(*found.columns, "sequence_id", "offset"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", sequence: int = SEQUENCE,

@@ -420,6 +420,33 @@ def test_plan_places_every_length_once():
         assert placed == hist
 
 
+def test_plan_fills_packs_of_a_frequent_length():
+    def packs_of(hist):
+        packs = packing.plan_packs(hist)
+        placed = Counter()
+        for n, p in packs:
+            assert sum(p) <= 4096 and n > 0
+            for length in p:
+                placed[length] += n
+        assert placed == hist
+        return sum(n for n, _ in packs)
+
+    assert packs_of({100: 1000}) == 25
+    for length in (1, 30, 100, 1200, 1366, 2049, 4096):
+        assert packs_of({length: 1001}) == -(-1001 // (4096 // length))
+    rng = random.Random(12)
+    for length in (100, 300, 600, 1200):  # a third of all pieces
+        hist = Counter(min(4096, int(rng.lognormvariate(5.5, 1.3)) + 1) for _ in range(4000)) + Counter({length: 2000})
+        assert sum(k * n for k, n in hist.items()) > 0.97 * 4096 * packs_of(hist)
+
+
+def test_packing_a_frequent_length(spark):
+    texts = {i: "one two three" if i % 3 else " ".join(["one two"] * (i % 40)) for i in range(300)}
+    df = frame(spark, list(texts.values()))
+    path = tokenizer_path("word_bpe_49k.json")
+    assert check_packs(packing.pack_documents(df, path, sequence=100).collect(), texts, "word_bpe_49k.json", 100) > 0.9
+
+
 def test_elias_fano():
     rng = random.Random(10)
     for n in (1, 2, 700, 1500):
