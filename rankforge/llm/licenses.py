@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankforge.llm.license_texts import TEXTS
+
 #: Words: runs of ASCII letters and digits and of everything beyond ASCII (after A-Z were lowered).
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -33,7 +35,7 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Notices as templates, by label. Public wording of common license notices.
+# Notices as templates, by label. Public wording of common license notices, and whole license texts ("...-text").
 TEMPLATES = {
     "apache-2.0": [
         "<<beginOptional>>this <<var;words=1-3>> is <<endOptional>>licensed under the apache license<<beginOptional>> as published<<endOptional>>"
@@ -51,14 +53,20 @@ TEMPLATES = {
     "mit-notice": [
         "released under the<<beginOptional>> terms of the<<endOptional>> mit license",
         "licensed under the<<beginOptional>> terms of the<<endOptional>> mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this <<var;words=1-6>> to deal in the"
-        " <<var;words=1-2>> without restriction",
+        "permission is hereby granted free of charge to any person obtaining a copy of this <<var;words=1-12>> to deal in the"
+        " <<var;words=1-3>> without restriction",
     ],
     "bsd-notice": [
         "redistribution and use in source and binary forms with or without modification are permitted"
         "<<beginOptional>> provided that the following conditions are met<<endOptional>>",
     ],
+    "lgpl-notice": [
+        "is free software you can redistribute it and or modify it under the terms of the gnu <<var;words=1-1>> general public license"
+        "<<beginOptional>> as published by the free software foundation<<endOptional>>",
+    ],
+    "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
     "all-rights-reserved": ["<<beginOptional>>copyright <<var;words=1-8>> <<endOptional>>all rights reserved"],
+    **{label: [text] for label, text in TEXTS.items()},
 }
 
 _MARK = re.compile(r"<<(beginOptional|endOptional|var;words=(\d+)-(\d+))>>")

@@ -515,6 +515,102 @@ def test_template_regions():
     assert labels("Released under the permit License.") == set()
 
 
+MIT = """Copyright (c) 2020, 2021 Ann Example and contributors
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD_2 = """Copyright (c) 2020, Ann Example
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+BSD_3 = BSD_2.replace("distribution.\n", """distribution.
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+""").replace("1. ", "* ").replace("2. R", "* R")
+ISC = """Copyright 2020 Ann Example
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
+
+
+@pytest.mark.parametrize("label, text, notice", [
+    ("mit-text", MIT, "mit-notice"), ("bsd-2-clause-text", BSD_2, "bsd-notice"), ("bsd-3-clause-text", BSD_3, "bsd-notice"), ("isc-text", ISC, None)])
+def test_license_texts_by_hand(label, text, notice):
+    s = licenses.Scanner(licenses.TEMPLATES, licenses.PHRASES)
+    n = len(licenses.WORDS.findall(text.lower()))
+    for t, lead in ((text, 0), ("def f(): pass\n" + text.upper().replace("\n", "\n# ") + "\nend", 3), (text.partition("\n\n")[2], 0)):
+        found = s.scan(t)[1]
+        whole = [x for x in found if x[0].endswith("-text")]
+        assert {x[0] for x in whole} == {label} and notice in {None, *(x[0] for x in found)}
+        assert min(x[1] for x in whole) == lead and (t != text or max(x[2] for x in whole) == n)
+    assert not any(x[0].endswith("-text") for x in s.scan(text.replace("IS PROVIDED", "IS NOT PROVIDED"))[1])
+
+
+@pytest.mark.parametrize("label, name", [
+    ("apache-2.0", "Apache-2.0"), ("gpl-2.0", "GPL-2"), ("gpl-3.0", "GPL-3"), ("lgpl-2.1", "LGPL-2.1"), ("lgpl-3.0", "LGPL-3"), ("mpl-2.0", "MPL-2.0"), ("cc0-1.0", "CC0-1.0")])
+def test_license_texts_of_the_system(label, name):
+    try:
+        text = open(f"/usr/share/common-licenses/{name}").read()
+    except FileNotFoundError:
+        pytest.skip("no license texts on this machine")
+    n, found = licenses.Scanner(licenses.TEMPLATES, licenses.PHRASES).scan(text)
+    assert {(x[0], x[1], x[2]) for x in found if x[0].endswith("-text") and x[1] == 0} == {(label + "-text", 0, n)}
+    assert {x[0] for x in found if x[0].endswith("-text")} == {label + "-text"}
+
+
+@pytest.mark.parametrize("label", sorted(licenses.TEXTS))
+def test_license_texts_with_and_without_their_regions(label):
+    template, a = licenses.TEXTS[label], licenses.Automaton(licenses.TEXTS[label])
+    fill = lambda t: re.sub(r"<<var;words=(\d+)-(\d+)>>", lambda m: " x" * int(m[2]) + " ", t)
+    for t in (fill(template), fill(licenses.Scanner._mandatory(template.replace("var;", "VAR;")).replace("VAR;", "var;"))):
+        words = re.sub("<<[a-zA-Z]*>>", " ", t).split()
+        assert a.match(words, 0) == len(words)
+        assert a.match([*words[:30], *words[31:]], 0) != len(words) - 1 or words[30] == "x"
+
+
 # --- 10 mixing
 
 def test_mix_by_hand(spark):
