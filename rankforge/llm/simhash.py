@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import free_memory, materialize, release, small_side, temp_name
@@ -70,15 +70,15 @@ def _bit_counts(octets: np.ndarray) -> np.ndarray:
     return np.concatenate([np.bincount(octets[:, j], minlength=256) @ _octet_bits() for j in range(8)])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS, *more: Column) -> DataFrame:
+    """(doc_id, fp[, more]): the fingerprint as a signed 64-bit integer."""
     @F.pandas_udf("long")
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
             yield pd.Series(np.array([fingerprint(x, k) for x in s], dtype=np.uint64).view(np.int64))
             free_memory()
 
-    return docs.select(F.col(doc_id).alias("doc_id"), fp(F.col(text)).alias("fp"))
+    return docs.select(F.col(doc_id).alias("doc_id"), fp(F.col(text)).alias("fp"), *more)
 
 
 @lru_cache(maxsize=1)
@@ -199,6 +199,15 @@ def links(fps: DataFrame, z: int | None = None) -> DataFrame:
     return out
 
 
+def _names(of: DataFrame, z: int | None = None) -> DataFrame:
+    """Rows (doc_id, fp) -> (fp, root, component_id): each fingerprint's component and the component's smallest doc_id."""
+    low = materialize(of.groupBy("fp").agg(F.min("doc_id").alias("low")), "fps")
+    comp = links(low, z)
+    named = low.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    least = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    return materialize(named.join(least, "root").select("fp", "root", "component_id"), "names")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS,
                     z: int | None = None) -> DataFrame:
     """(doc_id, fp, component_id) of every row: component_id is the smallest doc_id reachable over links, its own included.
@@ -208,26 +217,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     NULL ids only has component_id NULL). Repeated rows are returned as often
     as they stand. Empty table: empty result."""
     of = materialize(fingerprints(docs, doc_id, text, k), "fingerprints")
-    low = materialize(of.groupBy("fp").agg(F.min("doc_id").alias("low")), "fps")
-    comp = links(low, z)
-    named = low.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    name = materialize(named.join(least, "root").select("fp", "component_id"), "names")
-    return of.join(name, "fp").select("doc_id", "fp", "component_id")
+    return of.join(_names(of, z), "fp").select("doc_id", "fp", "component_id")
 
 
 def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that of its smallest id; columns unchanged.
-
-    Of rows that repeat this id one stays, whichever. A row without an id
-    stays only if no row of its component has an id. Only ids travel: the
-    list of those to drop is broadcast if small, else joined by id."""
-    found = materialize(near_duplicates(docs, doc_id, text), "components")
-    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    gone = found.where(~own).select("doc_id").distinct()
-    twice = found.where(own).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    i = temp_name("i")
-    gone, twice = (small_side(materialize(x.withColumnRenamed("doc_id", i), "ids")) for x in (gone, twice))
-    same = F.col(doc_id).eqNullSafe(F.col(i))
-    rest = docs.join(gone, same, "left_anti")
-    return rest.join(twice, same, "left_anti").unionByName(rest.join(twice, same, "left_semi").dropDuplicates([doc_id]))
+    """``docs`` with one row of each component: one of its smallest id; columns unchanged.
+
+    A row is known by its id and its text's hash, so rows of one id, or of
+    none, fall or stay each with its own component. Of rows that repeat the
+    smallest id one stays: that of the least hash, of equal texts whichever. A
+    row without an id stays only if no row of its component has an id, and
+    then one does. Only ids and hashes travel: the list of those to drop is
+    broadcast if small, else joined."""
+    i, h = temp_name("i"), temp_name("h")
+    key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+    of = materialize(fingerprints(docs, doc_id, text, SHINGLE_WORDS, key.alias("h")), "fingerprints")
+    found = materialize(of.join(_names(of), "fp").select("doc_id", "h", "root", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("own")), "rows")
+    own = found.where("own")
+    # components with several rows of their smallest id, or without any id
+    several = small_side(materialize(own.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root"), "several"))
+    own = materialize(own.join(several, "root", "left_semi"), "own")
+    least = small_side(materialize(own.groupBy("root").agg(F.min("h").alias("least")), "least"))
+    own = own.join(least, "root")
+    gone = found.where("not own").select("doc_id", "h").unionByName(own.where("h != least").select("doc_id", "h")).distinct()
+    twice = own.where("h = least").groupBy("doc_id", "h").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "h")
+    gone, twice = (small_side(materialize(x.select(F.col("doc_id").alias(i), F.col("h").alias(f"{h}_")), "ids")) for x in (gone, twice))
+    same = F.col(doc_id).eqNullSafe(F.col(i)) & (F.col(h) == F.col(f"{h}_"))
+    rest = docs.withColumn(h, key).join(gone, same, "left_anti")
+    return (rest.join(twice, same, "left_anti").unionByName(rest.join(twice, same, "left_semi").dropDuplicates([doc_id, h])).drop(h))

@@ -173,6 +173,32 @@ def test_simhash_odd_rows(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0 == simhash.first_of_each(frame(spark, [])).count()
 
 
+@pytest.mark.parametrize("rows, want", [
+    ([(None, 0), (None, 1), (None, 2)], [(None, 0), (None, 1), (None, 2)]),  # unrelated texts without ids
+    ([(None, 0), (None, 0), (None, 1), (None, 1)], [(None, 0), (None, 1)]),
+    ([(None, 0), (7, 0), (None, 1), (None, 2)], [(7, 0), (None, 1), (None, 2)]),  # one of them is a copy of a row with an id
+    ([(5, 0), (5, 1), (3, 1)], [(5, 0), (3, 1)]),  # an id that stands twice, one of its texts a copy
+    ([(5, 0), (5, 1), (5, 1)], [(5, 0), (5, 1)]),
+    ([(9, 0), (9, 1), (9, 2), (4, 2), (None, None), (None, 3), (2, None), (2, None)], [(9, 0), (9, 1), (4, 2), (None, 3), (2, None)]),
+])
+def test_simhash_keeps_rows_of_no_id_and_of_equal_ids(spark, rows, want):
+    text = lambda k: None if k is None else " ".join(f"t{k}w{j}" for j in range(200))
+    fps = [fingerprint_by_hand(text(k)) for k in (0, 1, 2, 3, None)]
+    assert min(bin(a ^ b).count("1") for n, a in enumerate(fps) for b in fps[:n]) > 4
+    df = frame(spark, [text(k) for _, k in rows], ids=[i for i, _ in rows])
+    got = simhash.first_of_each(df)
+    assert got.columns == df.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == sorted((str(i), str(text(k))) for i, k in want)
+
+
+def test_simhash_near_copies_of_one_id(spark):
+    """Texts of one id that differ but link: one of them stays."""
+    a, b = LONG, LONG + " end."
+    got = simhash.first_of_each(frame(spark, [a, b, a, b], ids=[None, None, 8, 8])).collect()
+    assert [r.doc_id for r in got] == [8] and got[0].text in (a, b)
+    assert simhash.first_of_each(frame(spark, [a, b, a]).select("text", F.lit(None).cast("string").alias("doc_id"))).count() == 1
+
+
 # --- 2 quality rules
 
 def test_quality_odd_rows(spark):
