@@ -13,11 +13,12 @@ removed. The order is built over chunks, not bytes:
    1 and 2 modulo 3 are sampled: of any two positions some equal shift of 0, 1
    or 2 is sampled in both. The triples of chunks at sampled positions are
    sorted over the cluster and named in that order; the next round names
-   triples of names, and so on, until a name covers all chunks of a window.
+   triples of names. After ``ROUNDS`` rounds a name covers 3 ** ROUNDS chunks,
+   which may be less than a window; positions 0 modulo 3 are never ordered.
 3. Adjacent prefixes. Sampled suffixes are sorted by their last name, and
    each is compared with its neighbours: windows inside the common chunks are
    repeated.
-4. Merge of the rest: windows that begin at or before unsampled positions or
+4. Grouping of the rest, by hash (no merge of suffixes): windows that begin at or before unsampled positions or
    end inside a chunk. They are settled cell by cell under their anchor
    gram: cells with equal bytes are one class, a class with two members is
    repeated as a whole, and the open windows of single cells are compared
