@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rankforge.session import materialize, scratch_path
 
-__all__ = ["free_memory", "materialize", "new_folder", "number_rows", "release", "scratch_path", "small_side", "temp_name", "word_count"]
+__all__ = ["free_memory", "join_spread", "materialize", "new_folder", "number_rows", "release", "scratch_path", "small_side", "temp_name", "word_count"]
 
 #: Java / RE2 class of a word: anything but blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,6 +45,24 @@ def small_side(df: DataFrame, row_bytes: int | None = None) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
+def join_spread(rows: DataFrame, side: DataFrame, key: str, weight: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``side`` (one row per ``key``), where a key may hold any share of ``rows``.
+
+    ``weight`` is the column of ``side`` that says how many of ``rows`` have
+    the key. Keys on over 1/1024 of the rows, so at most 1024 of them, are
+    broadcast if their bytes are within the bound (else AQE splits them);
+    all other rows meet in a shuffle by key. ``side`` should be materialised."""
+    total, top = side.agg(F.sum(weight), F.max(weight)).first()
+    often = F.col(weight) * 1024 > (total or 0)
+    hot, mark = side.where(often), temp_name("hot")
+    if not total or top * 1024 <= total or small_side(hot) is hot:
+        return rows.join(side, key, how)
+    met = rows.join(F.broadcast(hot.withColumn(mark, F.lit(True))), key, "left")
+    done = met.where(mark).drop(mark)
+    others = met.where(F.col(mark).isNull()).select(rows.columns).join(side.where(~often), key, how)
+    return done.unionByName(others)
+
+
 def number_rows(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     """``df`` plus ``name``: its 0-based place in the order, without a one-task sort.
 

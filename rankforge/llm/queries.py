@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import forest, licenses, lines, mixing, packing, quality, simhash, suffixes, token_store, toxicity
+from rankforge.llm import (contamination, forest, licenses, lines, mixing, packing, prefix_trie, quality, simhash, suffixes,
+                           token_store, toxicity, whitening)
 from rankforge.llm.common import new_folder
 
 QUERIES: dict = {}
@@ -74,7 +75,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH l AS (SELECT doc_id, source, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS j, string_split(text, chr(10)) AS ls FROM documents),
 x AS (SELECT doc_id, source, j, ls[j] AS line FROM l),
 h AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
-c AS (SELECT source, line, count(DISTINCT doc_id) AS n FROM x WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY source, line),
+c AS (SELECT source, line, count(DISTINCT doc_id) AS n FROM x WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY source, line),
 b AS (SELECT c.source, c.line FROM c JOIN h ON h.source IS NOT DISTINCT FROM c.source WHERE n >= 5 AND n > pages * 0.08::DOUBLE)
 SELECT x.doc_id, coalesce(string_agg(x.line, chr(10) ORDER BY j) FILTER (WHERE b.line IS NULL), '') AS text,
   count(*) AS n_lines, count(b.line) AS n_dropped
@@ -139,3 +140,58 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_suffix_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.drop_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op11_decontamination", r"""
+WITH i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') AS g
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM i WHERE len(w) > 0)),
+dw AS (SELECT doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') AS g
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM iw) AS s WHERE len(w) >= n)),
+h AS (SELECT doc_id, dw.n, p, item_id FROM dw JOIN iw ON iw.n = dw.n AND iw.g = dw.g),
+k AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS q FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained"))).select(
+        "vec_id", (F.col("pos") + 1).cast("int").alias("component"), "n", "deviation", "col.whitened", "col.explained", "identity_error")
+
+
+#: crc32 of a text, byte by byte and bit by bit (reflected polynomial 0xEDB88320).
+_CRC = """list_reduce([4294967295::BIGINT] || list_transform(string_split({0}, ''), lambda ch: ascii(ch)::BIGINT),
+  lambda c, b: list_reduce([xor(c, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END)))"""
+
+
+@query("op13_prefix_trie", f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p FROM conversations),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor({_CRC.format("conv_id::VARCHAR")}, 4294967295) % 6 AS h FROM (SELECT DISTINCT conv_id FROM conversations)),
+r AS (SELECT c.conv_id, 0 AS own, p, role, text FROM c JOIN t ON t.conv_id = c.base AND p <= h
+      UNION ALL SELECT c.conv_id, 1, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND p > h),
+s AS (SELECT c.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY own, p) FILTER (WHERE p IS NOT NULL), []) AS path FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+e AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM s),
+x AS (SELECT conv_id, depth, path[1 : depth] AS prefix, len(path) = depth AS ends FROM e),
+n AS (SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends) AS ended FROM x GROUP BY depth, prefix),
+-- every node's parent and every pair of an ancestor and a node below it, by the smallest member
+m AS (SELECT n.*, CASE WHEN depth > 0 THEN (n_convs - 1) * length(prefix[depth].text) ELSE 0 END AS saved, prefix[1 : depth - 1] AS up FROM n),
+k AS (SELECT up, depth - 1 AS depth, count(*) AS n_children FROM m WHERE depth > 0 GROUP BY up, depth),
+f AS (SELECT m.*, coalesce(n_children, 0) AS n_children FROM m LEFT JOIN k ON k.depth = m.depth AND k.up = m.prefix),
+b AS (SELECT a.depth, a.prefix, sum(f.saved) AS saved_tokens, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves
+      FROM (SELECT f.*, unnest(range(0, depth + 1)) AS top FROM f) AS f JOIN m AS a ON a.depth = f.top AND a.prefix = f.prefix[1 : f.top] GROUP BY a.depth, a.prefix)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(f.ended, '')) AS ends_sha256
+FROM f JOIN b ON b.depth = f.depth AND b.prefix = f.prefix LEFT JOIN m AS p ON p.depth = f.depth - 1 AND f.depth > 0 AND p.prefix = f.up""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.turn_rows(table(spark, sf_dir, "conversations"))))
+    ends = prefix_trie.ends_digest(ends)
+    return nodes.join(ends, "key", "left").select(
+        "conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(b""), 256)).alias("ends_sha256"))
