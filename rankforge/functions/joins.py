@@ -19,9 +19,9 @@ from rankforge.session import materialize
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 
 
-def broadcast_if_small(df: DataFrame, name: str = "small") -> DataFrame:
-    """``df`` written once, with a broadcast hint if both its rows and its bytes are within the bounds."""
-    small = materialize(df, name)
+def broadcast_if_small(df: DataFrame, name: str = "small", written: bool = False) -> DataFrame:
+    """``df`` written once (unless it is ``written`` already), with a broadcast hint if both its rows and its bytes are within the bounds."""
+    small = df if written else materialize(df, name)
     if small.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
         return small
     width = F.lit(0)

@@ -5,16 +5,20 @@ result is unpivoted to long form; no per-column jobs are launched."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.columns import equal_width_bin, is_integer_text, null_safe_join, safe_corr
-from rankforge.functions.joins import join_back
+from rankforge.functions.joins import broadcast_if_small, join_back
 from rankforge.operators.dedup import first_per_key
+from rankforge.operators.names import normalize_names
 from rankforge.operators.ranking import exact_quantiles
+from rankforge.session import materialize
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -84,15 +88,18 @@ def impute(df: DataFrame, spec: dict, by: Sequence[str] | None = None,
     ``('constant', value)``, per group when ``by`` is given. A group without
     any value falls back to the global fill (a scalar subquery). Mean and
     median fills are double; ``<col>_was_missing`` flags filled rows.
-    Group fills are one row per group and are joined back on the group."""
+    Group fills are one row per group and are joined back on the group. The
+    columns that the fills need are written once; ``df`` itself is read once more."""
     by = list(by or [])
     out = df
     if flag:
         out = out.select("*", *[F.col(c).isNull().alias(f"{c}_was_missing") for c in spec])
-    grp = _fills(df, spec, by) if by else {}
+    needed = dict.fromkeys([*by, *[c for c, how in spec.items() if not isinstance(how, tuple)]])
+    narrow = materialize(df.select(*needed), "to-fill") if any(c not in by for c in needed) else df
+    grp = _fills(narrow, spec, by) if by else {}
     # global means come from the per-group sums (no second scan of the data)
     derived = {c for c, how in spec.items() if how == "mean" and c in grp}
-    glob = _fills(df, {c: h for c, h in spec.items() if c not in derived}, [])
+    glob = _fills(narrow, {c: h for c, h in spec.items() if c not in derived}, [])
     for c in derived:
         glob[c] = grp[c].agg((F.sum(f"__sum_{c}") / F.sum(f"__cnt_{c}")).alias(c))
     if grp:
@@ -187,8 +194,64 @@ def boxplot_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     return g
 
 
-#: Pairs aggregated by one job; wider tables take several scans, with the same definition.
+#: Pairs that one exact aggregate settles (only pairs that the blocks can't tell from constant ones).
 PAIRS_PER_JOB = 400
+#: Rows whose means shift the columns before they are multiplied; any shift gives the same r, up to rounding.
+SHIFT_ROWS = 1000
+#: Of n * sum(x^2) - sum(x)^2 relative to n * sum(x^2): below this a column may be constant over the pair's rows.
+CLOSE = 1e-9
+
+
+def _columns_matrix(b: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(values with 0 where there is none, 1 where there is one) of an array column without NULL arrays."""
+    flat = b.column(0).flatten()
+    there = np.asarray(flat.is_valid()).reshape(-1, k)
+    return np.where(there, flat.to_numpy(zero_copy_only=False).reshape(-1, k), 0.0), there.astype(np.float64)
+
+
+def _gram(x: DataFrame, k: int, shift: np.ndarray) -> DataFrame:
+    """(a, stats: array of k structs): n, sums, squares and products of column a with each column over their common rows.
+
+    A task multiplies its rows with their masks block by block and sends k rows; rows of one column are then added up."""
+    names = ["n", "sa", "sb", "saa", "sbb", "sab", "odd", "lo", "hi"]
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((7, k, k))
+        lo, hi = np.full(k, np.inf), np.full(k, -np.inf)
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                v, m = _columns_matrix(b.slice(at, 4096), k)
+                odd = ~np.isfinite(v)
+                if odd.any():  # r is NaN over rows that hold one
+                    o = odd.astype(np.float64)
+                    total[6] += o.T @ m + m.T @ o
+                    v = np.where(odd, 0.0, v)
+                there = m > 0
+                lo = np.minimum(lo, np.where(there, v, np.inf).min(axis=0, initial=np.inf))
+                hi = np.maximum(hi, np.where(there, v, -np.inf).max(axis=0, initial=-np.inf))
+                v = (v - shift) * m
+                q = v * v
+                for i, (left, right) in enumerate(((m, m), (v, m), (m, v), (q, m), (m, q), (v, v))):
+                    total[i] += left.T @ right
+        rows = [np.arange(k), *[list(t) for t in total], lo, hi]
+        yield pa.RecordBatch.from_arrays([pa.array(rows[0]), *[pa.array(r, pa.list_(pa.float64())) for r in rows[1:8]], pa.array(lo), pa.array(hi)],
+                                         names=["a", *names])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for b in batches:
+            mats = [b.column(i).flatten().to_numpy().reshape(-1, k) for i in range(1, 8)]
+            for r, (a, lo, hi) in enumerate(zip(*(b.column(i).to_pylist() for i in (0, 8, 9)))):
+                own = held.setdefault(a, [np.zeros((7, k)), np.inf, -np.inf])
+                for i in range(7):
+                    own[0][i] += mats[i][r]
+                own[1], own[2] = min(own[1], lo), max(own[2], hi)
+        cols = [list(held), *[[o[0][i] for o in held.values()] for i in range(7)], [o[1] for o in held.values()], [o[2] for o in held.values()]]
+        types = [pa.int64(), *[pa.list_(pa.float64())] * 7, pa.float64(), pa.float64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["a", *names])
+
+    schema = "a long, " + ", ".join(f"{n} array<double>" for n in names[:7]) + ", lo double, hi double"
+    return x.mapInArrow(blocks, schema).repartition("a").mapInArrow(add, schema)
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -196,27 +259,45 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     Every pair is taken over the rows where both values are present, however
     many columns there are; ``a = b`` gives 1 unless the column is constant
-    (NULL). One aggregate per ``PAIRS_PER_JOB`` pairs."""
+    (NULL). One scan: each task multiplies blocks of its rows with their masks
+    of present values, and the k rows of products are added by column. A pair
+    with a column that can't be told from a constant one there (beside columns
+    constant throughout, which are) is settled by an exact aggregate."""
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    out = None
-    for at in range(0, len(pairs), PAIRS_PER_JOB):
-        aggs, names = [], []
-        for a, b in pairs[at: at + PAIRS_PER_JOB]:
-            name = f"{a}\u0001{b}"
-            x = F.col(a).cast("double")
-            aggs.append((F.when(F.stddev_samp(x) > 0, F.lit(1.0)) if a == b else safe_corr(a, b)).alias(name))
-            names.append(name)
-        long = df.agg(*aggs).unpivot([], names, "__pair", "r")
-        parts = F.split(F.col("__pair"), "\u0001")
-        long = long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), "r")
-        out = long if out is None else out.unionByName(long)
+    k = len(cols)
+    x = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
+    mean = x.limit(SHIFT_ROWS).select(F.posexplode("x").alias("i", "v")).where(F.col("v").isNotNull() & (F.abs("v") < float("inf"))) \
+        .groupBy("i").agg(F.avg("v").alias("m")).collect()  # one row per column
+    shift = np.zeros(k)
+    for r in mean:
+        shift[r["i"]] = r["m"]
+    gram = materialize(_gram(x, k, shift), "gram")
+    every = F.arrays_zip(*[F.col(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab", "odd")])
+    pair = gram.select("a", (F.col("lo") == F.col("hi")).alias("flat"), F.posexplode(every).alias("b", "s")).where("b >= a").select("a", "b", "flat", "s.*")
+    flat = gram.select(F.col("a").alias("b"), (F.col("lo") == F.col("hi")).alias("flat_b"))  # one row per column
+    pair = pair.join(broadcast_if_small(flat, "flat"), "b")
+    va, vb = F.col("n") * F.col("saa") - F.col("sa") ** 2, F.col("n") * F.col("sbb") - F.col("sb") ** 2
+    none = (F.col("n") < 2) | F.col("flat") | F.col("flat_b")
+    close = ~none & (F.col("odd") == 0) & ((va <= CLOSE * F.col("n") * F.col("saa")) | (vb <= CLOSE * F.col("n") * F.col("sbb")))
+    r = F.when(F.col("odd") > 0, F.lit(float("nan"))).when(none, None).when(F.col("a") == F.col("b"), 1.0) \
+        .otherwise(F.try_divide(F.col("n") * F.col("sab") - F.col("sa") * F.col("sb"), F.sqrt(F.greatest(va, F.lit(0.0))) * F.sqrt(F.greatest(vb, F.lit(0.0)))))
+    pair = materialize(pair.select("a", "b", close.alias("close"), r.alias("r")), "pairs")
+    name = F.array(*[F.lit(c) for c in cols])
+    out = pair.where("NOT close").select(name[F.col("a").cast("int")].alias("col_a"), name[F.col("b").cast("int")].alias("col_b"), "r")
+    # columns constant over the rows of the pair, or nearly: few; the list is at most k * (k + 1) / 2 pairs of numbers
+    left = [(cols[t["a"]], cols[t["b"]]) for t in pair.where("close").select("a", "b").collect()]
+    for at in range(0, len(left), PAIRS_PER_JOB):
+        some = left[at: at + PAIRS_PER_JOB]
+        aggs = [(F.when(F.stddev_samp(F.col(a).cast("double")) > 0, F.lit(1.0)) if a == b else safe_corr(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(some)]
+        long = df.agg(*aggs).unpivot([], [f"p{i}" for i in range(len(some))], "p", "r")
+        i = F.substring("p", 2, 9).cast("int")
+        out = out.unionByName(long.select(F.array(*[F.lit(a) for a, _ in some])[i].alias("col_a"), F.array(*[F.lit(b) for _, b in some])[i].alias("col_b"), "r"))
     return out
 
 
 def clean_records(df: DataFrame, key: Sequence[str], casts: dict | None = None,
                   order: Sequence[tuple[str, bool]] = (), null_tokens: Sequence[str] = ("", "NULL", "N/A", "-"),
-                  ) -> tuple[DataFrame, DataFrame]:
+                  names: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """trim strings, turn null tokens into NULL, cast (integers only when
     the text is a plain integer; thousands commas removed), drop rows without
     a key or with a bad value, keep one row per key: the first by ``order``
@@ -227,14 +308,26 @@ def clean_records(df: DataFrame, key: Sequence[str], casts: dict | None = None,
     text and type; clean + dropped = input. A row that a rule of ``order``
     can't place (NULL there) comes after those it can.
     Keeping the first row is an aggregate (``min`` of a struct), so a hot
-    key is combined map-side instead of being sorted in one task."""
+    key is combined map-side instead of being sorted in one task. What a value
+    was before is carried only where it changed.
+
+    ``names`` maps a text column to an edit distance (0, 1 or 2): the column
+    gets ``<column>_canonical``, ``<column>_id`` and ``<column>_label`` of
+    ``names.normalize_names`` in the clean rows."""
     key, casts = list(key), dict(casts or {})
     cols = df.columns
-    x = df.withColumn("__raw", F.struct(*[F.col(c) for c in cols]))
+    x, before = df, {}
     for f in df.schema.fields:
+        if f.name in casts:
+            before[f.name] = F.col(f"__raw_{f.name}")
+            x = x.withColumn(f"__raw_{f.name}", F.col(f.name))
         if isinstance(f.dataType, T.StringType):
-            t = F.trim(F.col(f.name))
-            x = x.withColumn(f.name, F.when(t.isin(*null_tokens), F.lit(None)).otherwise(t))
+            raw, t = F.col(f.name), F.trim(F.col(f.name))
+            clean = F.when(t.isin(*null_tokens), F.lit(None)).otherwise(t)
+            if f.name not in casts:
+                before[f.name] = F.coalesce(f"__raw_{f.name}", f.name)
+                x = x.withColumn(f"__raw_{f.name}", F.when(~raw.eqNullSafe(clean), raw))
+            x = x.withColumn(f.name, clean)
     bad = F.lit(False)
     for c, target in casts.items():
         raw = F.regexp_replace(F.col(c).cast("string"), ",", "")
@@ -255,6 +348,9 @@ def clean_records(df: DataFrame, key: Sequence[str], casts: dict | None = None,
     good = x.filter(F.col("__reason").isNull()).drop("__reason")
 
     clean, rest = first_per_key(good, key, order)
-    repeats = rest.withColumn("reason", F.lit("repeat"))
-    dropped = rejected.select("__raw.*", "reason").unionByName(repeats.select("__raw.*", "reason"))
-    return clean.select(*cols), dropped
+    as_given = [before[c].alias(c) if c in before else F.col(c) for c in cols]
+    dropped = rejected.select(*as_given, "reason").unionByName(rest.select(*as_given, F.lit("repeat").alias("reason")))
+    clean = clean.select(*cols)
+    for c, distance in (names or {}).items():
+        clean = normalize_names(clean, c, distance, out=c)
+    return clean, dropped

@@ -6,13 +6,17 @@ that finds the nearest one; data rows never leave the executors."""
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankforge.functions.joins import broadcast_if_small
+from rankforge.session import materialize
+
 #: Differences a task holds at a time (rows x centres x coordinates).
 BLOCK = 1 << 21
 
@@ -58,18 +62,15 @@ def kmeans_fixed_start(df: DataFrame, id_col: str, cols: Sequence[str],
 
     Each step is one aggregate job; only k centre rows come back. An empty
     cluster keeps its centre. NULL coordinates are refused: impute first. The
-    input is persisted for the loop (it is recomputed from lineage if an
-    executor is lost)."""
+    ids and coordinates are written once and serve every step."""
     cols = list(cols)
     centres = [list(map(float, c)) for c in init]
     k = len(centres)
-    data = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
-    data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = materialize(df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols]), "kmeans")
     gap = F.lit(False)
     for c in cols:
         gap = gap | F.col(c).isNull()
     if data.filter(gap).limit(1).count():
-        data.unpersist()
         raise ValueError("a coordinate is NULL: impute it or drop its row first")
     for _ in range(steps):
         a = assign_to_centres(data, cols, centres)
@@ -195,6 +196,84 @@ def similar_entities(df: DataFrame, id_col: str, cols: Sequence[str], anchor, k:
     return top_k(x, "distance", k, [id_col], out="rk", ascending=True)
 
 
+#: Cells of the points of ``similar_all``, at most: their centres travel to every task.
+MAX_CELLS = 1024
+
+
+def _probes(vector: Column, centres: np.ndarray, radius: np.ndarray, count: np.ndarray, k: int) -> Column:
+    """array<struct(cell, d, reach)>: the cells that can hold one of the ``k`` nearest points of a vector.
+
+    The nearest cells that hold ``k`` points between them bound the distance of
+    the k-th one (``reach``); a cell whose points are all farther away, by the
+    triangle inequality, is left out."""
+    step = max(1, BLOCK // max(1, centres.size))
+
+    def probe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            out = []
+            for i in range(0, len(s), step):
+                q = np.stack([np.asarray(v, dtype=np.float64) for v in s.iloc[i: i + step]])
+                d = np.sqrt(((q[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2))
+                far = d + radius
+                order = np.argsort(far, axis=1)
+                enough = np.argmax(np.cumsum(count[order], axis=1) >= k, axis=1)
+                reach = far[np.arange(len(q)), order[np.arange(len(q)), enough]]
+                reach = np.where(count.sum() >= k, reach, np.inf) * (1 + 1e-9)
+                near = d - radius <= reach[:, None]
+                out += [[{"cell": int(j), "d": float(d[r, j]), "reach": float(reach[r])} for j in np.flatnonzero(near[r])] for r in range(len(q))]
+            yield pd.Series(out)
+
+    return F.pandas_udf(probe, "array<struct<cell: int, d: double, reach: double>>")(vector)
+
+
+def similar_all(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 10, cells: int | None = None) -> DataFrame:
+    """U5 for every entity: its ``k`` nearest others, exactly: ``id, neighbour, distance, rk`` (ties by id).
+
+    The points are put in cells (nearest of some centres); a point is compared
+    with the cells that its k nearest can lie in, and there with the points
+    whose distance to the centre allows it, so no cross join takes place. Rows
+    with the same coordinates are one point, which keeps its k + 1 smallest
+    ids: more can't be needed, and a place that a third of all rows share costs
+    one point. Rows with a NULL or NaN coordinate have no neighbours and are
+    none. ``cells`` changes the work, not the result."""
+    cols = list(cols)
+    x = df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)])
+    xs = [f"__x{i}" for i in range(len(cols))]
+    x = x.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in xs]) & F.col("__id").isNotNull())
+    place = Window.partitionBy(*xs).orderBy("__id")
+    first = x.withColumn("__n", F.row_number().over(place)).where(F.col("__n") <= k + 1)
+    points = first.groupBy(*xs).agg(F.array_sort(F.collect_list("__id")).alias("__ids"))
+    points = materialize(points.withColumn("__v", F.monotonically_increasing_id()), "points")
+    n = points.count()
+    none = x.select(F.col("__id").alias(id_col), F.col("__id").alias("neighbour"), F.lit(0.0).alias("distance"), F.lit(0).cast("bigint").alias("rk")).limit(0)
+    if not n:
+        return none
+    wanted = min(n, cells or min(MAX_CELLS, max(1, round(n ** 0.5))))
+    start = points.orderBy(F.xxhash64("__v")).limit(wanted).select(*xs).collect()  # MAX_CELLS points at most
+    _, centres = kmeans_fixed_start(points, "__v", xs, [list(r) for r in start], 2)
+    placed = materialize(assign_to_centres(points, xs, centres, out="__cell", dist="__r"), "placed")
+    stats = {r["__cell"]: r for r in placed.groupBy("__cell").agg(F.max("__r").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
+    used = sorted(stats)
+    numbers = np.array([centres[j] for j in used], dtype=np.float64)
+    probes = _probes(F.array(*xs), numbers, np.array([stats[j]["r"] for j in used]), np.array([stats[j]["n"] for j in used]), k + 1)
+    cell = F.array(*[F.lit(j) for j in used])
+    asked = placed.select(F.col("__v").alias("__q"), *[F.col(c).alias(f"__q{c}") for c in xs], F.explode(probes).alias("__p"))
+    asked = asked.select("__q", *[f"__q{c}" for c in xs], cell[F.col("__p.cell")].alias("__cell"), F.col("__p.d").alias("__d"), F.col("__p.reach").alias("__reach"))
+    near = asked.join(placed, "__cell").where(F.abs(F.col("__d") - F.col("__r")) <= F.col("__reach"))
+    sq = reduce(lambda a, b: a + b, [(F.col(f"__q{c}") - F.col(c)) * (F.col(f"__q{c}") - F.col(c)) for c in xs])
+    near = near.select("__q", "__ids", F.sqrt(sq).alias("__dist"))
+    best = Window.partitionBy("__q").orderBy("__dist", F.col("__ids")[0])
+    near = near.withColumn("__n", F.row_number().over(best)).where(F.col("__n") <= k + 1)
+    # k + 1 points of k + 1 ids at most
+    each = near.select("__q", F.explode(F.transform("__ids", lambda i: F.struct(F.col("__dist").alias("distance"), i.alias("neighbour")))).alias("__e"))
+    lists = each.groupBy("__q").agg(F.slice(F.array_sort(F.collect_list("__e")), 1, k + 1).alias("__near"))
+    lists = points.join(lists, F.col("__v") == F.col("__q")).select(*xs, "__near")
+    own = x.join(broadcast_if_small(lists, "neighbours"), xs)
+    others = F.slice(F.filter("__near", lambda e: e["neighbour"] != F.col("__id")), 1, k)
+    return own.select(F.col("__id").alias(id_col), F.posexplode(others).alias("__k", "__e")).select(
+        id_col, F.col("__e.neighbour").alias("neighbour"), F.col("__e.distance").alias("distance"), (F.col("__k") + 1).cast("bigint").alias("rk"))
+
+
 def project_2d(df: DataFrame, id_col: str, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """First two principal components of the z-scored columns, each
     signed so that its largest absolute loading is positive."""

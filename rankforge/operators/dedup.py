@@ -13,13 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.columns import null_safe_join
-from rankforge.operators.ranking import MAX_BROADCAST_ROWS, MAX_GROUP_ROWS
+from rankforge.functions.joins import broadcast_if_small
+from rankforge.operators.ranking import MAX_GROUP_ROWS
+from rankforge.session import materialize
 
 
 def _order_field(df: DataFrame, c: str, asc: bool):
@@ -31,6 +32,8 @@ def _order_field(df: DataFrame, c: str, asc: bool):
     dt = df.schema[c].dataType
     if isinstance(dt, T.IntegralType):
         v = F.bitwise_not(F.col(c))
+    elif isinstance(dt, (T.FloatType, T.DoubleType)):
+        return [F.col(c).isNull(), ~F.isnan(c), -F.col(c)]  # NaN is the largest value
     elif isinstance(dt, T.NumericType):
         v = -F.col(c)
     elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
@@ -50,12 +53,11 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[tuple[str,
     other columns), and every other row of that key."""
     key = list(key)
     sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > max_key_rows).select(*key).persist(StorageLevel.MEMORY_AND_DISK)
+    hot = materialize(sizes.filter(F.col("__n") > max_key_rows).select(*key), "hot-keys")
     if hot.limit(1).count() == 0:
-        hot.unpersist()
         return _by_window(df, key, order)
-    cond = [df[k].eqNullSafe(hot[k]) for k in key]
-    hk = F.broadcast(hot) if hot.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else hot
+    hk = broadcast_if_small(hot, written=True)
+    cond = [df[k].eqNullSafe(hk[k]) for k in key]
     cold_first, cold_rest = _by_window(df.join(hk, cond, "left_anti"), key, order)
     hot_first, hot_rest = _by_aggregate(df.join(hk, cond, "left_semi"), key, order)
     return cold_first.unionByName(hot_first), cold_rest.unionByName(hot_rest)

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from rankforge.functions.columns import null_safe_join, ratio, sanitize_name, unpivot_long
 from rankforge.functions.joins import join_back
 from rankforge.operators.cleaning import histogram
+from rankforge.operators.encoding import frequency_index, one_hot, with_index
 from rankforge.operators.ranking import DEFAULT_BUCKETS, rank_within
+from rankforge.session import materialize
 
 DEFAULT_MAX_FIELDS = 200
 
@@ -107,9 +109,11 @@ def encode_categories(train: DataFrame, df: DataFrame, cols: Sequence[str], meth
     """category encodings fitted on ``train`` only, applied to ``df``.
 
     ``'target'``: smoothed target mean ``(sum_y + s*mu) / (n + s)`` per value,
-    ``mu`` = train mean; unseen or NULL values get ``mu``. ``'index'`` and
-    ``'onehot'`` use ``StringIndexer`` (frequency order, ties by value) and
-    ``OneHotEncoder`` with an extra slot for unseen values."""
+    ``mu`` = train mean; unseen or NULL values get ``mu``. ``'index'`` numbers
+    the values from 0 up, most frequent first, ties by value (unseen and NULL:
+    the number after the last); ``'onehot'`` adds a sparse vector with a slot
+    for each number. The dictionary is a table, joined back. Vectors learned
+    from a table of values: ``encoding.learned_vectors``."""
     cols = list(cols)
     if method == "target":
         if target is None:
@@ -123,17 +127,16 @@ def encode_categories(train: DataFrame, df: DataFrame, cols: Sequence[str], meth
                                 (F.col("__n").cast("double") + F.lit(smoothing))).alias(f"{c}_te"))
             out = join_back(out, enc, [c], "left").withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), mu))
         return out
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    idx = StringIndexer(inputCols=cols, outputCols=[f"{c}_idx" for c in cols],
-                        stringOrderType="frequencyDesc", handleInvalid="keep").fit(train)
-    out = idx.transform(df)
-    if method == "index":
-        return out
-    if method == "onehot":
-        enc = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_vec" for c in cols],
-                            handleInvalid="keep", dropLast=False).fit(idx.transform(train))
-        return enc.transform(out)
-    raise ValueError(f"unknown encoding {method!r}")
+    if method not in ("index", "onehot"):
+        raise ValueError(f"unknown encoding {method!r}")
+    out = df
+    for c in cols:
+        dictionary = materialize(frequency_index(train, c), "dictionary")
+        size = dictionary.count()
+        out = with_index(out, dictionary, size, c, f"{c}_idx")
+        if method == "onehot":
+            out = one_hot(out, f"{c}_idx", f"{c}_vec", size)
+    return out
 
 
 def field_values(df: DataFrame, field: str, max_fields: int = DEFAULT_MAX_FIELDS) -> list:

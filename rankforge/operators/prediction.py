@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 from rankforge.functions.columns import null_safe_join
 from rankforge.functions.joins import join_back
-from rankforge.operators.ranking import DEFAULT_BUCKETS, exact_quantiles, rank_within
+from rankforge.operators.encoding import FrequencyEncoder, learned_vectors, with_vectors
+from rankforge.operators.ranking import DEFAULT_BUCKETS, exact_quantiles, positions, rank_within
+from rankforge.session import materialize
 
 
 def fold_of(key: str | Column, n_folds: int, key_type: T.DataType | None = None) -> Column:
@@ -152,11 +154,11 @@ def residual_report(pred: DataFrame, label: str = "rank", prediction: str = "raw
 
 def train_rank_model(train: DataFrame, cats: Sequence[str], nums: Sequence[str], label: str = "rank",
                      algo: str = "linear", seed: int = 42, log_nums: Sequence[str] = ()):
-    """Spark ML pipeline: index + one-hot encode categories, log1p the
-    named numeric columns, assemble, regress. ``algo`` is ``linear``,
-    ``forest``, ``gbt`` or ``fm``."""
+    """Spark ML pipeline: index + one-hot encode categories (dictionaries
+    that stay tables), log1p the named numeric columns, assemble, regress.
+    ``algo`` is ``linear``, ``forest``, ``gbt`` or ``fm``."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
     from pyspark.ml.regression import (FMRegressor, GBTRegressor, LinearRegression,
                                        RandomForestRegressor)
     cats, nums = list(cats), list(nums)
@@ -166,10 +168,7 @@ def train_rank_model(train: DataFrame, cats: Sequence[str], nums: Sequence[str],
         stages.append(SQLTransformer(statement=f"SELECT *, {expr} FROM __THIS__"))
     feats = [f"log1p_{c}" for c in log_nums] + nums
     if cats:
-        stages.append(StringIndexer(inputCols=cats, outputCols=[f"{c}_idx" for c in cats],
-                                    handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in cats],
-                                    outputCols=[f"{c}_vec" for c in cats], handleInvalid="keep"))
+        stages.append(FrequencyEncoder(cats))
         feats += [f"{c}_vec" for c in cats]
     stages.append(VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="error"))
     lab = F.col(label).cast("double")
@@ -214,7 +213,9 @@ def compare_models(train: DataFrame, test: DataFrame, specs: dict, label: str =
     """Each spec (``name -> kwargs of train_rank_model``) is trained on
     the same train rows and scored on the same test rows, next to the
     constant baseline "train mean per field" and the closed-form model of P1
-    on ``p1_x``; ``model, n, mae, rmse, r2``. A failing spec raises."""
+    on ``p1_x``; ``model, n, mae, rmse, r2``. A failing spec raises. A spec
+    may hold ``learned = {"row", "col", "value", "rank"}``: the vectors of
+    ``col`` learned on the train rows enter as numeric columns."""
     frames = []
     mu = train.agg(F.avg(F.col(label).cast("double"))).scalar()
     base_means = train.groupBy(by).agg(F.avg(F.col(label).cast("double")).alias("prediction"))
@@ -224,10 +225,62 @@ def compare_models(train: DataFrame, test: DataFrame, specs: dict, label: str =
         p1 = raw_prediction(fit_rank_linear(train, p1_x, label, [by]), train, test, p1_x, label, [by])
         frames.append(regression_metrics(p1, label, "raw").withColumn("model", F.lit("p1_linear")))
     for name, kw in specs.items():
-        model = train_rank_model(train, label=label, **kw)
-        pred = model.transform(test.withColumn(label, F.col(label).cast("double")))
+        kw, tr, te = dict(kw), train, test
+        learned = kw.pop("learned", None)
+        if learned:
+            c, rank = learned["col"], learned.get("rank", 4)
+            vectors = learned_vectors(train, learned["row"], c, learned["value"], rank)[c]
+            tr, te = (with_vectors(x, vectors, c, f"{c}_lv", rank) for x in (train, test))
+            kw["nums"] = [*kw.get("nums", ()), *[f"{c}_lv_{i}" for i in range(rank)]]
+        model = train_rank_model(tr, label=label, **kw)
+        pred = model.transform(te.withColumn(label, F.col(label).cast("double")))
         frames.append(regression_metrics(pred, label, "prediction").withColumn("model", F.lit(name)))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out.select("model", "n", "mae", "rmse", "r2")
+
+
+def cross_validate(df: DataFrame, key: str, specs: dict, n_folds: int = 5, label: str = "rank", by: str = "field",
+                   p1_x: str | None = "docs") -> DataFrame:
+    """P6 over every fold of P7: ``model, fold, n, mae, rmse, r2``.
+
+    All rows of one key are in one fold; a NULL key is always trained on. The
+    input is written once and serves every fold."""
+    data = materialize(df, "folds")
+    out = None
+    for fold in range(n_folds):
+        train, test = split_by_key(data, key, n_folds, fold)
+        got = compare_models(train, test, specs, label, by, p1_x).withColumn("fold", F.lit(fold))
+        out = got if out is None else out.unionByName(got)
+    return out.select("model", "fold", "n", "mae", "rmse", "r2")
+
+
+def permuted(df: DataFrame, col: str, key: Sequence[str], seed: int = 42) -> DataFrame:
+    """``df`` with the values of ``col`` dealt anew: the i-th row by ``key`` gets the value of the i-th row by the MD5 of seed and key.
+
+    ``key`` must tell rows apart. Both places come from cluster-wide sorts; the rows meet by place."""
+    keys = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
+    rows = positions(df, [F.col(k).asc_nulls_first() for k in key], "__place")
+    dealt = positions(df.select(F.col(col).alias("__new"), F.md5(keys.cast("binary")).alias("__h")), [F.col("__h")], "__place").select("__place", "__new")
+    return rows.join(dealt, "__place").withColumn(col, F.col("__new")).select(*df.columns)
+
+
+def permutation_weights(model, df: DataFrame, cols: Sequence[str], key: Sequence[str], label: str = "rank", seed: int = 42) -> DataFrame:
+    """P5 for a fitted pipeline of any kind: ``feature, rmse, weight``.
+
+    ``weight`` is by how much the RMSE on ``df`` grows when the column is dealt
+    anew (``permuted``), so linear models, trees and factor models compare;
+    ``feature`` NULL has the RMSE on the rows as they are, weight 0."""
+    data = materialize(df, "to-permute")
+
+    def rmse(x: DataFrame) -> DataFrame:
+        e = F.col("prediction") - F.col(label).cast("double")
+        return model.transform(x.withColumn(label, F.col(label).cast("double"))).agg(F.sqrt(F.avg(e * e)).alias("rmse"))
+
+    base = materialize(rmse(data), "rmse")
+    out = base.select(F.lit(None).cast("string").alias("feature"), "rmse", F.lit(0.0).alias("weight"))
+    for c in cols:
+        got = rmse(permuted(data, c, key, seed))
+        out = out.unionByName(got.select(F.lit(c).alias("feature"), "rmse", (F.col("rmse") - base.select("rmse").scalar()).alias("weight")))
+    return out

@@ -10,19 +10,22 @@ but no task sorts more than a bounded number of rows:
   split into value buckets:
 
   1. approximate quantile bounds of the metric per hot group (partial
-     aggregate, combined map-side);
+     aggregate, combined map-side), at most ``BOUNDS_BUDGET`` numbers in all;
   2. bucket = number of bounds on the "better" side of the value, so equal
-     values always share a bucket and buckets follow the rank order;
+     values always share a bucket and buckets follow the rank order: a binary
+     search of whole Arrow batches in the bounds, which travel with the
+     function, so the plan is the same for 2 buckets and for 4,096;
   3. rows per (group, bucket) -> offset = rows in better buckets (a table
      of hot groups x buckets rows, never data rows);
   4. rank = offset + rank() over (group, bucket).
 
 The bounds only balance work; any bounds give the same, exact ranks. Where
 buckets can't split a group (``row_number`` and ``ntile`` inside one hot value,
-or more bounds than may be broadcast), its rows are sorted over the cluster
-with their position as last tie, and ranks are differences of positions.
-Small tables (group sizes, bounds, bucket counts) are broadcast only after
-their row count is checked; otherwise they are shuffle-joined.
+or more than ``MAX_BUCKETS`` buckets or ``BOUNDS_BUDGET`` bounds), its rows are
+range-partitioned and sorted over the cluster with their position as last tie,
+and ranks are differences of positions.
+Small tables (group sizes, bucket counts) are written once and broadcast only
+after their rows and bytes are checked; otherwise they are shuffle-joined.
 """
 
 from __future__ import annotations
@@ -30,11 +33,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankforge.functions.columns import null_safe_join
+from rankforge.functions.joins import broadcast_if_small
 from rankforge.session import materialize
 
 AUTO = "auto"
@@ -42,8 +48,8 @@ DEFAULT_BUCKETS = AUTO
 MIN_BUCKETS = 32             # buckets of a whole-table rank, at least
 MAX_GROUP_ROWS = 2_000_000   # rows one window task may sort
 BUCKET_ROWS = 500_000        # target rows per bucket of a split group
-MAX_BROADCAST_ROWS = 200_000  # small-side rows that may be broadcast
-BOUNDS_BUDGET = 4_000_000     # bound values (doubles, ~32 MB) that may be broadcast in all; past it: positions
+MAX_BUCKETS = 4096           # buckets of one group, at most; past it: positions
+BOUNDS_BUDGET = 1_000_000    # bound values (doubles, 8 MB) of all groups together; past it: positions
 QUANTILE_ACCURACY = 10000
 METHODS = ("rank", "dense_rank", "row_number", "percent_rank", "ntile")
 
@@ -101,6 +107,8 @@ def rank_columns(df: DataFrame, by: Sequence[str], metric: str, outputs: dict,
     if not by and not buckets:
         buckets = MIN_BUCKETS  # never rank a whole table in one partition
     if buckets and buckets > 1:
+        if buckets > MAX_BUCKETS or not _has_number(df, metric) or (by and df.select(*by).distinct().count() * buckets > BOUNDS_BUDGET):
+            return _by_position(df, by, metric, specs, ascending, ties, total_col)
         return _split(df, by, metric, specs, ascending, ties, int(buckets), total_col, hot=None)
     return _plain(df, by, metric, specs, ascending, ties, total_col)
 
@@ -126,19 +134,18 @@ def _auto(df, by, metric, specs, ascending, ties, total_col, max_group_rows):
     if not by:
         n = df.agg(F.count(F.lit(1))).first()[0]
         b = max(MIN_BUCKETS, math.ceil(n / BUCKET_ROWS))
-        if b > BOUNDS_BUDGET or (n > max_group_rows and _needs_order(specs)):
+        if b > MAX_BUCKETS or not _has_number(df, metric) or (n > max_group_rows and _needs_order(specs)):
             return _by_position(df, by, metric, specs, ascending, ties, total_col)
         return _split(df, by, metric, specs, ascending, ties, b, total_col, hot=None)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__gn"))
-    hot = sizes.filter(F.col("__gn") > max_group_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    hot = materialize(sizes.filter(F.col("__gn") > max_group_rows), "hot-groups")
     top = hot.agg(F.max("__gn"), F.count(F.lit(1))).first()
     if not top[1]:
-        hot.unpersist()
         return _plain(df, by, metric, specs, ascending, ties, total_col)
     # buckets follow the largest group; no bounds array is ever copied into data rows
     b = max(2, math.ceil(top[0] / BUCKET_ROWS))
-    if b * top[1] > BOUNDS_BUDGET or _needs_order(specs):
-        hk = _broadcast_if(hot.select(*by), MAX_BROADCAST_ROWS)
+    if b > MAX_BUCKETS or b * top[1] > BOUNDS_BUDGET or _needs_order(specs) or not _has_number(df, metric):
+        hk = broadcast_if_small(hot.select(*by), written=True)
         cond = [df[k].eqNullSafe(hk[k]) for k in by]
         cold = _plain(df.join(hk, cond, "left_anti"), by, metric, specs, ascending, ties, total_col)
         return cold.unionByName(_by_position(df.join(hk, cond, "left_semi"), by, metric, specs, ascending, ties, total_col))
@@ -150,7 +157,7 @@ def _needs_order(specs) -> bool:
     return any(method in ("row_number", "ntile") for _, method, _ in specs)
 
 
-def _positions(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+def positions(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """``df`` plus its 0-based place in the order: a cluster-wide sort, written
     once, and the row counts of the partitions before (one row each)."""
     tie = "__at"
@@ -176,7 +183,7 @@ def _by_position(df, by, metric, specs, ascending, ties, total_col):
     """Every rank from row positions: no group, value or run of equal rows meets in one task."""
     methods = {s[1] for s in specs}
     keys = [F.col(k).asc_nulls_first() for k in by]
-    x = _positions(df, [*keys, *_order(metric, ascending, ties)], "__pos")
+    x = positions(df, [*keys, *_order(metric, ascending, ties)], "__pos")
 
     if by:
         group = x.groupBy(*by).agg(F.min("__pos").alias("__start"), F.count(F.lit(1)).alias("__tot"))
@@ -186,7 +193,7 @@ def _by_position(df, by, metric, specs, ascending, ties, total_col):
     if methods & {"rank", "dense_rank", "percent_rank"}:
         v = x.groupBy(*by, metric).agg(F.min("__pos").alias("__first"))
         if "dense_rank" in methods:
-            v = _positions(v, [*keys, *_order(metric, ascending, [])], "__vpos")
+            v = positions(v, [*keys, *_order(metric, ascending, [])], "__vpos")
             v = null_safe_join(v, v.groupBy(*by).agg(F.min("__vpos").alias("__vlow")), by, "inner") if by else v.withColumn("__vlow", F.lit(0))
             v = v.withColumn("__dense", F.col("__vpos") - F.col("__vlow") + 1).drop("__vpos", "__vlow")
         x = null_safe_join(x, v, [*by, metric], "inner")
@@ -208,38 +215,52 @@ def _by_position(df, by, metric, specs, ascending, ties, total_col):
     return x.drop("__pos", "__start", "__tot", "__first", "__dense")
 
 
-def _with_bucket(x: DataFrame, metric: str, bounds: str, buckets: int, ascending: bool,
-                 out: str = "__b") -> DataFrame:
-    """Add ``out`` = the row's bucket: how many of the sorted ``bounds`` lie
-    on the better side of the metric (NULL metrics: the last bucket).
+def _has_number(df: DataFrame, c: str) -> bool:
+    """Whether ``_number`` applies; other types (text) are ranked by position."""
+    return isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _number(df: DataFrame, c: str) -> Column:
+    """An orderable column as a double that keeps its order (equal values stay equal)."""
+    dt = df.schema[c].dataType
+    if isinstance(dt, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    return F.col(c).cast("double")
+
+
+def _bounds(num: str, buckets: int) -> Column:
+    """The ``buckets - 1`` inner quantiles of a double column, approximately."""
+    probs = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    # rank error of the bounds ~ rows / accuracy: keep it well under a bucket
+    return F.expr(f"percentile_approx({num}, array({probs}), {max(QUANTILE_ACCURACY, 4 * buckets)})")
 
-    A binary search for the first bound >= the value, one small projection
-    per halving step: log2(buckets) comparisons per row and code that does
-    not grow with the bucket count, all inside whole-stage codegen (a lambda
-    over the array would be interpreted, a flat sum of comparisons would
-    outgrow the generated-method limit)."""
-    n = buckets - 1
-    m, b = F.col(metric), F.col(bounds)
-    x = x.withColumns({"__lo": F.lit(0), "__hi": F.lit(n)})
-    for _ in range(max(1, math.ceil(math.log2(n + 1)))):
-        lo, hi = F.col("__lo"), F.col("__hi")
-        mid = F.floor((lo + hi) / 2).cast("int")
-        go = lo < hi
-        below = F.try_element_at(b, mid + 1) < m
-        x = x.withColumns({"__lo": F.when(go & below, mid + 1).otherwise(lo),
-                           "__hi": F.when(go & ~below, mid).otherwise(hi)})
-    first_ge = F.col("__lo")
-    val = first_ge if ascending else F.lit(n) - first_ge
-    return x.withColumn(out, F.when(m.isNull(), F.lit(buckets)).otherwise(val)).drop("__lo", "__hi")
 
+def _bucket(num: str, group: str, bounds: dict[int, list[float]], buckets: int, ascending: bool) -> Column:
+    """The row's bucket: how many of its group's sorted bounds lie on the better side of the value.
 
-def _small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> bool:
-    return df.limit(rows + 1).count() <= rows
+    NULL values go to the last bucket, ``buckets``; rows of a group without
+    bounds (group NULL, or all values NULL) that have a value go to bucket 0.
+    One vectorised binary search per Arrow batch and group."""
+    held = {g: np.sort(np.array(b, dtype=np.float64)) for g, b in bounds.items() if b is not None}
+    last = buckets - 1
 
+    @F.arrow_udf("int")
+    def find(v: pa.Array, g: pa.Array) -> pa.Array:
+        value = v.to_numpy(zero_copy_only=False)
+        missing = np.asarray(v.is_null())
+        own = np.asarray(g.fill_null(-1))
+        out = np.zeros(len(value), dtype=np.int32)
+        for k in np.unique(own).tolist():
+            if k in held:
+                rows = own == k
+                first = np.searchsorted(held[k], value[rows], side="left")
+                out[rows] = first if ascending else last - first
+        out[missing] = buckets
+        return pa.array(out)
 
-def _broadcast_if(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint only when the row count is checked to be at most ``rows``."""
-    return F.broadcast(df) if _small(df, rows) else df
+    return find(F.col(num), F.col(group))
 
 
 def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
@@ -247,26 +268,19 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
     the other groups keep a single bucket 0 and offset 0."""
     m = F.col(metric)
     methods = {s[1] for s in specs}
-    probs = [i / buckets for i in range(1, buckets)]
-    # rank error of the bounds ~ rows / accuracy: keep it well under a bucket
-    accuracy = max(QUANTILE_ACCURACY, 4 * buckets)
-    bounds_expr = F.percentile_approx(m, probs, accuracy).alias("__bounds")
-    if by:
-        src = df
-        if hot is not None:
-            hk = F.broadcast(hot) if _small(hot) else hot
-            src = src.join(hk, [src[k].eqNullSafe(hk[k]) for k in by], "left_semi")
-        bounds = src.groupBy(*by).agg(bounds_expr, F.lit(True).alias("__s")).persist(StorageLevel.MEMORY_AND_DISK)
-        x = null_safe_join(df, _broadcast_if(bounds, max(1, BOUNDS_BUDGET // buckets)), by, "left")
-        small = _small(bounds, max(1, MAX_BROADCAST_ROWS // (buckets + 1)))
+    if hot is not None or by:
+        keys = materialize(df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")) if hot is None else hot, "split-groups")
+        groups = materialize(keys.select(*by, F.monotonically_increasing_id().alias("__g")), "split-groups")
+        x = null_safe_join(df, broadcast_if_small(groups, written=True), by, "left")
     else:
-        small = True
-        x = df.withColumn("__bounds", df.agg(bounds_expr).scalar()).withColumn("__s", F.lit(True))
-    # a group whose metric is NULL throughout has no bounds, but is split all the same: its rows are the last bucket
-    x = x.withColumn("__s", F.coalesce(F.col("__s"), F.lit(False)))
-    x = _with_bucket(x, metric, "__bounds", buckets, ascending)
-    x = x.withColumn("__b", F.when(F.col("__s"), F.col("__b")).otherwise(F.lit(0)))
-    x = x.drop("__bounds")
+        x = df.withColumn("__g", F.lit(0).cast("long"))
+    x = x.withColumn("__num", _number(df, metric))
+    # at most BOUNDS_BUDGET numbers in all; a group whose metric is NULL throughout has no bounds, but is split all the same
+    found = x.filter(F.col("__g").isNotNull()).groupBy("__g").agg(_bounds("__num", buckets).alias("b")).collect()
+    bounds = {r["__g"]: r["b"] for r in found}
+    x = x.withColumn("__s", F.col("__g").isNotNull())
+    x = x.withColumn("__b", F.when(F.col("__s"), _bucket("__num", "__g", bounds, buckets, ascending)).otherwise(F.lit(0)))
+    x = x.drop("__g", "__num")
 
     aggs = [F.count(F.lit(1)).alias("__n"), F.min(m).alias("__mn"), F.max(m).alias("__mx")]
     if "dense_rank" in methods:
@@ -283,8 +297,8 @@ def _split(df, by, metric, specs, ascending, ties, buckets, total_col, hot):
     # a bucket holding one value (or the NULLs) ties throughout: rank = offset + 1
     counts = counts.withColumn("__one", (F.col("__b") == buckets) | (F.col("__mn") == F.col("__mx")))
     counts = counts.drop("__n", "__dn", "__mn", "__mx")
-    # split groups x (buckets + 1) rows: broadcast under the same size check
-    x = null_safe_join(x, F.broadcast(counts) if small else counts, by + ["__b"], "left")
+    # split groups x (buckets + 1) rows, written once and broadcast under the size check
+    x = null_safe_join(x, broadcast_if_small(counts, "bucket-counts"), by + ["__b"], "left")
 
     one = F.coalesce(F.col("__one"), F.lit(False))
     part = by + ["__b"]
@@ -371,9 +385,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
             # every group fits one task: one sort per group is cheapest
             return _quantiles_from_ranks(base, by, probs, names)
         buckets = max(MIN_BUCKETS, math.ceil(top / BUCKET_ROWS))
-        if buckets * n_groups > BOUNDS_BUDGET:
+        if buckets > MAX_BUCKETS or buckets * n_groups > BOUNDS_BUDGET:
             return _quantiles_from_ranks(base, by, probs, names,
                                          _by_position(base, by, "__v", [("__r", "rank", None)], True, [], "__t"))
+    elif buckets > MAX_BUCKETS or (by and base.select(*by).distinct().count() * buckets > BOUNDS_BUDGET):
+        return _quantiles_from_ranks(base, by, probs, names, _by_position(base, by, "__v", [("__r", "rank", None)], True, [], "__t"))
     return _quantiles_targeted(base, by, probs, names, int(buckets))
 
 
@@ -398,22 +414,20 @@ def _quantiles_from_ranks(base, by, probs, names, ranked=None):
 
 def _quantiles_targeted(base, by, probs, names, buckets):
     v = F.col("__v")
-    probs_b = [i / buckets for i in range(1, buckets)]
-    bexpr = F.percentile_approx(v, probs_b, max(QUANTILE_ACCURACY, 4 * buckets)).alias("__bounds")
     if by:
-        bounds = base.groupBy(*by).agg(bexpr).persist(StorageLevel.MEMORY_AND_DISK)
-        x = null_safe_join(base, _broadcast_if(bounds, max(1, BOUNDS_BUDGET // buckets)), by, "inner")
+        groups = materialize(base.select(*by).distinct().withColumn("__g", F.monotonically_increasing_id()), "quantile-groups")
+        x = null_safe_join(base, broadcast_if_small(groups, written=True), by, "inner")
     else:
-        x = base.withColumn("__bounds", base.agg(bexpr).scalar())
-    x = _with_bucket(x, "__v", "__bounds", buckets, True).drop("__bounds")
+        x = base.withColumn("__g", F.lit(0).cast("long"))
+    bounds = {r["__g"]: r["b"] for r in x.groupBy("__g").agg(_bounds("__v", buckets).alias("b")).collect()}  # at most BOUNDS_BUDGET numbers
+    x = x.withColumn("__b", _bucket("__v", "__g", bounds, buckets, True)).drop("__g")
 
     # per bucket: rows, value range, first position (groups x buckets rows, kept once)
     counts = x.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__c"), F.min(v).alias("__mn"),
                                        F.max(v).alias("__mx"))
     before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = (counts.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0)))
-              .withColumn("__n", F.sum("__c").over(Window.partitionBy(*by)))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    counts = materialize(counts.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0)))
+                         .withColumn("__n", F.sum("__c").over(Window.partitionBy(*by))), "bucket-counts")
 
     # wanted positions: floor and ceil of (n - 1) * p, kept by the bucket that holds them
     items = []
@@ -432,12 +446,11 @@ def _quantiles_targeted(base, by, probs, names, buckets):
         *by, "__b", "q", "w", "frac", "__n", (F.col("pos") - F.col("__off")).alias("__lpos"))
 
     # sort only the buckets that hold a wanted position (at most 2 per quantile and group)
-    nb = need.select(*by, "__b").distinct()
-    small_nb = _small(nb)
-    nbj = F.broadcast(nb) if small_nb else nb
+    need = broadcast_if_small(need, "wanted-buckets")
+    nbj = broadcast_if_small(need.select(*by, "__b").distinct(), "wanted-buckets")
     sel = x.join(nbj, [x[k].eqNullSafe(nbj[k]) for k in by + ["__b"]], "left_semi")
     ranked = sel.withColumn("__p0", F.rank().over(Window.partitionBy(*by, "__b").orderBy(v.asc())) - 1)
-    j = null_safe_join(ranked, F.broadcast(need) if small_nb else need, by + ["__b"], "inner")
+    j = null_safe_join(ranked, need, by + ["__b"], "inner")
     vals = j.filter(F.col("__p0") <= F.col("__lpos")).groupBy(*by, "q", "w").agg(
         F.max(v).alias("val"), F.first("frac").alias("frac"), F.first("__n").alias("__n"))
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankforge.functions.columns import ratio
 from rankforge.operators.ranking import DEFAULT_BUCKETS, rank_within, top_k_per_group
+from rankforge.session import materialize
 
 
 def ranked(df: DataFrame, field: str = "field", metric: str = "citations", out: str = "rank",
@@ -103,6 +106,53 @@ def multi_dim(df: DataFrame, dims: Sequence[str], mode="rollup", docs: str = "do
     return out.select(*dims, gid, "n_rows", docs, F.col("__c").cast("double").alias(metric))
 
 
+def multi_dim_lattice(df: DataFrame, dims: Sequence[str], mode="cube", distinct: str | None = None, docs: str = "docs",
+                      metric: str = "citations", gid: str = "gid") -> DataFrame:
+    """Q4 from one pass over the rows: the finest grouping is computed once, and
+    every other grouping set from the smallest set already computed that has
+    its dimensions, so no row is multiplied.
+
+    ``distinct`` names a whole-number column whose distinct non-NULL values are
+    counted exactly per set, as ``n_<distinct>``: the values are kept as bitmaps
+    per block of 32,768 numbers, which are united when a dimension is dropped.
+    Other columns as ``multi_dim``; the totals row is there if a row is."""
+    dims = list(dims)
+    if mode == "rollup":
+        sets = [dims[:i] for i in range(len(dims), -1, -1)]
+    elif mode == "cube":
+        sets = [list(s) for n in range(len(dims), -1, -1) for s in combinations(dims, n)]
+    else:
+        sets = [[c for c in dims if c in s] for s in sorted(mode, key=len, reverse=True)]
+    block = ["__block"] if distinct else []
+    x = df
+    if distinct:
+        if not isinstance(df.schema[distinct].dataType, T.IntegralType):
+            raise ValueError(f"{distinct} must be a whole number: number its values first")
+        v = F.col(distinct).cast("bigint")
+        x = x.withColumns({"__block": F.bitmap_bucket_number(v), "__bit": F.bitmap_bit_position(v)})
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.sum(docs).alias("__d"), F.sum(metric).alias("__c")]
+    finest = materialize(x.groupBy(*dims, *block).agg(*aggs, *([F.bitmap_construct_agg("__bit").alias("__bits")] if distinct else [])), "lattice")
+    done = {tuple(dims): (finest.count(), finest)}
+    out = None
+    for s in sets:
+        if tuple(s) not in done:
+            _, parent = min((d for have, d in done.items() if set(s) <= set(have)), key=lambda d: d[0])
+            sums = [F.sum(c).alias(c) for c in ("n_rows", "__d", "__c")] + ([F.bitmap_or_agg("__bits").alias("__bits")] if distinct else [])
+            keys = [*s, *block] or [F.lit(0).alias("__all")]
+            child = materialize(parent.groupBy(*keys).agg(*sums), "lattice")
+            done[tuple(s)] = (child.count(), child)
+        own = done[tuple(s)][1]
+        total = [F.sum("n_rows").cast("bigint").alias("n_rows"), F.sum("__d").cast("bigint").alias(docs), F.sum("__c").cast("double").alias(metric)]
+        if distinct:
+            total.append(F.sum(F.bitmap_count("__bits")).cast("bigint").alias(f"n_{distinct}"))
+        flat = own.groupBy(*([*s] or [F.lit(0).alias("__all")])).agg(*total)
+        bits = sum(1 << (len(dims) - 1 - i) for i, c in enumerate(dims) if c not in s)
+        flat = flat.select(*[F.col(c) if c in s else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in dims], F.lit(bits).cast("bigint").alias(gid),
+                           "n_rows", docs, metric, *([f"n_{distinct}"] if distinct else []))
+        out = flat if out is None else out.unionByName(flat)
+    return out
+
+
 def top_regions(df: DataFrame, k: int = 3, by: Sequence[str] = (), region: str = "region",
                 metric: str = "citations") -> DataFrame:
     """Q5: regions by summed metric, the first k overall or per ``by`` group,

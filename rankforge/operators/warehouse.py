@@ -64,17 +64,71 @@ def schema_problems(df: DataFrame, spec: TableSpec) -> list[str]:
     return out
 
 
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
+
+
+def _held(c: str, have: T.DataType, want: T.DataType):
+    """A column in another type; NULL where that type can't hold the value."""
+    if isinstance(have, _NESTED) or isinstance(want, _NESTED):
+        return F.lit(None).cast(want)
+    if isinstance(have, T.NumericType) and isinstance(want, T.NumericType):
+        new = F.col(c).try_cast(want)
+        return F.when(new.try_cast(have).eqNullSafe(F.col(c)), new)
+    return F.col(c).cast("string").try_cast(want)
+
+
+def schema_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """M1: differences between a frame's columns and its spec, as ``check, table, n_violations``.
+
+    ``missing_column``: columns of the spec that the frame lacks. ``wrong_type``:
+    columns of another type. ``bad_value``: values of those columns that the
+    spec's type can't hold: text that doesn't parse, a number that changes."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    want = {c: T._parse_datatype_string(t) for c, t in spec.columns.items()}
+    lacking = [c for c in want if c not in have]
+    wrong = [c for c, t in want.items() if c in have and have[c] != t]
+    lost = F.lit(0).cast("bigint")
+    for c in wrong:
+        gone = F.col(c).isNotNull() & _held(c, have[c], want[c]).isNull()
+        lost = lost + F.sum(F.when(gone, 1).otherwise(0))
+    if not wrong:
+        counts = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("lost"))
+    else:
+        counts = df.agg(F.coalesce(lost, F.lit(0)).cast("bigint").alias("lost"))
+    rows = [("missing_column", F.lit(len(lacking)).cast("bigint")), ("wrong_type", F.lit(len(wrong)).cast("bigint")), ("bad_value", F.col("lost"))]
+    each = F.array(*[F.struct(F.lit(n).alias("check"), F.lit(spec.name).alias("table"), v.alias("n_violations")) for n, v in rows])
+    return counts.select(F.inline(each))
+
+
+def _as_declared(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``df`` with the columns of the spec in its types: missing ones NULL, values that don't fit NULL."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    for c, t in spec.columns.items():
+        if c not in have:
+            df = df.withColumn(c, F.lit(None).cast(t))
+        elif have[c] != T._parse_datatype_string(t):
+            df = df.withColumn(c, _held(c, have[c], T._parse_datatype_string(t)))
+    return df
+
+
 def _count_row(check: str, table: str, n: DataFrame) -> DataFrame:
     return n.select(F.lit(check).alias("check"), F.lit(table).alias("table"),
                     F.coalesce(F.col("n").cast("bigint"), F.lit(0).cast("bigint")).alias("n_violations"))
 
 
-def conforms(df: DataFrame, spec: TableSpec, tables: dict | None = None) -> DataFrame:
-    """Row-level violations of one table: ``check, table, n_violations``.
-    Foreign keys are checked when the referenced table is in ``tables``."""
+def conforms(df: DataFrame, spec: TableSpec, tables: dict | None = None, schema: bool = False) -> DataFrame:
+    """Violations of one table: ``check, table, n_violations``.
+    Foreign keys are checked when the referenced table is in ``tables``.
+
+    The rows of ``schema_rows`` are part of it where the columns differ from
+    the spec, and always with ``schema=True``. The other checks then see the
+    columns as declared: missing ones and values that don't fit are NULL."""
     out = []
+    if schema or schema_problems(df, spec):
+        out.append(schema_rows(df, spec))
+        df = _as_declared(df, spec)
     if spec.primary_key:
-        dup = df.groupBy(*spec.primary_key).agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+        dup = df.groupBy(*spec.primary_key).agg(F.count(F.lit(1)).alias("__k")).filter("__k > 1")
         out.append(_count_row("pk_dup", spec.name, dup.agg(F.count(F.lit(1)).alias("n"))))
     row_checks = {}
     if spec.required:
@@ -125,10 +179,10 @@ def reconcile(label: str, source: DataFrame, parts: Sequence[DataFrame]) -> Data
 
 
 def verify(tables: dict, specs: Sequence[TableSpec],
-           reconciliations: Sequence[tuple[str, str, Sequence[str]]] = ()) -> DataFrame:
+           reconciliations: Sequence[tuple[str, str, Sequence[str]]] = (), schema: bool = False) -> DataFrame:
     """M5: all checks of all tables as ``check, table, n_violations``; a
-    passing check yields 0."""
-    frames = [conforms(tables[s.name], s, tables) for s in specs]
+    passing check yields 0. ``schema``: as for ``conforms``."""
+    frames = [conforms(tables[s.name], s, tables, schema) for s in specs]
     frames += [reconcile(label, tables[src], [tables[p] for p in parts])
                for label, src, parts in reconciliations]
     res = frames[0]

@@ -81,7 +81,7 @@ SELECT field, COUNT(DISTINCT entity) AS n_entities, MIN(rank) AS best_rank, AVG(
        CAST(SUM(citations) AS DOUBLE) AS citations
 FROM ef WHERE country = {COUNTRY} GROUP BY field""")
 def _q2(spark, d):
-    return Q.country_performance(entity_field(spark, d, with_rank=False), COUNTRY, [10])
+    return Q.country_performance(materialize(entity_field(spark, d, with_rank=False), "ef"), COUNTRY, [10])
 
 
 @register("q7_global_rank", """SELECT l_orderkey, l_linenumber, l_extendedprice,
@@ -367,7 +367,8 @@ SELECT kind, field, rank, ROUND(share, 6) AS share FROM b WHERE i <= 2
 UNION ALL SELECT kind, field, rank, ROUND(share, 6) AS share FROM w WHERE i <= 2""")
 def _f4(spark, d):
     # one entity: its ranks come from counts of better rows (Q1), no table sort
-    own = Q.entity_rankings(entity_field(spark, d, with_rank=False), ENTITY, with_entity=True)
+    ef = materialize(entity_field(spark, d, with_rank=False), "ef")
+    own = materialize(Q.entity_rankings(ef, ENTITY, with_entity=True), "own")  # one row per field
     r = Fe.entity_strengths(own, ENTITY, 2)
     return r.withColumn("share", F.round("share", 6))
 
@@ -1006,7 +1007,7 @@ w AS (SELECT entity, 'worst' AS kind, field, rank, share,
 SELECT entity, kind, field, rank, ROUND(share, 6) AS share FROM b WHERE i <= 2
 UNION ALL SELECT entity, kind, field, rank, ROUND(share, 6) AS share FROM w WHERE i <= 2""")
 def _f4all(spark, d):
-    r = Fe.entity_strengths(entity_field(spark, d), None, 2)
+    r = Fe.entity_strengths(materialize(entity_field(spark, d), "ef-ranked"), None, 2)  # read for totals, best and worst
     return r.withColumn("share", F.round("share", 6))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rankforge.functions.columns import ratio
 from rankforge.operators.ranking import DEFAULT_BUCKETS, rank_within
+from rankforge.session import materialize
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -49,7 +50,8 @@ def entity_field(spark: SparkSession, sf_dir: str, with_rank: bool = True,
         ratio("citations", "docs").alias("cpp"))
     if not with_rank:
         return ef
-    return rank_within(ef, ["field"], "citations", "rank", out="rank", buckets=buckets)
+    # the rank engine reads its input for the group sizes and again for the ranks: lineitem is joined once
+    return rank_within(materialize(ef, "ef"), ["field"], "citations", "rank", out="rank", buckets=buckets)
 
 
 def entity_field_wide(spark: SparkSession, sf_dir: str) -> DataFrame:

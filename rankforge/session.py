@@ -65,3 +65,17 @@ def materialize(df, name: str = "table"):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path object) of the Hadoop path ``path``: works for any store that Spark reaches."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables under the shared checkpoint folder.
+
+    For the end of a job: frames that still read such tables can't be used afterwards."""
+    files, path = file_system(spark, f"{checkpoint_root(spark)}/rankforge-scratch")
+    files.delete(path, True)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,15 +87,25 @@ def export_meta(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*rows).alias("__m")).select(F.inline("__m"))
 
 
+_META = T.StructType([T.StructField(n, T.LongType() if n.startswith("n_") else T.StringType())
+                      for n in ("column", "type", "n_rows", "n_missing", "min", "max")])
+
+
 def export_json(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     """Write records as line-delimited JSON and the metadata sidecar next
-    to it (``<path>/_meta``, one JSON row per column), taken from the written
-    data, so the input is computed once; returns the sidecar frame read back
-    from storage."""
-    df.write.mode(mode).json(f"{path}/data")
-    export_meta(df.sparkSession.read.schema(df.schema).json(f"{path}/data")).coalesce(1).write.mode(mode).json(f"{path}/_meta")
-    spark = df.sparkSession
-    meta_schema = T.StructType([T.StructField("column", T.StringType()), T.StructField("type", T.StringType()),
-                                T.StructField("n_rows", T.LongType()), T.StructField("n_missing", T.LongType()),
-                                T.StructField("min", T.StringType()), T.StructField("max", T.StringType())])
-    return spark.read.schema(meta_schema).json(f"{path}/_meta")
+    to it (``<path>/_meta``, one JSON row per column); returns the sidecar frame
+    read back from storage. The counts, minima and maxima are collected by the
+    write itself (an ``Observation``), so the input is computed and read once
+    and the data isn't read back."""
+    spark, seen, n = df.sparkSession, Observation(), F.count(F.lit(1))
+    metrics = [n.alias("n")]
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        metrics.append(F.count(c).alias(f"n_{i}"))
+        if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            metrics += [F.min(c).cast("string").alias(f"min_{i}"), F.max(c).cast("string").alias(f"max_{i}")]
+    df.observe(seen, *metrics).write.mode(mode).json(f"{path}/data")
+    m = seen.get
+    rows = [(f.name, f.dataType.simpleString(), m["n"], m["n"] - m[f"n_{i}"], m.get(f"min_{i}"), m.get(f"max_{i}")) for i, f in enumerate(df.schema.fields)]
+    spark.createDataFrame(rows, _META).coalesce(1).write.mode(mode).json(f"{path}/_meta")
+    return spark.read.schema(_META).json(f"{path}/_meta")

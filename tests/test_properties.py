@@ -83,8 +83,9 @@ def test_partition_independence(spark, n):
 
 
 def test_first_per_key_hot_keys_not_broadcast(spark, monkeypatch):
+    import rankforge.functions.joins as J
     import rankforge.operators.dedup as D
-    monkeypatch.setattr(D, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(J, "BROADCAST_ROWS", 0)
     df = spark.createDataFrame([(i % 4, i % 7, i) for i in range(60)], "k int, v int, w int")
     f1, r1 = D.first_per_key(df, ["k"], [("v", False)], max_key_rows=5)
     f2, r2 = D.first_per_key(df, ["k"], [("v", False)])

@@ -141,9 +141,10 @@ def test_exact_quantiles_with_hot_value(spark, buckets):
 def test_split_without_broadcast_small_tables(spark, ties, monkeypatch):
     """Budgets forced to tiny values: bounds and bucket counts take the
     shuffle-join path and the ranks stay exact."""
+    import rankforge.functions.joins as J
     import rankforge.operators.ranking as R
     monkeypatch.setattr(R, "BOUNDS_BUDGET", 3)
-    monkeypatch.setattr(R, "MAX_BROADCAST_ROWS", 2)
+    monkeypatch.setattr(J, "BROADCAST_ROWS", 2)
     outs = {"rk": "rank", "drk": "dense_rank", "rn": "row_number"}
     got = R.rank_columns(ties, ["g"], "v", outs, ties=["id"], max_group_rows=10)
     exp = R.rank_columns(ties, ["g"], "v", outs, ties=["id"], buckets=None)
