@@ -36,9 +36,9 @@ _SPACES = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2
 class Encoder:
     """``encode(texts) -> (ids, counts)``: all ids in order, and how many each text has."""
 
-    def __init__(self, path: str, memory: int = 0):
+    def __init__(self, path: str, memory: int = 0, slice_chars: int = 0):
         from tokenizers import Tokenizer
-        self.memory = memory or MEMORY
+        self.memory, self.slice_chars = memory or MEMORY, slice_chars or SLICE_CHARS
         self.tok = Tokenizer.from_file(path)
         # left out for words that are normal already (the one of a public file: NFC and lower case)
         self.normal = self.tok.normalizer
@@ -160,7 +160,7 @@ class Encoder:
         start = 0
         while start < len(texts):
             stop, chars = start, 0
-            while stop < len(texts) and (stop == start or chars + len(texts[stop]) <= SLICE_CHARS):
+            while stop < len(texts) and (stop == start or chars + len(texts[stop]) <= self.slice_chars):
                 chars += len(texts[stop])
                 stop += 1
             a, n = self._slice(texts[start:stop])
@@ -185,6 +185,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, memory: int = 0) -> Encoder:
-    """One encoder per Python worker, tokenizer file and number of pieces remembered."""
-    return Encoder(path, memory)
+def encoder(path: str, memory: int = 0, slice_chars: int = 0) -> Encoder:
+    """One encoder per Python worker, tokenizer file and bounds of its memory."""
+    return Encoder(path, memory, slice_chars)

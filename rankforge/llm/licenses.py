@@ -17,7 +17,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,13 +196,16 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     the share of words that stand in one. NULL or empty text: no words, empty
     labels, score 0. Repeated rows are scanned alike; other columns are not read."""
     kind = docs.schema[doc_id].dataType.simpleString()
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
+    spans = pa.list_(pa.struct([("label", pa.string()), ("first", pa.int64()), ("end", pa.int64())]))
+    types = [*[pa.int64()] * 4, pa.string(), pa.string(), pa.float64(), spans]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Scanner(templates, phrases)
         for b in batches:
             rows = []
-            for t in b["text"]:
-                n, found = s.scan(t)
+            for t in b.column(1):
+                n, found = s.scan(t.as_py())
                 base = [x for x in found if x[3]]
                 covered, upto = 0, 0
                 for _, a, e, _ in sorted(found, key=lambda x: x[1]):
@@ -211,10 +214,10 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 rows.append((n, len(base), min((x[1] for x in base), default=None), max((x[1] for x in base), default=None),
                              ",".join(sorted({x[0] for x in base})), ",".join(sorted({x[0] for x in found})), covered / n if n else 0.0,
                              [{"label": x[0], "first": x[1], "end": x[2]} for x in found]))
-            out = pd.DataFrame(rows, columns=["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"])
-            out.insert(0, "doc_id", b["doc_id"].to_numpy())
-            yield out.astype({"first_word": "Int64", "last_word": "Int64"})
+            cols = list(zip(*rows)) if rows else [[]] * len(names)
+            # the ids pass through as they came
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, t) for c, t in zip(cols, types)]], names=["doc_id", *names])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         run, f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
              "score double, spans array<struct<label: string, first: long, end: long>>")

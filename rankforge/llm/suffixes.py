@@ -51,6 +51,8 @@ WINDOW, GRAM = 200, 80
 ROUNDS = 2
 #: Windows compared at once, by what they have in common, before they are compared one by one.
 BAND = 16
+#: Texts that may share a hash with another before the operator gives up (a few are expected at 10 ** 10 texts).
+RENAMED = 10_000
 #: Bytes parsed at a time.
 SEGMENT = 4 << 20
 
@@ -113,6 +115,21 @@ class Parser:
         return [_signed(h(data[x: x + g])) for x in anchors.tolist()]
 
 
+#: Entries of lists (chunks, cells, windows) that a Python step handles at a time, and bytes of text.
+ENTRIES, TEXT_BYTES = 50_000, 2 << 20
+
+
+def _slices(batches: Iterator[pd.DataFrame], size, limit: int) -> Iterator[pd.DataFrame]:
+    """The rows of the batches in frames of about ``limit``; ``size(frame)`` gives the size of each row."""
+    for b in batches:
+        total = np.cumsum(np.fromiter(size(b), dtype=np.int64, count=len(b)))
+        at = 0
+        while at < len(b):
+            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + limit, side="right")))
+            yield b.iloc[at:end].reset_index(drop=True)
+            at = end
+
+
 def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
@@ -120,7 +137,7 @@ def _signed(h: int) -> int:
 def _gram_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parser = Parser(window, gram)
-        for b in batches:
+        for b in _slices(batches, lambda b: map(len, b["data"]), TEXT_BYTES):
             grams, ids = [], []
             for tid, data in zip(b["tid"].tolist(), b["data"]):
                 own = parser.grams(data, parser.cells(data)[0])
@@ -139,7 +156,7 @@ def _parse(texts: DataFrame, window: int, gram: int) -> DataFrame:
     """Per text: its cells with a repeated gram, and its chunks near them (chunk 0: a break)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parser, h = Parser(window, gram), xxhash.xxh3_64_intdigest
-        for b in batches:
+        for b in _slices(batches, lambda b: map(len, b["data"]), TEXT_BYTES):
             rows = []
             for tid, data, often in zip(b["tid"].tolist(), b["data"], b["grams"]):
                 x, lo, hi = parser.cells(data)
@@ -170,8 +187,8 @@ def _parse(texts: DataFrame, window: int, gram: int) -> DataFrame:
 def _named(strings: DataFrame, step: int) -> DataFrame:
     """(tid, name array) -> (tid, name array): triples ``step`` apart at the sampled positions, named in their order."""
     def triples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            # the texts of a batch one after the other, each followed by zeros
+        for b in _slices(batches, lambda b: map(len, b["name"]), ENTRIES):
+            # the texts of a slice one after the other, each followed by zeros
             own = [np.asarray(s, dtype=np.int64) for s in b["name"]]
             sizes = np.array([len(s) + 2 * step for s in own])
             first = np.cumsum(sizes) - sizes
@@ -194,7 +211,7 @@ def _named(strings: DataFrame, step: int) -> DataFrame:
 def _place(strings: DataFrame) -> DataFrame:
     """(tid, i, name) -> (tid, name): names at their positions, 0 elsewhere."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _slices(batches, lambda b: map(len, b["i"]), ENTRIES):
             names = []
             for i, name in zip(b["i"], b["name"]):
                 out = np.zeros(i.max() + 1, dtype=np.int64)
@@ -227,7 +244,7 @@ def _common(a: tuple, b: tuple) -> int:
 def adjacent_repeats(parsed: DataFrame, order: DataFrame, window: int) -> DataFrame:
     """(tid, lo, hi): windows lo..hi inside the chunks that a sampled suffix shares with a neighbour in the order."""
     def suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _slices(batches, lambda b: map(len, b["chunk"]), ENTRIES // 8):  # a suffix holds several chunks
             rows = []
             for tid, start, size, chunk, name in zip(b["tid"].tolist(), *(map(np.ndarray.tolist, b[c]) for c in ("start", "size", "chunk", "name"))):
                 for i in [i for i, x in enumerate(name) if x]:
@@ -247,7 +264,7 @@ def adjacent_repeats(parsed: DataFrame, order: DataFrame, window: int) -> DataFr
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, before = None, 0  # a neighbour in another partition is left to the merge
-        for b in batches:
+        for b in _slices(batches, lambda b: map(len, b["chunk"]), ENTRIES):
             out = []
             for row in zip(b["tid"].tolist(), b["start"].tolist(), (x.tolist() for x in b["chunk"]), (x.tolist() for x in b["size"])):
                 if last is not None:
@@ -278,7 +295,7 @@ def _union(lo, hi) -> list[list[int]]:
 def _open_cells(parsed: DataFrame, settled: DataFrame) -> DataFrame:
     """All cells, with the range of their windows that isn't settled (NULL: none is left)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _slices(batches, lambda b: map(len, b["gram"]), ENTRIES):
             rows = []
             for tid, grams, anchor, first, last, span, los, his in zip(
                     b["tid"].tolist(), *(map(np.ndarray.tolist, b[c]) for c in ("gram", "anchor", "first", "last", "span")), b["los"], b["his"]):
@@ -326,7 +343,7 @@ def _merge(cells: DataFrame, texts: DataFrame, window: int) -> DataFrame:
 
     def bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h = xxhash.xxh3_64_intdigest
-        for b in batches:
+        for b in _slices(batches, lambda b: (sum(map(int, e)) - sum(map(int, a)) + BAND * len(a) for a, e in zip(b["as"], b["es"])), BAND * ENTRIES):
             rows = []
             lists = [b[c].map(list) for c in ("grams", "anchors", "as", "es", "opens")]
             for tid, data, *wanted in zip(b["tid"].tolist(), b["data"], *lists):
@@ -353,7 +370,7 @@ def _merge(cells: DataFrame, texts: DataFrame, window: int) -> DataFrame:
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h = xxhash.xxh3_64_intdigest
-        for b in batches:
+        for b in _slices(batches, lambda b: (int((e - a + 1).sum()) for a, e in zip(b["as"], b["es"])), ENTRIES):
             ids, sizes, grams, opens, places, hashes = [], [], [], [], [], []
             for tid, data, gram, first, last, is_open in zip(b["tid"].tolist(), b["data"], *(b[c] for c in ("grams", "as", "es", "opens"))):
                 n = last - first + 1
@@ -407,6 +424,28 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, r
     return settled.unionByName(merged), data
 
 
+def _with_tid(rows: DataFrame) -> DataFrame:
+    """``rows`` plus ``tid``: a 64-bit name of the text that no other text has.
+
+    The name is a hash. Texts are told apart by it and a second hash of another
+    seed, 128 bits together; where two share a name, all but the one of the
+    smallest second hash get another, until none do. At 10 ** 10 texts a few
+    pairs are expected, so the renamed ones are few."""
+    digest = F.xxhash64(F.lit(1), F.col("data"))
+    tid = F.xxhash64("data")
+    for _ in range(8):
+        named = rows.select(tid.alias("tid"), digest.alias("other"))
+        shared = named.groupBy("tid").agg(F.min("other").alias("low"), F.max("other").alias("high")).where("low < high")
+        shared = shared.select("tid", "low").limit(RENAMED + 1).collect()
+        if not shared:
+            return rows.withColumn("tid", tid)
+        if len(shared) > RENAMED:
+            raise ValueError("too many texts share a 64-bit hash")
+        keep = F.create_map(*[F.lit(x) for r in shared for x in (r["tid"], r["low"])])
+        tid = F.when(keep[tid].isNotNull() & (keep[tid] != digest), F.xxhash64(digest, tid)).otherwise(tid)
+    raise ValueError("texts keep sharing 64-bit hashes")
+
+
 def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM,
                  rounds: int = ROUNDS, with_text: bool = False) -> DataFrame:
     """Per row ``doc_id, n_bytes, n_removed, n_spans, kept_sha256[, spans, kept]``.
@@ -418,13 +457,13 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     a window keep all. NULL ids are kept; other columns are not read. Empty
     table: empty result."""
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(raw).alias("tid"), raw.alias("data"))
+    rows = _with_tid(docs.select(F.col(doc_id).alias("doc_id"), raw.alias("data")))
     texts = rows.select("tid", "data").where(F.octet_length("data") >= window)
     repeats, own = repeated_windows(texts, window, gram, rounds)
     ranges = repeats.groupBy("tid").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his"))  # at most a text's windows
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _slices(batches, lambda b: map(len, b["data"]), TEXT_BYTES):
             out = []
             for tid, data, los, his in zip(b["tid"].tolist(), b["data"], b["los"], b["his"]):
                 gone = _union(los.tolist(), (his + window - 1).tolist())

@@ -4,19 +4,21 @@ Texts are range-partitioned by id and encoded in ascending order; each
 partition writes shard files of whole documents to a folder all executors
 share. A shard (all numbers little-endian):
 
-    8 bytes   magic "EFTOKID1"
-    6 x u64   documents n, ids u, bytes per id (2 or 4), low bits l, upper bits, select samples
-    n x i64   document ids (a NULL id: the smallest i64; the flag byte below tells)
-    n bytes   1 where the id is NULL
+    8 bytes   magic "EFTOKID2"
+    6 x u64   documents n, ids u, bytes per id (2 or 4), and of the ends: low bits l, upper bits, select samples
+    2 x i64   documents without a document id (they come first), smallest document id
+    3 x u64   of the document ids: low bits, upper bits, select samples
     lower     n values of l bits: low parts of the documents' ends
     upper     unary coded high parts: a one for each document, a zero for each step
     samples   u32 bit position of every 512th one: select starts there
+    lower, upper, samples of the document ids, less the smallest
     ids       all ids of all documents, one after the other
 
 Document i ends at ((select1(i) - i) << l) | lower[i]; it starts where the one
 before ends. The code takes 2 + log2(u / n) bits a document against 64 of an
-offset table. A file is written under a name of its own and then renamed, so
-a task that is run again leaves one whole copy.
+offset table, and document ids, which ascend, are coded alike. A file is
+written under a name of its own and then renamed, so a task that is run again
+leaves one whole copy.
 """
 
 from __future__ import annotations
@@ -26,21 +28,21 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import free_memory, materialize
+from rankforge.llm.common import free_memory, materialize, small_side
 from rankforge.llm.encode import encoder
 
-MAGIC = b"EFTOKID1"
+MAGIC = b"EFTOKID2"
 SAMPLE = 512
 #: A shard is closed once it holds so many ids (a longer document has a shard of its own).
 SHARD_IDS = 4 << 20
 END_ID = 0
-_NULL_ID = np.iinfo(np.int64).min
+#: Values packed at a time (a multiple of 8: whole bytes).
+_PACK = 8192
 
 
 class EliasFano:
@@ -53,13 +55,13 @@ class EliasFano:
     def of(cls, values: np.ndarray, u: int) -> EliasFano:
         n = len(values)
         low = max(0, int(np.log2(u / n))) if n and u > n else 0
-        values = values.astype(np.int64)
-        bits = (values[:, None] >> np.arange(low)) & 1
-        lower = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
-        ones = (values >> low) + np.arange(n)
+        values = values.astype(np.uint64)
+        place = np.arange(low, dtype=np.uint64)
+        lower = [np.packbits((values[a: a + _PACK, None] >> place & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little") for a in range(0, n, _PACK)]
+        ones = (values >> np.uint64(low)).astype(np.int64) + np.arange(n)
         flags = np.zeros(int(ones[-1]) + 1 if n else 0, dtype=np.uint8)
         flags[ones] = 1
-        return cls(n, low, lower, np.packbits(flags, bitorder="little"), ones[::SAMPLE].astype("<u4"))
+        return cls(n, low, np.concatenate([np.zeros(0, np.uint8), *lower]), np.packbits(flags, bitorder="little"), ones[::SAMPLE].astype("<u4"))
 
     def select(self, i: int) -> int:
         """Bit position of the i-th one, from the sample at or before it."""
@@ -79,7 +81,7 @@ class EliasFano:
 
     def __getitem__(self, i: int) -> int:
         bits = np.arange(i * self.low_bits, (i + 1) * self.low_bits)
-        low = int(((self.lower[bits >> 3] >> (bits & 7) & 1).astype(np.int64) << np.arange(self.low_bits)).sum()) if self.low_bits else 0
+        low = int.from_bytes(np.packbits(self.lower[bits >> 3] >> (bits & 7).astype(np.uint8) & 1, bitorder="little").tobytes(), "little")
         return (self.select(i) - i) << self.low_bits | low
 
     def all(self) -> np.ndarray:
@@ -90,35 +92,46 @@ class EliasFano:
 
 
 class Shard:
-    """A shard file's bytes, opened: ``doc_ids``, ``ends`` and ``document(i)``."""
+    """A shard file's bytes, opened: ``doc_id(i)``, ``bounds(i)`` and ``document(i)`` through select."""
 
     def __init__(self, data: bytes):
         if data[:8] != MAGIC:
             raise ValueError("not a token-id shard")
-        n, u, width, low, upper_bits, samples = (int(x) for x in np.frombuffer(data, "<u8", 6, 8))
-        at = 56
-        self.doc_ids = np.frombuffer(data, "<i8", n, at)
-        at += 8 * n
-        self.null_id = np.frombuffer(data, np.uint8, n, at)
-        at += n
-        parts = []
-        for size, kind in (((n * low + 7) // 8, np.uint8), ((upper_bits + 7) // 8, np.uint8), (samples, "<u4")):
-            parts.append(np.frombuffer(data, kind, size, at))
-            at += parts[-1].nbytes
-        self.ends = EliasFano(n, low, *parts)
+        self.n, u, width, *ends = (int(x) for x in np.frombuffer(data, "<u8", 6, 8))
+        self.nulls, self.base = (int(x) for x in np.frombuffer(data, "<i8", 2, 56))
+        keys = [int(x) for x in np.frombuffer(data, "<u8", 3, 72)]
+        at, codes = 96, []
+        for n, (low, upper_bits, samples) in ((self.n, ends), (self.n - self.nulls, keys)):
+            parts = []
+            for size, kind in (((n * low + 7) // 8, np.uint8), ((upper_bits + 7) // 8, np.uint8), (samples, "<u4")):
+                parts.append(np.frombuffer(data, kind, size, at))
+                at += parts[-1].nbytes
+            codes.append(EliasFano(n, low, *parts))
+        self.ends, self.keys = codes
         self.ids = np.frombuffer(data, f"<u{width}", u, at)
 
+    def doc_id(self, i: int) -> int | None:
+        return None if i < self.nulls else self.base + self.keys[i - self.nulls]
+
+    def bounds(self, i: int) -> tuple[int, int]:
+        return self.ends[i - 1] if i else 0, self.ends[i]
+
     def document(self, i: int) -> np.ndarray:
-        return self.ids[self.ends[i - 1] if i else 0: self.ends[i]]
+        a, e = self.bounds(i)
+        return self.ids[a:e]
 
 
 def shard_bytes(doc_ids: list, counts: np.ndarray, ids: np.ndarray, width: int) -> bytes:
-    ef = EliasFano.of(np.cumsum(counts), len(ids))
-    upper_bits = len(ef.upper) * 8
-    head = np.array([len(doc_ids), len(ids), width, ef.low_bits, upper_bits, len(ef.samples)], dtype="<u8")
-    keys = np.array([_NULL_ID if k is None else k for k in doc_ids], dtype="<i8")
-    return b"".join([MAGIC, head.tobytes(), keys.tobytes(), bytes(k is None for k in doc_ids), ef.lower.tobytes(),
-                     ef.upper.tobytes(), ef.samples.tobytes(), ids.astype(f"<u{width}").tobytes()])
+    """A shard of documents in ascending order of their ids, those without one first."""
+    own = [k for k in doc_ids if k is not None]
+    base = own[0] if own else 0
+    # differences of 64-bit numbers, modulo 2 ** 64
+    rest = np.array(own, dtype=np.int64).astype(np.uint64) - np.uint64(base % (1 << 64))
+    ends, keys = EliasFano.of(np.cumsum(counts), len(ids)), EliasFano.of(rest, own[-1] - base if own else 0)
+    head = [np.array([len(doc_ids), len(ids), width, ends.low_bits, len(ends.upper) * 8, len(ends.samples)], dtype="<u8"),
+            np.array([len(doc_ids) - len(own), base], dtype="<i8"), np.array([keys.low_bits, len(keys.upper) * 8, len(keys.samples)], dtype="<u8")]
+    parts = [x.tobytes() for e in (ends, keys) for x in (e.lower, e.upper, e.samples)]
+    return b"".join([MAGIC, *(h.tobytes() for h in head), *parts, ids.astype(f"<u{width}").tobytes()])
 
 
 def write_store(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
@@ -177,26 +190,29 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc
 def read_store(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files themselves.
 
-    ``shards`` is what ``write_store`` returned: only files listed there count."""
+    ``shards`` is what ``write_store`` returned: only files listed there count.
+    Each task opens the files of its rows and finds every document's bounds and
+    id by select. No shards: no documents."""
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
     # one row per partition of the writer: bounded by their number, not by the data
     parts = parts.select(F.col("part").alias("p"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
     inside = F.sum("n_ids").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_ids")
-    starts = (shards.withColumn("inside", inside).join(F.broadcast(parts), F.col("part") == F.col("p"))
+    starts = (shards.withColumn("inside", inside).join(small_side(materialize(parts, "parts"), row_bytes=16), F.col("part") == F.col("p"))
               .select("file", (F.col("part_start") + F.col("inside")).alias("shard_start")))
-    files = (spark.read.format("binaryFile").load(f"{folder}/*.eft")
-             .select(F.element_at(F.split("path", "/"), -1).alias("file"), "content"))
+    tasks = max(1, min(shards.count(), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
-    def open_shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def open_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        store, root = fs.FileSystem.from_uri(folder)
         for b in batches:
-            for name, data in zip(b["file"], b["content"]):
-                s = Shard(bytes(data))
-                ends = s.ends.all()
-                begin = np.concatenate([[0], ends[:-1]])
-                ids = s.ids.astype("<u4")
-                crc = [zlib.crc32(ids[a:e].tobytes()) for a, e in zip(begin.tolist(), ends.tolist())]
-                yield pd.DataFrame({"file": name, "doc_id": pd.Series(s.doc_ids, dtype="Int64").mask(s.null_id.astype(bool)),
-                                    "begin": begin, "n_tokens": ends - begin, "ids_crc32": np.array(crc, dtype=np.int64)})
-
-    read = files.mapInPandas(open_shards, "file string, doc_id long, begin long, n_tokens long, ids_crc32 long")
-    return read.join(F.broadcast(starts), "file").select("doc_id", (F.col("shard_start") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
+            for name, first in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                with store.open_input_file(f"{root}/{name}") as f:
+                    s = Shard(f.read())
+                rows, at = [], 0
+                for i in range(s.n):
+                    end = s.ends[i]  # a document starts where the one before ends
+                    rows.append((s.doc_id(i), first + at, end - at, zlib.crc32(s.ids[at:end].astype("<u4").tobytes())))
+                    at = end
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return starts.repartition(tasks, "file").mapInArrow(open_shards, "doc_id long, start long, n_tokens long, ids_crc32 long")

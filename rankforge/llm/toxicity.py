@@ -13,7 +13,9 @@
    voters have at most 2 ** VOTERS patterns, so the counts are small whatever
    the corpus.
 4. Classifier: logistic regression from word and pattern features to the
-   posterior labels, on at most ``TRAIN_ROWS`` training rows.
+   posterior labels that the votes alone give, on a bounded sample of all
+   documents, labelled or not: ``TRAIN_ROWS`` rows, half of them with a vote
+   and half without (as far as there are), weighted back to their shares.
 
 Votes and features come from one pass over the whole texts.
 """
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,11 +95,11 @@ def features(docs: DataFrame, words: list[str], doc_id: str = "doc_id", text: st
     kind = docs.schema[doc_id].dataType.simpleString()
     place = {t: i for i, t in enumerate(words)}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             votes, held, sizes = [], [], []
-            for t in b["text"]:
-                t = t or ""
+            for t in b.column(1):
+                t = t.as_py() or ""
                 ws = _WORD.findall(t.lower())
                 own = sorted(place[x] for x in set(ws).intersection(place))
                 v = 0
@@ -110,9 +113,11 @@ def features(docs: DataFrame, words: list[str], doc_id: str = "doc_id", text: st
                 votes.append(v)
                 held.append(own)
                 sizes.append(len(ws))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "votes": votes, "words": held, "n_words": sizes})
+            # the ids pass through as they came
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(votes, pa.int32()), pa.array(held, pa.list_(pa.int32())), pa.array(sizes, pa.int64())],
+                                             names=["doc_id", "votes", "words", "n_words"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         run, f"doc_id {kind}, votes int, words array<int>, n_words long")
 
 
@@ -124,7 +129,10 @@ class LabelModel:
         x = (votes[:, None] >> np.arange(VOTERS) & 1).astype(int)
         count = count.astype(float)
         known = label >= 0
-        start = 0.02 + 0.93 * (x[:, :LEXICON_VOTERS].sum(axis=1) > 0)
+        strong = x[:, :LEXICON_VOTERS].any(axis=1)
+        if not strong.any():  # no lexicon: two patterns or more
+            strong = x[:, LEXICON_VOTERS:].sum(axis=1) > 1
+        start = 0.02 + 0.93 * strong
         q = np.where(known, label, start)
         self.parent = np.full(VOTERS, -1)
         for r in range(rounds):
@@ -196,13 +204,13 @@ def design(votes: np.ndarray, held: list, n_words: np.ndarray, size: int) -> np.
     return x
 
 
-def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Ridge logistic regression on soft labels, by Newton's method."""
+def logistic(x: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
+    """Ridge logistic regression on soft labels of weighted rows, by Newton's method."""
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (target - p) - ridge * w)
+        h = (x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(h, x.T @ (weight * (target - p)) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -215,7 +223,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     Only labels of training rows are read (``is_training``); labels other than
     0 and 1 and NULL ids are passed over, an id labelled twice counts once
     (toxic if either says so). NULL and empty texts are scored as texts
-    without words. Without a toxic training label every score is 0. Repeated
+    without words. Without a lexicon word the patterns are scored alone;
+    without a toxic training label every score is 0. Repeated
     rows get the same score; other columns are not read."""
     known = (labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isin(0, 1) & is_training(F.col(doc_id)))
              .groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(F.col(toxic).cast("int")).alias("y")))
@@ -226,27 +235,29 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     words = lexicon(own.join(small_side(materialize(some, "labels"), row_bytes=16), "doc_id").select("text", F.col("y").alias("toxic")))
     rows = materialize(features(own, words).join(known, "doc_id", "left"), "features")
     held_out = F.coalesce(~is_training(F.col("doc_id")), F.lit(False))
-    if not words:
-        return rows.select("doc_id", held_out.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     patterns = rows.groupBy("votes", F.coalesce("y", F.lit(-1)).alias("y")).agg(F.count("*").alias("n")).toPandas()  # <= 3 * 2 ** VOTERS
+    if not (patterns["y"] == 1).any():
+        return rows.select("doc_id", held_out.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     model = LabelModel(patterns["votes"].to_numpy(), patterns["y"].to_numpy(), patterns["n"].to_numpy())
-    train = rows.where("y IS NOT NULL")
-    share = min(1.0, TRAIN_ROWS / max(1, int(patterns.loc[patterns["y"] >= 0, "n"].sum())))
-    cut = int(share * (1 << 32))
-    sample = (train.where(F.crc32(F.concat(F.lit("s"), F.col("doc_id").cast("string")).cast("binary")) < cut)
-              .orderBy("doc_id").limit(TRAIN_ROWS + TRAIN_ROWS // 10).toPandas())
-    votes, y = sample["votes"].to_numpy(), sample["y"].to_numpy()
+    voted = F.col("votes") != 0
+    count = {v: int(patterns.loc[(patterns["votes"] != 0) == v, "n"].sum()) for v in (True, False)}
+    # half of the sample from each kind; a kind of fewer rows leaves its place to the other
+    want = {v: max(TRAIN_ROWS // 2, TRAIN_ROWS - count[not v]) for v in count}
+    draw = F.crc32(F.concat_ws("|", F.lit("s"), F.col("doc_id").cast("string"), "votes", "n_words").cast("binary"))
+    cut = F.when(voted, min(1.0, want[True] / max(1, count[True])) * (1 << 32)).otherwise(min(1.0, want[False] / max(1, count[False])) * (1 << 32))
+    sample = rows.where(draw < cut).orderBy("doc_id").limit(TRAIN_ROWS + TRAIN_ROWS // 10).toPandas()
+    votes = sample["votes"].to_numpy()
     x = design(votes, list(sample["words"]), sample["n_words"].to_numpy(), len(words))
-    # the posterior given votes and label: labels aren't free of error, votes alone aren't either
-    target = 0.5 * model.posterior(votes) + 0.5 * y
-    weights = logistic(x, target)
+    drawn = {v: max(1, int(((votes != 0) == v).sum())) for v in count}
+    share = np.where(votes != 0, count[True] / drawn[True], count[False] / drawn[False])
+    weights = logistic(x, model.posterior(votes), share * len(votes) / max(1, sum(count.values())))
     size = len(words)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            z = design(b["votes"].to_numpy(), list(b["words"]), b["n_words"].to_numpy(), size) @ weights
-            yield pd.DataFrame({"doc_id": b["doc_id"], "score": 1 / (1 + np.exp(-np.clip(z, -40, 40)))})
+            z = design(b.column(1).to_numpy(), b.column(2).to_pylist(), b.column(3).to_numpy(), size) @ weights
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], names=["doc_id", "score"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.select("doc_id", "votes", "words", "n_words").mapInPandas(score, f"doc_id {kind}, score double")
+    found = rows.select("doc_id", "votes", "words", "n_words").mapInArrow(score, f"doc_id {kind}, score double")
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -683,3 +683,106 @@ def test_mix_odd_rows(spark):
 
 def test_every_operator_has_a_query():
     assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+
+
+# --- ids that doubles can't hold, files read by select, classifiers without a lexicon
+
+BIG = [(1 << 60) + 1, None, (1 << 53) + 1, -(1 << 62) - 1]
+
+
+def test_large_ids_stay_as_they_are(spark):
+    texts = ["the mit license", None, "you are an idiot!! kill", "x y"]
+    docs = frame(spark, texts, ids=BIG)
+    assert {r.doc_id: r.n_base for r in licenses.scan_licenses(docs).collect()} == {BIG[0]: 1, None: 0, BIG[2]: 0, BIG[3]: 0}
+    labels = spark.createDataFrame([(BIG[0], 0), (BIG[2], 1), (BIG[3], 1)], "doc_id long, toxic int")
+    assert {r.doc_id for r in toxicity.toxicity_scores(docs, labels).collect()} == set(BIG)
+
+
+def test_patterns_are_scored_without_a_lexicon(spark):
+    texts = ["you are going to die!! kill", "a quiet text about gardens", "another calm page"] * 4
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(12)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels).collect()}
+    assert min(got[i] for i in range(0, 12, 3)) > max(got[i] for i in range(12) if i % 3) + 0.2
+
+
+def test_shards_keep_ascending_ids_in_little_room():
+    rng = random.Random(5)
+    for ids in ([], [None, None], [None, -(1 << 63), 0, 5, 5, (1 << 63) - 1], sorted(rng.randrange(1 << 40) for _ in range(20_000))):
+        counts = np.array([1 + rng.randrange(3) for _ in ids], dtype=np.int64)
+        tokens = np.arange(int(counts.sum())) % 999
+        data = token_store.shard_bytes(ids, counts, tokens, 2)
+        s = token_store.Shard(data)
+        ends = np.cumsum(counts).tolist()
+        some = range(s.n) if s.n < 100 else rng.sample(range(s.n), 300)
+        assert s.n == len(ids) and [s.doc_id(i) for i in some] == [ids[i] for i in some]
+        assert [s.bounds(i) for i in some] == [(ends[i - 1] if i else 0, ends[i]) for i in some]
+        if len(ids) > 1000:
+            assert len(data) - 2 * len(tokens) < len(ids) * 8 / 1.5  # below a table of ids, let alone of offsets
+
+
+def test_texts_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    a, b = "a" * 300 + "left" * 80, "b" * 300 + "right" * 80
+    docs = frame(spark, [a, b, "short", a[:250] + "!"])
+    want = sorted(map(tuple, suffixes.drop_repeats(docs).collect()))
+    real = F.xxhash64
+
+    def clash(*cols):  # all whole texts share one name at first
+        return F.lit(7).cast("long") if isinstance(cols[0], str) and cols[0] == "data" else real(*cols)
+
+    monkeypatch.setattr(suffixes.F, "xxhash64", clash)
+    assert sorted(map(tuple, suffixes.drop_repeats(docs).collect())) == want
+
+
+def test_suffix_steps_in_small_frames(spark, monkeypatch):
+    rng = random.Random(8)
+    part = "".join(rng.choice("abcdef ") for _ in range(900))
+    texts = [part[i * 37 % 200:] + f" tail {i} " + part[: 300 + i] for i in range(12)] + [part, part]
+    want = sorted(map(tuple, suffixes.drop_repeats(frame(spark, texts)).collect()))
+    monkeypatch.setattr(suffixes, "ENTRIES", 3)
+    monkeypatch.setattr(suffixes, "TEXT_BYTES", 1000)
+    assert sorted(map(tuple, suffixes.drop_repeats(frame(spark, texts)).collect())) == want
+
+
+# --- packs filled by cutting pieces
+
+@pytest.mark.parametrize("hist", [{2049: 1000}, {1366: 999}, {2100: 700, 900: 1}, {2100: 300, 900: 300}, {3000: 1}, {600: 5000, 4096: 10}, {4096: 7}])
+def test_cut_pieces_fill_packs(hist):
+    rows = packing.cut_to_fill(packing.plan_packs(hist))
+    used, ids = Counter(), {(length, r): [] for length, n in hist.items() for r in range(n)}
+    spans = defaultdict(list)
+    for length, lo, hi, first, at, packs, delta, part in rows:
+        for r in range(lo, hi):
+            nth = r - lo
+            seq, start = first + nth % packs, at + nth // packs * length
+            spans[seq].append((start, start + part))
+            ids[length, r].append((delta, delta + part))
+            used[seq] += part
+    assert set(used) == set(range(len(used)))
+    for s in spans.values():  # gapless from 0
+        s.sort()
+        assert s[0][0] == 0 and all(a[1] == b[0] for a, b in zip(s, s[1:])) and s[-1][1] <= 4096
+    for (length, _), parts in ids.items():
+        parts.sort()
+        assert parts[0][0] == 0 and parts[-1][1] == length and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+    total = sum(length * n for length, n in hist.items())
+    assert len(used) <= total / 4096 / 0.95 + 1
+
+
+def test_checksums_join():
+    rng = np.random.default_rng(1)
+    ids = rng.integers(0, 50_000, 1000).astype("<u4")
+    grains = np.array([zlib.crc32(ids[g: g + 64].tobytes()) for g in range(0, 1000, 64)], dtype="<u4").tobytes()
+    cases = [(0, 64), (0, 1000), (64, 128), (128, 872), (960, 40), (0, 640)]
+    got = packing.join_checksums([grains] * len(cases), np.array([a // 64 for a, _ in cases]), np.array([n for _, n in cases]))
+    assert got.tolist() == [zlib.crc32(ids[a: a + n].tobytes()) for a, n in cases]
+
+
+def test_packing_one_length_by_cuts(spark):
+    texts = {i: " ".join(f"w{(i * 7 + k) % 50}" for k in range(400)) for i in range(60)}
+    n = len(encode.Encoder(tokenizer_path("word_bpe_49k.json")).tok.encode(texts[0], add_special_tokens=False).ids) + 1
+    df, path = frame(spark, list(texts.values())), tokenizer_path("word_bpe_49k.json")
+    sequence = n * 2 - 5
+    got = packing.pack_documents(df, path, sequence=sequence, with_ids=True).collect()
+    assert check_packs(got, texts, "word_bpe_49k.json", sequence) > 0.75 and len(got) > len(texts)
+    assert all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32 for r in got)
