@@ -45,7 +45,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 4096 ids."""
     # executors that have run the stages before have less room for the encoder
-    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), memory=200_000)
+    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), memory=200_000, slice_chars=2 << 20)
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("simhash_dedup", simhash_dedup),
