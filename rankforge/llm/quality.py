@@ -7,10 +7,14 @@ as well. Each document is judged alone, inside one Arrow batch: no shuffle.
 
 Line rules (a line without a word passes):
 
-* punctuation: the line holds a sentence end, one of ``SENTENCE_ENDS``;
+* punctuation: the line ends like prose, with one of ``LINE_ENDS`` (a closing
+  quote or bracket counts), or it is a stretch of wrapped prose: ``LONG_WORDS``
+  words or more with a mark of ``INNER_MARKS`` among them;
 * symbols: at most one character in ten is one of ``SYMBOLS``;
-* navigation: fewer than ``MENU_BARS`` menu separators ``|``;
-* boilerplate: none of ``BOILERPLATE``, whatever the case of A-Z.
+* navigation: fewer than ``MENU_BARS`` bars ``|``, and not ``MENU_STEPS`` or more
+  of the separators ``SEPARATORS`` with ``STEP_WORDS`` words or fewer a step
+  (paths and menus: "Home > Shop > Shoes");
+* boilerplate: none of ``BOILERPLATE`` (phrases of seven languages), whatever the case.
 """
 
 from __future__ import annotations
@@ -28,10 +32,19 @@ from rankforge.llm.common import free_memory, temp_name
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
-SENTENCE_ENDS = ".!?…。！？"
-MENU_BARS = 3
-BOILERPLATE = ("all rights reserved", "privacy policy", "cookie policy", "terms of use", "terms of service",
-               "enable javascript", "click here", "sign in to", "subscribe to our", "lorem ipsum")
+LINE_ENDS = ".!?…。！？:;»”’\"'」』)]"
+INNER_MARKS = ".!?…。！？,;:，；"
+LONG_WORDS = 10
+SEPARATORS = "|>›·•"
+MENU_BARS, MENU_STEPS, STEP_WORDS = 3, 2, 3
+BOILERPLATE = (
+    "all rights reserved", "privacy policy", "cookie policy", "terms of use", "terms of service",
+    "enable javascript", "click here", "sign in to", "subscribe to our", "lorem ipsum",
+    "todos los derechos reservados", "política de privacidad", "política de cookies", "aviso legal", "iniciar sesión",
+    "tous droits réservés", "politique de confidentialité", "mentions légales", "conditions d'utilisation",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen",
+    "todos os direitos reservados", "tutti i diritti riservati",
+    "все права защищены", "политика конфиденциальности", "版权所有", "隐私政策")
 #: A document is rejected if failing lines hold more than this share of the characters of its lines with a word.
 MAX_LOST_PERCENT = 30
 
@@ -40,11 +53,13 @@ _BLANKS = " \t\n\v\f\r"
 
 def line_fails(line: str) -> str | None:
     """The first rule that a line with a word fails, or None."""
-    if not any(c in line for c in SENTENCE_ENDS):
+    words = len(line.encode("utf-8", "surrogatepass").split())
+    if line.rstrip(_BLANKS)[-1] not in LINE_ENDS and (words < LONG_WORDS or not any(c in line for c in INNER_MARKS)):
         return "punctuation"
     if 10 * sum(line.count(c) for c in SYMBOLS) > len(line):
         return "symbols"
-    if line.count("|") >= MENU_BARS:
+    steps = sum(line.count(c) for c in SEPARATORS)
+    if line.count("|") >= MENU_BARS or steps >= MENU_STEPS and words <= STEP_WORDS * (steps + 1):
         return "navigation"
     low = line.lower()
     if any(b in low for b in BOILERPLATE):

@@ -32,8 +32,20 @@ def import_path(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), root]))
 
 
+#: Rows of a text table in an Arrow batch, unless the session says otherwise: both sides of a Python step hold whole batches.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for tables of texts, where the session still has Spark's own setting."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) == 10_000:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     import_path(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -52,10 +64,11 @@ r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_i
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM r) GROUP BY doc_id),
 l AS (SELECT doc_id, j, ls[j] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS j FROM w)),
 f AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY j) AS nth, length(line) AS n,
-        NOT regexp_matches(line, '[.!?…。！？]')
+        (NOT regexp_matches(line, '[.!?…。！？:;»”’"''」』)\]][\x20\x09-\x0D]*$') AND (len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) < 10 OR NOT regexp_matches(line, '[.!?…。！？,;:，；]')))
         OR 10 * len(regexp_extract_all(line, '[#*$%&|<>]')) > length(line)
         OR len(regexp_extract_all(line, '[|]')) >= 3
-        OR regexp_matches(lower(line), 'all rights reserved|privacy policy|cookie policy|terms of use|terms of service|enable javascript|click here|sign in to|subscribe to our|lorem ipsum') AS bad
+        OR (len(regexp_extract_all(line, '[|>›·•]')) >= 2 AND len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) <= 3 * (len(regexp_extract_all(line, '[|>›·•]')) + 1))
+        OR regexp_matches(lower(line), 'all rights reserved|privacy policy|cookie policy|terms of use|terms of service|enable javascript|click here|sign in to|subscribe to our|lorem ipsum|todos los derechos reservados|política de privacidad|política de cookies|aviso legal|iniciar sesión|tous droits réservés|politique de confidentialité|mentions légales|conditions d''utilisation|alle rechte vorbehalten|datenschutzerklärung|nutzungsbedingungen|todos os direitos reservados|tutti i diritti riservati|все права защищены|политика конфиденциальности|版权所有|隐私政策') AS bad
       FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 s AS (SELECT doc_id, sum(n) AS held, sum(CASE WHEN bad THEN n ELSE 0 END) AS lost, count(CASE WHEN nth > 1 THEN 1 END) AS dups FROM f GROUP BY doc_id),
 b AS (SELECT w.doc_id, len(ws) AS n_words, length(t) - len(regexp_extract_all(t, '[\x20\x09-\x0D]')) AS word_chars,

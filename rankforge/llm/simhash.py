@@ -38,6 +38,8 @@ from rankforge.llm.common import free_memory, materialize, release, small_side,
 from rankforge.llm.components import components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
+#: Fingerprints that one task makes keys of, about.
+KEYED = 20_000
 
 #: Generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GOLAY = 0b101011100011
@@ -154,7 +156,8 @@ def exact_blocks(n: int) -> int:
 def links(fps: DataFrame, z: int | None = None) -> DataFrame:
     """Distinct fingerprints (fp: long) -> (node, root): components of links of 4 bits or fewer."""
     fps = materialize(fps.select("fp").distinct(), "fps")
-    z = z or exact_blocks(fps.count())
+    n = fps.count()
+    z = z or exact_blocks(n)
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -164,7 +167,8 @@ def links(fps: DataFrame, z: int | None = None) -> DataFrame:
                 yield pd.DataFrame({"key": key, "fp": fp[row]})
             free_memory()
 
-    members = fps.mapInPandas(keys, "key long, fp long")
+    # a fingerprint has dozens of keys: a small table of fingerprints is dealt out first
+    members = fps.repartition(n // KEYED + 1, "fp").mapInPandas(keys, "key long, fp long")
     shared = materialize(members.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("pivot"), F.max("fp").alias("top"),
                                                     F.bit_xor("fp").alias("x")).where("n > 1"), "shared")
     # two or three members are known from the bucket's smallest, largest and sum modulo 2

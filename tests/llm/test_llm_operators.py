@@ -786,3 +786,12 @@ def test_packing_one_length_by_cuts(spark):
     got = packing.pack_documents(df, path, sequence=sequence, with_ids=True).collect()
     assert check_packs(got, texts, "word_bpe_49k.json", sequence) > 0.75 and len(got) > len(texts)
     assert all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32 for r in got)
+
+
+@pytest.mark.parametrize("line,rule", [
+    ("Home. About. Contact", "punctuation"), ("www.site.com login register", "punctuation"), ("Home > Products > Shoes. Sale", "punctuation"),
+    ("Home > Products > Shoes.", "navigation"), ("News · Sport · Weather!", "navigation"), ("«Она пришла домой и легла спать»", None), ('He said "no"', None),
+    ("a line of wrapped prose, which goes on and on until the margin", None), ("a line of wrapped prose which goes on and on until the margin", "punctuation"),
+    ("If a > b and b > c then, as everybody in this room already knows, a > c.", None), ("Todos los derechos reservados.", "boilerplate"), ("A sentence (in brackets.)", None)])
+def test_line_rules(line, rule):
+    assert quality.line_fails(line) == rule
