@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rankforge.llm import lines, mixing, packing, quality, simhash
 from rankforge.llm.common import materialize
-from rankforge.llm.queries import table, tokenizer_path
+from rankforge.llm.queries import small_batches, table, tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,6 +24,7 @@ def _with_chars(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose their failing lines."""
+    small_batches(spark)
     return _with_chars(quality.clean_documents(docs.select(*COLUMNS)))
 
 
@@ -34,6 +35,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    small_batches(spark)
     return simhash.first_of_each(docs.select(*COLUMNS))
 
 
@@ -44,8 +46,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 4096 ids."""
+    small_batches(spark)
     # executors that have run the stages before have less room for the encoder
-    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), memory=200_000, slice_chars=2 << 20)
+    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), memory=200_000, slice_chars=2 << 20, keep=False)
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("simhash_dedup", simhash_dedup),
