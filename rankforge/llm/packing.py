@@ -38,19 +38,19 @@ GRAIN, LITTLE = 64, 0.03
 
 
 def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", sequence: int = SEQUENCE,
-           end_id: int = END_ID, with_ids: bool = False, memory: int = MEMORY, slice_chars: int = 0, keep: bool = True) -> DataFrame:
+           end_id: int = END_ID, with_ids: bool = False, memory: int = MEMORY, slice_chars: int = 0, rows_at_once: int = 1024) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, grains[, ids]): documents with their end id, cut at every ``sequence`` ids.
 
-    ``grains``: the CRC-32 of every ``GRAIN`` ids, 4 bytes each. ``slice_chars``: characters encoded at a time (0: the encoder's own).
-    ``keep``: a worker keeps its encoder, and the pieces it remembers, for its next task."""
+    ``grains``: the CRC-32 of every ``GRAIN`` ids, 4 bytes each. ``slice_chars``, ``rows_at_once``: characters (0: the encoder's own) and documents
+    encoded at a time; with ``memory`` they bound what a worker holds, not the result."""
     kind = docs.schema[doc_id].dataType.simpleString()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grains"] + ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, memory, slice_chars)
         for b in batches:
-            for i in range(0, len(b), 1024):  # the encoder bounds the characters it holds
-                part = b.slice(i, 1024)
+            for i in range(0, len(b), rows_at_once):
+                part = b.slice(i, rows_at_once)
                 ids, counts = enc.encode([x or "" for x in part.column(1).to_pylist()])
                 rows: list = [[] for _ in names]
                 at = 0
@@ -66,10 +66,6 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                 types = [b.schema.field(0).type] + [pa.int64()] * 4 + [pa.binary(), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=names)
             free_memory()
-        if not keep:
-            del enc
-            encoder.cache_clear()
-            free_memory()
 
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, grains binary" + ", ids array<int>" * with_ids
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
@@ -267,11 +263,11 @@ def pack(found: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", sequence: int = SEQUENCE,
-                   end_id: int = END_ID, with_ids: bool = False, memory: int = MEMORY, slice_chars: int = 0, keep: bool = True) -> DataFrame:
+                   end_id: int = END_ID, with_ids: bool = False, memory: int = MEMORY, slice_chars: int = 0, rows_at_once: int = 1024) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens[, ids], sequence_id, offset``.
 
     NULL and empty texts are one piece with the end id alone. Repeated rows
     are packed as often as they stand; a NULL id is kept. Documents longer
     than a sequence are cut at its multiples, and others where that fills
     packs. Other columns are not read. Empty table: empty result."""
-    return pack(pieces(docs, tokenizer, doc_id, text, sequence, end_id, with_ids, memory, slice_chars, keep), sequence)
+    return pack(pieces(docs, tokenizer, doc_id, text, sequence, end_id, with_ids, memory, slice_chars, rows_at_once), sequence)

@@ -26,6 +26,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +85,18 @@ class EliasFano:
         low = int.from_bytes(np.packbits(self.lower[bits >> 3] >> (bits & 7).astype(np.uint8) & 1, bitorder="little").tobytes(), "little")
         return (self.select(i) - i) << self.low_bits | low
 
+    def blocks(self) -> Iterator[int]:
+        """Every number in order, ``SAMPLE`` at a time: each block is found by its select sample and decoded alone."""
+        place = np.arange(self.low_bits, dtype=np.uint64)
+        for k, first in enumerate(self.samples.tolist()):
+            a, e = k * SAMPLE, min(self.n, (k + 1) * SAMPLE)
+            stop = int(self.samples[k + 1]) if k + 1 < len(self.samples) else 8 * len(self.upper)
+            bits = np.unpackbits(self.upper[first // 8: stop // 8 + 1], bitorder="little")[first % 8:]
+            high = np.flatnonzero(bits)[: e - a] + first - np.arange(a, e)
+            low = np.unpackbits(self.lower[a * self.low_bits // 8: (e * self.low_bits + 7) // 8], bitorder="little")[: (e - a) * self.low_bits]
+            low = (low.reshape(e - a, self.low_bits).astype(np.uint64) << place).sum(axis=1, dtype=np.uint64)
+            yield from (high.astype(np.uint64) << np.uint64(self.low_bits) | low).tolist()
+
     def all(self) -> np.ndarray:
         """Every number, in one pass over the bits."""
         ones = np.flatnonzero(np.unpackbits(self.upper, bitorder="little"))[: self.n]
@@ -191,8 +204,9 @@ def read_store(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files themselves.
 
     ``shards`` is what ``write_store`` returned: only files listed there count.
-    Each task opens the files of its rows and finds every document's bounds and
-    id by select. No shards: no documents."""
+    Each task opens the files of its rows and finds the documents' bounds and
+    ids through the select samples, a block of documents at a time. No shards:
+    no documents."""
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
     # one row per partition of the writer: bounded by their number, not by the data
     parts = parts.select(F.col("part").alias("p"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
@@ -208,10 +222,10 @@ def read_store(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame
             for name, first in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 with store.open_input_file(f"{root}/{name}") as f:
                     s = Shard(f.read())
+                keys = chain(repeat(None, s.nulls), (s.base + k for k in s.keys.blocks()))
                 rows, at = [], 0
-                for i in range(s.n):
-                    end = s.ends[i]  # a document starts where the one before ends
-                    rows.append((s.doc_id(i), first + at, end - at, zlib.crc32(s.ids[at:end].astype("<u4").tobytes())))
+                for key, end in zip(keys, s.ends.blocks()):  # a document starts where the one before ends
+                    rows.append((key, first + at, end - at, zlib.crc32(s.ids[at:end].astype("<u4").tobytes())))
                     at = end
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 

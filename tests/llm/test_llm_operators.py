@@ -715,6 +715,7 @@ def test_shards_keep_ascending_ids_in_little_room():
         s = token_store.Shard(data)
         ends = np.cumsum(counts).tolist()
         some = range(s.n) if s.n < 100 else rng.sample(range(s.n), 300)
+        assert list(s.ends.blocks()) == ends and [s.base + k for k in s.keys.blocks()] == [i for i in ids if i is not None]
         assert s.n == len(ids) and [s.doc_id(i) for i in some] == [ids[i] for i in some]
         assert [s.bounds(i) for i in some] == [(ends[i - 1] if i else 0, ends[i]) for i in some]
         if len(ids) > 1000:
