@@ -48,7 +48,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Pieces of the documents with their places in sequences of 4096 ids."""
     small_batches(spark)
     # executors that have run the stages before have less room for the encoder
-    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), memory=200_000, slice_chars=2 << 20, keep=False)
+    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), memory=50_000, slice_chars=1 << 19, rows_at_once=256)
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("simhash_dedup", simhash_dedup),
