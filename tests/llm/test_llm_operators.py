@@ -796,3 +796,27 @@ def test_packing_one_length_by_cuts(spark):
     ("If a > b and b > c then, as everybody in this room already knows, a > c.", None), ("Todos los derechos reservados.", "boilerplate"), ("A sentence (in brackets.)", None)])
 def test_line_rules(line, rule):
     assert quality.line_fails(line) == rule
+
+
+def test_embedding_components_equal_brute_force_at_full_width(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(300, 64))
+    near = [base[rng.integers(0, 40, 260)] + rng.normal(size=(260, 64)) * w for w in (0.1, 0.3)]
+    x = np.concatenate([base, *near])[rng.permutation(820)]
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(5)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    root = list(range(len(x)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    close = x @ x.T >= 0.95
+    for a, b in zip(*np.nonzero(close)):
+        p, q = find(a), find(b)
+        root[max(p, q)] = min(p, q)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in forest.near_duplicates(df).collect()}
+    assert sorted(got) == list(range(len(x)))
+    assert all(got[i][0] <= close[i].sum() - 1 for i in got)
+    assert sum(g[0] for g in got.values()) >= 0.9 * (close.sum() - len(x)) > 1000
+    assert sum(got[i][1] == find(i) for i in got) >= 0.97 * len(x)
