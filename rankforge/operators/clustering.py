@@ -276,7 +276,8 @@ def similar_all(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 10, ce
 
 def project_2d(df: DataFrame, id_col: str, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """First two principal components of the z-scored columns, each
-    signed so that its largest absolute loading is positive."""
+    signed so that its largest absolute loading is positive (of loadings equal
+    within 1e-9, the first column's)."""
     from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array
     cols = list(cols)
@@ -289,7 +290,7 @@ def project_2d(df: DataFrame, id_col: str, cols: Sequence[str], keep: Sequence[s
     signs = []
     for j in range(2):
         col = pc[:, j]
-        big = max(range(len(col)), key=lambda i: abs(col[i]))
+        big = int(np.argmax(np.abs(col) >= np.abs(col).max() - 1e-9))
         signs.append(1.0 if col[big] >= 0 else -1.0)
     arr = vector_to_array(F.col("__p"))
     return pca.transform(vec).select(id_col, *keep, (arr[0] * signs[0]).alias("x"), (arr[1] * signs[1]).alias("y"))

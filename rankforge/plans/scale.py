@@ -148,6 +148,44 @@ def _u5(spark, d):
     return U.similar_all(_u2_points(spark, d), "entity", ["x", "y"], 5).withColumn("distance", F.round("distance", 6))
 
 
+# ---- models held against closed forms ------------------------------------------------
+
+@register("u6_signed", """{0}, s AS (SELECT entity, (x - AVG(x) OVER ()) / STDDEV_SAMP(x) OVER () AS a, (y - AVG(y) OVER ()) / STDDEV_SAMP(y) OVER () AS b FROM p),
+r AS (SELECT SIGN(CORR(a, b)) AS r FROM s)
+SELECT entity, ROUND((a + r * b) / SQRT(2), 4) AS x, ROUND((a - r * b) / SQRT(2), 4) AS y FROM s, r""".format(_u2_sql()[0]))
+def _u6(spark, d):
+    r = U.project_2d(_u2_points(spark, d), "entity", ["x", "y"])
+    return r.select("entity", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+# a linear model on one category alone predicts the category's mean label
+@register("p2_category_closed_form", f"""WITH {EF_SQL}, {TRAIN_SQL}, m AS (SELECT field, AVG(CAST(rank AS DOUBLE)) AS p FROM tr GROUP BY field)
+SELECT entity, ef.field, ROUND(p, 2) AS prediction FROM ef JOIN m ON m.field = ef.field WHERE entity % {N_FOLDS} = {TEST_FOLD}""")
+def _p2(spark, d):
+    _, train, test, _ = _p_parts(spark, d)
+    model = P.train_rank_model(train, ["field"], [], algo="linear")
+    return model.transform(test).select("entity", "field", F.round("prediction", 2).alias("prediction"))
+
+
+@register("p6_linear_row", f"""WITH {EF_SQL}, {TRAIN_SQL}, {ONE_SQL},
+e AS (SELECT CAST(rank AS DOUBLE) AS y, slope * LN(1 + CAST(docs AS DOUBLE)) + intercept AS p FROM ef, lm WHERE entity % {N_FOLDS} = {TEST_FOLD})
+SELECT 'linear_docs' AS model, COUNT(*) AS n, ROUND(AVG(ABS(y - p)), 4) AS mae, ROUND(SQRT(AVG((y - p) * (y - p))), 4) AS rmse,
+       ROUND(1 - SUM((y - p) * (y - p)) / (VAR_POP(y) * COUNT(*)), 4) AS r2 FROM e""")
+def _p6l(spark, d):
+    _, train, test, _ = _p_parts(spark, d)
+    r = P.compare_models(train, test, {"linear_docs": {"cats": [], "nums": [], "algo": "linear", "log_nums": ["docs"]}}, p1_x=None)
+    return r.where("model = 'linear_docs'").select("model", "n", *[F.round(c, 4).alias(c) for c in ("mae", "rmse", "r2")])
+
+
+@register("p6_learned_spec")
+def _p6v(spark, d):
+    """The field as a learned vector beside the field as a dictionary."""
+    _, train, test, _ = _p_parts(spark, d)
+    base = {"algo": "linear", "log_nums": ["docs"]}
+    return P.compare_models(train, test, {"dictionary": {**base, "cats": ["field"], "nums": []},
+                                          "learned": {**base, "cats": [], "learned": {"row": "entity", "col": "field", "value": "citations", "rank": 4}}})
+
+
 # ---- learned vectors, folds, permuted weights ---------------------------------------
 
 @register("f9_learned_vectors", f"""WITH {EF_SQL}, {TRAIN_SQL}
