@@ -682,7 +682,7 @@ def test_mix_odd_rows(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 # --- ids that doubles can't hold, files read by select, classifiers without a lexicon
