@@ -194,8 +194,8 @@ def boxplot_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     return g
 
 
-#: Pairs that one exact aggregate settles (only pairs that the blocks can't tell from constant ones).
-PAIRS_PER_JOB = 400
+#: Pairs that one aggregate of ready-made functions settles.
+PAIRS_PER_JOB = 60
 #: Rows whose means shift the columns before they are multiplied; any shift gives the same r, up to rounding.
 SHIFT_ROWS = 1000
 #: Of n * sum(x^2) - sum(x)^2 relative to n * sum(x^2): below this a column may be constant over the pair's rows.
@@ -254,17 +254,29 @@ def _gram(x: DataFrame, k: int, shift: np.ndarray) -> DataFrame:
     return x.mapInArrow(blocks, schema).repartition("a").mapInArrow(add, schema)
 
 
+def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(col_a, col_b, r) of some pairs, by one aggregate."""
+    aggs = [(F.when(F.stddev_samp(F.col(a).cast("double")) > 0, F.lit(1.0)) if a == b else safe_corr(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
+    long = df.agg(*aggs).unpivot([], [f"p{i}" for i in range(len(pairs))], "p", "r")
+    i = F.substring("p", 2, 9).cast("int")
+    return long.select(F.array(*[F.lit(a) for a, _ in pairs])[i].alias("col_a"), F.array(*[F.lit(b) for _, b in pairs])[i].alias("col_b"), "r")
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for each pair ``a <= b`` (in the given order), long form.
 
     Every pair is taken over the rows where both values are present, however
     many columns there are; ``a = b`` gives 1 unless the column is constant
-    (NULL). One scan: each task multiplies blocks of its rows with their masks
+    (NULL). Up to ``PAIRS_PER_JOB`` pairs are one aggregate of ready-made
+    functions. For more, one scan: each task multiplies blocks of its rows with their masks
     of present values, and the k rows of products are added by column. A pair
     with a column that can't be told from a constant one there (beside columns
     constant throughout, which are) is settled by an exact aggregate."""
     cols = list(cols)
     k = len(cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    if len(pairs) <= PAIRS_PER_JOB:
+        return _pairs(df, pairs)
     x = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
     mean = x.limit(SHIFT_ROWS).select(F.posexplode("x").alias("i", "v")).where(F.col("v").isNotNull() & (F.abs("v") < float("inf"))) \
         .groupBy("i").agg(F.avg("v").alias("m")).collect()  # one row per column
@@ -287,11 +299,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     # columns constant over the rows of the pair, or nearly: few; the list is at most k * (k + 1) / 2 pairs of numbers
     left = [(cols[t["a"]], cols[t["b"]]) for t in pair.where("close").select("a", "b").collect()]
     for at in range(0, len(left), PAIRS_PER_JOB):
-        some = left[at: at + PAIRS_PER_JOB]
-        aggs = [(F.when(F.stddev_samp(F.col(a).cast("double")) > 0, F.lit(1.0)) if a == b else safe_corr(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(some)]
-        long = df.agg(*aggs).unpivot([], [f"p{i}" for i in range(len(some))], "p", "r")
-        i = F.substring("p", 2, 9).cast("int")
-        out = out.unionByName(long.select(F.array(*[F.lit(a) for a, _ in some])[i].alias("col_a"), F.array(*[F.lit(b) for _, b in some])[i].alias("col_b"), "r"))
+        out = out.unionByName(_pairs(df, left[at: at + PAIRS_PER_JOB]))
     return out
 
 

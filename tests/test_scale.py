@@ -165,13 +165,16 @@ def test_wide_correlations(spark):
                 assert r == pytest.approx(1.0 if i == j else np.corrcoef(a, b)[0, 1], abs=1e-9)
 
 
-def test_nearly_constant_pairs_are_settled_exactly(spark):
+@pytest.mark.parametrize("direct", [60, 0])
+def test_nearly_constant_pairs_are_settled_exactly(spark, monkeypatch, direct):
     """Constant over the rows of the pair only: NULL, though not constant over all rows."""
+    if not direct:  # through the blocks
+        monkeypatch.setattr(C, "PAIRS_PER_JOB", 2)
     df = spark.createDataFrame([(5.0, 1.0, 1e9), (5.0, 2.0, 1e9 + 1e-3), (5.0, 3.0, 1e9), (6.0, None, 1e9 + 2e-3)], "a double, b double, c double")
     got = {(r.col_a, r.col_b): r.r for r in C.correlation_matrix(df, ["a", "b", "c"]).collect()}
     assert got["a", "b"] is None and got["a", "a"] == 1.0 and got["c", "c"] == 1.0
     assert got["b", "c"] == pytest.approx(0.0, abs=1e-3)
-    assert {r.r for r in C.correlation_matrix(df.limit(0), ["a", "b"]).collect()} <= {None}
+    assert {r.r for r in C.correlation_matrix(df.limit(0), ["a", "b", "c"]).collect()} <= {None}
 
 
 # ---- contracts
