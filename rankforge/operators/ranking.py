@@ -14,7 +14,8 @@ but no task sorts more than a bounded number of rows:
   2. bucket = number of bounds on the "better" side of the value, so equal
      values always share a bucket and buckets follow the rank order: a binary
      search of whole Arrow batches in the bounds, which travel with the
-     function, so the plan is the same for 2 buckets and for 4,096;
+     function, so the plan is the same for 100 buckets and for 4,096 (up to
+     ``FEW_BUCKETS`` of a whole table: comparisons in generated code);
   3. rows per (group, bucket) -> offset = rows in better buckets (a table
      of hot groups x buckets rows, never data rows);
   4. rank = offset + rank() over (group, bucket).
@@ -48,6 +49,7 @@ DEFAULT_BUCKETS = AUTO
 MIN_BUCKETS = 32             # buckets of a whole-table rank, at least
 MAX_GROUP_ROWS = 2_000_000   # rows one window task may sort
 BUCKET_ROWS = 500_000        # target rows per bucket of a split group
+FEW_BUCKETS = 64             # up to here the bounds of one group are compared in generated code
 MAX_BUCKETS = 4096           # buckets of one group, at most; past it: positions
 BOUNDS_BUDGET = 1_000_000    # bound values (doubles, 8 MB) of all groups together; past it: positions
 QUANTILE_ACCURACY = 10000
@@ -242,9 +244,16 @@ def _bucket(num: str, group: str, bounds: dict[int, list[float]], buckets: int,
 
     NULL values go to the last bucket, ``buckets``; rows of a group without
     bounds (group NULL, or all values NULL) that have a value go to bucket 0.
-    One vectorised binary search per Arrow batch and group."""
+    One vectorised binary search per Arrow batch and group; for one group and
+    ``FEW_BUCKETS`` at most, plain comparisons."""
     held = {g: np.sort(np.array(b, dtype=np.float64)) for g, b in bounds.items() if b is not None}
     last = buckets - 1
+    if len(bounds) <= 1 and buckets <= FEW_BUCKETS:
+        # one group and few bounds: that many comparisons in generated code
+        v, first = F.col(num), F.lit(0)
+        for b in next(iter(held.values()), np.zeros(0)).tolist():
+            first = first + F.when(F.lit(b) < v, 1).otherwise(0)
+        return F.when(v.isNull(), buckets).otherwise(first if ascending else F.lit(last) - first).cast("int")
 
     @F.arrow_udf("int")
     def find(v: pa.Array, g: pa.Array) -> pa.Array:
