@@ -43,9 +43,10 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, small: bool = True) -> DataFrame:
     import_path(spark)
-    small_batches(spark)
+    if small:
+        small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -152,7 +153,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_suffix_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.drop_repeats(table(spark, sf_dir, "documents"))
+    # its steps cut the batches themselves
+    return suffixes.drop_repeats(table(spark, sf_dir, "documents", small=False))
 
 
 @query("op11_decontamination", r"""
