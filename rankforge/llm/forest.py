@@ -12,7 +12,9 @@ threshold are links, none below is. Links of all trees are united.
 The margin is what two vectors at the threshold differ by along a random
 direction. A leaf that holds more than ``TILE`` vectors is compared in tiles
 of two blocks, so no task holds a whole large leaf and no pair of it is left
-out. Equal vectors are one row throughout and are counted, not paired.
+out. What leaves a tile is a row per vector (links counted, smallest vector
+reached), so the pairs of a dense group are never written. Equal vectors are
+one row throughout and are counted, not paired.
 """
 
 from __future__ import annotations
@@ -103,8 +105,46 @@ def _unit(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def links(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, leaf: int = LEAF, tile: int = TILE) -> DataFrame:
-    """Distinct valid vectors (gid: long, dim: int, v: array<double>) -> links (u > v) at or above ``threshold``."""
+def _met_before(earlier: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Per pair of rows (i, j): do the two share one of their ``earlier`` leaves?"""
+    (ui, at_i), (uj, at_j) = np.unique(i, return_inverse=True), np.unique(j, return_inverse=True)
+    left, right = [earlier[r] for r in ui], [earlier[r] for r in uj]
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    if not len(both):
+        return np.zeros(len(i), dtype=bool)
+
+    def reached(lists: list[np.ndarray]) -> np.ndarray:
+        flat, row = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        known = np.isin(flat, both)
+        m = np.zeros((len(lists), len(both)), dtype=np.float32)
+        m[row[known], np.searchsorted(both, flat[known])] = 1
+        return m
+
+    return (reached(left) @ reached(right).T > 0)[at_i, at_j]
+
+
+def _smallest_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Per row the smallest row that the links (i, j) lead to."""
+    label = np.arange(n)
+    while True:
+        low, now = np.minimum(label[i], label[j]), label.copy()
+        np.minimum.at(now, i, low)
+        np.minimum.at(now, j, low)
+        now = now[now]
+        if (now == label).all():
+            return label
+        label = now
+
+
+def neighbours(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, leaf: int = LEAF, tile: int = TILE) -> DataFrame:
+    """Distinct valid vectors (gid: long, dim: int, copies: long, v: array<double>) ->
+    rows (gid, n, root), one per vector and tile that finds links of it.
+
+    ``n`` adds the copies of the vectors it is linked with there; a pair counts
+    in the first leaf, over all trees, that holds both, so the sum of ``n`` per
+    vector counts every link once. ``root`` is the smallest vector that the
+    tile's links lead to: (gid, root) of all tiles connect what the links
+    connect. A tile gives a row per vector, never its pairs."""
     sizes = {r["dim"]: r["n"] for r in vectors.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # distinct vector lengths
     forests = {}
     for dim, n in sizes.items():
@@ -114,46 +154,63 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES,
         forests[dim] = fit_forest(_unit(sample), n, trees, leaf, threshold) if len(sample) else []
 
     def route(b: pd.DataFrame):
+        """(dim, own rows, row, leaf): leaves numbered over all trees, by row and leaf."""
         for dim, own in b.groupby("dim"):
-            x, gid = _unit(own["v"].to_numpy()), own["gid"].to_numpy()
-            for t, tree in enumerate(forests.get(dim) or []):
-                row, at = tree.route(x)
-                yield dim, t, row, at, gid, own["v"]
+            found, first = [], 0
+            for tree in forests.get(dim) or []:
+                row, at = tree.route(_unit(own["v"].to_numpy()))
+                found.append((row, at + first))
+                first += tree.leaves
+            if found:
+                row, at = (np.concatenate(x) for x in zip(*found))
+                order = np.lexsort((at, row))
+                yield dim, own, row[order], at[order].astype(np.int32)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for dim, t, _, at, _, _ in route(b):
+            for dim, _, _, at in route(b):
                 where, n = np.unique(at, return_counts=True)
-                yield pd.DataFrame({"dim": dim, "tree": t, "leaf": where, "n": n})
+                yield pd.DataFrame({"dim": dim, "leaf": where, "n": n})
 
     # one row per leaf: bounded by the sample the trees were fitted on
-    counts = vectors.mapInPandas(count, "dim int, tree int, leaf int, n long").groupBy("dim", "tree", "leaf").agg(F.sum("n").alias("n"))
-    blocks = {(r["dim"], r["tree"], r["leaf"]): -(-r["n"] // tile) for r in counts.where(F.col("n") > tile).collect()}
+    counts = vectors.mapInPandas(count, "dim int, leaf int, n long").groupBy("dim", "leaf").agg(F.sum("n").alias("n"))
+    blocks = {(r["dim"], r["leaf"]): -(-r["n"] // tile) for r in counts.where(F.col("n") > tile).collect()}
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for dim, t, row, at, gid, v in route(b):
-                many = np.array([blocks.get((dim, t, x), 1) for x in at.tolist()])
-                own = gid[row] % many
-                for i in range(int(many.max()) if len(many) else 0):  # a row meets block i in the tile of the two
-                    m = many > i
-                    yield pd.DataFrame({"dim": dim, "tree": t, "leaf": at[m], "low": np.minimum(own[m], i), "high": np.maximum(own[m], i),
-                                        "block": own[m], "gid": gid[row[m]], "v": v.to_numpy()[row[m]]})
-
-    dealt = vectors.mapInPandas(deal, "dim int, tree int, leaf int, low long, high long, block long, gid long, v array<double>")
+            for dim, own, row, at in route(b):
+                gid, copies, v = (own[c].to_numpy() for c in ("gid", "copies", "v"))
+                start = np.searchsorted(row, row)
+                many = np.array([blocks.get((dim, x), 1) for x in at.tolist()])
+                block = gid[row] % many
+                for i in range(int(many.max())):  # a row meets block i in the tile of the two
+                    for m in np.array_split(np.flatnonzero(many > i), trees):  # frames of about a tree
+                        yield pd.DataFrame({"dim": dim, "leaf": at[m], "low": np.minimum(block[m], i), "high": np.maximum(block[m], i),
+                                            "block": block[m], "earlier": [at[s:e] for s, e in zip(start[m], m)],
+                                            "gid": gid[row[m]], "copies": copies[row[m]], "v": v[row[m]]})
+
+    dealt = vectors.mapInPandas(deal, "dim int, leaf int, low long, high long, block long, earlier array<int>, gid long, copies long, v array<double>")
 
     def compare(b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values("gid")
-        x, gid, block = _unit(b["v"].to_numpy()), b["gid"].to_numpy(), b["block"].to_numpy()
+        x, gid, copies, block = _unit(b["v"].to_numpy()), b["gid"].to_numpy(), b["copies"].to_numpy(), b["block"].to_numpy()
         low, high = int(b["low"].iloc[0]), int(b["high"].iloc[0])
         p, q = np.flatnonzero(block == low), np.flatnonzero(block == high)
         i, j = np.nonzero(x[p] @ x[q].T >= threshold)
-        u, v = gid[p[i]], gid[q[j]]
-        m = u < v if low == high else u != v
-        return pd.DataFrame({"u": np.maximum(u, v)[m], "v": np.minimum(u, v)[m]})
-
-    found = dealt.groupBy("dim", "tree", "leaf", "low", "high").applyInPandas(compare, "u long, v long")
-    return materialize(found.distinct(), "links")
+        i, j = p[i], q[j]
+        if low == high:
+            i, j = i[i < j], j[i < j]
+        if len(i):
+            new = ~_met_before(b["earlier"].tolist(), i, j)
+            i, j = i[new], j[new]
+        n = np.zeros(len(b), dtype=np.int64)
+        np.add.at(n, i, copies[j])
+        np.add.at(n, j, copies[i])
+        root = gid[_smallest_reachable(len(b), i, j)]
+        return pd.DataFrame({"gid": gid[n > 0], "n": n[n > 0], "root": root[n > 0]})
+
+    found = dealt.groupBy("dim", "leaf", "low", "high").applyInPandas(compare, "gid long, n long, root long")
+    return materialize(found, "links")
 
 
 def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD,
@@ -174,11 +231,9 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     groups = (base.where("v IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
               .withColumn("gid", F.monotonically_increasing_id()).withColumn("dim", F.size("v")))
     groups = materialize(groups, "vectors")
-    pairs = links(groups.select("gid", "dim", "v"), threshold, trees, leaf, tile)
-    both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    copies = groups.select(F.col("gid").alias("g"), F.col("copies").alias("c"))
-    linked = both.join(copies, F.col("v") == F.col("g")).groupBy("u").agg(F.sum("c").alias("others"))
-    comp = components(pairs)
+    met = neighbours(groups.select("gid", "dim", "copies", "v"), threshold, trees, leaf, tile)
+    linked = met.groupBy(F.col("gid").alias("u")).agg(F.sum("n").alias("others"))
+    comp = components(met.select(F.col("gid").alias("u"), F.col("root").alias("v")))
     named = (groups.select("gid", "low", "copies", "v").join(comp, F.col("gid") == F.col("node"), "left")
              .join(linked, F.col("gid") == F.col("u"), "left")
              .select("v", "low", F.coalesce("root", "gid").alias("root"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")))

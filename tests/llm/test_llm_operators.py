@@ -312,6 +312,27 @@ def test_embeddings_against_all_pairs(spark, tile, leaf):
     assert sum(got[i].n_links for i in range(len(vecs))) >= 0.9 * sum(map(len, want))
 
 
+@pytest.mark.parametrize("tile", [1024, 32])
+def test_dense_group_of_embeddings_leaves_no_pairs(spark, tile):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=12) * 3 + rng.normal(size=(400, 12)) * 0.05, rng.normal(size=(200, 12))])
+    x = [*x.tolist(), x[3].tolist(), x[3].tolist()]
+    rows = spark.createDataFrame([(i, 12, 1, v) for i, v in enumerate(x[:600])], "gid long, dim int, copies long, v array<double>")
+    tiles = forest.neighbours(rows, tile=tile, leaf=64)
+    assert tiles.count() < 600 * 400 / tile * 8 < 400 * 399 * 8 / 2
+    want = links_by_hand(x)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in forest.near_duplicates(vectors(spark, [(i, v, 0, "g") for i, v in enumerate(x)]), tile=tile, leaf=64).collect()}
+    assert [got[i] for i in range(400)] == [(len(want[i]), 0) for i in range(400)] and len(want[0]) == 401
+    assert all(got[i][0] <= len(want[i]) for i in got)
+
+
+def test_met_before_and_reach_by_hand():
+    earlier = [np.array(a, dtype=np.int32) for a in ([1, 4], [4], [], [7], [1, 7])]
+    i, j = np.array([0, 0, 0, 1, 3]), np.array([1, 2, 4, 3, 4])
+    assert forest._met_before(earlier, i, j).tolist() == [True, False, True, False, True]
+    assert forest._smallest_reachable(6, np.array([4, 3, 1]), np.array([5, 4, 2])).tolist() == [0, 1, 1, 3, 3, 3]
+
+
 def test_embeddings_odd_rows(spark):
     vecs = [None, [], [0.0, 0.0], [1.0, None], [float("nan"), 1.0], [float("inf"), 1.0], [1.0, 2.0], [1.0, 2.0], [2.0, 4.0], [1.0], [1.0, 2.0, 0.0], [-1.0, -2.0]]
     ids = [*range(11), None]
