@@ -404,10 +404,11 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, r
     """Rows (tid, data: bytes; equal texts have equal tids) -> ((tid, lo, hi): starts of repeated windows, texts with a repeated gram)."""
     spark = texts.sparkSession
     grams = _step(_gram_rows(texts, window, gram), "grams")
-    often = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    found = grams.join(often, "gram").groupBy("tid").agg(F.collect_set("gram").alias("grams"))  # at most a text's anchors
+    # written first: an aggregate in the stage of its join would keep all rows of a frequent gram in one task
+    often = _step(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "often")
+    found = grams.join(often, "gram", "left_semi").groupBy("tid").agg(F.collect_set("gram").alias("grams"))  # at most a text's anchors
     found = _step(found, "repeated-grams")
-    release(spark, grams)
+    release(spark, grams, often)
     some = small_side(found.select("tid"), row_bytes=8)
     own = texts.join(some, "tid", "left_semi").dropDuplicates(["tid"]).join(found, "tid")
     own = _step(own, "texts")
