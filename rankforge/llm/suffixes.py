@@ -328,8 +328,9 @@ def _merge(cells: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     """(tid, lo, hi): the open windows of the cells that are repeated."""
     key = ["gram", "span", "head"]
     cells = cells.withColumn("head", F.col("anchor") - F.col("lo"))
-    grams = cells.where("open_lo IS NOT NULL").select("gram").distinct()
+    grams = _step(cells.where("open_lo IS NOT NULL").select("gram").distinct(), "open-grams")  # no aggregate in the join's stage
     cells = _step(cells.join(grams, "gram", "left_semi"), "open-cells")
+    release(texts.sparkSession, grams)
     # cells of equal bytes are one class; its representative is its smallest member
     classes = cells.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("tid", "anchor", "lo", "hi", "open_lo", "open_hi")).alias("r"))
     classes = _step(classes, "classes")
