@@ -5,7 +5,11 @@ difference of two of the node's sample vectors, of a few the one that spills
 least) at the median; vectors within a margin of the cut go to both sides
 (spill). A node whose sides would overlap by more than ``OVERLAP`` stays a leaf:
 its vectors are too close to be told apart by a cut. The trees are fitted on a
-bounded sample and then route every vector. Vectors that share
+bounded sample and then route every vector. Leaves that the sample was too small
+to split (over ``AGAIN`` vectors) are split again, each by a tree of its own fitted
+on a bounded sample of its vectors, until they are small or can't be cut; that work
+is dealt out by leaf and parts of a leaf, and its trees never reach the driver.
+Vectors that share
 a leaf of any tree are compared in double precision; pairs at or above the
 threshold are links, none below is. Links of all trees are united.
 
@@ -19,7 +23,9 @@ one row throughout and are counted, not paired.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,6 +41,8 @@ TREES, LEAF, TILE = 8, 256, 1024
 OVERLAP = 0.25
 #: The trees are fitted on at most so many vectors; every vector is routed.
 SAMPLE = 20_000
+#: Leaves of more vectors are split again, by trees fitted on about so many of a leaf's vectors.
+AGAIN, RESAMPLE = 4096, 4096
 SEED = 11
 
 
@@ -94,9 +102,14 @@ class Tree:
         return np.concatenate(rows), np.concatenate(leaves)
 
 
+def margin(dim: int, threshold: float) -> float:
+    """Half of what two vectors at the threshold differ by along a random direction."""
+    return 0.5 * np.sqrt(2 - 2 * threshold) / np.sqrt(dim)
+
+
 def fit_forest(sample: np.ndarray, total: int, trees: int, leaf: int, threshold: float) -> list[Tree]:
-    margin = 0.5 * np.sqrt(2 - 2 * threshold) / np.sqrt(sample.shape[1])
-    return [Tree(sample, total / max(1, len(sample)), leaf, margin, np.random.default_rng([SEED, t])) for t in range(trees)]
+    scale, spill = total / max(1, len(sample)), margin(sample.shape[1], threshold)
+    return [Tree(sample, scale, leaf, spill, np.random.default_rng([SEED, t])) for t in range(trees)]
 
 
 def _unit(vectors) -> np.ndarray:
@@ -136,7 +149,50 @@ def _smallest_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = now
 
 
-def neighbours(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, leaf: int = LEAF, tile: int = TILE) -> DataFrame:
+def split_again(vectors: DataFrame, routed: DataFrame, leaf: int, again: int, resample: int, margin_of) -> DataFrame:
+    """(gid, dim, leaf: long) with every leaf of over ``again`` vectors split by a tree of its own, repeatedly.
+
+    A leaf's tree is fitted on about ``resample`` of its vectors, in one task; the
+    leaf's vectors are routed in parts of at most about ``again``, each beside a
+    copy of the tree. A leaf whose tree has no cut stays whole (it is compared in
+    tiles). A cut leaves at most ``(1 + OVERLAP) / 2`` of a sample on a side, so
+    rounds end. New leaves are named by a hash of their leaf and place; should
+    two share a name, their vectors are compared as one leaf."""
+    def fit(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("gid")
+        dim, at, n = key
+        x = _unit(b["v"].to_numpy())
+        tree = Tree(x, n / len(x), leaf, margin_of(dim), np.random.default_rng([SEED, at & 0xFFFFFFFF, (at >> 32) & 0xFFFFFFFF]))
+        return pd.DataFrame({"dim": [dim], "leaf": [at], "n": [n], "tree": [pickle.dumps(tree)]}).head(int(tree.leaves > 1))
+
+    def route(b: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        if not len(b):
+            return pd.DataFrame({"gid": [], "dim": [], "leaf": [], "sub": []})
+        row, sub = pickle.loads(trees["tree"].iloc[0]).route(_unit(b["v"].to_numpy()))
+        return pd.DataFrame({"gid": b["gid"].to_numpy()[row], "dim": b["dim"].iloc[0], "leaf": b["leaf"].iloc[0], "sub": sub})
+
+    done, at = [], ["dim", "leaf"]
+    while True:
+        wide = routed.groupBy(*at).agg(F.count("*").alias("n")).where(F.col("n") > again)
+        wide = materialize(wide, "wide-leaves")
+        if wide.isEmpty():
+            return reduce(DataFrame.unionByName, done, routed)
+        rows = routed.join(small_side(wide), at).join(vectors.select("gid", "v"), "gid")
+        some = rows.where(F.pmod(F.xxhash64("gid", "leaf"), F.lit(1 << 30)) * F.col("n") < F.lit(resample * (1 << 30)))
+        cuts = materialize(some.groupBy("dim", "leaf", "n").applyInPandas(fit, "dim int, leaf long, n long, tree binary"), "leaf-trees")
+        split = small_side(materialize(cuts.select("dim", "leaf", "n"), "split-leaves"))
+        done.append(routed.join(split, at, "left_anti"))
+        parts = F.ceil(F.col("n") / F.lit(again)).cast("long")
+        own = routed.join(split, at).join(vectors.select("gid", "v"), "gid").withColumn("part", F.pmod(F.xxhash64("gid"), parts))
+        beside = cuts.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        keys = [*at, "part"]
+        found = (own.select("gid", "dim", "leaf", "part", "v").groupBy(*keys).cogroup(beside.select(*keys, "tree").groupBy(*keys))
+                 .applyInPandas(route, "gid long, dim int, leaf long, sub long"))
+        routed = materialize(found.select("gid", "dim", F.xxhash64("leaf", "sub").alias("leaf")), "split")
+
+
+def neighbours(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, leaf: int = LEAF, tile: int = TILE,
+               sample_size: int = SAMPLE, again: int = AGAIN, resample: int = RESAMPLE) -> DataFrame:
     """Distinct valid vectors (gid: long, dim: int, copies: long, v: array<double>) ->
     rows (gid, n, root), one per vector and tile that finds links of it.
 
@@ -148,9 +204,9 @@ def neighbours(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TR
     sizes = {r["dim"]: r["n"] for r in vectors.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # distinct vector lengths
     forests = {}
     for dim, n in sizes.items():
-        share = int(min(1.0, SAMPLE / n) * (1 << 32))
+        share = int(min(1.0, sample_size / n) * (1 << 32))
         some = vectors.where(F.col("dim") == dim).where(F.crc32(F.concat(F.lit("s"), F.col("gid").cast("string")).cast("binary")) < share)
-        sample = some.select("v").limit(SAMPLE + SAMPLE // 10).toPandas()["v"]
+        sample = some.select("v").limit(sample_size + sample_size // 10).toPandas()["v"]
         forests[dim] = fit_forest(_unit(sample), n, trees, leaf, threshold) if len(sample) else []
 
     def route(b: pd.DataFrame):
@@ -174,7 +230,8 @@ def neighbours(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TR
 
     # one row per leaf: bounded by the sample the trees were fitted on
     counts = vectors.mapInPandas(count, "dim int, leaf int, n long").groupBy("dim", "leaf").agg(F.sum("n").alias("n"))
-    blocks = {(r["dim"], r["leaf"]): -(-r["n"] // tile) for r in counts.where(F.col("n") > tile).collect()}
+    large = {(r["dim"], r["leaf"]): r["n"] for r in counts.where(F.col("n") > tile).collect()}
+    blocks = {k: -(-n // tile) for k, n in large.items()}
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -189,7 +246,25 @@ def neighbours(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TR
                                             "block": block[m], "earlier": [at[s:e] for s, e in zip(start[m], m)],
                                             "gid": gid[row[m]], "copies": copies[row[m]], "v": v[row[m]]})
 
-    dealt = vectors.mapInPandas(deal, "dim int, leaf int, low long, high long, block long, earlier array<int>, gid long, copies long, v array<double>")
+    def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for dim, own, row, at in route(b):
+                yield pd.DataFrame({"gid": own["gid"].to_numpy()[row], "dim": dim, "leaf": at.astype(np.int64)})
+
+    if max(large.values(), default=0) <= again:
+        dealt = vectors.mapInPandas(deal, "dim int, leaf int, low long, high long, block long, earlier array<int>, gid long, copies long, v array<double>")
+    else:
+        routed = materialize(vectors.mapInPandas(leaves, "gid long, dim int, leaf long"), "leaves")
+        routed = split_again(vectors, routed, leaf, again, resample, lambda dim: margin(dim, threshold))
+        routed = materialize(routed, "final-leaves")
+        many = routed.groupBy("dim", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > tile)
+        many = small_side(materialize(many.select("dim", "leaf", F.ceil(F.col("n") / F.lit(tile)).cast("long").alias("many")), "tiles"))
+        every = routed.groupBy("gid").agg(F.array_sort(F.collect_list("leaf")).alias("all"))  # as many as the trees and their spill
+        dealt = (vectors.join(every, "gid").select("gid", "dim", "copies", "v", "all", F.posexplode("all").alias("pos", "leaf"))
+                 .join(many, ["dim", "leaf"], "left").withColumn("many", F.coalesce("many", F.lit(1).cast("long")))
+                 .withColumn("block", F.pmod("gid", "many")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1)))
+                 .select("dim", "leaf", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block",
+                         F.slice("all", F.lit(1), F.col("pos")).alias("earlier"), "gid", "copies", "v"))
 
     def compare(b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values("gid")
@@ -214,7 +289,8 @@ def neighbours(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TR
 
 
 def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD,
-                    trees: int = TREES, leaf: int = LEAF, tile: int = TILE) -> DataFrame:
+                    trees: int = TREES, leaf: int = LEAF, tile: int = TILE, sample_size: int = SAMPLE,
+                    again: int = AGAIN, resample: int = RESAMPLE) -> DataFrame:
     """Per row ``vec_id, n_links, component_id, kept``.
 
     ``n_links`` counts the other rows linked directly, ``component_id`` is the
@@ -231,7 +307,7 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     groups = (base.where("v IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
               .withColumn("gid", F.monotonically_increasing_id()).withColumn("dim", F.size("v")))
     groups = materialize(groups, "vectors")
-    met = neighbours(groups.select("gid", "dim", "copies", "v"), threshold, trees, leaf, tile)
+    met = neighbours(groups.select("gid", "dim", "copies", "v"), threshold, trees, leaf, tile, sample_size, again, resample)
     linked = met.groupBy(F.col("gid").alias("u")).agg(F.sum("n").alias("others"))
     comp = components(met.select(F.col("gid").alias("u"), F.col("root").alias("v")))
     named = (groups.select("gid", "low", "copies", "v").join(comp, F.col("gid") == F.col("node"), "left")

@@ -326,6 +326,40 @@ def test_dense_group_of_embeddings_leaves_no_pairs(spark, tile):
     assert all(got[i][0] <= len(want[i]) for i in got)
 
 
+@pytest.mark.parametrize("tile", [1024, 40])
+def test_large_leaves_are_split_again_with_all_links(spark, tile):
+    rng = np.random.default_rng(21)
+    centres = rng.normal(size=(120, 16))
+    x = np.concatenate([centres[rng.integers(0, 120, 900)] + rng.normal(size=(900, 16)) * 0.18, rng.normal(size=16) * 3 + rng.normal(size=(200, 16)) * 0.05])
+    vecs = [v.tolist() for v in x.astype(np.float32)] + [x[0].astype(np.float32).tolist()] * 20
+    df = vectors(spark, [(i, v, 0, "g") for i, v in enumerate(vecs)]).repartition(3)
+    few = dict(tile=tile, leaf=32, sample_size=60, again=100, resample=80)  # first trees can't get below some 150 vectors a leaf
+    got = {r.vec_id: r for r in forest.near_duplicates(df, **few).collect()}
+    want = links_by_hand(vecs)
+    assert sorted(got) == list(range(len(vecs)))
+    assert all(got[i].n_links <= len(want[i]) for i in got)
+    assert sum(g.n_links for g in got.values()) >= 0.9 * sum(map(len, want))
+    assert [(got[i].n_links, got[i].component_id) for i in range(900, 1100)] == [(len(want[i]), 900) for i in range(900, 1100)]  # no cut fits: whole leaf
+
+
+def test_split_again_keeps_every_vector_and_ends(spark):
+    rng = np.random.default_rng(22)
+    x = np.concatenate([rng.normal(size=(700, 8)), 5 + rng.normal(size=(300, 8)) * 0.001])
+    df = spark.createDataFrame([(i, 8, v.tolist()) for i, v in enumerate(x)], "gid long, dim int, v array<double>")
+    routed = spark.createDataFrame([(i, 8, t) for i in range(1000) for t in (0, 1)] + [(i, 8, 2) for i in range(50)], "gid long, dim int, leaf long")
+    out = forest.split_again(df, routed, 32, 100, 90, lambda dim: 0.01).collect()
+    leaves = {}
+    for r in out:
+        leaves.setdefault(r.leaf, set()).add(r.gid)
+    assert leaves[2] == set(range(50))  # a small leaf is as it was
+    sizes = {n: len(g) for n, g in leaves.items()}
+    close = set(range(700, 1000))
+    assert all(n <= 100 or len(close & leaves[k]) > 0.25 * n for k, n in sizes.items())  # only what no cut divides stays large
+    for gid in range(1000):
+        assert sum(gid in g for g in leaves.values()) >= 2 + (gid < 50)
+    assert max(sizes.values()) >= 300
+
+
 def test_met_before_and_reach_by_hand():
     earlier = [np.array(a, dtype=np.int32) for a in ([1, 4], [4], [], [7], [1, 7])]
     i, j = np.array([0, 0, 0, 1, 3]), np.array([1, 2, 4, 3, 4])
