@@ -62,7 +62,9 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
 
     ``repeats`` is how often the mix takes the document, ``taken`` its words
     with repeats. A source's taken words miss its target by half a document
-    at most. Rows that repeat an id share its sample hash and are taken alike.
+    at most, where all rows of an id count as one document: rows that repeat an
+    id (or have none and the same text) share its sample hash and are taken
+    alike, so a source of one id misses it by up to half the source.
     NULL text: size 0. NULL source: a source of its own, last. A source
     without words has target 0 and its documents are left out. Empty table:
     empty result. Other columns are not read."""
