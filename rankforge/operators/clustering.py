@@ -5,6 +5,7 @@ that finds the nearest one; data rows never leave the executors."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -196,74 +197,140 @@ def similar_entities(df: DataFrame, id_col: str, cols: Sequence[str], anchor, k:
     return top_k(x, "distance", k, [id_col], out="rk", ascending=True)
 
 
-#: Cells of the points of ``similar_all``, at most: their centres travel to every task.
-MAX_CELLS = 1024
-
-
-def _probes(vector: Column, centres: np.ndarray, radius: np.ndarray, count: np.ndarray, k: int) -> Column:
-    """array<struct(cell, d, reach)>: the cells that can hold one of the ``k`` nearest points of a vector.
-
-    The nearest cells that hold ``k`` points between them bound the distance of
-    the k-th one (``reach``); a cell whose points are all farther away, by the
-    triangle inequality, is left out."""
-    step = max(1, BLOCK // max(1, centres.size))
-
-    def probe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            out = []
-            for i in range(0, len(s), step):
-                q = np.stack([np.asarray(v, dtype=np.float64) for v in s.iloc[i: i + step]])
-                d = np.sqrt(((q[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2))
-                far = d + radius
-                order = np.argsort(far, axis=1)
-                enough = np.argmax(np.cumsum(count[order], axis=1) >= k, axis=1)
-                reach = far[np.arange(len(q)), order[np.arange(len(q)), enough]]
-                reach = np.where(count.sum() >= k, reach, np.inf) * (1 + 1e-9)
-                near = d - radius <= reach[:, None]
-                out += [[{"cell": int(j), "d": float(d[r, j]), "reach": float(reach[r])} for j in np.flatnonzero(near[r])] for r in range(len(q))]
-            yield pd.Series(out)
-
-    return F.pandas_udf(probe, "array<struct<cell: int, d: double, reach: double>>")(vector)
+#: Points of a cell of ``similar_all``, about; and questions that are put to a cell at once.
+CELL, ASKED = 1024, 4096
+#: Parts that a cell is cut into at a level, at most.
+FAN = 8
+
+
+def _sum_of_squares(parts: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a + b, [p * p for p in parts])
+
+
+def _cut_cells(points: DataFrame, xs: Sequence[str], fan: int) -> DataFrame:
+    """``points`` with every ``__cell`` cut into ``fan`` parts of about equal size (cell c: c * fan to c * fan + fan - 1).
+
+    A cell is cut across its widest column, among those with enough different
+    values; points on a cut are dealt out by hash to the parts on its sides, so
+    that no part grows by equal values."""
+    at = [i / fan for i in range(1, fan)]
+    ways = [F.struct((2 * F.size(F.array_distinct(f"__c{i}")) >= fan - 1).alias("enough"), (F.element_at(f"__c{i}", -1) - F.col(f"__c{i}")[0]).alias("spread"),
+                     F.lit(i).alias("i"), F.col(f"__c{i}").alias("cuts")) for i in range(len(xs))]
+    cuts = points.groupBy("__cell").agg(*[F.percentile_approx(c, at, 200 * fan).alias(f"__c{i}") for i, c in enumerate(xs)])
+    cuts = cuts.select("__cell", F.array_max(F.array(*ways)).alias("__cut"))
+    x = points.join(broadcast_if_small(cuts, "cuts"), "__cell").withColumn("__x", F.array(*xs)[F.col("__cut.i")])
+    low, high = (F.size(F.filter("__cut.cuts", f)) for f in (lambda c: c < F.col("__x"), lambda c: c <= F.col("__x")))
+    part = low + F.pmod(F.xxhash64("__v", "__cell"), high - low + 1)
+    return materialize(x.select("__v", *xs, (F.col("__cell") * fan + part).alias("__cell")), "cells")
+
+
+def _distances():
+    """The function that tasks compute distances with (made here, so that it travels with them)."""
+    def distances(q: np.ndarray, p: np.ndarray):
+        """(first row, distances of some rows of ``q`` to all of ``p``), squares added in the order of the columns."""
+        step = max(1, BLOCK // max(1, len(p)))
+        for i in range(0, len(q), step):
+            sq = np.zeros((len(q[i: i + step]), len(p)))
+            for c in range(q.shape[1]):
+                diff = q[i: i + step, c, None] - p[None, :, c]
+                sq += diff * diff
+            yield i, np.sqrt(sq)
+
+    return distances
+
+
+def _reach(points: DataFrame, xs: Sequence[str], k: int) -> DataFrame:
+    """(__q, __q<x>..., __reach, __cell 0): each point and its distance to the ``k``-th nearest of its own cell, infinite if there are fewer."""
+    distances = _distances()
+
+    def run(cell: pd.DataFrame) -> pd.DataFrame:
+        x = cell[list(xs)].to_numpy()
+        reach = np.full(len(x), np.inf)
+        if len(x) >= k:
+            for i, d in distances(x, x):
+                reach[i: i + len(d)] = np.partition(d, k - 1, axis=1)[:, k - 1]
+        out = cell[["__v", *xs]].set_axis(["__q", *[f"__q{c}" for c in xs]], axis=1)
+        return out.assign(__reach=reach, __cell=0)
+
+    columns = ", ".join(f"__q{c} double" for c in xs)
+    return points.groupBy("__cell").applyInPandas(run, f"__q long, {columns}, __reach double, __cell long")
+
+
+def _nearest_of_cells(asked: DataFrame, points: DataFrame, xs: Sequence[str], k: int) -> DataFrame:
+    """(__q, __v, __dist): of each question to a cell, the ``k`` nearest points there within its reach (ties by ``__v``)."""
+    load = asked.groupBy("__cell").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("bigint").alias("__parts"))
+    load = broadcast_if_small(load, "load")
+    asked = asked.join(load, "__cell").withColumn("__part", F.pmod(F.xxhash64("__q"), F.col("__parts"))).drop("__parts")
+    points = points.join(load, "__cell").withColumn("__part", F.explode(F.expr("sequence(0L, __parts - 1)"))).drop("__parts")
+
+    distances = _distances()
+
+    def run(asked: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        points = points.sort_values("__v")
+        ids, p = points["__v"].to_numpy(), points[list(xs)].to_numpy()
+        q, reach, names = asked[[f"__q{c}" for c in xs]].to_numpy(), asked["__reach"].to_numpy(), asked["__q"].to_numpy()
+        found = []
+        for i, d in distances(q, p):
+            bound = reach[i: i + len(d)]
+            if len(p) > k:
+                bound = np.minimum(bound, np.partition(d, k - 1, axis=1)[:, k - 1])
+            row, place = np.nonzero(d <= bound[:, None])
+            dist = d[row, place]
+            order = np.lexsort((place, dist, row))  # more than k only if the last are equally far
+            row, place, dist = row[order], place[order], dist[order]
+            kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+            found.append(pd.DataFrame({"__q": names[i + row[kept]], "__v": ids[place[kept]], "__dist": dist[kept]}))
+        return pd.concat(found) if found else pd.DataFrame({"__q": [], "__v": [], "__dist": []})
+
+    key = ["__cell", "__part"]
+    return asked.groupBy(*key).cogroup(points.groupBy(*key)).applyInPandas(run, "__q long, __v long, __dist double")
 
 
 def similar_all(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 10, cells: int | None = None) -> DataFrame:
     """U5 for every entity: its ``k`` nearest others, exactly: ``id, neighbour, distance, rk`` (ties by id).
 
-    The points are put in cells (nearest of some centres); a point is compared
-    with the cells that its k nearest can lie in, and there with the points
-    whose distance to the centre allows it, so no cross join takes place. Rows
-    with the same coordinates are one point, which keeps its k + 1 smallest
-    ids: more can't be needed, and a place that a third of all rows share costs
-    one point. Rows with a NULL or NaN coordinate have no neighbours and are
-    none. ``cells`` changes the work, not the result."""
+    The points are cut into cells of about ``CELL`` points, level by level. The
+    k nearest in a point's own cell bound the distance of its k-th one; it then
+    asks, down the levels, the cells whose box lies within that, and each gives
+    its k nearest at most. No cross join takes place, no task sees more than a
+    cell and ``ASKED`` questions at once, and the pairs of points compared
+    aren't rows. Rows with the same coordinates are one point, which keeps its
+    k + 1 smallest ids: more can't be needed, and a place that a third of all
+    rows share costs one point. Rows with a coordinate that is NULL, NaN or
+    infinite have no neighbours and are none. ``cells`` (about that many)
+    changes the work, not the result."""
     cols = list(cols)
     x = df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)])
     xs = [f"__x{i}" for i in range(len(cols))]
-    x = x.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in xs]) & F.col("__id").isNotNull())
+    x = x.where(reduce(lambda a, b: a & b, [F.abs(c) < float("inf") for c in xs]) & F.col("__id").isNotNull())
     place = Window.partitionBy(*xs).orderBy("__id")
     first = x.withColumn("__n", F.row_number().over(place)).where(F.col("__n") <= k + 1)
     points = first.groupBy(*xs).agg(F.array_sort(F.collect_list("__id")).alias("__ids"))
-    points = materialize(points.withColumn("__v", F.monotonically_increasing_id()), "points")
+    # numbered in the order of their first ids, which decides between points equally far
+    points = materialize(materialize(points, "places").orderBy(F.col("__ids")[0]).withColumn("__v", F.monotonically_increasing_id()), "points")
     n = points.count()
     none = x.select(F.col("__id").alias(id_col), F.col("__id").alias("neighbour"), F.lit(0.0).alias("distance"), F.lit(0).cast("bigint").alias("rk")).limit(0)
     if not n:
         return none
-    wanted = min(n, cells or min(MAX_CELLS, max(1, round(n ** 0.5))))
-    start = points.orderBy(F.xxhash64("__v")).limit(wanted).select(*xs).collect()  # MAX_CELLS points at most
-    _, centres = kmeans_fixed_start(points, "__v", xs, [list(r) for r in start], 2)
-    placed = materialize(assign_to_centres(points, xs, centres, out="__cell", dist="__r"), "placed")
-    stats = {r["__cell"]: r for r in placed.groupBy("__cell").agg(F.max("__r").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
-    used = sorted(stats)
-    numbers = np.array([centres[j] for j in used], dtype=np.float64)
-    probes = _probes(F.array(*xs), numbers, np.array([stats[j]["r"] for j in used]), np.array([stats[j]["n"] for j in used]), k + 1)
-    cell = F.array(*[F.lit(j) for j in used])
-    asked = placed.select(F.col("__v").alias("__q"), *[F.col(c).alias(f"__q{c}") for c in xs], F.explode(probes).alias("__p"))
-    asked = asked.select("__q", *[f"__q{c}" for c in xs], cell[F.col("__p.cell")].alias("__cell"), F.col("__p.d").alias("__d"), F.col("__p.reach").alias("__reach"))
-    near = asked.join(placed, "__cell").where(F.abs(F.col("__d") - F.col("__r")) <= F.col("__reach"))
-    sq = reduce(lambda a, b: a + b, [(F.col(f"__q{c}") - F.col(c)) * (F.col(f"__q{c}") - F.col(c)) for c in xs])
-    near = near.select("__q", "__ids", F.sqrt(sq).alias("__dist"))
-    best = Window.partitionBy("__q").orderBy("__dist", F.col("__ids")[0])
-    near = near.withColumn("__n", F.row_number().over(best)).where(F.col("__n") <= k + 1)
+    wanted = min(n, cells or math.ceil(n / max(CELL, 8 * (k + 1))))
+    levels = next(i for i in range(64) if FAN ** i >= wanted)
+    fan = math.ceil(wanted ** (1 / levels)) if levels else 1
+    placed = points.select("__v", *xs, F.lit(0).cast("bigint").alias("__cell"))
+    for _ in range(levels):
+        placed = _cut_cells(placed, xs, fan)
+    asked = materialize(_reach(placed, xs, k + 1), "reach")
+    sides = [f(c).alias(f"{s}{c}") for c in xs for f, s in ((F.min, "__low"), (F.max, "__high"))]
+    boxes = materialize(placed.groupBy(F.col("__cell").alias("__box")).agg(*sides), "boxes") if levels else None
+    for level in reversed(range(levels)):
+        sides = [f(f"{s}{c}").alias(f"{s}{c}") for c in xs for f, s in ((F.min, "__low"), (F.max, "__high"))]
+        here = boxes.groupBy(F.expr(f"__box div {fan ** level}").alias("__box")).agg(*sides).withColumn("__in", F.expr(f"__box div {fan}"))
+        asked = asked.join(broadcast_if_small(here, "boxes"), F.col("__cell") == F.col("__in"))
+        # added up as the distances are, so that a box is never farther than a point in it
+        gap = F.sqrt(_sum_of_squares([F.greatest(F.col(f"__low{c}") - F.col(f"__q{c}"), F.col(f"__q{c}") - F.col(f"__high{c}"), F.lit(0.0)) for c in xs]))
+        asked = asked.where(gap <= F.col("__reach")).select("__q", *[f"__q{c}" for c in xs], "__reach", F.col("__box").alias("__cell"))
+    near = _nearest_of_cells(materialize(asked, "asked") if levels else asked, placed, xs, k + 1)
+    near = near.groupBy("__q").agg(F.slice(F.array_sort(F.collect_list(F.struct("__dist", "__v"))), 1, k + 1).alias("__near"))
+    near = materialize(near.select("__q", F.explode("__near").alias("__p")).select("__q", "__p.*"), "near").join(points.select("__v", "__ids"), "__v")
     # k + 1 points of k + 1 ids at most
     each = near.select("__q", F.explode(F.transform("__ids", lambda i: F.struct(F.col("__dist").alias("distance"), i.alias("neighbour")))).alias("__e"))
     lists = each.groupBy("__q").agg(F.slice(F.array_sort(F.collect_list("__e")), 1, k + 1).alias("__near"))

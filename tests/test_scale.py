@@ -1,6 +1,11 @@
 """Forms for large tables: rank buckets, names, wide correlations, lattices, sketches, stores, neighbours, dictionaries."""
 
+import json
+import math
+import os
 import random
+import subprocess
+import sys
 import time
 import unicodedata
 from collections import Counter, defaultdict
@@ -279,6 +284,41 @@ def test_similar_all_has_no_cross_join(spark):
     assert U.similar_all(df.limit(2), "id", ["x", "y"], 3).count() == 2
 
 
+NEAR = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from rankforge.operators import clustering as U
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+         .config("spark.checkpoint.dir", sys.argv[1] + "/scratch").config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://" + sys.argv[1] + "/log")
+         .config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false").getOrCreate())
+df = spark.range(12_000, numPartitions=2).select("id", F.randn(1).alias("x")).withColumn("y", 3 * F.col("x") + F.randn(2))
+assert U.similar_all(df, "id", ["x", "y"], 5).count() == 60_000
+spark.stop()
+"""
+
+
+def test_similar_all_keeps_no_pairs_in_a_task(tmp_path):
+    (tmp_path / "log").mkdir()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", NEAR, str(tmp_path)], cwd=root, check=True, timeout=300)
+    events = [json.loads(x) for f in (tmp_path / "log").iterdir() for x in f.read_text().splitlines()]
+    tasks = [e["Task Metrics"] for e in events if e["Event"] == "SparkListenerTaskEnd"]
+    assert max(t["Peak Execution Memory"] for t in tasks) < 128 << 20  # all candidate pairs, sorted, took several times that
+
+
+@pytest.mark.parametrize("cells", [60, None])
+def test_similar_all_with_equal_values_and_far_points(spark, cells):
+    rng = random.Random(4)
+    pts = [(i, rng.choice((0.0, 1000.0)), float(rng.randrange(400)), rng.choice((0.0, 0.0, 0.0, rng.paretovariate(0.4)))) for i in range(600)]
+    odd = [(901, float("nan"), 1.0, 1.0), (902, float("inf"), 1.0, 1.0), (903, 1.0, float("-inf"), 1.0)]
+    df = spark.createDataFrame(pts + odd, "id int, x double, y double, z double").repartition(3)
+    got = defaultdict(list)
+    for r in U.similar_all(df, "id", ["x", "y", "z"], 3, cells).orderBy("rk").collect():
+        got[r.id].append((r.distance, r.neighbour))
+    place = {i: p for i, *p in pts}
+    assert got == {i: sorted((math.sqrt(sum((a - b) * (a - b) for a, b in zip(p, o))), j) for j, o in place.items() if j != i)[:3] for i, p in place.items()}
+
+
 # ---- dictionaries, vectors, weights
 
 def test_dictionary_of_many_values(spark):
