@@ -41,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import materialize, release, small_side
@@ -110,9 +110,9 @@ class Parser:
         first = np.flatnonzero(np.diff(anchor, prepend=-1))
         return anchor[first], first, np.append(first[1:] - 1, n - self.window)
 
-    def grams(self, data: bytes, anchors: np.ndarray) -> list[int]:
+    def grams(self, data: bytes, anchors: np.ndarray) -> np.ndarray:
         h, g = xxhash.xxh3_64_intdigest, self.gram
-        return [_signed(h(data[x: x + g])) for x in anchors.tolist()]
+        return np.array([h(data[x: x + g]) for x in anchors.tolist()], dtype=np.uint64).view(np.int64)
 
 
 #: Entries of lists (chunks, cells, windows) that a Python step handles at a time, and bytes of text.
@@ -138,12 +138,8 @@ def _gram_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parser = Parser(window, gram)
         for b in _slices(batches, lambda b: map(len, b["data"]), TEXT_BYTES):
-            grams, ids = [], []
-            for tid, data in zip(b["tid"].tolist(), b["data"]):
-                own = parser.grams(data, parser.cells(data)[0])
-                grams += own
-                ids += [tid] * len(own)
-            yield pd.DataFrame({"gram": grams, "tid": ids}, dtype="int64")
+            grams = [parser.grams(data, parser.cells(data)[0]) for data in b["data"]]
+            yield pd.DataFrame({"gram": np.concatenate(grams), "tid": np.repeat(b["tid"].to_numpy(), [len(g) for g in grams])})
 
     return texts.mapInPandas(run, "gram long, tid long")
 
@@ -160,7 +156,7 @@ def _parse(texts: DataFrame, window: int, gram: int) -> DataFrame:
             rows = []
             for tid, data, often in zip(b["tid"].tolist(), b["data"], b["grams"]):
                 x, lo, hi = parser.cells(data)
-                grams = np.array(parser.grams(data, x), dtype=np.int64)
+                grams = parser.grams(data, x)
                 hot = np.isin(grams, often)
                 span = [_signed(h(data[a: e + window])) for a, e in zip(lo[hot].tolist(), hi[hot].tolist())]
                 cuts = np.concatenate([[0], x]) if x[0] else x
@@ -324,6 +320,12 @@ def _open_cells(parsed: DataFrame, settled: DataFrame) -> DataFrame:
         run, "tid long, gram long, anchor int, lo int, hi int, span long, open_lo int, open_hi int")
 
 
+def _classes(rows: DataFrame, key: list[str], member: list[str], *more: Column) -> DataFrame:
+    """``key``, the number ``n`` of rows that share it and ``r``, the columns of one of them (plain numbers, so that rows are hashed and not sorted)."""
+    found = rows.groupBy(*key).agg(F.count("*").alias("n"), *[F.first(c).alias(f"r_{c}") for c in member], *more)
+    return found.withColumn("r", F.struct(*[F.col(f"r_{c}").alias(c) for c in member])).drop(*[f"r_{c}" for c in member])
+
+
 def _merge(cells: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     """(tid, lo, hi): the open windows of the cells that are repeated."""
     key = ["gram", "span", "head"]
@@ -331,9 +333,8 @@ def _merge(cells: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     grams = _step(cells.where("open_lo IS NOT NULL").select("gram").distinct(), "open-grams")  # no aggregate in the join's stage
     cells = _step(cells.join(grams, "gram", "left_semi"), "open-cells")
     release(texts.sparkSession, grams)
-    # cells of equal bytes are one class; its representative is its smallest member
-    classes = cells.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("tid", "anchor", "lo", "hi", "open_lo", "open_hi")).alias("r"))
-    classes = _step(classes, "classes")
+    # cells of equal bytes are one class; its representative is any member (the bytes are the same)
+    classes = _step(_classes(cells, key, ["tid", "anchor", "lo", "hi", "open_lo", "open_hi"]), "classes")
     whole = cells.where("open_lo IS NOT NULL").join(classes.where("n > 1").select(*key), key, "left_semi").select("tid", "lo", "hi")
     single = (classes.where("n = 1 AND r.open_lo IS NOT NULL").groupBy("gram")
               .agg(F.min(F.expr("r.open_lo - r.anchor")).alias("from"), F.max(F.expr("r.open_hi - r.anchor")).alias("to")))
@@ -361,11 +362,12 @@ def _merge(cells: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     key, full = ["gram", "band", "hash"], ["gram", "from", "to", "all"]
     found = _step(texts.join(asked, "tid").mapInPandas(
         bands, "gram long, band int, hash long, tid long, a int, e int, open boolean, from int, to int, all long"), "bands")
-    copies = found.groupBy(*full).agg(F.count("*").alias("n")).where("n > 1").select(*full)
+    # bands of the same bytes have the same place under the gram, so the same number and hash of what is in common
+    bands_of = _step(_classes(found, full, ["band", "hash", "tid", "a", "e"], F.max("open").alias("open")), "band-classes")
+    copies = bands_of.where("n > 1").select(*full)
     done = found.where("open").join(copies, full, "left_semi").select("tid", F.col("a").alias("lo"), F.col("e").alias("hi"))
     # a band whose bytes stand twice stays as a partner of others, by one of its copies
-    rest = found.groupBy(*key, *full[1:]).agg(F.count("*").alias("n"), F.min(F.struct("tid", "a", "e")).alias("r"), F.max("open").alias("open"))
-    rest = rest.select(*key, "r.*", (F.col("open") & (F.col("n") == 1)).alias("open"))
+    rest = bands_of.select("gram", "r.*", (F.col("open") & (F.col("n") == 1)).alias("open"))
     shared = rest.groupBy(*key).agg(F.count("*").alias("n"), F.max("open").alias("any")).where("n > 1 AND any").select(*key)
     wanted = rest.join(shared, key, "left_semi").groupBy("tid").agg(*[F.collect_list(c).alias(f"{c}s") for c in ("gram", "a", "e", "open")])
 
@@ -390,7 +392,7 @@ def _merge(cells: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     twice = seen.groupBy("gram", "hash").agg(F.count("*").alias("n")).where("n > 1").select("gram", "hash")
     same = seen.where("open").join(twice, ["gram", "hash"], "left_semi").select("tid", F.col("p").alias("lo"), F.col("p").alias("hi"))
     merged = _step(whole.unionByName(done).unionByName(same), "merged")
-    release(texts.sparkSession, cells, classes, found, seen)
+    release(texts.sparkSession, cells, classes, found, bands_of, seen)
     return merged
 
 

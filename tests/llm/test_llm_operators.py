@@ -790,6 +790,20 @@ def test_texts_that_share_a_hash_are_told_apart(spark, monkeypatch):
     assert sorted(map(tuple, suffixes.drop_repeats(docs).collect())) == want
 
 
+def test_suffix_classes_are_hashed_once(spark, monkeypatch):
+    plans, step = {}, suffixes._step
+
+    def record(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return step(df, name)
+
+    monkeypatch.setattr(suffixes, "_step", record)
+    text = "".join(chr(97 + i * i % 23) for i in range(700)) * 2
+    assert suffixes.drop_repeats(frame(spark, [text, "x" + text[50:600], text[5:300] + "y" * 90])).count() == 3
+    assert {"classes", "band-classes"} <= set(plans)  # bands were grouped three times
+    assert not any("SortAggregate" in plans[name] for name in ("classes", "band-classes", "windows", "merged"))
+
+
 def test_suffix_steps_in_small_frames(spark, monkeypatch):
     rng = random.Random(8)
     part = "".join(rng.choice("abcdef ") for _ in range(900))
